@@ -61,6 +61,18 @@ def safe_corr(x, y) -> Column:
     return F.try_divide(sxy, F.nullif(den, F.lit(0.0)))
 
 
+def exact_sum(c, scale: int = 6) -> Column:
+    """Order-independent sum: values as DECIMAL(38, scale), summed exactly,
+    returned as DOUBLE (correctly rounded).
+
+    A double sum's last bits depend on the order rows meet in the aggregate
+    (partitioning, AQE coalescing, retried tasks); the decimal sum does not,
+    so totals are reproducible on any cluster layout. Spark keeps the
+    unscaled value in a long while it fits, so this stays cheap.
+    """
+    return F.sum(col_(c).cast(f"decimal(38,{scale})")).cast("double")
+
+
 def season(month) -> Column:
     """Wet season ``Hujan`` for months 10-3, dry ``Kemarau`` otherwise.
 
@@ -88,5 +100,11 @@ def ts_text(c) -> Column:
 
 
 def r6(c) -> Column:
-    """Round a measure to 6 decimals for stable cross-engine comparison."""
-    return F.round(col_(c).cast("double"), 6)
+    """Round half up to 6 decimals with plain IEEE double ops.
+
+    ``floor(x * 1e6 + 0.5) / 1e6`` gives bit-identical results in any engine
+    for the same input double (``round`` differs between engines: decimal
+    string vs binary product).
+    """
+    x = col_(c).cast("double")
+    return F.when(F.abs(x) < F.lit(9e12), F.floor(x * F.lit(1e6) + F.lit(0.5)) / F.lit(1e6)).otherwise(x) + F.lit(0.0)

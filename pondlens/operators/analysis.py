@@ -175,8 +175,8 @@ def box_stats(df: DataFrame, group: str, cols: list[str]) -> DataFrame:
     """
     q = (quantile_table(df, cols, [0.25, 0.5, 0.75], by=[group])
          .groupBy(group, "column").pivot("prob", [0.25, 0.5, 0.75]).agg(F.first("value"))
-         .select(group, "column", F.col("0.25").alias("q1"), F.col("0.5").alias("median"),
-                 F.col("0.75").alias("q3")))
+         .select(group, "column", F.col("`0.25`").alias("q1"), F.col("`0.5`").alias("median"),
+                 F.col("`0.75`").alias("q3")))
     vals = df.select(group, *[F.col(c).cast("double").alias(c) for c in cols])
     long = (vals.unpivot([group], cols, "column", "v") if len(cols) > 1
             else vals.select(group, F.lit(cols[0]).alias("column"), F.col(cols[0]).alias("v")))

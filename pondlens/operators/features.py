@@ -49,7 +49,7 @@ def join_snowflake(cycles: DataFrame, ponds_farms: DataFrame) -> DataFrame:
 def harvest_agg(harvests: DataFrame) -> DataFrame:
     """A1: per cycle total weight, mean size, last harvest time."""
     return (harvests.where(F.col("cycle_id").isNotNull()).groupBy("cycle_id").agg(
-        F.coalesce(F.sum("weight"), F.lit(0.0)).alias("weight"),
+        F.coalesce(X.exact_sum("weight"), F.lit(0.0)).alias("weight"),
         F.avg("size").alias("size"),
         F.max("harvested_at").alias("harvested_at")))
 
@@ -57,7 +57,7 @@ def harvest_agg(harvests: DataFrame) -> DataFrame:
 def feed_agg(feeds: DataFrame) -> DataFrame:
     """A2 + F10: per cycle ``sum(quantity)`` named ``total_feed``."""
     return (feeds.where(F.col("cycle_id").isNotNull()).groupBy("cycle_id")
-            .agg(F.coalesce(F.sum("quantity"), F.lit(0.0)).alias("total_feed")))
+            .agg(F.coalesce(X.exact_sum("quantity"), F.lit(0.0)).alias("total_feed")))
 
 
 def water_quality_agg(measurements: DataFrame, params: list[str]) -> DataFrame:
@@ -97,7 +97,7 @@ def daily_feed(feeds: DataFrame, cycles: DataFrame) -> DataFrame:
     f = fact_with_cycle(feeds, cycles, "logged_at")
     return (f.where(F.col("cycle_id").isNotNull() & F.col("culture_days").isNotNull())
             .groupBy("cycle_id", "culture_days")
-            .agg(F.coalesce(F.sum("quantity"), F.lit(0.0)).alias("quantity")))
+            .agg(F.coalesce(X.exact_sum("quantity"), F.lit(0.0)).alias("quantity")))
 
 
 def first_cycles(df: DataFrame, k: int = 5, key: str = "cycle_id") -> DataFrame:

@@ -166,7 +166,7 @@ def describe_numeric(df: DataFrame, name: str, columns: list[str] | None = None)
         F.min("v").alias("min"), F.max("v").alias("max"))
     q = (quantile_table(d, cols, [0.25, 0.5, 0.75])
          .groupBy("column").pivot("prob", [0.25, 0.5, 0.75]).agg(F.first("value")))
-    q = q.select("column", F.col("0.25").alias("q25"), F.col("0.5").alias("q50"), F.col("0.75").alias("q75"))
+    q = q.select("column", F.col("`0.25`").alias("q25"), F.col("`0.5`").alias("q50"), F.col("`0.75`").alias("q75"))
     return (moments.join(q, "column", "left")
             .select(F.lit(name).alias("dataset"), "column", F.col("count").cast("bigint").alias("count"),
                     "mean", "std", "min", "q25", "q50", "q75", "max"))

@@ -132,12 +132,12 @@ def main_ctes(cfg: PipelineConfig, src: str = "k") -> list[tuple[str, str]]:
                   f"stddev_samp({p}) AS {p}_std" for p in params)
     wcols = ", ".join(f"w.{p}_{s}" for p in params for s in ("mean", "min", "max", "std"))
     return [
-        ("h_agg", f"SELECT cycle_id, coalesce(sum(weight), 0.0) AS weight, avg(size) AS size, "
+        ("h_agg", f"SELECT cycle_id, coalesce(CAST(sum(CAST(weight AS DECIMAL(38,6))) AS DOUBLE), 0.0) AS weight, avg(size) AS size, "
                   f"max(harvested_at) AS harvested_at FROM {src}_harvests WHERE cycle_id IS NOT NULL GROUP BY cycle_id"),
         ("s_agg", "SELECT cycle_id, arg_max(average_weight, (sampled_at, l_linenumber, l_partkey, l_suppkey)) "
                   "FILTER (WHERE average_weight IS NOT NULL) AS average_weight, max(sampled_at) AS last_sampled_at "
                   f"FROM {src}_sampling WHERE cycle_id IS NOT NULL GROUP BY cycle_id"),
-        ("f_agg", f"SELECT cycle_id, coalesce(sum(quantity), 0.0) AS total_feed FROM {src}_feeds "
+        ("f_agg", f"SELECT cycle_id, coalesce(CAST(sum(CAST(quantity AS DECIMAL(38,6))) AS DOUBLE), 0.0) AS total_feed FROM {src}_feeds "
                   "WHERE cycle_id IS NOT NULL GROUP BY cycle_id"),
         ("w_agg", f"SELECT cycle_id, {w} FROM {src}_measurements WHERE cycle_id IS NOT NULL GROUP BY cycle_id"),
         ("pf", "SELECT p.id AS id_pond, p.farm_id, p.length, p.width, p.deep, "
@@ -188,13 +188,14 @@ def wrap(spec: list[tuple[str, str]], inner: str) -> str:
     sel = []
     for c, kind in spec:
         if kind == "d":
-            sel.append(f"round(CAST({c} AS DOUBLE), 6) + 0.0 AS {c}")
+            x = f'CAST("{c}" AS DOUBLE)'
+            sel.append(f'CASE WHEN abs({x}) < 9e12 THEN floor({x} * 1e6 + 0.5) / 1e6 ELSE {x} END + 0.0 AS "{c}"')
         elif kind == "i":
-            sel.append(f"CAST({c} AS BIGINT) AS {c}")
+            sel.append(f'CAST("{c}" AS BIGINT) AS "{c}"')
         elif kind == "t":
-            sel.append(f"strftime({c}, '%Y-%m-%d %H:%M:%S') AS {c}")
+            sel.append(f'strftime("{c}", \'%Y-%m-%d %H:%M:%S\') AS "{c}"')
         elif kind == "b":
-            sel.append(f"CAST({c} AS BOOLEAN) AS {c}")
+            sel.append(f'CAST("{c}" AS BOOLEAN) AS "{c}"')
         else:
-            sel.append(f"CAST({c} AS VARCHAR) AS {c}")
+            sel.append(f'CAST("{c}" AS VARCHAR) AS "{c}"')
     return f"SELECT {', '.join(sel)} FROM ({inner}) q"

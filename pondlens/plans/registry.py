@@ -42,7 +42,7 @@ def finalize(df: DataFrame, spec: list) -> DataFrame:
     out = []
     for c, kind in spec:
         if kind == "d":
-            out.append((F.round(F.col(c).cast("double"), 6) + F.lit(0.0)).alias(c))
+            out.append(X.r6(c).alias(c))
         elif kind == "i":
             out.append(F.col(c).cast("bigint").alias(c))
         elif kind == "t":
@@ -77,7 +77,7 @@ def _missing_sql(prefix: str, issue_rows=False) -> str:
     sel = []
     for tbl, cols in O.RAW_COLUMNS.items():
         for c in cols:
-            sel.append(f"SELECT '{tbl}' AS dataset, '{c}' AS column, count(*) FILTER (WHERE {c} IS NULL) AS count, "
+            sel.append(f"SELECT '{tbl}' AS dataset, '{c}' AS \"column\", count(*) FILTER (WHERE {c} IS NULL) AS count, "
                        f"count(*) AS n_rows FROM {prefix}_{tbl}")
     return _union_sql(sel)
 
@@ -89,16 +89,16 @@ def _value_sql(kind: str) -> str:
         if kind == "invalid_dates":
             for c in cfg.date_columns.get(tbl, []):
                 if c in cols:
-                    sel.append(f"SELECT '{tbl}' AS dataset, '{c}' AS column, "
+                    sel.append(f"SELECT '{tbl}' AS dataset, '{c}' AS \"column\", "
                                f"count(*) FILTER (WHERE {c} IS NULL) AS count FROM t_{tbl}")
             continue
         for c in cfg.check_columns.get(tbl, []):
             if c not in cols:
                 continue
             if kind == "negative_values":
-                sel.append(f"SELECT '{tbl}' AS dataset, '{c}' AS column, count(*) FILTER (WHERE {c} < 0) AS count FROM t_{tbl}")
+                sel.append(f"SELECT '{tbl}' AS dataset, '{c}' AS \"column\", count(*) FILTER (WHERE {c} < 0) AS count FROM t_{tbl}")
             elif kind == "zero_values" and c != "average_weight":
-                sel.append(f"SELECT '{tbl}' AS dataset, '{c}' AS column, count(*) FILTER (WHERE {c} = 0) AS count FROM t_{tbl}")
+                sel.append(f"SELECT '{tbl}' AS dataset, '{c}' AS \"column\", count(*) FILTER (WHERE {c} = 0) AS count FROM t_{tbl}")
     return f"SELECT * FROM ({_union_sql(sel)}) x WHERE count > 0"
 
 
@@ -187,7 +187,7 @@ def _registry() -> dict[str, Query]:
     R["describe_numeric"] = Query(
         lambda st: _u([P.describe_numeric(df, n) for n, df in st.raw.items() if df is not None]),
         [("dataset", "s"), ("column", "s"), ("count", "i")] + _d("mean", "std", "min", "q25", "q50", "q75", "max"),
-        _union_sql([f"SELECT '{t}' AS dataset, '{c}' AS column, count({c}) AS count, avg({c}) AS mean, "
+        _union_sql([f"SELECT '{t}' AS dataset, '{c}' AS \"column\", count({c}) AS count, avg({c}) AS mean, "
                     f"stddev_samp({c}) AS std, CAST(min({c}) AS DOUBLE) AS min, quantile_cont({c}, 0.25) AS q25, "
                     f"quantile_cont({c}, 0.5) AS q50, quantile_cont({c}, 0.75) AS q75, "
                     f"CAST(max({c}) AS DOUBLE) AS max FROM raw_{t}"
@@ -195,7 +195,7 @@ def _registry() -> dict[str, Query]:
     R["missing_profile"] = Query(
         lambda st: P.missing_profile(st.coerced, st.cfg),
         [("dataset", "s"), ("column", "s"), ("count", "i"), ("percentage", "d")],
-        f"SELECT dataset, column, count, count / n_rows * 100.0 AS percentage FROM ({_missing_sql('t')}) x WHERE count > 0")
+        f"SELECT dataset, \"column\", count, count / n_rows * 100.0 AS percentage FROM ({_missing_sql('t')}) x WHERE count > 0")
     for issue in ("negative_values", "zero_values", "invalid_dates"):
         R[issue] = Query(
             (lambda i: lambda st: P.value_checks(st.coerced, st.cfg, i))(issue),
@@ -207,17 +207,17 @@ def _registry() -> dict[str, Query]:
     R["dq_issues"] = Query(
         lambda st: P.dq_issues(st.coerced, st.cfg), issue_spec,
         _union_sql([
-            f"SELECT dataset, column, NULL AS relation, 'missing_values' AS issue, count, count / n_rows * 100.0 "
+            f"SELECT dataset, \"column\", NULL AS relation, 'missing_values' AS issue, count, count / n_rows * 100.0 "
             f"AS percentage FROM ({_missing_sql('t')}) x WHERE count > 0",
-            *[f"SELECT dataset, column, NULL AS relation, '{i}' AS issue, count, NULL AS percentage FROM ({_value_sql(i)}) y"
+            *[f"SELECT dataset, \"column\", NULL AS relation, '{i}' AS issue, count, NULL AS percentage FROM ({_value_sql(i)}) y"
               for i in ("negative_values", "zero_values", "invalid_dates")],
-            f"SELECT NULL AS dataset, NULL AS column, relation, 'invalid_foreign_key' AS issue, count, NULL AS percentage "
+            f"SELECT NULL AS dataset, NULL AS \"column\", relation, 'invalid_foreign_key' AS issue, count, NULL AS percentage "
             f"FROM ({_fk_sql()}) z"]))
     R["null_totals"] = Query(
         lambda st: P.null_totals(st.cleaned),
         [("dataset", "s"), ("column", "s"), ("missing", "i")],
-        f"SELECT dataset, column, count AS missing FROM ({_missing_sql('k')}) a UNION ALL "
-        f"SELECT dataset, NULL AS column, sum(count) AS missing FROM ({_missing_sql('k')}) b GROUP BY dataset")
+        f"SELECT dataset, \"column\", count AS missing FROM ({_missing_sql('k')}) a UNION ALL "
+        f"SELECT dataset, NULL AS \"column\", sum(count) AS missing FROM ({_missing_sql('k')}) b GROUP BY dataset")
 
     # ---- T1 / C: cleaning
     R["coerce_dates"] = Query(
@@ -274,7 +274,7 @@ def _registry() -> dict[str, Query]:
                 continue
             cond = f"(s.{c} < f.lo_{c} OR s.{c} > f.hi_{c})"
             out_sql.append(
-                f"SELECT '{tbl}' AS dataset, '{c}' AS column, count(*) FILTER (WHERE {cond}) AS count, "
+                f"SELECT '{tbl}' AS dataset, '{c}' AS \"column\", count(*) FILTER (WHERE {cond}) AS count, "
                 f"any_value(f.lo_{c}) AS lower_bound, any_value(f.hi_{c}) AS upper_bound, "
                 f"min(s.{c}) FILTER (WHERE {cond}) AS min_outlier, max(s.{c}) FILTER (WHERE {cond}) AS max_outlier "
                 f"FROM k{tbl}_c5pre s, k{tbl}_f f")
@@ -342,7 +342,7 @@ def _registry() -> dict[str, Query]:
         [("cycle_id", "i"), ("culture_days", "i"), ("quantity", "d")], None, [])
     daily_sql = ("SELECT f.cycle_id, CAST(floor((epoch_us(f.logged_at) - epoch_us(c.started_at)) / "
                  f"{O.DAY_US}) AS BIGINT) AS culture_days, f.quantity FROM k_feeds f LEFT JOIN k_cycles c ON f.cycle_id = c.id")
-    R["daily_feed"].sql = (f"SELECT cycle_id, culture_days, coalesce(sum(quantity), 0.0) AS quantity FROM ({daily_sql}) d "
+    R["daily_feed"].sql = (f"SELECT cycle_id, culture_days, coalesce(CAST(sum(CAST(quantity AS DECIMAL(38,6))) AS DOUBLE), 0.0) AS quantity FROM ({daily_sql}) d "
                            "WHERE cycle_id IS NOT NULL AND culture_days IS NOT NULL GROUP BY cycle_id, culture_days")
     R["daily_feed_first5"] = Query(
         lambda st: FE.first_cycles(FE.daily_feed(st.cleaned["feeds"], st.cleaned["cycles"]), 5),
@@ -453,7 +453,7 @@ def _registry() -> dict[str, Query]:
         q = (f"(SELECT season, quantile_cont(v, 0.25) AS q1, quantile_cont(v, 0.5) AS median, "
              f"quantile_cont(v, 0.75) AS q3 FROM {src} s GROUP BY season)")
         box_parts.append(
-            f"SELECT d.season, '{col}' AS column, q.q1, q.median, q.q3, count(*) AS n, "
+            f"SELECT d.season, '{col}' AS \"column\", q.q1, q.median, q.q3, count(*) AS n, "
             f"min(d.v) FILTER (WHERE d.v >= q.q1 - {IQR_FACTOR} * (q.q3 - q.q1) AND d.v <= q.q3 + {IQR_FACTOR} * (q.q3 - q.q1)) AS whisker_lo, "
             f"max(d.v) FILTER (WHERE d.v >= q.q1 - {IQR_FACTOR} * (q.q3 - q.q1) AND d.v <= q.q3 + {IQR_FACTOR} * (q.q3 - q.q1)) AS whisker_hi, "
             f"count(*) FILTER (WHERE NOT (d.v >= q.q1 - {IQR_FACTOR} * (q.q3 - q.q1) AND d.v <= q.q3 + {IQR_FACTOR} * (q.q3 - q.q1))) AS n_outliers "
