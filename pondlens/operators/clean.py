@@ -1,9 +1,9 @@
 """Cleaning (T1, C1-C6) in the reference's fixed order.
 
 Each phase that feeds a statistic back into the rows (median, smallest
-positive value, quartiles) runs one distributed aggregate per table and
-brings back only ``columns x stats`` numbers, which are then inlined as
-literals. The cleaned table stays a plain projection over the source scan, so
+positive value, quartiles) runs one distributed aggregate - batched across
+all tables in ``clean_catalog`` - and brings back only ``columns x stats``
+numbers, which are then inlined as literals. The cleaned table stays a plain projection over the source scan, so
 filters and column pruning still reach Parquet. The per-cycle date median
 (C2c) is a grouped exact quantile joined back on ``cycle_id`` - it replaces a
 Python loop over cycles.
@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from pondlens.config import IQR_FACTOR, PipelineConfig
 from pondlens.functions.exprs import ts_literal
-from pondlens.operators.quantiles import quantile_table, quantile_values
+from pondlens.operators.quantiles import exact_quantiles, quantile_table, quantile_values
 
 _DATE_TYPES = (T.TimestampType, T.TimestampNTZType, T.DateType)
 
@@ -209,16 +209,165 @@ def clean_table(name: str, df: DataFrame, cfg: PipelineConfig, report: dict | No
     return df
 
 
+def _collect_stats(parts: list[DataFrame]) -> dict[tuple[str, float], float | None]:
+    """Run several small statistics plans as ONE job; rows are (column, prob, value)."""
+    parts = [p for p in parts if p is not None]
+    if not parts:
+        return {}
+    u = parts[0]
+    for p in parts[1:]:
+        u = u.unionByName(p)
+    return {(r["column"], float(r["prob"])): r["value"] for r in u.collect()}
+
+
+def _quantiles(items: list[tuple[str, DataFrame, F.Column]], probs: list[float]) -> dict:
+    """Exact quantiles of many (key, table, expression) slices, batched."""
+    long = _long_items(items)
+    if long is None:
+        return {}
+    return exact_quantiles(long, probs)
+
+
+def _long_items(items: list[tuple[str, DataFrame, F.Column]]) -> DataFrame | None:
+    """Long ``(column, v)`` form of many (key, table, expression) slices.
+
+    Slices of the same table share one scan: they are projected together and
+    unpivoted (an ``Expand``), and only the per-table long forms are unioned.
+    """
+    if not items:
+        return None
+    groups: dict[int, tuple[DataFrame, list[tuple[str, F.Column]]]] = {}
+    for key, df, expr in items:
+        groups.setdefault(id(df), (df, []))[1].append((key, expr))
+    long = None
+    for df, slices in groups.values():
+        safe = [f"__q{i}" for i in range(len(slices))]
+        wide = df.select(*[e.cast("double").alias(n) for n, (_, e) in zip(safe, slices)])
+        names = F.create_map(*[x for n, (k, _) in zip(safe, slices) for x in (F.lit(n), F.lit(k))])
+        part = (wide.unpivot([], safe, "__name", "v") if len(safe) > 1
+                else wide.select(F.lit(safe[0]).alias("__name"), F.col(safe[0]).alias("v")))
+        part = part.select(names[F.col("__name")].alias("column"), "v") \
+            .where(F.col("v").isNotNull() & ~F.isnan("v"))
+        long = part if long is None else long.unionByName(part)
+    return long
+
+
 def clean_catalog(catalog: dict, cfg: PipelineConfig | None = None, reports: dict | None = None) -> dict:
-    """The whole ``handle_missing_data`` stage over a coerced catalog."""
+    """The whole ``handle_missing_data`` stage over a coerced catalog.
+
+    Same steps and order as ``clean_table``, but the statistics of all tables
+    are batched: one job for every C1 median and C2 NULL check, one for the
+    C2 global date medians and C4 minimums, one for every C5 quartile.
+    """
     cfg = cfg or PipelineConfig()
-    out = {}
-    for name, df in catalog.items():
-        if df is None:
-            out[name] = None
+    tabs = {n: df for n, df in catalog.items() if df is not None}
+    reps = {n: {} for n in tabs}
+
+    # job 1: C1 medians/means + NULL counts of date columns + cycles.started_at median
+    q_items, parts = [], []
+    methods = {n: {c: m for c, m in cfg.impute_columns.get(n, {}).items() if c in df.columns}
+               for n, df in tabs.items()}
+    dcols = {n: [c for c in cfg.date_columns.get(n, []) if c in df.columns] for n, df in tabs.items()}
+    for n, df in tabs.items():
+        q_items += [(f"{n}|{c}", df, F.col(c)) for c, m in methods[n].items() if m == "median"]
+        means = [c for c, m in methods[n].items() if m == "mean"]
+        if means:
+            parts.append(df.agg(*[F.avg(F.col(c).cast("double")).alias(c) for c in means])
+                         .unpivot([], means, "column", "value")
+                         .select(F.concat(F.lit(f"{n}|"), "column").alias("column"),
+                                 F.lit(-2.0).alias("prob"), "value"))
+        if dcols[n]:
+            parts.append(df.agg(*[F.count_if(F.col(c).isNull()).cast("double").alias(c) for c in dcols[n]])
+                         .unpivot([], dcols[n], "column", "value")
+                         .select(F.concat(F.lit(f"{n}|"), "column").alias("column"),
+                                 F.lit(-1.0).alias("prob"), "value"))
+        if n == "cycles" and "started_at" in dcols[n]:
+            q_items.append(("cycles|started_at@us", df, F.unix_micros(F.col("started_at"))))
+    stats = _collect_stats(parts)
+    stats.update(_quantiles(q_items, [0.5]))
+
+    # C1 (+ C1b fallback 0)
+    for n, df in list(tabs.items()):
+        vals = {c: stats.get((f"{n}|{c}", 0.5 if m == "median" else -2.0)) for c, m in methods[n].items()}
+        reps[n]["impute"] = vals
+        tabs[n] = _replace(df, {c: F.coalesce(F.col(c).cast("double"), F.lit(v if v is not None else 0.0))
+                                for c, v in vals.items()})
+
+    # Dates (per-cycle medians are lazy joins; their global fallbacks batch below)
+    pending = []
+    for n, df in list(tabs.items()):
+        for c in dcols[n]:
+            if not stats.get((f"{n}|{c}", -1.0)):
+                continue
+            if n == "cycles" and c == "started_at":
+                med = stats.get(("cycles|started_at@us", 0.5))
+                if med is not None:
+                    df = _replace(df, {c: F.coalesce(F.col(c), _micros_to_ts(F.lit(med)))})
+            elif n == "cycles" and c == "finished_at":
+                df = impute_open_end(df, c, cfg.as_of)
+            elif "cycle_id" in df.columns:
+                df = _group_date_fill(df, c)
+                pending.append((n, c))
+            else:
+                pending.append((n, c))
+        tabs[n] = df
+
+    # C3 and job 2: global date medians of pending columns + C4 minimum positive values
+    check = {n: [c for c in cfg.check_columns.get(n, []) if c in df.columns] for n, df in tabs.items()}
+    for n in tabs:
+        tabs[n] = fix_negative(tabs[n], check[n])
+    zero = {n: [c for c in check[n] if c in cfg.zero_fix_columns] for n in tabs}
+    parts = []
+    for n, cols in zero.items():
+        if cols:
+            parts.append(tabs[n].agg(*[F.min(F.when(F.col(c) > 0, F.col(c))).cast("double").alias(c) for c in cols])
+                         .unpivot([], cols, "column", "value")
+                         .select(F.concat(F.lit(f"{n}|"), "column").alias("column"), F.lit(-3.0).alias("prob"),
+                                 "value"))
+    dq = [(f"{n}|{c}@us", tabs[n], F.unix_micros(F.col(c))) for n, c in pending]
+    stats2 = _collect_stats(parts)
+    stats2.update(_quantiles(dq, [0.5]))
+    for n, c in pending:
+        g = stats2.get((f"{n}|{c}@us", 0.5))
+        fallback = _micros_to_ts(F.lit(g)) if g is not None else ts_literal(cfg.as_of)
+        tabs[n] = _replace(tabs[n], {c: F.coalesce(F.col(c), fallback)})
+    for n, cols in zero.items():
+        mins = {c: stats2.get((f"{n}|{c}", -3.0)) for c in cols}
+        reps[n]["min_positive"] = mins
+        tabs[n] = _replace(tabs[n], {c: F.when(F.col(c) == 0, F.lit(m)).otherwise(F.col(c))
+                                     for c, m in mins.items() if m is not None})
+
+    # job 3: C5 quartiles of every outlier column
+    ocols = {n: [c for c in cfg.outlier_columns.get(n, []) if c in tabs[n].columns] for n in tabs}
+    qi = [(f"{n}|{c}", tabs[n], F.col(c)) for n, cols in ocols.items() for c in cols]
+    stats3 = _quantiles(qi, [0.25, 0.75])
+    for n, cols in ocols.items():
+        if not cols:
             continue
-        rep = {}
-        out[name] = clean_table(name, df, cfg, rep)
-        if reports is not None:
-            reports[name] = rep
-    return out
+        bounds = {}
+        for c in cols:
+            q1, q3 = stats3.get((f"{n}|{c}", 0.25)), stats3.get((f"{n}|{c}", 0.75))
+            if q1 is None or q3 is None:
+                continue
+            iqr = q3 - q1
+            bounds[c] = (q1 - IQR_FACTOR * iqr, q3 + IQR_FACTOR * iqr)
+        reps[n]["iqr_bounds"] = bounds
+        reps[n]["iqr_input"] = tabs[n]
+        tabs[n], _ = iqr_cap(tabs[n], cols, bounds)
+
+    # C6
+    for n in tabs:
+        tabs[n] = _replace(tabs[n], {c: F.coalesce(F.col(c), F.lit(0.0)) for c in methods[n]})
+    if reports is not None:
+        reports.update(reps)
+    return {n: tabs.get(n) for n in catalog}
+
+
+def _group_date_fill(df: DataFrame, column: str, group: str = "cycle_id") -> DataFrame:
+    """C2c first level: NULL dates take the exact median of their group."""
+    m = df.select(F.col(group).alias("__g"), F.unix_micros(F.col(column)).alias("__m")) \
+        .where(F.col("__g").isNotNull())
+    gmed = (quantile_table(m, ["__m"], [0.5], by=["__g"])
+            .select(F.col("__g"), F.col("value").alias("__gm")))
+    joined = df.join(gmed, df[group] == gmed["__g"], "left")
+    return _replace(joined, {column: F.coalesce(F.col(column), _micros_to_ts(F.col("__gm")))}).drop("__g", "__gm")

@@ -21,6 +21,7 @@ from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import Imputer, OneHotEncoder, StandardScaler, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -233,35 +234,52 @@ class TrainResult:
 
 def train_target(main: DataFrame, target: str, algorithms=("rf", "xgb", "lgb"), n_iter: int = 20,
                  folds: int = 5, params: dict | None = None, parallelism: int = 4) -> list[TrainResult]:
-    """M7-M14 for one target: search, refit, evaluate on the clipped test set."""
+    """M7-M14 for one target: search, refit, evaluate on the clipped test set.
+
+    ``folds < 2`` fits the given parameters directly (no cross-validation).
+    The model frame is persisted once and reused by every fit of the search.
+    """
     frame = model_frame(main, target)
     feats = [c for c in frame.columns if c not in ("id", "label")]
     lo, hi = clip_bounds(frame, target)
-    data = frame.select("id", *feats, clip("label", lo, hi).alias("label"), is_train().alias("__train"))
+    data = frame.select("id", *feats, clip("label", lo, hi).alias("label"),
+                        is_train().alias("__train")).persist(StorageLevel.MEMORY_AND_DISK)
     train = data.where("__train").drop("__train")
     test = data.where(~F.col("__train")).drop("__train")
     results = []
     evaluator = RegressionEvaluator(labelCol="label", predictionCol="prediction", metricName="r2")
-    for alg in algorithms:
-        try:
-            reg = make_regressor(alg, (params or {}).get(alg))
-            pipe = build_pipeline(feats, reg)
-            grid = random_param_maps(alg, reg, n_iter) if n_iter > 0 else ParamGridBuilder().build()
-            cv = CrossValidator(estimator=pipe, estimatorParamMaps=grid, evaluator=evaluator, numFolds=folds,
-                                seed=SEED, parallelism=parallelism)
-            cvm = cv.fit(train)
-            best = cvm.bestModel
-            best_i = max(range(len(cvm.avgMetrics)), key=lambda i: cvm.avgMetrics[i])
-            pred = best.transform(test).withColumn("prediction", clip("prediction", lo, hi))
-            m = regression_metrics(pred).first()
-            results.append(TrainResult(target, alg, best, m["rmse"], m["mae"], m["r2"],
-                                       cvm.avgMetrics[best_i], cvm.stdMetrics[best_i] if cvm.stdMetrics else None,
-                                       feats))
-        except Exception as exc:  # M14: an algorithm that fails is skipped
-            print(f"[pondlens] {target}/{alg} skipped: {exc}")
+    try:
+        for alg in algorithms:
+            try:
+                reg = make_regressor(alg, (params or {}).get(alg))
+                pipe = build_pipeline(feats, reg)
+                cv_mean = cv_std = None
+                if folds >= 2:
+                    grid = random_param_maps(alg, reg, n_iter) if n_iter > 0 else ParamGridBuilder().build()
+                    cv = CrossValidator(estimator=pipe, estimatorParamMaps=grid, evaluator=evaluator,
+                                        numFolds=folds, seed=SEED, parallelism=parallelism)
+                    cvm = cv.fit(train)
+                    best = cvm.bestModel
+                    best_i = max(range(len(cvm.avgMetrics)), key=lambda i: cvm.avgMetrics[i])
+                    cv_mean = float(cvm.avgMetrics[best_i])
+                    cv_std = float(cvm.stdMetrics[best_i]) if cvm.stdMetrics else None
+                else:
+                    best = pipe.fit(train)
+                pred = best.transform(test).withColumn("prediction", clip("prediction", lo, hi))
+                m = regression_metrics(pred).first()
+                results.append(TrainResult(target, alg, best, _f(m["rmse"]), _f(m["mae"]), _f(m["r2"]),
+                                           cv_mean, cv_std, feats))
+            except Exception as exc:  # M14: an algorithm that fails is skipped
+                print(f"[pondlens] {target}/{alg} skipped: {exc}")
+    finally:
+        data.unpersist()
     return results
 
 
+def _f(x):
+    return None if x is None else float(x)
+
+
 def best_result(results: list[TrainResult]) -> TrainResult | None:
     """Best by cross-validated mean R2."""
     ok = [r for r in results if r.cv_mean is not None]
@@ -270,7 +288,8 @@ def best_result(results: list[TrainResult]) -> TrainResult | None:
 
 def summary_frame(spark, results: list[TrainResult]) -> DataFrame:
     """Target x algorithm x metrics."""
-    rows = [(TARGET_LABELS[r.target], r.algorithm.upper(), r.r2, r.rmse, r.mae, r.cv_mean, r.cv_std) for r in results]
+    rows = [(TARGET_LABELS[r.target], r.algorithm.upper(), _f(r.r2), _f(r.rmse), _f(r.mae), _f(r.cv_mean),
+             _f(r.cv_std)) for r in results]
     return spark.createDataFrame(rows, "model_type string, algorithm string, r2 double, rmse double, mae double, "
                                        "cv_mean double, cv_std double")
 
@@ -314,7 +333,7 @@ def model_summary(main: DataFrame, settings: dict | None = None) -> DataFrame:
 
 
 def _quick_fit(main: DataFrame, target: str) -> TrainResult:
-    return train_target(main, target, ("rf",), 0, 2, QUICK["params"])[0]
+    return train_target(main, target, ("rf",), 0, 0, QUICK["params"])[0]
 
 
 def prediction_errors(main: DataFrame, target: str) -> DataFrame:

@@ -26,6 +26,7 @@ final ``columns x probs`` numbers for callers that inline them as literals.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -52,16 +53,27 @@ def quantile_table(df: DataFrame, columns: list[str], probs: list[float],
     all-NULL group yields no row.
     """
     by = list(by or [])
+    return quantile_table_long(_long(df, columns, by), probs, by, accuracy, small_group)
+
+
+def quantile_table_long(long: DataFrame, probs: list[float], by: list[str] | None = None,
+                        accuracy: int = DEFAULT_ACCURACY, small_group: int = SMALL_GROUP) -> DataFrame:
+    """``quantile_table`` over long input ``by..., column, v`` (``v`` double,
+    NULL/NaN already removed); lets one job serve columns of many tables."""
+    by = list(by or [])
     keys = by + ["column"]
-    long = _long(df, columns, by)
     delta = 4.0 / accuracy
     probes = []
     for q in probs:
         probes += [max(0.0, q - delta), min(1.0, q + delta)]
 
-    stats = long.groupBy(*keys).agg(
-        F.count("v").alias("n"), F.min("v").alias("vmin"), F.max("v").alias("vmax"),
-        F.percentile_approx("v", probes, accuracy).alias("probes"))
+    basic = long.groupBy(*keys).agg(F.count("v").alias("n"), F.min("v").alias("vmin"), F.max("v").alias("vmax"))
+    # the sketch only for groups above ``small_group`` rows: there are at most
+    # N / small_group of them, so their key list has a proven size bound
+    big = basic.where(F.col("n") > F.lit(small_group)).select(*keys)
+    sketch = (long.join(F.broadcast(big), keys).groupBy(*keys)
+              .agg(F.percentile_approx("v", probes, accuracy).alias("probes")))
+    stats = basic.join(sketch, keys, "left")
     small = F.col("n") <= F.lit(small_group)
     tgt_cols = []
     for i, q in enumerate(probs):
@@ -124,11 +136,128 @@ def quantile_values(df: DataFrame, columns: list[str], probs: list[float],
     out: dict[tuple[str, float], float | None] = {(c, float(q)): None for c in columns for q in probs}
     if not columns:
         return out
-    for r in quantile_table(df, columns, probs, accuracy=accuracy).collect():
-        out[(r["column"], float(r["prob"]))] = r["value"]
+    vals = exact_quantiles(_long(df, columns, []), probs)
+    out.update({k: v for k, v in vals.items() if k in out})
     return out
 
 
 def medians(df: DataFrame, columns: list[str]) -> dict[str, float | None]:
     vals = quantile_values(df, columns, [0.5])
     return {c: vals[(c, 0.5)] for c in columns}
+
+
+# ---------------------------------------------------------------------------
+# Eager exact quantiles by range refinement (plain codegen aggregates)
+# ---------------------------------------------------------------------------
+
+REFINE_BUCKETS = 1024
+REFINE_SLICE = 200_000
+REFINE_MAX_ITER = 64
+
+
+def exact_quantiles(long: DataFrame, probs: list[float], buckets: int = REFINE_BUCKETS,
+                    max_slice: int = REFINE_SLICE) -> dict[tuple[str, float], float | None]:
+    """Exact ``quantile_cont`` values of every ``column`` of a long ``(column, v)`` frame.
+
+    1. one aggregate: ``n``, ``min``, ``max`` per column;
+    2. while a target rank's candidate range holds more than ``max_slice``
+       rows: one aggregate counts the range's rows in ``buckets`` equal-width
+       buckets (with each bucket's exact min/max) for all open ranges at
+       once; the bucket holding the rank becomes the new range ``[min, max]``
+       (buckets are monotone in ``v``, so that range holds exactly that
+       bucket's rows). Each pass shrinks a range at least ``buckets``-fold;
+    3. one windowed pass ranks the distinct values of every remaining slice
+       (at most ``max_slice`` rows each, each slice ranked once however many
+       target ranks it holds) and picks the order statistics.
+
+    Every pass is a distributed aggregate; only ``ranges x buckets`` numbers
+    reach the driver. The long frame is persisted (memory and disk) for the
+    refinement passes. NULL/NaN values must already be removed.
+    """
+    spark = long.sparkSession
+    long = long.select("column", F.col("v").cast("double").alias("v"))
+    stats = long.groupBy("column").agg(F.count("v").alias("n"), F.min("v").alias("lo"),
+                                       F.max("v").alias("hi")).collect()
+    long = long.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return _exact_quantiles(spark, long, probs, buckets, max_slice, stats)
+    finally:
+        long.unpersist()
+
+
+def _ranges_join(long: DataFrame, rng: DataFrame) -> DataFrame:
+    return long.join(F.broadcast(rng), (long["column"] == rng["rcol"]) & (long["v"] >= rng["lo"])
+                     & (long["v"] <= rng["hi"]))
+
+
+def _exact_quantiles(spark, long, probs, buckets, max_slice, stats):
+    # state per (column, rank): candidate range [lo, hi], rows below lo, rows inside
+    tg: dict[tuple[str, int], dict] = {}
+    plan: dict[tuple[str, float], tuple] = {}
+    for r in stats:
+        n = r["n"]
+        if not n:
+            continue
+        for q in probs:
+            h = (n - 1) * float(q)
+            lo_r, hi_r = int(h // 1), int(-(-h // 1))
+            plan[(r["column"], float(q))] = (lo_r, hi_r, h - lo_r)
+            for rank in (lo_r, hi_r):
+                tg.setdefault((r["column"], rank), {"lo": r["lo"], "hi": r["hi"], "below": 0, "inside": n})
+
+    def slices(pred):
+        out: dict[tuple, list] = {}
+        for k, t in tg.items():
+            if pred(t):
+                out.setdefault((k[0], t["lo"], t["hi"], t["below"]), []).append(k)
+        return out
+
+    for _ in range(REFINE_MAX_ITER):
+        open_ = slices(lambda t: t["inside"] > max_slice and (float(t["hi"]) - float(t["lo"])) / buckets > 0)
+        if not open_:
+            break
+        keys = list(open_)
+        rng = spark.createDataFrame(
+            [(i, c, float(lo), float(hi), (float(hi) - float(lo)) / buckets) for i, (c, lo, hi, _) in enumerate(keys)],
+            "sid int, rcol string, lo double, hi double, width double")
+        b = F.least(F.floor((F.col("v") - F.col("lo")) / F.col("width")), F.lit(buckets - 1)).alias("b")
+        rows = (_ranges_join(long, rng).select("sid", "v", b).groupBy("sid", "b")
+                .agg(F.count(F.lit(1)).alias("c"), F.min("v").alias("bmin"), F.max("v").alias("bmax"))
+                .collect())
+        per: dict[int, list] = {}
+        for r in rows:
+            per.setdefault(r["sid"], []).append((r["b"], r["c"], r["bmin"], r["bmax"]))
+        for i, key in enumerate(keys):
+            bl = sorted(per.get(i, []))
+            for k in open_[key]:
+                t = tg[k]
+                local, cum = k[1] - t["below"], 0
+                for _bi, c, bmin, bmax in bl:
+                    if cum <= local < cum + c:
+                        t.update(lo=bmin, hi=bmax, below=t["below"] + cum, inside=c)
+                        break
+                    cum += c
+    values: dict[tuple[str, int], float] = {}
+    for k, t in tg.items():
+        if t["lo"] == t["hi"]:
+            values[k] = float(t["lo"])
+    rest = slices(lambda t: t["lo"] != t["hi"])
+    if rest:
+        keys = list(rest)
+        rng = spark.createDataFrame(
+            [(i, c, float(lo), float(hi), int(below), [int(k[1]) for k in rest[(c, lo, hi, below)]])
+             for i, (c, lo, hi, below) in enumerate(keys)],
+            "sid int, rcol string, lo double, hi double, below bigint, ranks array<bigint>")
+        vc = _ranges_join(long, rng).groupBy("sid", "below", "ranks", "v").agg(F.count(F.lit(1)).alias("cnt"))
+        w = Window.partitionBy("sid").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        ranked = vc.withColumn("end", F.col("below") + F.sum("cnt").over(w))
+        hit = (ranked.select("sid", "v", "end", (F.col("end") - F.col("cnt")).alias("start"),
+                             F.explode("ranks").alias("rank"))
+               .where((F.col("start") <= F.col("rank")) & (F.col("rank") < F.col("end"))))
+        for r in hit.select("sid", "rank", "v").collect():
+            values[(keys[r["sid"]][0], r["rank"])] = r["v"]
+    out: dict[tuple[str, float], float | None] = {}
+    for (c, q), (lo_r, hi_r, frac) in plan.items():
+        x_lo, x_hi = values.get((c, lo_r)), values.get((c, hi_r))
+        out[(c, q)] = None if x_lo is None or x_hi is None else x_lo + frac * (x_hi - x_lo)
+    return out
