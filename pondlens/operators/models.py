@@ -316,7 +316,7 @@ def importance_frame(spark, result: TrainResult) -> DataFrame:
 
 
 # a light setting for registered smoke queries (full search via train_models)
-QUICK = {"algorithms": ("rf", "xgb", "lgb"), "n_iter": 0, "folds": 3,
+QUICK = {"algorithms": ("rf", "xgb", "lgb"), "n_iter": 0, "folds": 2,
          "params": {"rf": {"numTrees": 20, "maxDepth": 8, "minInstancesPerNode": 2, "seed": SEED},
                     "xgb": {"maxIter": 10, "stepSize": 0.1, "maxDepth": 4, "subsamplingRate": 0.8,
                             "featureSubsetStrategy": "0.8", "minInfoGain": 0.1, "seed": SEED},
@@ -324,11 +324,15 @@ QUICK = {"algorithms": ("rf", "xgb", "lgb"), "n_iter": 0, "folds": 3,
                             "featureSubsetStrategy": "0.8", "seed": SEED}}}
 
 
-def model_summary(main: DataFrame, settings: dict | None = None) -> DataFrame:
+def model_summary(main: DataFrame, settings: dict | None = None, workers: int = 9) -> DataFrame:
+    """M16 over every target x algorithm; the independent trainings are
+    submitted concurrently (Spark runs their jobs side by side)."""
+    from concurrent.futures import ThreadPoolExecutor
     s = settings or QUICK
-    res = []
-    for t in TARGETS:
-        res += train_target(main, t, s["algorithms"], s["n_iter"], s["folds"], s["params"])
+    tasks = [(t, a) for t in TARGETS for a in s["algorithms"]]
+    with ThreadPoolExecutor(max_workers=max(1, min(workers, len(tasks)))) as pool:
+        futs = [pool.submit(train_target, main, t, (a,), s["n_iter"], s["folds"], s["params"]) for t, a in tasks]
+        res = [r for f in futs for r in f.result()]
     return summary_frame(main.sparkSession, res)
 
 

@@ -157,18 +157,45 @@ def null_totals(catalog: dict) -> DataFrame | None:
 
 def describe_numeric(df: DataFrame, name: str, columns: list[str] | None = None) -> DataFrame:
     """Count, mean, std (sample), min, 25/50/75 % (exact), max per numeric column."""
-    cols = columns or numeric_columns(df)
-    d = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
-    long = d.unpivot([], cols, "column", "v") if len(cols) > 1 else \
-        d.select(F.lit(cols[0]).alias("column"), F.col(cols[0]).alias("v"))
-    moments = long.groupBy("column").agg(
-        F.count("v").alias("count"), F.avg("v").alias("mean"), F.stddev_samp("v").alias("std"),
-        F.min("v").alias("min"), F.max("v").alias("max"))
-    q = (quantile_table(d, cols, [0.25, 0.5, 0.75])
-         .groupBy("column").pivot("prob", [0.25, 0.5, 0.75]).agg(F.first("value")))
-    q = q.select("column", F.col("`0.25`").alias("q25"), F.col("`0.5`").alias("q50"), F.col("`0.75`").alias("q75"))
-    return (moments.join(q, "column", "left")
-            .select(F.lit(name).alias("dataset"), "column", F.col("count").cast("bigint").alias("count"),
+    return describe_catalog({name: df}, {name: columns} if columns else None)
+
+
+def describe_catalog(catalog: dict, columns: dict | None = None) -> DataFrame | None:
+    """P2 for many tables: moments in one aggregate per table, exact quartiles
+    of every column of every table batched into one quantile computation."""
+    from pondlens.operators.quantiles import exact_quantiles
+    parts, longs = [], []
+    for name, df in catalog.items():
+        if df is None:
+            continue
+        cols = (columns or {}).get(name) or numeric_columns(df)
+        if not cols:
+            continue
+        keys = [f"{name}|{c}" for c in cols]
+        d = df.select(*[F.col(c).cast("double").alias(k) for c, k in zip(cols, keys)])
+        long = (d.unpivot([], [F.col(f"`{k}`") for k in keys], "column", "v") if len(keys) > 1
+                else d.select(F.lit(keys[0]).alias("column"), F.col(f"`{keys[0]}`").alias("v")))
+        parts.append(long.groupBy("column").agg(
+            F.count("v").alias("count"), F.avg("v").alias("mean"), F.stddev_samp("v").alias("std"),
+            F.min("v").alias("min"), F.max("v").alias("max")))
+        longs.append(long.where(F.col("v").isNotNull() & ~F.isnan("v")))
+    if not parts:
+        return None
+    allq = longs[0]
+    for lq in longs[1:]:
+        allq = allq.unionByName(lq)
+    q = exact_quantiles(allq, [0.25, 0.5, 0.75])
+    spark = allq.sparkSession
+    qdf = spark.createDataFrame([(k, q.get((k, 0.25)), q.get((k, 0.5)), q.get((k, 0.75)))
+                                 for k in {c for c, _ in q}],
+                                "column string, q25 double, q50 double, q75 double")
+    moments = parts[0]
+    for p in parts[1:]:
+        moments = moments.unionByName(p)
+    return (moments.join(F.broadcast(qdf), "column", "left")
+            .select(F.split_part("column", F.lit("|"), F.lit(1)).alias("dataset"),
+                    F.split_part("column", F.lit("|"), F.lit(2)).alias("column"),
+                    F.col("count").cast("bigint").alias("count"),
                     "mean", "std", "min", "q25", "q50", "q75", "max"))
 
 

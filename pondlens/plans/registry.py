@@ -185,7 +185,7 @@ def _registry() -> dict[str, Query]:
 
     # ---- P: profiling
     R["describe_numeric"] = Query(
-        lambda st: _u([P.describe_numeric(df, n) for n, df in st.raw.items() if df is not None]),
+        lambda st: P.describe_catalog(st.raw),
         [("dataset", "s"), ("column", "s"), ("count", "i")] + _d("mean", "std", "min", "q25", "q50", "q75", "max"),
         _union_sql([f"SELECT '{t}' AS dataset, '{c}' AS \"column\", count({c}) AS count, avg({c}) AS mean, "
                     f"stddev_samp({c}) AS std, CAST(min({c}) AS DOUBLE) AS min, quantile_cont({c}, 0.25) AS q25, "
