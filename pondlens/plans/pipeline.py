@@ -7,6 +7,8 @@ asked for. Nothing here collects table rows to the driver.
 
 from __future__ import annotations
 
+import os
+import uuid
 from dataclasses import replace
 from functools import cached_property
 
@@ -15,7 +17,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pondlens.config import PipelineConfig
 from pondlens.operators import clean as C
 from pondlens.operators import features as FE
-from pondlens.session import apply_session_conf
+from pondlens.session import apply_session_conf, checkpoint_dir
+from pondlens.sources.sinks import write_table
 from pondlens.sources.driver_views import raw_catalog
 
 # the driver tables give sampling rows these extra tie-break columns
@@ -23,10 +26,13 @@ DRIVER_SAMPLING_ORDER = ["sampled_at", "l_linenumber", "l_partkey", "l_suppkey"]
 
 
 class Stages:
-    def __init__(self, spark: SparkSession, catalog: dict, cfg: PipelineConfig | None = None):
+    def __init__(self, spark: SparkSession, catalog: dict, cfg: PipelineConfig | None = None,
+                 materialize: bool = True):
         self.spark = spark
         self.cfg = cfg or PipelineConfig()
         self.raw = catalog
+        self.materialize = materialize
+        self.run_id = uuid.uuid4().hex
 
     @cached_property
     def coerced(self) -> dict:
@@ -43,9 +49,20 @@ class Stages:
         return C.clean_catalog(self.coerced, self.cfg, self._reports)
 
     @cached_property
-    def main(self) -> DataFrame:
+    def main_plan(self) -> DataFrame:
+        """The lazy main-table plan (K15) over the cleaned catalog."""
         return FE.build_main(self.cleaned, self.cfg)
 
+    @cached_property
+    def main(self) -> DataFrame:
+        """The main table written once to the shared checkpoint folder and
+        read back - later stages reuse it and its lineage is cut."""
+        if not self.materialize:
+            return self.main_plan
+        path = os.path.join(checkpoint_dir(self.spark), "pondlens", self.run_id, "main")
+        write_table(self.main_plan, path)
+        return self.spark.read.parquet(path)
+
 
 _MEMO: dict = {}
 

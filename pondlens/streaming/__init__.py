@@ -1,0 +1 @@
+"""Streaming entry points (scoring of records arriving as files)."""
