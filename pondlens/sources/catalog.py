@@ -89,3 +89,30 @@ def table_shapes(catalog: Catalog) -> DataFrame | None:
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+def parse_dates_fallback(df: DataFrame, columns: list[str],
+                         formats=("yyyy-MM-dd'T'HH:mm:ss[.SSSSSS][XXX]", "yyyy-MM-dd HH:mm:ss[.SSSSSS]",
+                                  "yyyy-MM-dd")) -> DataFrame:
+    """S3: re-parse date text written by the CSV sink: ISO-8601 first, then
+    ``yyyy-MM-dd``, then other layouts; per row (the first format that fits
+    wins), unparseable text becomes NULL."""
+    out = []
+    for f in df.schema.fields:
+        if f.name in columns and isinstance(f.dataType, T.StringType):
+            parsed = [F.try_to_timestamp(F.col(f.name), F.lit(fmt)) for fmt in formats]
+            out.append(F.coalesce(*parsed, F.try_to_timestamp(F.col(f.name))).cast("timestamp").alias(f.name))
+        else:
+            out.append(F.col(f.name))
+    return df.select(*out)
+
+
+def load_processed(spark: SparkSession, path: str, date_columns=("started_at", "finished_at", "harvested_at"),
+                   fmt: str = "parquet") -> DataFrame | None:
+    """S3: reload the processed main table (Parquet keeps types; CSV is re-parsed)."""
+    if not _exists(spark, path):
+        return None
+    if fmt == "csv":
+        df = spark.read.option("header", True).option("inferSchema", False).csv(path)
+        return parse_dates_fallback(df, list(date_columns))
+    return spark.read.parquet(path)
