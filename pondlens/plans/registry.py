@@ -509,6 +509,10 @@ def _registry() -> dict[str, Query]:
                  + [("id_farm", "i"), ("name", "s")])
     R["main_table"] = Query(lambda st: st.main, main_spec,
                             f"SELECT {', '.join(c for c, _ in main_spec)} FROM main")
+    n_num = sum(1 for _, k in main_spec if k in ("d", "i"))
+    n_date = sum(1 for _, k in main_spec if k == "t")
+    R["schema_summary"].sql = (f"SELECT count(*) AS n_rows, {len(main_spec)} AS n_columns, {n_num} AS n_numeric, "
+                               f"{len(main_spec) - n_num - n_date} AS n_categorical, {n_date} AS n_date FROM main")
 
     # top factors: numeric main columns minus ids and target, fixed by the main spec
     factor_cols = [c for c, k in main_spec if k in ("d", "i") and c not in ID_COLUMNS and c != "survival_rate"]
