@@ -90,13 +90,7 @@ def impute_date_by_group(df: DataFrame, column: str, as_of: str, group: str = "c
     The group medians are an exact grouped quantile (no group is gathered in
     one task), left-joined back on the group key; NULL keys never match.
     """
-    m = df.select(F.col(group).alias("__g"), F.unix_micros(F.col(column)).alias("__m")) \
-        .where(F.col("__g").isNotNull())
-    gmed = (quantile_table(m, ["__m"], [0.5], by=["__g"])
-            .select(F.col("__g"), F.col("value").alias("__gm")))
-    joined = df.join(gmed, df[group] == gmed["__g"], "left")
-    filled = _replace(joined, {column: F.coalesce(F.col(column), _micros_to_ts(F.col("__gm")))}) \
-        .drop("__g", "__gm")
+    filled = _group_date_fill(df, column, group)
     glob = quantile_values(filled.select(F.unix_micros(F.col(column)).alias("m")), ["m"], [0.5])[("m", 0.5)]
     fallback = _micros_to_ts(F.lit(glob)) if glob is not None else ts_literal(as_of)
     return _replace(filled, {column: F.coalesce(F.col(column), fallback)})
@@ -364,10 +358,20 @@ def clean_catalog(catalog: dict, cfg: PipelineConfig | None = None, reports: dic
 
 
 def _group_date_fill(df: DataFrame, column: str, group: str = "cycle_id") -> DataFrame:
-    """C2c first level: NULL dates take the exact median of their group."""
-    m = df.select(F.col(group).alias("__g"), F.unix_micros(F.col(column)).alias("__m")) \
-        .where(F.col("__g").isNotNull())
+    """C2c first level: NULL dates take the exact median of their group.
+
+    Only rows with a NULL date go through the join, and group medians are
+    computed only for groups that have a NULL date (semi join), so the usual
+    case - few missing dates - costs a small fraction of the table, and rows
+    with a date pass straight through.
+    """
+    has = df.where(F.col(column).isNotNull())
+    missing = df.where(F.col(column).isNull())
+    need = missing.select(F.col(group).alias("__g")).where(F.col("__g").isNotNull()).distinct()
+    m = (has.select(F.col(group).alias("__g"), F.unix_micros(F.col(column)).alias("__m"))
+         .join(need, "__g", "left_semi"))
     gmed = (quantile_table(m, ["__m"], [0.5], by=["__g"])
             .select(F.col("__g"), F.col("value").alias("__gm")))
-    joined = df.join(gmed, df[group] == gmed["__g"], "left")
-    return _replace(joined, {column: F.coalesce(F.col(column), _micros_to_ts(F.col("__gm")))}).drop("__g", "__gm")
+    filled = missing.join(gmed, missing[group] == gmed["__g"], "left")
+    filled = _replace(filled, {column: _micros_to_ts(F.col("__gm"))}).drop("__g", "__gm")
+    return has.unionByName(filled.select(*df.columns))
