@@ -3,25 +3,19 @@
 Spark's exact ``percentile``/``median`` keeps a value->count map per group and
 merges all partial maps of a group in one task, so a global median over a
 huge, high-cardinality column (or a hot group holding a third of the rows)
-puts every distinct value into one task's memory. This operator computes the
-same exact value (``quantile_cont`` / pandas ``quantile``: position
-``h = (n-1)q``, ``x[floor h] + (h - floor h)(x[ceil h] - x[floor h])``) in
-bounded pieces:
-
-1. one aggregate per group: ``count``, ``min``, ``max`` and an approximate
-   sketch (``percentile_approx``, Greenwald-Khanna, bounded memory, rank error
-   at most ``n/accuracy``) probed at ``q - d`` and ``q + d``;
-2. every value is classified per probability as below / inside / above that
-   bracket and counted by ``(group, prob, kind, value)``; below/above collapse
-   to one row per group in the map-side combine, inside keeps distinct values;
-3. only the bracket (about ``2d n`` rows, or the whole group when it has at
-   most ``small_group`` rows) is ranked with a running sum, and the two order
-   statistics are picked and interpolated.
-
-An exact check (``below <= floor h`` and ``below + inside > ceil h``) guards
-the bracket; if it ever failed the job raises instead of returning a wrong
-value. No driver collect is needed; ``quantile_values`` collects only the
-final ``columns x probs`` numbers for callers that inline them as literals.
+puts every distinct value into one task's memory. The operators here compute
+the same exact value (``quantile_cont`` / pandas ``quantile``: position
+``h = (n-1)q``, ``x[floor h] + (h - floor h)(x[ceil h] - x[floor h])``) by
+range refinement: count a candidate range's rows in equal-width buckets
+(exact counts, exact bucket min/max), keep the bucket holding the wanted rank,
+repeat; each pass shrinks the range at least ``buckets``-fold, and only the
+last small range is ranked with a running sum.
+
+* ``exact_quantiles`` / ``quantile_values`` - eager, adaptive number of passes,
+  only ``ranges x buckets`` numbers reach the driver (used for the cleaning
+  statistics that are inlined as literals);
+* ``quantile_table`` - lazy and grouped, a fixed number of unrolled passes for
+  groups above ``small_group`` rows (used for per-group statistics).
 """
 
 from __future__ import annotations
@@ -30,7 +24,6 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_ACCURACY = 10_000
 SMALL_GROUP = 100_000
 
 
@@ -44,91 +37,86 @@ def _long(df: DataFrame, columns: list[str], by: list[str]) -> DataFrame:
     return long.where(F.col("v").isNotNull() & ~F.isnan("v"))
 
 
+LAZY_PASSES = 3
+
+
 def quantile_table(df: DataFrame, columns: list[str], probs: list[float],
-                   by: list[str] | None = None, accuracy: int = DEFAULT_ACCURACY,
-                   small_group: int = SMALL_GROUP) -> DataFrame:
+                   by: list[str] | None = None, small_group: int = SMALL_GROUP,
+                   buckets: int = 1024, passes: int = LAZY_PASSES) -> DataFrame:
     """Exact quantiles of ``columns`` at ``probs``, optionally per ``by`` group.
 
     Returns ``by..., column, prob, n, value``; NULL values are ignored and an
-    all-NULL group yields no row.
+    all-NULL group yields no row. Fully lazy (no driver round trip).
     """
     by = list(by or [])
-    return quantile_table_long(_long(df, columns, by), probs, by, accuracy, small_group)
+    return quantile_table_long(_long(df, columns, by), probs, by, small_group, buckets, passes)
 
 
 def quantile_table_long(long: DataFrame, probs: list[float], by: list[str] | None = None,
-                        accuracy: int = DEFAULT_ACCURACY, small_group: int = SMALL_GROUP) -> DataFrame:
+                        small_group: int = SMALL_GROUP, buckets: int = 1024,
+                        passes: int = LAZY_PASSES) -> DataFrame:
     """``quantile_table`` over long input ``by..., column, v`` (``v`` double,
-    NULL/NaN already removed); lets one job serve columns of many tables."""
+    NULL/NaN removed).
+
+    Each target rank starts with its group's ``[min, max]`` range. Groups with
+    more than ``small_group`` values go through ``passes`` unrolled
+    refinement passes: the range's rows are counted in ``buckets`` equal-width
+    buckets (with exact bucket min/max), a running sum over the <= ``buckets``
+    bucket rows of a range finds the bucket holding the rank, and that
+    bucket's ``[min, max]`` becomes the next range (>= ``buckets``-fold smaller
+    per pass, exact counts throughout). Finally each range's distinct values
+    are ranked with a running sum and the order statistics interpolated. A hot
+    group is never gathered in one task: only its final range is.
+    """
     by = list(by or [])
     keys = by + ["column"]
-    delta = 4.0 / accuracy
-    probes = []
-    for q in probs:
-        probes += [max(0.0, q - delta), min(1.0, q + delta)]
-
+    rk = keys + ["lo", "hi", "below"]
     basic = long.groupBy(*keys).agg(F.count("v").alias("n"), F.min("v").alias("vmin"), F.max("v").alias("vmax"))
-    # the sketch only for groups above ``small_group`` rows: there are at most
-    # N / small_group of them, so their key list has a proven size bound
-    big = basic.where(F.col("n") > F.lit(small_group)).select(*keys)
-    sketch = (long.join(F.broadcast(big), keys).groupBy(*keys)
-              .agg(F.percentile_approx("v", probes, accuracy).alias("probes")))
-    stats = basic.join(sketch, keys, "left")
-    small = F.col("n") <= F.lit(small_group)
-    tgt_cols = []
-    for i, q in enumerate(probs):
+    tcols = []
+    for q in probs:
         h = (F.col("n") - 1).cast("double") * F.lit(float(q))
-        tgt_cols.append(F.struct(
-            F.lit(i).alias("pi"), F.lit(float(q)).alias("prob"),
-            F.when(small, F.col("vmin")).otherwise(F.col("probes")[2 * i]).alias("lo"),
-            F.when(small, F.col("vmax")).otherwise(F.col("probes")[2 * i + 1]).alias("hi"),
-            F.floor(h).cast("bigint").alias("r_lo"), F.ceil(h).cast("bigint").alias("r_hi"),
-            (h - F.floor(h)).alias("frac")))
-    targets = stats.select(*keys, "n", F.array(*tgt_cols).alias("t"))
-    if not by:
-        # one row per column: size bounded by len(columns)
-        targets = F.broadcast(targets)
-
-    rec = (long.join(targets, keys)
-           .select(*keys, "v", F.explode("t").alias("t"))
-           .select(*keys, F.col("t.pi").alias("pi"),
-                   F.when(F.col("v") < F.col("t.lo"), F.lit(0))
-                    .when(F.col("v") > F.col("t.hi"), F.lit(2)).otherwise(F.lit(1)).alias("kind"),
-                   F.when((F.col("v") >= F.col("t.lo")) & (F.col("v") <= F.col("t.hi")), F.col("v"))
-                    .alias("v")))
-    grouped = rec.groupBy(*keys, "pi", "kind", "v").agg(F.count(F.lit(1)).alias("cnt"))
-
-    w_grp = Window.partitionBy(*keys, "pi")
-    ranked = (grouped
-              .withColumn("below", F.sum(F.when(F.col("kind") == 0, F.col("cnt")).otherwise(0)).over(w_grp))
-              .withColumn("inside", F.sum(F.when(F.col("kind") == 1, F.col("cnt")).otherwise(0)).over(w_grp))
-              .where(F.col("kind") == 1)
-              .withColumn("cum", F.sum("cnt").over(
-                  Window.partitionBy(*keys, "pi").orderBy("v")
-                  .rowsBetween(Window.unboundedPreceding, Window.currentRow))))
-    tinfo = targets.select(*keys, "n", F.explode("t").alias("t")).select(
-        *keys, "n", "t.pi", "t.prob", "t.r_lo", "t.r_hi", "t.frac")
-    j = ranked.join(tinfo, keys + ["pi"])
-    start = F.col("below") + F.col("cum") - F.col("cnt")      # global rank of first copy
-    end = F.col("below") + F.col("cum")                       # one past the last copy
-    hit_lo = (start <= F.col("r_lo")) & (F.col("r_lo") < end)
-    hit_hi = (start <= F.col("r_hi")) & (F.col("r_hi") < end)
-    picked = j.groupBy(*keys, "pi", "prob", "n", "frac").agg(
-        F.min(F.when(hit_lo, F.col("v"))).alias("x_lo"),
-        F.min(F.when(hit_hi, F.col("v"))).alias("x_hi"),
-        F.first("below").alias("below"), F.first("inside").alias("inside"),
-        F.first("r_lo").alias("r_lo"), F.first("r_hi").alias("r_hi"))
-    ok = (F.col("below") <= F.col("r_lo")) & (F.col("below") + F.col("inside") > F.col("r_hi")) \
-        & F.col("x_lo").isNotNull() & F.col("x_hi").isNotNull()
+        tcols.append(F.struct(F.lit(float(q)).alias("prob"), F.floor(h).cast("bigint").alias("r_lo"),
+                              F.ceil(h).cast("bigint").alias("r_hi"), (h - F.floor(h)).alias("frac")))
+    plan = basic.select(*keys, "n", "vmin", "vmax", F.explode(F.array(*tcols)).alias("t")) \
+        .select(*keys, "n", "vmin", "vmax", "t.prob", "t.r_lo", "t.r_hi", "t.frac")
+    ranks = (plan.select(*keys, "n", "vmin", "vmax", F.explode(F.array("r_lo", "r_hi")).alias("rank"))
+             .distinct()
+             .select(*keys, "n", "rank", F.col("vmin").alias("lo"), F.col("vmax").alias("hi"),
+                     F.lit(0).cast("bigint").alias("below")))
+    small = ranks.where(F.col("n") <= F.lit(small_group)).drop("n")
+    big = ranks.where(F.col("n") > F.lit(small_group)).drop("n")
+    # one cheap aggregate decides whether refinement passes are needed at all
+    if basic.where(F.col("n") > F.lit(small_group)).limit(1).count() == 0:
+        passes, big = 0, None
+    for _ in range(passes):
+        rng = big.select(*rk).distinct()
+        width = F.try_divide(F.col("hi") - F.col("lo"), F.lit(float(buckets)))
+        b = F.coalesce(F.least(F.floor(F.try_divide(F.col("v") - F.col("lo"), width)), F.lit(buckets - 1)),
+                       F.lit(0)).alias("b")
+        cnt = (long.join(rng, keys).where((F.col("v") >= F.col("lo")) & (F.col("v") <= F.col("hi")))
+               .select(*rk, "v", b).groupBy(*rk, "b")
+               .agg(F.count(F.lit(1)).alias("c"), F.min("v").alias("bmin"), F.max("v").alias("bmax")))
+        w = Window.partitionBy(*rk).orderBy("b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        cum = cnt.withColumn("end", F.col("below") + F.sum("c").over(w)).withColumn("start", F.col("end") - F.col("c"))
+        big = (big.join(cum, rk).where((F.col("start") <= F.col("rank")) & (F.col("rank") < F.col("end")))
+               .select(*keys, "rank", F.col("bmin").alias("lo"), F.col("bmax").alias("hi"),
+                       F.col("start").alias("below")))
+    targets = small if big is None else small.unionByName(big)
+    frng = targets.select(*rk).distinct()
+    vc = (long.join(frng, keys).where((F.col("v") >= F.col("lo")) & (F.col("v") <= F.col("hi")))
+          .groupBy(*rk, "v").agg(F.count(F.lit(1)).alias("cnt")))
+    w = Window.partitionBy(*rk).orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = vc.withColumn("end", F.col("below") + F.sum("cnt").over(w)).withColumn("start", F.col("end") - F.col("cnt"))
+    picked = (targets.join(ranked, rk).where((F.col("start") <= F.col("rank")) & (F.col("rank") < F.col("end")))
+              .select(*keys, "rank", "v"))
+    lo_v = picked.select(*keys, F.col("rank").alias("r_lo"), F.col("v").alias("x_lo"))
+    hi_v = picked.select(*keys, F.col("rank").alias("r_hi"), F.col("v").alias("x_hi"))
+    res = plan.join(lo_v, keys + ["r_lo"], "left").join(hi_v, keys + ["r_hi"], "left")
     value = F.col("x_lo") + F.col("frac") * (F.col("x_hi") - F.col("x_lo"))
-    return picked.select(
-        *keys, "prob", "n",
-        F.when(ok, value).otherwise(F.raise_error(F.lit("quantile bracket check failed")).cast("double"))
-        .alias("value"))
+    return res.select(*keys, "prob", "n", value.alias("value"))
 
 
-def quantile_values(df: DataFrame, columns: list[str], probs: list[float],
-                    accuracy: int = DEFAULT_ACCURACY) -> dict[tuple[str, float], float | None]:
+def quantile_values(df: DataFrame, columns: list[str], probs: list[float]) -> dict[tuple[str, float], float | None]:
     """Global exact quantiles as Python numbers (``len(columns) x len(probs)``).
 
     Columns that are entirely NULL map to ``None``.

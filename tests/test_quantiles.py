@@ -27,7 +27,7 @@ def test_grouped_quantile_table_both_paths(spark):
     rows = [("hot", float(v)) for v in rng.normal(0, 1, 3000)] + [("small", float(v)) for v in [4.0, 1.0, 2.0]] \
         + [("one", 9.0)]
     df = spark.createDataFrame(rows, "g string, v double")
-    out = Q.quantile_table(df, ["v"], [0.25, 0.5, 0.9], by=["g"], accuracy=100, small_group=100).collect()
+    out = Q.quantile_table(df, ["v"], [0.25, 0.5, 0.9], by=["g"], small_group=100, buckets=8, passes=2).collect()
     vals = {"hot": [r[1] for r in rows if r[0] == "hot"], "small": [4.0, 1.0, 2.0], "one": [9.0]}
     assert len(out) == 9
     for r in out:
@@ -47,3 +47,15 @@ def test_property_matches_numpy(spark, vals, q):
     long = spark.createDataFrame([("c", float(v)) for v in vals], "column string, v double")
     got = Q.exact_quantiles(long, [q], buckets=4, max_slice=5)
     assert abs(got[("c", q)] - _np(vals, q)) <= 1e-9 * max(1.0, abs(_np(vals, q)))
+
+
+def test_grouped_hot_group_with_hot_value(spark):
+    rng = np.random.default_rng(11)
+    hot = np.concatenate([rng.exponential(5.0, 4000), np.full(3000, 2.5)])      # a third of rows on one value
+    rows = [(1, float(v)) for v in hot] + [(2, float(v)) for v in rng.normal(size=50)]
+    df = spark.createDataFrame(rows, "g bigint, v double")
+    out = Q.quantile_table(df, ["v"], [0.01, 0.5, 0.99], by=["g"], small_group=200, buckets=16, passes=3).collect()
+    vals = {1: hot, 2: [r[1] for r in rows if r[0] == 2]}
+    assert len(out) == 6
+    for r in out:
+        assert r["value"] == _np(vals[r["g"]], r["prob"]), (r["g"], r["prob"])
