@@ -215,35 +215,31 @@ def _collect_stats(parts: list[DataFrame]) -> dict[tuple[str, float], float | No
 
 
 def _quantiles(items: list[tuple[str, DataFrame, F.Column]], probs: list[float]) -> dict:
-    """Exact quantiles of many (key, table, expression) slices, batched."""
-    long = _long_items(items)
-    if long is None:
-        return {}
-    return exact_quantiles(long, probs)
-
-
-def _long_items(items: list[tuple[str, DataFrame, F.Column]]) -> DataFrame | None:
-    """Long ``(column, v)`` form of many (key, table, expression) slices.
+    """Exact quantiles of many (key, table, expression) slices, batched.
 
     Slices of the same table share one scan: they are projected together and
-    unpivoted (an ``Expand``), and only the per-table long forms are unioned.
+    unpivoted (an ``Expand``); only the per-table long forms are unioned. The
+    long frame is keyed by a small integer (mapped back here), which keeps the
+    refinement passes' cache and shuffles narrow.
     """
     if not items:
-        return None
-    groups: dict[int, tuple[DataFrame, list[tuple[str, F.Column]]]] = {}
-    for key, df, expr in items:
-        groups.setdefault(id(df), (df, []))[1].append((key, expr))
+        return {}
+    groups: dict[int, tuple[DataFrame, list[tuple[int, F.Column]]]] = {}
+    for i, (_, df, expr) in enumerate(items):
+        groups.setdefault(id(df), (df, []))[1].append((i, expr))
     long = None
     for df, slices in groups.values():
-        safe = [f"__q{i}" for i in range(len(slices))]
-        wide = df.select(*[e.cast("double").alias(n) for n, (_, e) in zip(safe, slices)])
-        names = F.create_map(*[x for n, (k, _) in zip(safe, slices) for x in (F.lit(n), F.lit(k))])
-        part = (wide.unpivot([], safe, "__name", "v") if len(safe) > 1
-                else wide.select(F.lit(safe[0]).alias("__name"), F.col(safe[0]).alias("v")))
-        part = part.select(names[F.col("__name")].alias("column"), "v") \
-            .where(F.col("v").isNotNull() & ~F.isnan("v"))
+        names = [f"__q{i}" for i, _ in slices]
+        wide = df.select(*[e.cast("double").alias(n) for n, (_, e) in zip(names, slices)])
+        if len(names) > 1:
+            part = wide.unpivot([], names, "__name", "v").select(
+                F.substring("__name", 4, 8).cast("int").alias("column"), "v")
+        else:
+            part = wide.select(F.lit(slices[0][0]).alias("column"), F.col(names[0]).alias("v"))
+        part = part.where(F.col("v").isNotNull() & ~F.isnan("v"))
         long = part if long is None else long.unionByName(part)
-    return long
+    vals = exact_quantiles(long, probs)
+    return {(items[i][0], q): v for (i, q), v in vals.items()}
 
 
 def clean_catalog(catalog: dict, cfg: PipelineConfig | None = None, reports: dict | None = None) -> dict:
@@ -287,7 +283,10 @@ def clean_catalog(catalog: dict, cfg: PipelineConfig | None = None, reports: dic
         tabs[n] = _replace(df, {c: F.coalesce(F.col(c).cast("double"), F.lit(v if v is not None else 0.0))
                                 for c, v in vals.items()})
 
-    # Dates (per-cycle medians are lazy joins; their global fallbacks batch below)
+    # Dates (per-cycle medians are lazy joins; their global fallbacks batch below).
+    # C2 changes only date columns and C3-C5 only numeric ones, so the numeric
+    # statistics below are taken on ``numeric`` (no date fill in their plans).
+    numeric = dict(tabs)
     pending = []
     for n, df in list(tabs.items()):
         for c in dcols[n]:
@@ -310,11 +309,12 @@ def clean_catalog(catalog: dict, cfg: PipelineConfig | None = None, reports: dic
     check = {n: [c for c in cfg.check_columns.get(n, []) if c in df.columns] for n, df in tabs.items()}
     for n in tabs:
         tabs[n] = fix_negative(tabs[n], check[n])
+        numeric[n] = fix_negative(numeric[n], check[n])
     zero = {n: [c for c in check[n] if c in cfg.zero_fix_columns] for n in tabs}
     parts = []
     for n, cols in zero.items():
         if cols:
-            parts.append(tabs[n].agg(*[F.min(F.when(F.col(c) > 0, F.col(c))).cast("double").alias(c) for c in cols])
+            parts.append(numeric[n].agg(*[F.min(F.when(F.col(c) > 0, F.col(c))).cast("double").alias(c) for c in cols])
                          .unpivot([], cols, "column", "value")
                          .select(F.concat(F.lit(f"{n}|"), "column").alias("column"), F.lit(-3.0).alias("prob"),
                                  "value"))
@@ -328,12 +328,13 @@ def clean_catalog(catalog: dict, cfg: PipelineConfig | None = None, reports: dic
     for n, cols in zero.items():
         mins = {c: stats2.get((f"{n}|{c}", -3.0)) for c in cols}
         reps[n]["min_positive"] = mins
-        tabs[n] = _replace(tabs[n], {c: F.when(F.col(c) == 0, F.lit(m)).otherwise(F.col(c))
-                                     for c, m in mins.items() if m is not None})
+        fills = {c: F.when(F.col(c) == 0, F.lit(m)).otherwise(F.col(c)) for c, m in mins.items() if m is not None}
+        tabs[n] = _replace(tabs[n], fills)
+        numeric[n] = _replace(numeric[n], fills)
 
     # job 3: C5 quartiles of every outlier column
     ocols = {n: [c for c in cfg.outlier_columns.get(n, []) if c in tabs[n].columns] for n in tabs}
-    qi = [(f"{n}|{c}", tabs[n], F.col(c)) for n, cols in ocols.items() for c in cols]
+    qi = [(f"{n}|{c}", numeric[n], F.col(c)) for n, cols in ocols.items() for c in cols]
     stats3 = _quantiles(qi, [0.25, 0.75])
     for n, cols in ocols.items():
         if not cols:
@@ -346,7 +347,7 @@ def clean_catalog(catalog: dict, cfg: PipelineConfig | None = None, reports: dic
             iqr = q3 - q1
             bounds[c] = (q1 - IQR_FACTOR * iqr, q3 + IQR_FACTOR * iqr)
         reps[n]["iqr_bounds"] = bounds
-        reps[n]["iqr_input"] = tabs[n]
+        reps[n]["iqr_input"] = numeric[n]
         tabs[n], _ = iqr_cap(tabs[n], cols, bounds)
 
     # C6
@@ -370,8 +371,10 @@ def _group_date_fill(df: DataFrame, column: str, group: str = "cycle_id") -> Dat
     need = missing.select(F.col(group).alias("__g")).where(F.col("__g").isNotNull()).distinct()
     m = (has.select(F.col(group).alias("__g"), F.unix_micros(F.col(column)).alias("__m"))
          .join(need, "__g", "left_semi"))
+    # ends in an aggregate keyed by the join key: when a query does not read
+    # the date, Spark's outer-join elimination drops this whole subplan
     gmed = (quantile_table(m, ["__m"], [0.5], by=["__g"])
-            .select(F.col("__g"), F.col("value").alias("__gm")))
+            .groupBy("__g").agg(F.max("value").alias("__gm")))
     filled = missing.join(gmed, missing[group] == gmed["__g"], "left")
     filled = _replace(filled, {column: _micros_to_ts(F.col("__gm"))}).drop("__g", "__gm")
     return has.unionByName(filled.select(*df.columns))

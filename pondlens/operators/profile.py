@@ -199,6 +199,11 @@ def describe_catalog(catalog: dict, columns: dict | None = None) -> DataFrame |
                     "mean", "std", "min", "q25", "q50", "q75", "max"))
 
 
+def preview(df: DataFrame, n: int = 5, order_by: list[str] | None = None) -> DataFrame:
+    """The first ``n`` rows; ordered (deterministic) when keys are given."""
+    return (df.orderBy(*order_by) if order_by else df).limit(n)
+
+
 def column_types(df: DataFrame, name: str) -> list[tuple[str, str, str]]:
     """(dataset, column, type) from the schema (no data read)."""
     return [(name, f.name, f.dataType.simpleString()) for f in df.schema.fields]

@@ -173,6 +173,10 @@ def exact_quantiles(long: DataFrame, probs: list[float], buckets: int = REFINE_B
         long.unpersist()
 
 
+def _key_type(long: DataFrame) -> str:
+    return long.schema["column"].dataType.simpleString()
+
+
 def _ranges_join(long: DataFrame, rng: DataFrame) -> DataFrame:
     return long.join(F.broadcast(rng), (long["column"] == rng["rcol"]) & (long["v"] >= rng["lo"])
                      & (long["v"] <= rng["hi"]))
@@ -207,7 +211,7 @@ def _exact_quantiles(spark, long, probs, buckets, max_slice, stats):
         keys = list(open_)
         rng = spark.createDataFrame(
             [(i, c, float(lo), float(hi), (float(hi) - float(lo)) / buckets) for i, (c, lo, hi, _) in enumerate(keys)],
-            "sid int, rcol string, lo double, hi double, width double")
+            f"sid int, rcol {_key_type(long)}, lo double, hi double, width double")
         b = F.least(F.floor((F.col("v") - F.col("lo")) / F.col("width")), F.lit(buckets - 1)).alias("b")
         rows = (_ranges_join(long, rng).select("sid", "v", b).groupBy("sid", "b")
                 .agg(F.count(F.lit(1)).alias("c"), F.min("v").alias("bmin"), F.max("v").alias("bmax"))
@@ -235,7 +239,7 @@ def _exact_quantiles(spark, long, probs, buckets, max_slice, stats):
         rng = spark.createDataFrame(
             [(i, c, float(lo), float(hi), int(below), [int(k[1]) for k in rest[(c, lo, hi, below)]])
              for i, (c, lo, hi, below) in enumerate(keys)],
-            "sid int, rcol string, lo double, hi double, below bigint, ranks array<bigint>")
+            f"sid int, rcol {_key_type(long)}, lo double, hi double, below bigint, ranks array<bigint>")
         vc = _ranges_join(long, rng).groupBy("sid", "below", "ranks", "v").agg(F.count(F.lit(1)).alias("cnt"))
         w = Window.partitionBy("sid").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
         ranked = vc.withColumn("end", F.col("below") + F.sum("cnt").over(w))

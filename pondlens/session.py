@@ -59,6 +59,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if d:
         return d
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder: intermediate tables are written there")
     d = tempfile.mkdtemp(prefix="pondlens-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     spark.sparkContext.setCheckpointDir(d)
     spark.conf.set("spark.checkpoint.dir", d)
