@@ -7,8 +7,8 @@ The pipeline relies on three session properties:
 * ``spark.sql.ansi.enabled=true`` - every division goes through ``try_divide``
   and every parse through ``try_to_timestamp``, so ANSI errors never fire on
   dirty data while real bugs still surface;
-* AQE on, with skew-join splitting, so hot cycle/pond keys are split at run
-  time.
+* AQE on, with skew-join splitting (also where it costs an extra shuffle),
+  so hot cycle/pond keys are split at run time.
 """
 
 from __future__ import annotations
@@ -24,6 +24,9 @@ SESSION_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # split a hot cycle's join partition even when the next operator then
+    # needs its own shuffle (that shuffle follows a map-side partial aggregate)
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
