@@ -163,11 +163,10 @@ def exact_quantiles(long: DataFrame, probs: list[float], buckets: int = REFINE_B
     refinement passes. NULL/NaN values must already be removed.
     """
     spark = long.sparkSession
-    long = long.select("column", F.col("v").cast("double").alias("v"))
-    stats = long.groupBy("column").agg(F.count("v").alias("n"), F.min("v").alias("lo"),
-                                       F.max("v").alias("hi")).collect()
-    long = long.persist(StorageLevel.MEMORY_AND_DISK)
+    long = long.select("column", F.col("v").cast("double").alias("v")).persist(StorageLevel.MEMORY_AND_DISK)
     try:
+        stats = long.groupBy("column").agg(F.count("v").alias("n"), F.min("v").alias("lo"),
+                                           F.max("v").alias("hi")).collect()
         return _exact_quantiles(spark, long, probs, buckets, max_slice, stats)
     finally:
         long.unpersist()
