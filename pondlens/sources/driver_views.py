@@ -3,13 +3,15 @@
 The driver tables carry no NULLs or orphans, so dirt (orphans, NULLs,
 negatives, zeros, outliers, unparseable dates, open cycles) is injected by
 key arithmetic over every row. The SQL below runs unchanged in Spark and in
-DuckDB: Spark registers it as temp views, the DuckDB oracle uses the same text
-as leading CTEs. Every view reads its whole source table.
+DuckDB: Spark runs it with the driver tables bound as DataFrame parameters
+(no temp views touch the caller's catalog), the DuckDB oracle uses the same
+text as leading CTEs. Every view reads its whole source table.
 """
 
 from __future__ import annotations
 
 import os
+import re
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -89,24 +91,34 @@ VIEW_FOR_TABLE = {
 }
 
 
-def register_driver_tables(spark: SparkSession, sf_dir: str, names=("nation", "customer", "orders", "lineitem", "events")) -> None:
-    """Register the driver parquet tables as temp views (lazy scans)."""
-    for n in names:
-        spark.read.parquet(os.path.join(sf_dir, f"{n}.parquet")).createOrReplaceTempView(n)
+BASE_TABLES = ("nation", "customer", "orders", "lineitem", "events")
+_FROM = re.compile(r"\bFROM (" + "|".join(BASE_TABLES) + r")\b")
+
+
+def driver_tables(spark: SparkSession, sf_dir: str, names=BASE_TABLES) -> dict[str, DataFrame]:
+    """The driver parquet tables as lazy scans (no temp views are registered)."""
+    return {n: spark.read.parquet(os.path.join(sf_dir, f"{n}.parquet")) for n in names}
+
+
+def view_df(spark: SparkSession, view: str, tables: dict[str, DataFrame]) -> DataFrame:
+    """Run one raw view's SQL with the driver tables bound as DataFrame
+    parameters, so the caller's session catalog is left untouched."""
+    sql = _FROM.sub(lambda m: "FROM {" + m.group(1) + "}", RAW_VIEWS[view])
+    used = {n: tables[n] for n in BASE_TABLES if "{" + n + "}" in sql}
+    return spark.sql(sql, **used)
 
 
 def raw_catalog(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame | None]:
     """The pond catalog over the driver tables (fasting and feed_tray absent)."""
-    register_driver_tables(spark, sf_dir)
+    tables = driver_tables(spark, sf_dir)
     out: dict[str, DataFrame | None] = {"fasting": None, "feed_tray": None}
     for table, view in VIEW_FOR_TABLE.items():
-        out[table] = spark.sql(RAW_VIEWS[view])
+        out[table] = view_df(spark, view, tables)
     return out
 
 
 def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    register_driver_tables(spark, sf_dir, names=("events",))
-    return spark.sql(RAW_VIEWS["raw_events"])
+    return view_df(spark, "raw_events", driver_tables(spark, sf_dir, ("events",)))
 
 
 def oracle_ctes(names=None) -> str:
