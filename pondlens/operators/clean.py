@@ -19,9 +19,6 @@ from pondlens.config import IQR_FACTOR, PipelineConfig
 from pondlens.functions.exprs import ts_literal
 from pondlens.operators.quantiles import exact_quantiles, quantile_table, quantile_values
 
-_DATE_TYPES = (T.TimestampType, T.TimestampNTZType, T.DateType)
-
-
 # ---------------------------------------------------------------- T1 --------
 
 def coerce_dates(df: DataFrame, columns: list[str]) -> DataFrame:

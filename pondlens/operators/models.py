@@ -359,7 +359,9 @@ def feature_importance(main: DataFrame, target: str) -> DataFrame:
 
 def save_models(results: dict[str, TrainResult], out_dir: str) -> str:
     """One PipelineModel folder per target plus importance and metadata."""
-    meta = {"targets": list(results), "features": {}}
+    import datetime as _dt
+    meta = {"export_time": _dt.datetime.now(_dt.timezone.utc).strftime("%Y%m%d_%H%M%S"),
+            "targets": list(results), "features": {}}
     for t, r in results.items():
         r.model.write().overwrite().save(os.path.join(out_dir, f"{t}_model"))
         meta["features"][t] = len(r.features)

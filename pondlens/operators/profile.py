@@ -17,8 +17,6 @@ from pyspark.sql import types as T
 from pondlens.config import PipelineConfig, ZERO_REPORT_EXEMPT
 from pondlens.operators.quantiles import quantile_table
 
-ISSUE_SCHEMA = "dataset string, column string, relation string, issue string, count bigint, percentage double"
-
 _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 
 

@@ -115,13 +115,3 @@ def raw_catalog(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame | None]
     for table, view in VIEW_FOR_TABLE.items():
         out[table] = view_df(spark, view, tables)
     return out
-
-
-def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return view_df(spark, "raw_events", driver_tables(spark, sf_dir, ("events",)))
-
-
-def oracle_ctes(names=None) -> str:
-    """``WITH`` prefix defining the raw views for the DuckDB oracle."""
-    names = names or list(RAW_VIEWS)
-    return "WITH " + ",\n".join(f"{n} AS ({RAW_VIEWS[n]}\n)" for n in names)
