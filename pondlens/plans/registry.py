@@ -185,13 +185,17 @@ def _registry() -> dict[str, Query]:
 
     # ---- P: profiling
     R["describe_numeric"] = Query(
-        lambda st: P.describe_catalog(st.raw),
+        lambda st: P.describe_catalog({**st.raw, "main": st.main},
+                                      {"main": ["culture_duration", "stocking_density", "survival_rate", "adg",
+                                                "fcr"]}),
         [("dataset", "s"), ("column", "s"), ("count", "i")] + _d("mean", "std", "min", "q25", "q50", "q75", "max"),
         _union_sql([f"SELECT '{t}' AS dataset, '{c}' AS \"column\", count({c}) AS count, avg({c}) AS mean, "
                     f"stddev_samp({c}) AS std, CAST(min({c}) AS DOUBLE) AS min, quantile_cont({c}, 0.25) AS q25, "
                     f"quantile_cont({c}, 0.5) AS q50, quantile_cont({c}, 0.75) AS q75, "
-                    f"CAST(max({c}) AS DOUBLE) AS max FROM raw_{t}"
-                    for t in RAW_TABLES for c in O.numeric_raw(t)]))
+                    f"CAST(max({c}) AS DOUBLE) AS max FROM {src}"
+                    for t, src, cols in [(t, f"raw_{t}", O.numeric_raw(t)) for t in RAW_TABLES]
+                    + [("main", "main", ["culture_duration", "stocking_density", "survival_rate", "adg", "fcr"])]
+                    for c in cols]))
     R["missing_profile"] = Query(
         lambda st: P.missing_profile(st.coerced, st.cfg),
         [("dataset", "s"), ("column", "s"), ("count", "i"), ("percentage", "d")],
