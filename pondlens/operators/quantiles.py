@@ -101,14 +101,31 @@ def quantile_table_long(long: DataFrame, probs: list[float], by: list[str] | Non
         big = (big.join(cum, rk).where((F.col("start") <= F.col("rank")) & (F.col("rank") < F.col("end")))
                .select(*keys, "rank", F.col("bmin").alias("lo"), F.col("bmax").alias("hi"),
                        F.col("start").alias("below")))
-    targets = small if big is None else small.unionByName(big)
-    frng = targets.select(*rk).distinct()
-    vc = (long.join(frng, keys).where((F.col("v") >= F.col("lo")) & (F.col("v") <= F.col("hi")))
-          .groupBy(*rk, "v").agg(F.count(F.lit(1)).alias("cnt")))
-    w = Window.partitionBy(*rk).orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = vc.withColumn("end", F.col("below") + F.sum("cnt").over(w)).withColumn("start", F.col("end") - F.col("cnt"))
-    picked = (targets.join(ranked, rk).where((F.col("start") <= F.col("rank")) & (F.col("rank") < F.col("end")))
+    # small groups: every value of the group is in range, so the rows are
+    # hash-partitioned by group once and the value counts and the running sum
+    # reuse that partitioning (one shuffle of the rows). Big groups (at most
+    # N / small_group keys, so their key list is broadcast) rank only the
+    # final range left by the refinement passes.
+    wk = Window.partitionBy(*keys).orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    small_rows = long
+    if big is not None:
+        big_keys = basic.where(F.col("n") > F.lit(small_group)).select(*keys)
+        small_rows = long.join(F.broadcast(big_keys), keys, "left_anti")
+    svc = small_rows.repartition(*keys).groupBy(*keys, "v").agg(F.count(F.lit(1)).alias("cnt"))
+    sranked = svc.withColumn("end", F.sum("cnt").over(wk)).withColumn("start", F.col("end") - F.col("cnt"))
+    picked = (small.select(*keys, "rank").join(sranked, keys)
+              .where((F.col("start") <= F.col("rank")) & (F.col("rank") < F.col("end")))
               .select(*keys, "rank", "v"))
+    if big is not None:
+        frng = big.select(*rk).distinct()
+        vc = (long.join(frng, keys).where((F.col("v") >= F.col("lo")) & (F.col("v") <= F.col("hi")))
+              .groupBy(*rk, "v").agg(F.count(F.lit(1)).alias("cnt")))
+        w = Window.partitionBy(*rk).orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        ranked = vc.withColumn("end", F.col("below") + F.sum("cnt").over(w)) \
+            .withColumn("start", F.col("end") - F.col("cnt"))
+        picked = picked.unionByName(
+            big.join(ranked, rk).where((F.col("start") <= F.col("rank")) & (F.col("rank") < F.col("end")))
+            .select(*keys, "rank", "v"))
     lo_v = picked.select(*keys, F.col("rank").alias("r_lo"), F.col("v").alias("x_lo"))
     hi_v = picked.select(*keys, F.col("rank").alias("r_hi"), F.col("v").alias("x_hi"))
     res = plan.join(lo_v, keys + ["r_lo"], "left").join(hi_v, keys + ["r_hi"], "left")
