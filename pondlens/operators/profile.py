@@ -159,42 +159,39 @@ def describe_numeric(df: DataFrame, name: str, columns: list[str] | None = None)
 
 
 def describe_catalog(catalog: dict, columns: dict | None = None) -> DataFrame | None:
-    """P2 for many tables: moments in one aggregate per table, exact quartiles
-    of every column of every table batched into one quantile computation."""
+    """P2 for many tables in one quantile computation: the first pass of the
+    exact quantiles also yields count/mean/std/min/max of every column, so
+    each table is scanned once for all of its statistics."""
     from pondlens.operators.quantiles import exact_quantiles
-    parts, longs = [], []
+    longs, spark, all_keys = [], None, []
     for name, df in catalog.items():
         if df is None:
             continue
         cols = (columns or {}).get(name) or numeric_columns(df)
         if not cols:
             continue
+        spark = df.sparkSession
         keys = [f"{name}|{c}" for c in cols]
+        all_keys += keys
         d = df.select(*[F.col(c).cast("double").alias(k) for c, k in zip(cols, keys)])
         long = (d.unpivot([], [F.col(f"`{k}`") for k in keys], "column", "v") if len(keys) > 1
                 else d.select(F.lit(keys[0]).alias("column"), F.col(f"`{keys[0]}`").alias("v")))
-        parts.append(long.groupBy("column").agg(
-            F.count("v").alias("count"), F.avg("v").alias("mean"), F.stddev_samp("v").alias("std"),
-            F.min("v").alias("min"), F.max("v").alias("max")))
         longs.append(long.where(F.col("v").isNotNull() & ~F.isnan("v")))
-    if not parts:
+    if not longs:
         return None
     allq = longs[0]
     for lq in longs[1:]:
         allq = allq.unionByName(lq)
-    q = exact_quantiles(allq, [0.25, 0.5, 0.75])
-    spark = allq.sparkSession
-    qdf = spark.createDataFrame([(k, q.get((k, 0.25)), q.get((k, 0.5)), q.get((k, 0.75)))
-                                 for k in {c for c, _ in q}],
-                                "column string, q25 double, q50 double, q75 double")
-    moments = parts[0]
-    for p in parts[1:]:
-        moments = moments.unionByName(p)
-    return (moments.join(F.broadcast(qdf), "column", "left")
-            .select(F.split_part("column", F.lit("|"), F.lit(1)).alias("dataset"),
-                    F.split_part("column", F.lit("|"), F.lit(2)).alias("column"),
-                    F.col("count").cast("bigint").alias("count"),
-                    "mean", "std", "min", "q25", "q50", "q75", "max"))
+    mom: dict = {}
+    q = exact_quantiles(allq, [0.25, 0.5, 0.75], moments=mom)
+    rows = []
+    for key in all_keys:                  # an all-NULL column reports count 0
+        m = mom.get(key, {"n": 0, "mean": None, "std": None, "lo": None, "hi": None})
+        ds, col = key.split("|", 1)
+        rows.append((ds, col, int(m["n"]), m["mean"], m["std"], m["lo"], q.get((key, 0.25)), q.get((key, 0.5)),
+                     q.get((key, 0.75)), m["hi"]))
+    return spark.createDataFrame(rows, "dataset string, column string, count bigint, mean double, std double, "
+                                       "min double, q25 double, q50 double, q75 double, max double")
 
 
 def preview(df: DataFrame, n: int = 5, order_by: list[str] | None = None) -> DataFrame:

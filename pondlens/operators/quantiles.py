@@ -161,7 +161,7 @@ REFINE_MAX_ITER = 64
 
 
 def exact_quantiles(long: DataFrame, probs: list[float], buckets: int = REFINE_BUCKETS,
-                    max_slice: int = REFINE_SLICE) -> dict[tuple[str, float], float | None]:
+                    max_slice: int = REFINE_SLICE, moments: dict | None = None) -> dict[tuple[str, float], float | None]:
     """Exact ``quantile_cont`` values of every ``column`` of a long ``(column, v)`` frame.
 
     1. one aggregate: ``n``, ``min``, ``max`` per column;
@@ -176,14 +176,18 @@ def exact_quantiles(long: DataFrame, probs: list[float], buckets: int = REFINE_B
        target ranks it holds) and picks the order statistics.
 
     Every pass is a distributed aggregate; only ``ranges x buckets`` numbers
-    reach the driver. The long frame is persisted (memory and disk) for the
+    reach the driver. ``moments`` (a dict), when given, receives each
+    column's n/min/max/mean/std from the first pass. The long frame is persisted (memory and disk) for the
     refinement passes. NULL/NaN values must already be removed.
     """
     spark = long.sparkSession
     long = long.select("column", F.col("v").cast("double").alias("v")).persist(StorageLevel.MEMORY_AND_DISK)
     try:
+        extra = [F.avg("v").alias("mean"), F.stddev_samp("v").alias("std")] if moments is not None else []
         stats = long.groupBy("column").agg(F.count("v").alias("n"), F.min("v").alias("lo"),
-                                           F.max("v").alias("hi")).collect()
+                                           F.max("v").alias("hi"), *extra).collect()
+        if moments is not None:   # describe-style moments from the same pass
+            moments.update({r["column"]: r.asDict() for r in stats})
         return _exact_quantiles(spark, long, probs, buckets, max_slice, stats)
     finally:
         long.unpersist()

@@ -34,3 +34,9 @@ def test_describe_matches_pandas(spark):
     d = pd.Series([1.0, 2.0, 4.0]).describe()
     assert r["count"] == 3 and abs(r.std - d["std"]) < 1e-12
     assert (r.q25, r.q50, r.q75) == (d["25%"], d["50%"], d["75%"])
+
+
+def test_describe_all_null_column(spark):
+    df = spark.createDataFrame([(None, 1.0), (None, 3.0)], "a double, b double")
+    rows = {r.column: r for r in P.describe_numeric(df, "t").collect()}
+    assert rows["a"]["count"] == 0 and rows["a"].mean is None and rows["b"].q50 == 2.0
