@@ -75,17 +75,25 @@ def corr_matrix(df: DataFrame, cols: list[str], scope: str) -> DataFrame:
     return corr_pairs(df, pairs, scope)
 
 
+def _pair_rows(df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
+    """Long form ``(k, x, y)``: one generated row per input row and pair, so
+    every pair is aggregated by the same narrow, code-generated aggregate
+    (``groupBy(k)``) instead of one very wide single-row aggregate."""
+    structs = [F.struct(F.lit(k).alias("k"), F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y"))
+               for k, (x, y) in enumerate(pairs)]
+    return df.select(F.inline(F.array(*structs)))
+
+
 def corr_pairs(df: DataFrame, pairs: list[tuple[str, str]], scope: str) -> DataFrame:
     """Guarded correlation of each (x, y) pair, all in one aggregate."""
-    aggs = []
-    for k, (x, y) in enumerate(pairs):
-        both = F.col(x).isNotNull() & F.col(y).isNotNull()
-        aggs.append(F.struct(F.lit(x).alias("var_x"), F.lit(y).alias("var_y"),
-                             F.count_if(both).cast("bigint").alias("n"),
-                             safe_corr(x, y).alias("corr")).alias(f"p{k}"))
-    wide = df.agg(*aggs)
-    return (wide.select(F.explode(F.array(*[F.col(f"p{k}") for k in range(len(pairs))])).alias("s"))
-            .select(F.lit(scope).alias("scope"), "s.*"))
+    names = df.sparkSession.createDataFrame([(k, x, y) for k, (x, y) in enumerate(pairs)],
+                                            "k int, var_x string, var_y string")
+    agg = _pair_rows(df, pairs).groupBy("k").agg(
+        F.count_if(F.col("x").isNotNull() & F.col("y").isNotNull()).cast("bigint").alias("n"),
+        safe_corr("x", "y").alias("corr"))
+    return (F.broadcast(names).join(agg, "k", "left")
+            .select(F.lit(scope).alias("scope"), "var_x", "var_y",
+                    F.coalesce(F.col("n"), F.lit(0).cast("bigint")).alias("n"), "corr"))
 
 
 def water_mean_columns(main: DataFrame) -> list[str]:
@@ -104,15 +112,15 @@ def top_factors(main: DataFrame, target: str = "survival_rate", k: int = TOP_FAC
     """The ``k`` columns most correlated (absolute value) with ``target``.
 
     Over rows with SR in [1, 100]; a column needs more than 10 values; NULL
-    correlations are dropped. Ties are ordered by name.
+    correlations are dropped. Ties are ordered by name. The candidate columns
+    are unpivoted next to the target and aggregated per factor.
     """
     cols = factor_columns(main, target)
-    valid = main.where(sr_in_range())
-    aggs = [F.struct(F.lit(c).alias("factor"), F.count(c).cast("bigint").alias("n"),
-                     safe_corr(c, target).alias("corr")).alias(f"f{i}") for i, c in enumerate(cols)]
-    wide = valid.agg(*aggs)
-    long = wide.select(F.explode(F.array(*[F.col(f"f{i}") for i in range(len(cols))])).alias("s")).select("s.*")
-    return (long.where((F.col("n") > MIN_FACTOR_ROWS) & F.col("corr").isNotNull())
+    v = main.where(sr_in_range()).select(F.col(target).cast("double").alias("__y"),
+                                         *[F.col(c).cast("double").alias(c) for c in cols])
+    long = v.unpivot(["__y"], cols, "factor", "x")
+    agg = long.groupBy("factor").agg(F.count("x").alias("n"), safe_corr("x", "__y").alias("corr"))
+    return (agg.where((F.col("n") > MIN_FACTOR_ROWS) & F.col("corr").isNotNull())
             .orderBy(F.abs("corr").desc(), F.col("factor")).limit(k)
             .select("factor", "corr"))
 
@@ -149,19 +157,17 @@ def histogram(df: DataFrame, col: str, metric: str, bins: int = HIST_BINS) -> Da
 
 def trend_lines(df: DataFrame, pairs: list[tuple[str, str]], scope: str) -> DataFrame:
     """Least-squares line of y on x (slope, intercept, r2, n) per pair."""
-    aggs = []
-    for k, (x, y) in enumerate(pairs):
-        xs, ys = F.col(x).cast("double"), F.col(y).cast("double")
-        sxx = F.regr_sxx(ys, xs)
-        slope = F.try_divide(F.regr_sxy(ys, xs), F.nullif(sxx, F.lit(0.0)))
-        aggs.append(F.struct(
-            F.lit(x).alias("x"), F.lit(y).alias("y"), F.regr_count(ys, xs).cast("bigint").alias("n"),
-            slope.alias("slope"),
-            (F.regr_avgy(ys, xs) - slope * F.regr_avgx(ys, xs)).alias("intercept"),
-            F.pow(safe_corr(x, y), 2).alias("r2")).alias(f"t{k}"))
-    wide = df.agg(*aggs)
-    return (wide.select(F.explode(F.array(*[F.col(f"t{k}") for k in range(len(pairs))])).alias("s"))
-            .select(F.lit(scope).alias("scope"), "s.*"))
+    names = df.sparkSession.createDataFrame([(k, x, y) for k, (x, y) in enumerate(pairs)],
+                                            "k int, x string, y string")
+    xs, ys = F.col("x"), F.col("y")
+    slope = F.try_divide(F.regr_sxy(ys, xs), F.nullif(F.regr_sxx(ys, xs), F.lit(0.0)))
+    agg = _pair_rows(df, pairs).groupBy("k").agg(
+        F.regr_count(ys, xs).cast("bigint").alias("n"), slope.alias("slope"),
+        (F.regr_avgy(ys, xs) - slope * F.regr_avgx(ys, xs)).alias("intercept"),
+        F.pow(safe_corr("x", "y"), 2).alias("r2"))
+    return (F.broadcast(names).join(agg, "k", "left")
+            .select(F.lit(scope).alias("scope"), "x", "y", F.coalesce(F.col("n"), F.lit(0).cast("bigint")).alias("n"),
+                    "slope", "intercept", "r2"))
 
 
 # ---------------------------------------------------------------- A15 -------
