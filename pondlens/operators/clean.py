@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from pondlens.config import IQR_FACTOR, PipelineConfig
 from pondlens.functions.exprs import ts_literal
-from pondlens.operators.quantiles import exact_quantiles, quantile_table, quantile_values
+from pondlens.operators.quantiles import exact_quantiles, long_size_hint, quantile_table, quantile_values
 
 # ---------------------------------------------------------------- T1 --------
 
@@ -224,10 +224,11 @@ def _quantiles(items: list[tuple[str, DataFrame, F.Column]], probs: list[float])
     groups: dict[int, tuple[DataFrame, list[tuple[int, F.Column]]]] = {}
     for i, (_, df, expr) in enumerate(items):
         groups.setdefault(id(df), (df, []))[1].append((i, expr))
-    long = None
+    long, wides = None, []
     for df, slices in groups.values():
         names = [f"__q{i}" for i, _ in slices]
         wide = df.select(*[e.cast("double").alias(n) for n, (_, e) in zip(names, slices)])
+        wides.append(wide)
         if len(names) > 1:
             part = wide.unpivot([], names, "__name", "v").select(
                 F.substring("__name", 4, 8).cast("int").alias("column"), "v")
@@ -235,7 +236,7 @@ def _quantiles(items: list[tuple[str, DataFrame, F.Column]], probs: list[float])
             part = wide.select(F.lit(slices[0][0]).alias("column"), F.col(names[0]).alias("v"))
         part = part.where(F.col("v").isNotNull() & ~F.isnan("v"))
         long = part if long is None else long.unionByName(part)
-    vals = exact_quantiles(long, probs)
+    vals = exact_quantiles(long, probs, size_hint=long_size_hint(wides))
     return {(items[i][0], q): v for (i, q), v in vals.items()}
 
 

@@ -162,8 +162,8 @@ def describe_catalog(catalog: dict, columns: dict | None = None) -> DataFrame |
     """P2 for many tables in one quantile computation: the first pass of the
     exact quantiles also yields count/mean/std/min/max of every column, so
     each table is scanned once for all of its statistics."""
-    from pondlens.operators.quantiles import exact_quantiles
-    longs, spark, all_keys = [], None, []
+    from pondlens.operators.quantiles import exact_quantiles, long_size_hint
+    longs, spark, all_keys, wides = [], None, [], []
     for name, df in catalog.items():
         if df is None:
             continue
@@ -174,6 +174,7 @@ def describe_catalog(catalog: dict, columns: dict | None = None) -> DataFrame |
         keys = [f"{name}|{c}" for c in cols]
         all_keys += keys
         d = df.select(*[F.col(c).cast("double").alias(k) for c, k in zip(cols, keys)])
+        wides.append(d)
         long = (d.unpivot([], [F.col(f"`{k}`") for k in keys], "column", "v") if len(keys) > 1
                 else d.select(F.lit(keys[0]).alias("column"), F.col(f"`{keys[0]}`").alias("v")))
         longs.append(long.where(F.col("v").isNotNull() & ~F.isnan("v")))
@@ -183,7 +184,7 @@ def describe_catalog(catalog: dict, columns: dict | None = None) -> DataFrame |
     for lq in longs[1:]:
         allq = allq.unionByName(lq)
     mom: dict = {}
-    q = exact_quantiles(allq, [0.25, 0.5, 0.75], moments=mom)
+    q = exact_quantiles(allq, [0.25, 0.5, 0.75], moments=mom, size_hint=long_size_hint(wides))
     rows = []
     for key in all_keys:                  # an all-NULL column reports count 0
         m = mom.get(key, {"n": 0, "mean": None, "std": None, "lo": None, "hi": None})

@@ -158,10 +158,29 @@ def medians(df: DataFrame, columns: list[str]) -> dict[str, float | None]:
 REFINE_BUCKETS = 1024
 REFINE_SLICE = 200_000
 REFINE_MAX_ITER = 64
+# the long (column, v) frame is cached for the passes only when it is proven
+# small (optimizer estimate, else exact row count after the first pass);
+# larger inputs are re-scanned per pass (column-pruned), never cached whole
+CACHE_MAX_BYTES = 1 << 30
+LONG_ROW_BYTES = 24
+
+
+def long_size_hint(wide_frames: list[DataFrame]) -> int:
+    """Bytes of the long form of some wide double projections: the optimizer's
+    (file-based) estimate of each projection, x3 for one key per value."""
+    return sum(_estimated_bytes(w) for w in wide_frames) * 3
+
+
+def _estimated_bytes(df: DataFrame) -> int:
+    try:
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # no estimate: treat as large
+        return 1 << 62
 
 
 def exact_quantiles(long: DataFrame, probs: list[float], buckets: int = REFINE_BUCKETS,
-                    max_slice: int = REFINE_SLICE, moments: dict | None = None) -> dict[tuple[str, float], float | None]:
+                    max_slice: int = REFINE_SLICE, moments: dict | None = None,
+                    size_hint: int | None = None) -> dict[tuple[str, float], float | None]:
     """Exact ``quantile_cont`` values of every ``column`` of a long ``(column, v)`` frame.
 
     1. one aggregate: ``n``, ``min``, ``max`` per column;
@@ -176,21 +195,28 @@ def exact_quantiles(long: DataFrame, probs: list[float], buckets: int = REFINE_B
        target ranks it holds) and picks the order statistics.
 
     Every pass is a distributed aggregate; only ``ranges x buckets`` numbers
-    reach the driver. ``moments`` (a dict), when given, receives each
+    reach the driver. The input is cached for the passes only when its size
+    is proven small (``CACHE_MAX_BYTES``); otherwise each pass re-scans it. ``moments`` (a dict), when given, receives each
     column's n/min/max/mean/std from the first pass. The long frame is persisted (memory and disk) for the
     refinement passes. NULL/NaN values must already be removed.
     """
     spark = long.sparkSession
-    long = long.select("column", F.col("v").cast("double").alias("v")).persist(StorageLevel.MEMORY_AND_DISK)
+    long = long.select("column", F.col("v").cast("double").alias("v"))
+    cached = (size_hint if size_hint is not None else _estimated_bytes(long)) <= CACHE_MAX_BYTES
+    if cached:
+        long = long.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         extra = [F.avg("v").alias("mean"), F.stddev_samp("v").alias("std")] if moments is not None else []
         stats = long.groupBy("column").agg(F.count("v").alias("n"), F.min("v").alias("lo"),
                                            F.max("v").alias("hi"), *extra).collect()
         if moments is not None:   # describe-style moments from the same pass
             moments.update({r["column"]: r.asDict() for r in stats})
+        if not cached and sum(r["n"] for r in stats) * LONG_ROW_BYTES <= CACHE_MAX_BYTES:
+            long, cached = long.persist(StorageLevel.MEMORY_AND_DISK), True
         return _exact_quantiles(spark, long, probs, buckets, max_slice, stats)
     finally:
-        long.unpersist()
+        if cached:
+            long.unpersist()
 
 
 def _key_type(long: DataFrame) -> str:
