@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pondlens.config import PipelineConfig, ZERO_REPORT_EXEMPT
-from pondlens.operators.quantiles import quantile_table
 
 _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 

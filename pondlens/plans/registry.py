@@ -73,7 +73,7 @@ def _union_sql(selects: list[str]) -> str:
     return "\nUNION ALL\n".join(selects)
 
 
-def _missing_sql(prefix: str, issue_rows=False) -> str:
+def _missing_sql(prefix: str) -> str:
     sel = []
     for tbl, cols in O.RAW_COLUMNS.items():
         for c in cols:
