@@ -38,6 +38,7 @@ def _long(df: DataFrame, columns: list[str], by: list[str]) -> DataFrame:
 
 
 LAZY_PASSES = 3
+MAX_BROADCAST_KEYS = 100_000   # big-group keys are broadcast only up to this count
 
 
 def quantile_table(df: DataFrame, columns: list[str], probs: list[float],
@@ -86,7 +87,9 @@ def quantile_table_long(long: DataFrame, probs: list[float], by: list[str] | Non
     small = ranks.where(F.col("n") <= F.lit(small_group)).drop("n")
     big = ranks.where(F.col("n") > F.lit(small_group)).drop("n")
     # one cheap aggregate decides whether refinement passes are needed at all
-    if basic.where(F.col("n") > F.lit(small_group)).limit(1).count() == 0:
+    # (and whether the big-group key list is small enough to broadcast)
+    n_big = basic.where(F.col("n") > F.lit(small_group)).count()
+    if n_big == 0:
         passes, big = 0, None
     for _ in range(passes):
         rng = big.select(*rk).distinct()
@@ -103,14 +106,16 @@ def quantile_table_long(long: DataFrame, probs: list[float], by: list[str] | Non
                        F.col("start").alias("below")))
     # small groups: every value of the group is in range, so the rows are
     # hash-partitioned by group once and the value counts and the running sum
-    # reuse that partitioning (one shuffle of the rows). Big groups (at most
-    # N / small_group keys, so their key list is broadcast) rank only the
-    # final range left by the refinement passes.
+    # reuse that partitioning (one shuffle of the rows). Big groups (their
+    # counted key list is broadcast only when short) rank only the final range
+    # left by the refinement passes.
     wk = Window.partitionBy(*keys).orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     small_rows = long
     if big is not None:
         big_keys = basic.where(F.col("n") > F.lit(small_group)).select(*keys)
-        small_rows = long.join(F.broadcast(big_keys), keys, "left_anti")
+        if n_big <= MAX_BROADCAST_KEYS:
+            big_keys = F.broadcast(big_keys)
+        small_rows = long.join(big_keys, keys, "left_anti")
     svc = small_rows.repartition(*keys).groupBy(*keys, "v").agg(F.count(F.lit(1)).alias("cnt"))
     sranked = svc.withColumn("end", F.sum("cnt").over(wk)).withColumn("start", F.col("end") - F.col("cnt"))
     picked = (small.select(*keys, "rank").join(sranked, keys)
