@@ -244,8 +244,9 @@ def clean_catalog(catalog: dict, cfg: PipelineConfig | None = None, reports: dic
     """The whole ``handle_missing_data`` stage over a coerced catalog.
 
     Same steps and order as ``clean_table``, but the statistics of all tables
-    are batched: one job for every C1 median and C2 NULL check, one for the
-    C2 global date medians and C4 minimums, one for every C5 quartile.
+    are batched: one computation for every C1 median, C2 NULL check and C4
+    input (smallest positive |v|, NULL count), one for the C2 global date
+    medians (only tables with missing dates), one for every C5 quartile.
     """
     cfg = cfg or PipelineConfig()
     tabs = {n: df for n, df in catalog.items() if df is not None}
@@ -264,6 +265,20 @@ def clean_catalog(catalog: dict, cfg: PipelineConfig | None = None, reports: dic
                          .unpivot([], means, "column", "value")
                          .select(F.concat(F.lit(f"{n}|"), "column").alias("column"),
                                  F.lit(-2.0).alias("prob"), "value"))
+        zcols = [c for c in cfg.check_columns.get(n, []) if c in df.columns and c in cfg.zero_fix_columns]
+        if zcols:
+            # C4 inputs from the raw column: smallest positive |v| and NULL count
+            # (after C1 + C3 the smallest positive value follows from these and
+            # the C1 fill value, so C4 needs no scan of its own)
+            aggs = []
+            for c in zcols:
+                a = F.abs(F.col(c).cast("double"))
+                aggs += [F.min(F.when(a > 0, a)).alias(f"{c}__minabs"),
+                         F.count_if(F.col(c).isNull()).cast("double").alias(f"{c}__nulls")]
+            names = [f"{c}__minabs" for c in zcols] + [f"{c}__nulls" for c in zcols]
+            parts.append(df.agg(*aggs).unpivot([], names, "column", "value")
+                         .select(F.concat(F.lit(f"{n}|"), "column").alias("column"),
+                                 F.lit(-4.0).alias("prob"), "value"))
         if dcols[n]:
             parts.append(df.agg(*[F.count_if(F.col(c).isNull()).cast("double").alias(c) for c in dcols[n]])
                          .unpivot([], dcols[n], "column", "value")
@@ -309,22 +324,21 @@ def clean_catalog(catalog: dict, cfg: PipelineConfig | None = None, reports: dic
         tabs[n] = fix_negative(tabs[n], check[n])
         numeric[n] = fix_negative(numeric[n], check[n])
     zero = {n: [c for c in check[n] if c in cfg.zero_fix_columns] for n in tabs}
-    parts = []
-    for n, cols in zero.items():
-        if cols:
-            parts.append(numeric[n].agg(*[F.min(F.when(F.col(c) > 0, F.col(c))).cast("double").alias(c) for c in cols])
-                         .unpivot([], cols, "column", "value")
-                         .select(F.concat(F.lit(f"{n}|"), "column").alias("column"), F.lit(-3.0).alias("prob"),
-                                 "value"))
     dq = [(f"{n}|{c}@us", tabs[n], F.unix_micros(F.col(c))) for n, c in pending]
-    stats2 = _collect_stats(parts)
-    stats2.update(_quantiles(dq, [0.5]))
+    stats2 = _quantiles(dq, [0.5])
     for n, c in pending:
         g = stats2.get((f"{n}|{c}@us", 0.5))
         fallback = _micros_to_ts(F.lit(g)) if g is not None else ts_literal(cfg.as_of)
         tabs[n] = _replace(tabs[n], {c: F.coalesce(F.col(c), fallback)})
     for n, cols in zero.items():
-        mins = {c: stats2.get((f"{n}|{c}", -3.0)) for c in cols}
+        mins = {}
+        for c in cols:
+            cands = [stats.get((f"{n}|{c}__minabs", -4.0))]
+            if stats.get((f"{n}|{c}__nulls", -4.0)) and c in reps[n]["impute"]:
+                fill = reps[n]["impute"][c]
+                cands.append(abs(fill if fill is not None else 0.0))
+            cands = [v for v in cands if v is not None and v > 0]
+            mins[c] = min(cands) if cands else None
         reps[n]["min_positive"] = mins
         fills = {c: F.when(F.col(c) == 0, F.lit(m)).otherwise(F.col(c)) for c, m in mins.items() if m is not None}
         tabs[n] = _replace(tabs[n], fills)
