@@ -47,6 +47,9 @@ def main() -> None:
                 loc = "main (checkpoint)" if "/pondlens/" in line else re.search(r"/([a-z_]+)\.parquet", line).group(1)
                 scans.setdefault(name, set()).add(
                     (loc, re.sub(r"#\d+L?", "", cols.group(1) if cols else ""), pushed.group(1) if pushed else ""))
+    print("\nEager statistics (cleaning medians/quartiles, describe quantiles) run as their own jobs while a")
+    print("query is built; the counts above cover the returned plan only (`describe_numeric` returns the")
+    print("small result table, `main_table` reads the main table written once to the checkpoint folder).")
     print("\n## Parquet scans (columns read, pushed filters)\n")
     for name, ss in scans.items():
         for loc, cols, pushed in sorted(ss):
