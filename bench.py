@@ -46,8 +46,10 @@ def main() -> None:
         registry.run(spark, sf_dir, name).write.format("noop").mode("overwrite").save()
         timings[name] = round(time.perf_counter() - t0, 3)
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
+    spark.stop()   # shutdown logs come before the result line
+    sys.stderr.flush()
     print(json.dumps({"metric": "total_query_wall_time", "value": round(sum(timings.values()), 3),
-                      "unit": "sec", "queries": timings, "sf": sf, "cpus": int(cpus)}))
+                      "unit": "sec", "queries": timings, "sf": sf, "cpus": int(cpus)}), flush=True)
 
 
 if __name__ == "__main__":
