@@ -39,7 +39,7 @@ def get_spark(master: str | None = None, app: str = "pondlens",
         builder = builder.master(master)
     for k, v in SESSION_CONF.items():
         builder = builder.config(k, v)
-    builder = builder.config("spark.ui.enabled", "false")
+    builder = builder.config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     spark = builder.getOrCreate()
