@@ -29,7 +29,7 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     names = sys.argv[1:] or HEADLINE
-    from pondlens.plans import pipeline, registry
+    from pondlens.plans import registry, stages
     from pondlens.session import get_spark
 
     spark = get_spark(f"local[{cpus}]", app="pondlens-bench", shuffle_partitions=int(cpus) * 2)
@@ -37,9 +37,9 @@ def main() -> None:
     # warm-up: JVM, parquet footers, codegen caches
     registry.run(spark, sf_dir, "table_shapes").write.format("noop").mode("overwrite").save()
     timings = {}
-    pipeline._MEMO.clear()
+    stages._MEMO.clear()
     t0 = time.perf_counter()
-    pipeline.driver_stages(spark, sf_dir).cleaned  # noqa: B018 - runs the statistics jobs
+    stages.driver_stages(spark, sf_dir).cleaned  # noqa: B018 - runs the statistics jobs
     timings["clean_stats"] = round(time.perf_counter() - t0, 3)
     for name in names:
         t0 = time.perf_counter()

@@ -17,7 +17,7 @@ from pondlens.config import KPI_COLUMNS, PipelineConfig
 from pondlens.operators import analysis as AN
 from pondlens.operators import features as FE
 from pondlens.operators import profile as P
-from pondlens.plans.pipeline import Stages
+from pondlens.plans.stages import Stages
 from pondlens.session import get_spark
 from pondlens.sources.catalog import load_csv_catalog, load_parquet_catalog, table_shapes
 from pondlens.sources.sinks import save_processed, write_table

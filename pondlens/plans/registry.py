@@ -25,7 +25,7 @@ from pondlens.operators import models as M
 from pondlens.operators import profile as P
 from pondlens.operators import scoring as SC
 from pondlens.plans import oracle as O
-from pondlens.plans.pipeline import Stages, driver_stages
+from pondlens.plans.stages import Stages, driver_stages
 from pondlens.sources.catalog import table_shapes
 
 

@@ -30,7 +30,7 @@ def main() -> None:
     print("| query | shuffles | broadcasts | sort-merge joins | broadcast joins | hash aggs | sort aggs | windows |")
     print("| --- | --- | --- | --- | --- | --- | --- | --- |")
     scans = {}
-    from pondlens.plans.pipeline import driver_stages
+    from pondlens.plans.stages import driver_stages
     frames = [("main_build (K15 plan)", driver_stages(spark, sf).main_plan)]
     frames += [(name, registry.run(spark, sf, name)) for name in HEADLINE]
     for name, df in frames:
