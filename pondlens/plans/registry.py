@@ -487,6 +487,14 @@ def _registry() -> dict[str, Query]:
         [("cycle_id", "i"), ("l_linenumber", "i"), ("l_partkey", "i"), ("culture_days", "i"), ("adg", "d")],
         f"SELECT cycle_id, l_linenumber, l_partkey, culture_days, "
         f"average_weight / nullif(CAST(culture_days AS DOUBLE), 0) AS adg FROM ({fwc_sql}) g")
+    R["growth_by_age_subday"] = Query(
+        lambda st: FE.fact_with_cycle(st.events, st.cleaned["cycles"], "sampled_at")
+        .withColumn("adg", X.safe_div("average_weight", "culture_days")),
+        [("event_id", "i"), ("cycle_id", "i"), ("sampled_at", "t"), ("culture_days", "i"), ("adg", "d")],
+        "SELECT e.event_id, e.cycle_id, e.sampled_at, "
+        f"CAST(floor((epoch_us(e.sampled_at) - epoch_us(c.started_at)) / {O.DAY_US}) AS BIGINT) AS culture_days, "
+        f"e.average_weight / nullif(CAST(CAST(floor((epoch_us(e.sampled_at) - epoch_us(c.started_at)) / {O.DAY_US}) "
+        "AS BIGINT) AS DOUBLE), 0) AS adg FROM raw_events e LEFT JOIN k_cycles c ON e.cycle_id = c.id")
     R["fcr"] = Query(lambda st: st.main, [("id", "i")] + _d("total_feed", "weight", "fcr"),
                      "SELECT id, total_feed, weight, fcr FROM main")
     R["temp_fluctuation"] = Query(lambda st: st.main, [("id", "i"), ("temp_daily_fluctuation", "d")],

@@ -19,7 +19,7 @@ from pondlens.operators import clean as C
 from pondlens.operators import features as FE
 from pondlens.session import apply_session_conf, checkpoint_dir
 from pondlens.sources.sinks import write_table
-from pondlens.sources.driver_views import raw_catalog
+from pondlens.sources.driver_views import driver_tables, raw_catalog, view_df
 
 # the driver tables give sampling rows these extra tie-break columns
 DRIVER_SAMPLING_ORDER = ["sampled_at", "l_linenumber", "l_partkey", "l_suppkey"]
@@ -75,5 +75,7 @@ def driver_stages(spark: SparkSession, sf_dir: str) -> Stages:
         apply_session_conf(spark)
         cfg = replace(PipelineConfig(), sampling_order=list(DRIVER_SAMPLING_ORDER))
         st = Stages(spark, raw_catalog(spark, sf_dir), cfg)
+        # time-stamped facts with sub-day times (floor-days on real timestamps)
+        st.events = view_df(spark, "raw_events", driver_tables(spark, sf_dir, ("events",)))
         _MEMO[key] = st
     return st
