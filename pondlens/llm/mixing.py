@@ -189,6 +189,18 @@ def shard_blocks(plan: DataFrame, n_shards: int = N_SHARDS, seed: int = SEED) ->
             .select("source", "block", "copy", F.size(F.filter("ends", lambda e: e < F.col("nth"))).alias("shard")))
 
 
+def mix_table(docs: DataFrame, n_shards: int = N_SHARDS, id_col: str = "doc_id", text_col: str = "text",
+              source_col: str = "source") -> DataFrame:
+    """``mix_plan`` and, per document, the output shard of each of its copies (an array)."""
+    plan = T.materialize(mix_plan(docs, id_col, text_col, source_col), "taken")
+    dealt = (shard_blocks(plan, n_shards).groupBy(F.col("source").alias("s"), F.col("block").alias("b"))
+             .agg(F.sort_array(F.collect_list(F.struct("copy", "shard"))).alias("deal")))
+    here = F.col("source").eqNullSafe(F.col("s")) & (F.shiftright("pos", LEVEL_BITS * (LEVELS - 1)) == F.col("b"))
+    mine = F.filter("deal", lambda x: (x["copy"] - 1) * F.col("size") < F.col("taken"))
+    shards = F.coalesce(F.transform(mine, lambda x: x["shard"]), F.array().cast("array<int>"))
+    return plan.join(dealt, here, "left").select(*plan.columns, shards.alias("shards"))
+
+
 def mix(docs: DataFrame, n_shards: int = N_SHARDS, id_col: str = "doc_id", text_col: str = "text",
         source_col: str = "source") -> DataFrame:
     """The mixed corpus: the columns of ``docs``, and mix_copy, mix_words, mix_shard.

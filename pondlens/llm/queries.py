@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
-from pondlens.llm import mixing, secrets
+from pondlens.llm import host_quality, mixing, secrets, sql, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,14 +20,37 @@ def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(found)
 
 
+def toxicity_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> toxicity.Model:
+    """Learnt from the labels of rows that are not held out."""
+    labels = table(spark, sf_dir, "labels").where(~toxicity.held_out(F.col("doc_id")))
+    return toxicity.train(docs, labels.select("doc_id", F.col("toxic").alias("label")))
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = toxicity.score(docs, toxicity_model(spark, docs, sf_dir))
+    return scored.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score",
+                         (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
+
+
 def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    plan = mixing.mix_plan(table(spark, sf_dir, "documents"))
-    return plan.select("doc_id", "size", "source_size", "target", "taken", "source")
+    plan = mixing.mix_table(table(spark, sf_dir, "documents"))
+    shards = F.array_join(F.col("shards").cast("array<string>"), ",")
+    return plan.select("doc_id", "size", "source_size", "target", "taken", "source", shards.alias("shards"))
+
+
+def op10_host_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = host_quality.judge(table(spark, sf_dir, "documents"))
+    return judged.withColumn("host_rate", F.round("host_rate", 9))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_secret_scan": op3_secret_scan,
+    "op8_toxicity": op8_toxicity,
     "op9_source_mix": op9_source_mix,
+    "op10_host_quality": op10_host_quality,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op10_host_quality": sql.HOST_QUALITY,
+}

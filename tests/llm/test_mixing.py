@@ -71,6 +71,14 @@ def test_mix_emits_what_the_plan_takes(spark):
     assert set(out["mix_shard"]) <= set(range(5))
 
 
+def test_copies_are_dealt_alike_in_table_and_mix(spark):
+    df = docs(spark, [r for r in corpus(150) if r[0] not in (None, 5003)])
+    table = M.mix_table(df, n_shards=5).toPandas().set_index("doc_id")
+    out = M.mix(df, n_shards=5).toPandas().sort_values("mix_copy").groupby("doc_id")["mix_shard"].apply(list)
+    want = {i: list(s) for i, s in table["shards"].items() if len(s)}
+    assert out.to_dict() == want
+
+
 def test_splitting_tree_quotas_are_exact():
     counts = pd.DataFrame({"source": list("abc"), "blocks": [1000, 10, 333]})
     q = M.shard_quotas(counts, 7, 1)
