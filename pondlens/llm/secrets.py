@@ -127,17 +127,15 @@ def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", leng
     blob, and only texts with findings pass through Python.
     """
     hits = (scan(docs, id_col, text_col, ledger).where(F.size("findings") > 0)
-            .groupBy("blob").agg(F.first("findings").alias("__findings")))
-    blob = blob_id(F.col(text_col))
-    found = docs.withColumn("__blob", blob).join(hits, F.col("__blob") == F.col("blob"), "left").drop("blob", "__blob")
-    clean = found.where("__findings IS NULL").drop("__findings")
-    cols = [c for c in docs.columns if c != text_col]
-    dirty = found.where("__findings IS NOT NULL").select(
-        F.struct(*[F.col(f"`{c}`") for c in cols]).alias("rest"), F.col(text_col).alias("text"),
-        F.col("__findings").alias("findings"))
-    kind = dirty.schema["rest"].dataType.simpleString()
-    done = dirty.mapInArrow(_redact, f"rest {kind}, text string, findings array<{FINDING}>")
-    done = done.select(*[F.col("text").alias(c) if c == text_col else F.col(f"rest.`{c}`").alias(c) for c in docs.columns])
+            .groupBy(F.col("blob").alias("hit")).agg(F.first("findings").alias("findings")))
+    # the row travels as one struct, so its names clash with none of these
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), F.col(text_col).alias("text"),
+                       blob_id(F.col(text_col)).alias("blob"))
+    found = rows.join(hits, F.col("blob") == F.col("hit"), "left").select("doc", "text", "findings")
+    clean = found.where("findings IS NULL").select(*[F.col(f"doc.`{c}`") for c in docs.columns])
+    kind = found.schema["doc"].dataType.simpleString()
+    done = found.where("findings IS NOT NULL").mapInArrow(_redact, f"doc {kind}, text string, findings array<{FINDING}>")
+    done = done.select(*[F.col("text").alias(c) if c == text_col else F.col(f"doc.`{c}`").alias(c) for c in docs.columns])
     if length_col in docs.columns:
         done = done.withColumn(length_col, F.char_length(text_col).cast(docs.schema[length_col].dataType))
     return clean.select(*docs.columns).unionByName(done.select(*docs.columns))
