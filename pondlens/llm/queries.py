@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-from pondlens.llm import host_quality, mixing, secrets, sql, toxicity
+from pondlens.llm import host_quality, licenses, mixing, secrets, sql, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,6 +20,10 @@ def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(found)
 
 
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.digest(licenses.scan(table(spark, sf_dir, "documents")))
+
+
 def toxicity_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> toxicity.Model:
     """Learnt from the labels of rows that are not held out."""
     labels = table(spark, sf_dir, "labels").where(~toxicity.held_out(F.col("doc_id")))
@@ -46,6 +50,7 @@ def op10_host_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_secret_scan": op3_secret_scan,
+    "op5_license_scan": op5_license_scan,
     "op8_toxicity": op8_toxicity,
     "op9_source_mix": op9_source_mix,
     "op10_host_quality": op10_host_quality,
