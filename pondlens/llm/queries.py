@@ -8,18 +8,26 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-from pondlens.llm import host_quality, licenses, mixing, secrets, sql, toxicity
+from pondlens.llm import host_quality, html_text, licenses, mixing, secrets, sql, toxicity, url_filter
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages"))
+
+
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.scan(table(spark, sf_dir, "documents"))
     return secrets.digest(found)
 
 
+def op4_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.digest(licenses.scan(table(spark, sf_dir, "documents")))
 
@@ -49,7 +57,9 @@ def op10_host_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_url_filter": op2_url_filter,
     "op3_secret_scan": op3_secret_scan,
+    "op4_main_text": op4_main_text,
     "op5_license_scan": op5_license_scan,
     "op8_toxicity": op8_toxicity,
     "op9_source_mix": op9_source_mix,
