@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-from pondlens.llm import host_quality, html_text, licenses, mixing, secrets, sql, toxicity, url_filter
+from pondlens.llm import contamination, host_quality, html_text, licenses, mixing, near_dup, secrets, sql, toxicity, url_filter
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,6 +32,15 @@ def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.digest(licenses.scan(table(spark, sf_dir, "documents")))
 
 
+def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_dup.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def op7_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def toxicity_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> toxicity.Model:
     """Learnt from the labels of rows that are not held out."""
     labels = table(spark, sf_dir, "labels").where(~toxicity.held_out(F.col("doc_id")))
@@ -61,11 +70,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_secret_scan": op3_secret_scan,
     "op4_main_text": op4_main_text,
     "op5_license_scan": op5_license_scan,
+    "op6_near_duplicates": op6_near_duplicates,
+    "op7_benchmark_leaks": op7_benchmark_leaks,
     "op8_toxicity": op8_toxicity,
     "op9_source_mix": op9_source_mix,
     "op10_host_quality": op10_host_quality,
 }
 
 ORACLES: dict[str, str] = {
+    "op6_near_duplicates": sql.NEAR_DUPLICATES,
+    "op7_benchmark_leaks": sql.CONTAMINATION,
     "op10_host_quality": sql.HOST_QUALITY,
 }

@@ -44,3 +44,48 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
        NOT (base_failed OR rate > 0.8) AS kept, round(rate, 9) AS host_rate
 FROM ruled JOIN rated ON source IS NOT DISTINCT FROM h
 """
+
+#: Exact containment of every item in every document.
+CONTAMINATION = r"""
+WITH lowered AS (
+  SELECT 'd' AS side, doc_id AS id, text FROM documents UNION ALL SELECT 'i', item_id, text FROM benchmark),
+words AS (
+  SELECT DISTINCT side, id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                               '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM lowered),
+shingles AS (
+  SELECT DISTINCT side, id, array_to_string(w[p:p + 4], ' ') AS s
+  FROM (SELECT side, id, w, unnest(generate_series(1, greatest(1, len(w) - 4))) AS p FROM words WHERE len(w) > 0)),
+sizes AS (SELECT id, count(*) AS n_item FROM shingles WHERE side = 'i' GROUP BY id),
+shared AS (
+  SELECT d.id AS doc_id, i.id AS item_id, count(*) AS n_shared
+  FROM shingles d JOIN shingles i ON d.side = 'd' AND i.side = 'i' AND d.s = i.s GROUP BY ALL)
+SELECT doc_id, item_id, n_item, n_shared, n_shared / n_item AS containment
+FROM shared JOIN sizes ON item_id = sizes.id
+WHERE n_shared >= 0.75 * n_item
+"""
+
+#: All links by an exact self-join on shingles, components by reachability.
+NEAR_DUPLICATES = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(w[p:p + 4], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(generate_series(1, greatest(1, len(w) - 4))) AS p FROM words WHERE len(w) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+shared AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common
+  FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (
+  SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+  WHERE 100 * common >= 75 * (x.n + y.n - common)),
+reach AS (
+  SELECT a AS doc_id, a AS other FROM links
+  UNION SELECT doc_id, b FROM reach JOIN links ON other = a),
+lowest AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, coalesce(component_id, doc_id) AS component_id,
+       coalesce(component_id, doc_id) = doc_id AS kept
+FROM documents LEFT JOIN sizes USING (doc_id) LEFT JOIN lowest USING (doc_id)
+"""
