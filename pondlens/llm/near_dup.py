@@ -18,12 +18,7 @@ bands of ``ROWS`` registers are locality-sensitive keys.
    100 * intersection >= 75 * union.
 5. Components of links by alternating stars.
 
-No bucket is expanded into all its pairs. A class is first paired with the one
-bucket minimum it shares most buckets with; then, in buckets that still hold
-several components, with the bucket's minimum and its best linked member; what
-is then left in a bucket outside its largest component is paired with the
-members of other components. A pair inside one component cannot change the
-result, so none is lost by leaving it out.
+No bucket is expanded into all its pairs: see ``linking``.
 
 Null texts and texts without words have an empty set and are linked with
 nothing. Repeated rows are one class. Rows with a null id never name a
@@ -38,8 +33,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pondlens.llm import bloom
 from pondlens.llm import textops as T
-from pondlens.llm.components import components
+from pondlens.llm.linking import band_rows, linked_components, shared_members
 
 SHINGLE = 5
 PERCENT = 75
@@ -54,10 +50,10 @@ _B = _RNG.integers(0, 1 << 32, REGISTERS, dtype=np.uint64).astype(np.uint32)
 _CHUNK = 1 << 15
 
 
-def registers(hashes: np.ndarray, limits: np.ndarray) -> np.ndarray:
-    """SetSketch registers of each range of ``hashes`` (rows without hashes: zeros)."""
+def registers(hashes: np.ndarray, limits: np.ndarray, count: int = REGISTERS) -> np.ndarray:
+    """``count`` SetSketch registers of each range of ``hashes`` (rows without hashes: zeros)."""
     rows = len(limits) - 1
-    low = np.full((REGISTERS, rows), 0xFFFFFFFF, dtype=np.uint32)
+    low = np.full((count, rows), 0xFFFFFFFF, dtype=np.uint32)
     h = (T.mix64(hashes) >> np.uint64(32)).astype(np.uint32)
     full = np.flatnonzero(np.diff(limits) > 0)
     x, y = np.empty(_CHUNK, np.uint32), np.empty(_CHUNK, np.uint32)
@@ -70,7 +66,7 @@ def registers(hashes: np.ndarray, limits: np.ndarray) -> np.ndarray:
         here = full[first:last]
         begin = np.maximum(limits[here] - lo, 0)
         xv, yv = x[:n], y[:n]
-        for i in range(REGISTERS):
+        for i in range(count):
             np.multiply(part, _A[i], out=xv)
             np.add(xv, _B[i], out=xv)
             np.right_shift(xv, 15, out=yv)
@@ -135,21 +131,15 @@ def sketches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     return rows.mapInArrow(run, f"doc_id {kind}, text_key bigint, n bigint, h1 bigint, h2 bigint, registers binary")
 
 
-def band_rows(classes: DataFrame) -> DataFrame:
-    """(bucket, c) for every class and band."""
-    width = 2 * ROWS
-    bands = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)),
-                        lambda i: F.xxhash64(i, F.substring(F.col("registers"), i * width + 1, F.lit(width))))
-    return classes.select(F.explode(bands).alias("bucket"), "c")
-
-
 def class_sets(docs: DataFrame, wanted: DataFrame, text_col: str = "text") -> DataFrame:
     """(c, items): the full sets of the classes in ``wanted`` (c, text_key).
 
-    Equal texts are merged in the map tasks before the shuffle.
+    Texts that no class needs are skipped before the shuffle, and equal texts
+    are merged in the map tasks.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
-    texts = docs.select(F.xxhash64(text).alias("k"), text.alias("text")).groupBy("k").agg(F.first("text").alias("text"))
+    texts = docs.select(F.xxhash64(text).alias("k"), text.alias("text"))
+    texts = bloom.reduced(texts, "k", wanted, "text_key").groupBy("k").agg(F.first("text").alias("text"))
     rows = texts.join(wanted, F.col("k") == F.col("text_key")).select("c", "text")
 
     def run(batches):
@@ -178,7 +168,7 @@ def _likely(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     return both.select("a", "b", "n_a", "n_b", "r_a", "r_b").mapInArrow(run, "a bigint, b bigint")
 
 
-def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs whose full sets reach the threshold."""
     both = (pairs.join(sets.select(F.col("c").alias("b"), F.col("items").alias("y")), "b")
             .join(sets.select(F.col("c").alias("a"), F.col("items").alias("x")), "a"))
@@ -186,58 +176,6 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.where(f"100 * shared >= {PERCENT} * (size(x) + size(y) - shared)").select("a", "b")
 
 
-def linked_classes(classes: DataFrame, sets_of) -> DataFrame:
-    """(node, component) of all classes that have links.
-
-    ``classes``: c, n, registers, text_key; ``sets_of(wanted)`` gives (c, items).
-    """
-    bands = band_rows(classes)
-    shared = bands.groupBy("bucket").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi")
-    members = T.materialize(bands.join(shared.select("bucket", "lo"), "bucket"), "members")
-    wanted = classes.join(members.select("c").distinct(), "c", "left_semi").select("c", "text_key")
-    sets = T.materialize(sets_of(wanted), "sets")
-
-    def tested(pairs: DataFrame, before: DataFrame | None) -> tuple[DataFrame, DataFrame]:
-        """New links among ``pairs``, and all pairs tested so far."""
-        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        if before is not None:
-            pairs = pairs.join(before, ["a", "b"], "left_anti")
-        pairs = T.materialize(pairs, "pairs")
-        return T.materialize(_verified(_likely(pairs, classes), sets), "links"), \
-            pairs if before is None else before.unionByName(pairs)
-
-    # 1. each class with the bucket minimum it shares most buckets with
-    best = (members.where("c > lo").groupBy("c", "lo").agg(F.count("*").alias("n"))
-            .groupBy("c").agg(F.max_by("lo", F.struct(F.col("n"), -F.col("lo"))).alias("lo")))
-    links, done = tested(best.select(F.col("c").alias("a"), F.col("lo").alias("b")), None)
-    for last in (False, True):
-        whole = components(links).select(F.col("node").alias("c"), "component")
-        labelled = members.join(whole, "c", "left").withColumn("component", F.coalesce("component", "c"))
-        mixed = (labelled.groupBy("bucket").agg(F.min("component").alias("l"), F.max("component").alias("h"))
-                 .where("l < h").select("bucket"))
-        open_ = T.materialize(labelled.join(mixed, "bucket", "left_semi"), "open")
-        if not last:
-            # 2. with the minimum and the best linked member of each bucket that holds several components
-            degree = (links.select(F.col("a").alias("c")).unionAll(links.select(F.col("b").alias("c")))
-                      .groupBy("c").agg(F.count("*").alias("degree")))
-            hub = F.struct(F.coalesce("degree", F.lit(0)).alias("degree"), (-F.col("c")).alias("c"), "component")
-            hubs = (open_.join(degree, "c", "left").groupBy("bucket").agg(F.max(hub).alias("hub"))
-                    .select("bucket", (-F.col("hub.c")).alias("hub"), F.col("hub.component").alias("at")))
-            star = open_.join(hubs, "bucket").where("component != at").select(F.col("c").alias("a"), F.col("hub").alias("b"))
-            pairs = star.unionByName(open_.where("c != lo").select(F.col("c").alias("a"), F.col("lo").alias("b")))
-        else:
-            # 3. what lies outside a bucket's largest component with the members of other components
-            sizes = open_.groupBy("bucket", "component").agg(F.count("*").alias("n"))
-            main = sizes.groupBy("bucket").agg(F.max(F.struct("n", "component")).alias("main")).select("bucket", "main.component")
-            main = main.withColumnRenamed("component", "largest")
-            stray = (open_.join(main, "bucket").where("component != largest")
-                     .select("bucket", F.col("c").alias("a"), F.col("component").alias("at")))
-            pairs = stray.join(open_, "bucket").where("component != at").select("a", F.col("c").alias("b"))
-        new, done = tested(pairs, done)
-        links = links.unionByName(new)
-    return components(links)
-
-
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per document: doc_id, n_shingles, component_id, kept, and the set's identity h1, h2."""
     rows = T.materialize(sketches(docs, id_col, text_col), "sketches")
@@ -246,9 +184,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     F.first("registers").alias("registers")).withColumn("c", F.monotonically_increasing_id()))
     # written once: the numbers stay
     classes = T.materialize(classes, "classes")
-    found = linked_classes(classes.select("c", "n", "registers", "text_key"),
-                           lambda wanted: class_sets(docs, wanted, text_col))
-    found = T.materialize(found, "components")
+    members = shared_members(band_rows(classes, ROWS, BANDS))
+    wanted = classes.join(members.select("c").distinct(), "c", "left_semi").select("c", "text_key")
+    sets = T.materialize(class_sets(docs, T.materialize(wanted, "wanted"), text_col), "sets")
+    found = T.materialize(linked_components(members, lambda pairs: verified(_likely(pairs, classes), sets)), "components")
     ids = classes.select("c", "doc_id", "h1", "h2").join(found, F.col("c") == F.col("node"))
     lowest = ids.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     linked = ids.join(lowest, "component").select("h1", "h2", "component_id")
