@@ -8,13 +8,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-from pondlens.llm import contamination, host_quality, html_text, licenses, mixing, near_dup, secrets, sql, toxicity, url_filter
+from pondlens.llm import contamination, host_quality, html_text, licenses, mixing, near_dup, secrets, sql, substring_dedup, toxicity, url_filter
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spans = substring_dedup.repeated_spans(table(spark, sf_dir, "documents"))
+    kind = F.when(F.col("passage"), "passage").otherwise("paragraph")
+    return spans.select("doc_id", F.col("start"), F.col("end"), kind.alias("kind"), "cluster", "keeper", "kept")
+
+
 def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages"))
 
@@ -66,6 +72,7 @@ def op10_host_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_repeated_passages": op1_repeated_passages,
     "op2_url_filter": op2_url_filter,
     "op3_secret_scan": op3_secret_scan,
     "op4_main_text": op4_main_text,
