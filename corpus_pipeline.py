@@ -1,19 +1,35 @@
 """The corpus pipeline: stages over the documents table, each one operator of ``pondlens.llm``.
 
-Each stage takes (spark, docs, sf_dir) and returns a DataFrame; it is written
-as Parquet and read again as the next one's docs. All but the last return the
-columns of documents.
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is
+written as Parquet and read again as the next one's docs. All but the last
+return the columns of documents. A stage sees only what the one before kept.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pondlens.llm import mixing, secrets, textops
+from pondlens.llm import contamination, mixing, near_dup, queries, secrets, textops, toxicity
+
+
+def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents scored at or above the threshold go."""
+    scored = toxicity.score(docs, queries.toxicity_model(spark, docs, sf_dir), name="toxicity_score")
+    return scored.where(scored["toxicity_score"] < toxicity.THRESHOLD).drop("toxicity_score")
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates stays."""
+    return near_dup.deduplicated(docs)
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents into which a benchmark item leaks go."""
+    return contamination.decontaminate(docs, queries.table(spark, sf_dir, "benchmark"))
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Findings are replaced by their kind; every document stays."""
+    """Findings are replaced by their kind in brackets; every document stays."""
     return secrets.redact(docs, length_col="n_chars")
 
 
@@ -23,13 +39,16 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
+    ("toxicity", toxicity_filter),
+    ("near_dedup", near_dedup),
+    ("decontaminate", decontaminate),
     ("secret_scan", secret_scan),
     ("source_mix", source_mix),
 ]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = queries.table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         docs = textops.materialize(stage(spark, docs, sf_dir), name)
     return docs

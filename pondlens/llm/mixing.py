@@ -189,16 +189,29 @@ def shard_blocks(plan: DataFrame, n_shards: int = N_SHARDS, seed: int = SEED) ->
             .select("source", "block", "copy", F.size(F.filter("ends", lambda e: e < F.col("nth"))).alias("shard")))
 
 
+def _deals(plan: DataFrame, n_shards: int) -> DataFrame:
+    """Per source: for each block the shards of its copies, in order (at most 2^LEVEL_BITS blocks)."""
+    blocks = (shard_blocks(plan, n_shards).groupBy("source", "block")
+              .agg(F.sort_array(F.collect_list(F.struct("copy", "shard"))).alias("deal")))
+    shards = F.transform("deal", lambda x: x["shard"])
+    return (blocks.groupBy(F.col("source").alias("s"))
+            .agg(F.collect_list(F.struct("block", shards.alias("shards"))).alias("blocks")))
+
+
+def _own_shards(size: Column, taken: Column) -> Column:
+    """The shards of a document's copies, from its source's ``blocks``."""
+    block = F.shiftright("pos", LEVEL_BITS * (LEVELS - 1))
+    deal = F.get(F.filter("blocks", lambda x: x["block"] == block), 0)["shards"]
+    return F.slice(deal, F.lit(1), F.ceil(taken / size).cast("int"))
+
+
 def mix_table(docs: DataFrame, n_shards: int = N_SHARDS, id_col: str = "doc_id", text_col: str = "text",
               source_col: str = "source") -> DataFrame:
     """``mix_plan`` and, per document, the output shard of each of its copies (an array)."""
     plan = T.materialize(mix_plan(docs, id_col, text_col, source_col), "taken")
-    dealt = (shard_blocks(plan, n_shards).groupBy(F.col("source").alias("s"), F.col("block").alias("b"))
-             .agg(F.sort_array(F.collect_list(F.struct("copy", "shard"))).alias("deal")))
-    here = F.col("source").eqNullSafe(F.col("s")) & (F.shiftright("pos", LEVEL_BITS * (LEVELS - 1)) == F.col("b"))
-    mine = F.filter("deal", lambda x: (x["copy"] - 1) * F.col("size") < F.col("taken"))
-    shards = F.coalesce(F.transform(mine, lambda x: x["shard"]), F.array().cast("array<int>"))
-    return plan.join(dealt, here, "left").select(*plan.columns, shards.alias("shards"))
+    out = plan.join(_deals(plan, n_shards), F.col("source").eqNullSafe(F.col("s")), "left")
+    mine = F.when(F.col("taken") > 0, _own_shards(F.col("size"), F.col("taken"))).otherwise(F.array().cast("array<int>"))
+    return out.select(*plan.columns, mine.alias("shards"))
 
 
 def mix(docs: DataFrame, n_shards: int = N_SHARDS, id_col: str = "doc_id", text_col: str = "text",
@@ -206,31 +219,28 @@ def mix(docs: DataFrame, n_shards: int = N_SHARDS, id_col: str = "doc_id", text_
     """The mixed corpus: the columns of ``docs``, and mix_copy, mix_words, mix_shard.
 
     A document appears once for each copy; the copy on the cut is shortened to
-    its part. Rows are dealt by shard and ordered by hash within a shard.
+    its part. Texts are shuffled once, by output shard, and each shard is
+    ordered by hash.
     """
-    T.bound_batches(docs.sparkSession)
     sizes = T.materialize(word_sizes(docs, id_col, text_col, source_col), "sizes")
     plan = cut_positions(sizes, source_targets(sizes))
-    per = plan.select(F.col("source").alias("__s"), "epochs", "cut", "leaf", "rest")
-    joined = sizes.join(per, F.col("source").eqNullSafe(F.col("__s")))
-    taken = joined.select("doc_id", "size", "source", "pos", _taken(F.col("size")).alias("taken"))
-    shards = shard_blocks(taken, n_shards).select(F.col("source").alias("__s"), F.col("block").alias("__b"),
-                                                  F.col("copy").alias("mix_copy"), F.col("shard").alias("mix_shard"))
-    pos = F.shiftrightunsigned(F.xxhash64(F.lit(SEED), source_col, id_col, text_col), 64 - LEVEL_BITS * LEVELS)
+    per = plan.select(F.col("source").alias("s"), "epochs", "cut", "leaf", "rest")
+    here = F.col("source").eqNullSafe(F.col("s"))
+    taken = sizes.join(per, here).select("size", "source", "pos", _taken(F.col("size")).alias("taken"))
+    deals = _deals(taken, n_shards).withColumnRenamed("s", "d")
+    rules = T.materialize(per.join(deals, F.col("s").eqNullSafe(F.col("d"))).drop("d"), "rules")
     size = F.size(F.regexp_extract_all(F.coalesce(F.col(text_col), F.lit("")), F.lit(r"([^\x20\x09-\x0D]+)"), F.lit(1)))
-    doc = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__doc")
-    rows = docs.select(doc, F.col(source_col).alias("__source"), pos.alias("pos"), size.alias("size"))
-    rows = rows.where("size > 0").join(per, F.col("__source").eqNullSafe(F.col("__s"))).drop("__s")
-    rows = rows.withColumn("__taken", _taken(F.col("size"))).where("__taken > 0")
-    rows = rows.withColumn("__block", F.shiftright("pos", LEVEL_BITS * (LEVELS - 1)))
-    rows = rows.join(shards, F.col("__source").eqNullSafe(F.col("__s")) & (F.col("__block") == F.col("__b")))
-    n = F.least(F.col("size").cast("long"), F.col("__taken") - (F.col("mix_copy") - 1) * F.col("size"))
-    rows = rows.withColumn("mix_words", n).where("mix_words > 0")
-    text = F.col(f"__doc.{text_col}")
-    text = F.when(F.col("mix_words") < F.col("size"),
-                  F.array_join(F.slice(F.split(F.btrim(text, F.lit(" \t\n\x0b\f\r")), r"[\x20\x09-\x0D]+"),
-                                       F.lit(1), F.col("mix_words").cast("int")), " ")).otherwise(text)
-    keep = [text.alias(c) if c == text_col else F.col(f"__doc.`{c}`").alias(c) for c in docs.columns]
-    return (rows.repartition(n_shards, "mix_shard")
-            .sortWithinPartitions("mix_shard", F.xxhash64(F.lit(SEED), "pos", "mix_copy"))
-            .select(*keep, "mix_copy", "mix_words", "mix_shard"))
+    pos = F.shiftrightunsigned(F.xxhash64(F.lit(SEED), F.col(source_col), F.col(id_col), F.col(text_col)),
+                               64 - LEVEL_BITS * LEVELS)
+    # the row travels as one struct, so its names clash with none of these
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), F.col(text_col).alias("text"),
+                       F.col(source_col).alias("source"), pos.alias("pos"), size.cast("long").alias("size"))
+    rows = rows.where("size > 0").join(rules, here).withColumn("taken", _taken(F.col("size"))).where("taken > 0")
+    rows = rows.select("doc", "text", "size", "taken", "pos", F.posexplode(_own_shards(F.col("size"), F.col("taken"))).alias("nth", "shard"))
+    rows = rows.withColumn("words", F.least("size", F.col("taken") - F.col("nth") * F.col("size")))
+    part = F.array_join(F.slice(F.split(F.btrim("text", F.lit(" \t\n\x0b\f\r")), r"[\x20\x09-\x0D]+"),
+                                F.lit(1), F.col("words").cast("int")), " ")
+    text = F.when(F.col("words") < F.col("size"), part).otherwise(F.col("text"))
+    keep = [text.alias(c) if c == text_col else F.col(f"doc.`{c}`").alias(c) for c in docs.columns]
+    return (rows.repartition(n_shards, "shard").sortWithinPartitions("shard", F.xxhash64(F.lit(SEED), "pos", "nth"))
+            .select(*keep, (F.col("nth") + 1).alias("mix_copy"), F.col("words").alias("mix_words"), F.col("shard").alias("mix_shard")))

@@ -177,7 +177,7 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per document: doc_id, n_shingles, component_id, kept, and the set's identity h1, h2."""
+    """Per document: doc_id, n_shingles, component_id, kept, group (number of the component), text_key."""
     rows = T.materialize(sketches(docs, id_col, text_col), "sketches")
     classes = (rows.where("n > 0").groupBy("h1", "h2")
                .agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("text_key").alias("text_key"),
@@ -188,12 +188,29 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     wanted = classes.join(members.select("c").distinct(), "c", "left_semi").select("c", "text_key")
     sets = T.materialize(class_sets(docs, T.materialize(wanted, "wanted"), text_col), "sets")
     found = T.materialize(linked_components(members, lambda pairs: verified(_likely(pairs, classes), sets)), "components")
-    ids = classes.select("c", "doc_id", "h1", "h2").join(found, F.col("c") == F.col("node"))
-    lowest = ids.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    linked = ids.join(lowest, "component").select("h1", "h2", "component_id")
-    alone = classes.join(found, F.col("c") == F.col("node"), "left_anti").select("h1", "h2", F.col("doc_id").alias("component_id"))
-    named = linked.unionByName(alone).select(F.col("h1").alias("k1"), F.col("h2").alias("k2"), "component_id")
+    ids = (classes.select("c", "doc_id", "h1", "h2").join(found, F.col("c") == F.col("node"), "left")
+           .withColumn("group", F.coalesce("component", "c")))
+    lowest = ids.groupBy("group").agg(F.min("doc_id").alias("component_id"))
+    named = ids.join(lowest, "group").select(F.col("h1").alias("k1"), F.col("h2").alias("k2"), "component_id", "group")
     out = rows.drop("registers").join(named, (F.col("h1") == F.col("k1")) & (F.col("h2") == F.col("k2")) & (F.col("n") > 0), "left")
     component = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
     return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"),
-                      F.col("doc_id").eqNullSafe(component).alias("kept"), "h1", "h2")
+                      F.col("doc_id").eqNullSafe(component).alias("kept"), "group", "text_key")
+
+
+def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with one row of each group of near-duplicates: its smallest id (null last).
+
+    Texts without words are in no group and stay.
+    """
+    found = near_duplicates(docs, id_col, text_col).where("n_shingles > 0")
+    order = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_key")
+    keep = found.groupBy("group").agg(F.min(order).alias("first")).select(
+        F.col("first.doc_id").alias("i"), F.col("first.text_key").alias("k"))
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    # the row travels as one struct, so its names clash with none of these
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), F.col(id_col).alias("doc_id"),
+                       F.xxhash64(text).alias("text_key"), text.rlike(r"[^\x20\x09-\x0D]").alias("worded"))
+    first = rows.where("worded").join(keep, F.col("doc_id").eqNullSafe(F.col("i")) & (F.col("text_key") == F.col("k")))
+    one = first.dropDuplicates(["i", "k"]).select("doc")
+    return one.unionByName(rows.where("NOT worded").select("doc")).select(*[F.col(f"doc.`{c}`").alias(c) for c in docs.columns])

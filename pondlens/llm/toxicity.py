@@ -179,23 +179,18 @@ def score_texts(model: Model, texts: pa.Array) -> np.ndarray:
     return out
 
 
-def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """``docs`` with the column ``score``."""
+def score(docs: DataFrame, model: Model, text_col: str = "text", name: str = "score") -> DataFrame:
+    """``docs`` with the column ``name``."""
     spark = docs.sparkSession
     T.bound_batches(spark)
     shared = spark.sparkContext.broadcast(model)
-    names = docs.columns
-    out = "tox_score"
-    while out in names:
-        out += "_"
 
     def run(batches):
         for b in batches:
             s = pa.array(score_texts(shared.value, b[text_col]))
-            yield pa.RecordBatch.from_arrays([*b.columns, s], names=[*b.schema.names, out])
+            yield pa.RecordBatch.from_arrays([*b.columns, s], names=[*b.schema.names, name])
 
-    schema = StructType([*docs.schema.fields, StructField(out, DoubleType())])
-    return docs.mapInArrow(run, schema).withColumnRenamed(out, "score")
+    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(name, DoubleType())]))
 
 
 def held_out(id_col: Column) -> Column:
