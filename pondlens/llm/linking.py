@@ -1,24 +1,32 @@
 """Components of classes that share band keys, without all pairs of a bucket.
 
 ``bands`` has a row (bucket, c) for each class and band; classes in a bucket
-are candidates. Pairs are chosen in three rounds:
+are candidates. They are tested in three rounds:
 
 1. each class with the one bucket minimum it shares most buckets with;
 2. in buckets that still hold several components: each class with the bucket's
    minimum and with its best linked member;
-3. in buckets that then still do: what lies outside the largest component with
-   the members of other components.
+3. classes in buckets that then still do form groups (buckets that share a
+   class belong together). What lies outside a group's largest component - the
+   strays - is compared with the group's members of other components, a block
+   of strays against a block of members at a time, by the exact counts of
+   shared shingles that an inverted index of the block gives. Only one link
+   for each stray, component and block is returned.
 
 A pair inside one component cannot change the result, and every other
-candidate pair is tested in the third round at the latest, so no link between
-different components is lost. Minima and maxima are partial aggregates; the
-joins on buckets are plain equi-joins, whose skewed partitions Spark splits.
+candidate pair is compared in the third round at the latest, so no link
+between different components is lost. No pair is a row before it is a link.
+Minima and maxima are partial aggregates, joins on buckets are plain
+equi-joins whose skewed partitions Spark splits, and blocks are bounded by
+their number of shingles, so a hot group becomes many tasks.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,6 +34,8 @@ from pondlens.llm import bloom
 from pondlens.llm import textops as T
 from pondlens.llm.components import components
 
+PERCENT = 75
+BLOCK_SHINGLES = 1_000_000
 
 def band_rows(classes: DataFrame, rows: int, bands: int) -> DataFrame:
     """(bucket, c) of classes with ``registers`` (binary, two bytes each) in bands of ``rows``."""
@@ -43,41 +53,86 @@ def shared_members(bands: DataFrame) -> DataFrame:
     return T.materialize(bloom.reduced(bands, "bucket", shared, "bucket").join(shared, "bucket"), "members")
 
 
-def linked_components(members: DataFrame, verified: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """(node, component) of all classes with links; ``verified`` keeps the pairs (a, b) that are links."""
-
-    def tested(pairs: DataFrame, before: DataFrame | None) -> tuple[DataFrame, DataFrame]:
-        """New links among ``pairs``, and all pairs tested so far."""
-        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        if before is not None:
-            pairs = pairs.join(before, ["a", "b"], "left_anti")
-        pairs = T.materialize(pairs, "pairs")
-        return T.materialize(verified(pairs), "links"), pairs if before is None else before.unionByName(pairs)
+def linked_components(members: DataFrame, sets: DataFrame, verified: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """(node, component) of all classes with links.
 
+    ``sets``: (c, items) of all members; ``verified`` keeps the pairs (a, b) that are links.
+    """
     best = (members.where("c > lo").groupBy("c", "lo").agg(F.count("*").alias("n"))
             .groupBy("c").agg(F.max_by("lo", F.struct(F.col("n"), -F.col("lo"))).alias("lo")))
-    links, done = tested(best.select(F.col("c").alias("a"), F.col("lo").alias("b")), None)
-    for last in (False, True):
-        whole = components(links).select(F.col("node").alias("c"), "component")
-        labelled = members.join(whole, "c", "left").withColumn("component", F.coalesce("component", "c"))
-        mixed = (labelled.groupBy("bucket").agg(F.min("component").alias("l"), F.max("component").alias("h"))
-                 .where("l < h").select("bucket"))
-        open_ = T.materialize(labelled.join(mixed, "bucket", "left_semi"), "open")
-        if not last:
-            degree = (links.select(F.col("a").alias("c")).unionAll(links.select(F.col("b").alias("c")))
-                      .groupBy("c").agg(F.count("*").alias("degree")))
-            hub = F.struct(F.coalesce("degree", F.lit(0)).alias("degree"), (-F.col("c")).alias("c"), "component")
-            hubs = (open_.join(degree, "c", "left").groupBy("bucket").agg(F.max(hub).alias("hub"))
-                    .select("bucket", (-F.col("hub.c")).alias("hub"), F.col("hub.component").alias("at")))
-            star = open_.join(hubs, "bucket").where("component != at").select(F.col("c").alias("a"), F.col("hub").alias("b"))
-            pairs = star.unionByName(open_.where("c != lo").select(F.col("c").alias("a"), F.col("lo").alias("b")))
-        else:
-            sizes = open_.groupBy("bucket", "component").agg(F.count("*").alias("n"))
-            main = sizes.groupBy("bucket").agg(F.max(F.struct("n", "component")).alias("main"))
-            main = main.select("bucket", F.col("main.component").alias("largest"))
-            stray = (open_.join(main, "bucket").where("component != largest")
-                     .select("bucket", F.col("c").alias("a"), F.col("component").alias("at")))
-            pairs = stray.join(open_, "bucket").where("component != at").select("a", F.col("c").alias("b"))
-        new, done = tested(pairs, done)
-        links = links.unionByName(new)
+    first = T.materialize(best.select(F.col("lo").alias("a"), F.col("c").alias("b")), "pairs")
+    links = T.materialize(verified(first), "links")
+    open_ = _mixed(members, links)
+    # the minimum and the best linked member of each bucket that holds several components
+    degree = (links.select(F.col("a").alias("c")).unionAll(links.select(F.col("b").alias("c")))
+              .groupBy("c").agg(F.count("*").alias("degree")))
+    hub = F.struct(F.coalesce("degree", F.lit(0)).alias("degree"), (-F.col("c")).alias("c"), "component")
+    hubs = (open_.join(degree, "c", "left").groupBy("bucket").agg(F.max(hub).alias("hub"))
+            .select("bucket", (-F.col("hub.c")).alias("hub"), F.col("hub.component").alias("at")))
+    star = open_.join(hubs, "bucket").where("component != at").select(F.col("c").alias("a"), F.col("hub").alias("b"))
+    star = star.unionByName(open_.where("c != lo").select(F.col("c").alias("a"), F.col("lo").alias("b")))
+    star = star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    second = T.materialize(star.join(first, ["a", "b"], "left_anti"), "pairs")
+    links = links.unionByName(T.materialize(verified(second), "links"))
+    open_ = _mixed(members, links)
+    links = links.unionByName(T.materialize(stray_links(open_, sets), "links"))
     return components(links)
+
+
+def _mixed(members: DataFrame, links: DataFrame) -> DataFrame:
+    """(bucket, c, lo, component) of the buckets that hold several components."""
+    whole = components(links).select(F.col("node").alias("c"), "component")
+    labelled = members.join(whole, "c", "left").withColumn("component", F.coalesce("component", "c"))
+    mixed = (labelled.groupBy("bucket").agg(F.min("component").alias("l"), F.max("component").alias("h"))
+             .where("l < h").select("bucket"))
+    return T.materialize(labelled.join(mixed, "bucket", "left_semi"), "open")
+
+
+def stray_links(open_: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links (a, b) between different components of each group of buckets."""
+    groups = components(open_.select(F.col("c").alias("a"), F.col("lo").alias("b"))).select(
+        F.col("node").alias("c"), F.col("component").alias("g"))
+    n = sets.select("c", F.size("items").alias("n"))
+    rows = open_.select("c", "component").distinct().join(groups, "c").join(n, "c")
+    rows = T.materialize(rows, "residue")
+    per = rows.groupBy("g", "component").agg(F.sum("n").alias("n"), F.count("*").alias("k"))
+    total = per.groupBy("g").agg(F.max(F.struct("k", "component")).alias("main"), F.sum("n").alias("all"))
+    largest = total.join(per.select("g", F.col("component").alias("m"), F.col("n").alias("own")), "g").where("m = main.component")
+
+    def blocks(words):
+        return F.ceil(words / BLOCK_SHINGLES).cast("int")
+
+    largest = largest.select("g", F.col("m").alias("largest"), blocks(F.col("all") - F.col("own")).alias("stray_blocks"),
+                             blocks(F.col("all")).alias("member_blocks"))
+    rows = rows.join(largest, "g")
+    block = F.xxhash64("c")
+    strays = rows.where("component != largest").select(
+        "g", "c", "component", F.lit(True).alias("stray"), F.pmod(block, F.col("stray_blocks")).cast("int").alias("i"),
+        F.explode(F.sequence(F.lit(0), F.col("member_blocks") - 1)).alias("j"))
+    whole = rows.select(
+        "g", "c", "component", F.lit(False).alias("stray"), F.explode(F.sequence(F.lit(0), F.col("stray_blocks") - 1)).alias("i"),
+        F.pmod(block, F.col("member_blocks")).cast("int").alias("j"))
+    both = strays.unionByName(whole.select(*strays.columns)).join(sets, "c")
+    return both.groupBy("g", "i", "j").applyInPandas(_compare, "a bigint, b bigint")
+
+
+def _compare(frame: pd.DataFrame) -> pd.DataFrame:
+    """One link for each stray and other component among the block's members."""
+    stray, other = frame[frame["stray"]], frame[~frame["stray"]]
+    a, b = [], []
+    if len(stray) and len(other):
+        c, comp = other["c"].to_numpy(), other["component"].to_numpy()
+        size = np.array([len(x) for x in other["items"]], dtype=np.int64)
+        flat, own = np.concatenate(other["items"].to_list()), np.repeat(np.arange(len(c)), size)
+        order = np.argsort(flat, kind="stable")
+        flat, own = flat[order], own[order]
+        for x, xc, items in zip(stray["c"], stray["component"], stray["items"]):
+            lo, hi = np.searchsorted(flat, items, side="left"), np.searchsorted(flat, items, side="right")
+            n = hi - lo
+            at = np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(n.sum())
+            shared = np.bincount(own[at], minlength=len(c))
+            linked = np.flatnonzero((100 * shared >= PERCENT * (size + len(items) - shared)) & (comp != xc))
+            _, first = np.unique(comp[linked], return_index=True)
+            a += [int(x)] * len(first)
+            b += c[linked[first]].tolist()
+    return pd.DataFrame({"a": pd.Series(a, dtype="int64"), "b": pd.Series(b, dtype="int64")})

@@ -35,10 +35,9 @@ from pyspark.sql import functions as F
 
 from pondlens.llm import bloom
 from pondlens.llm import textops as T
-from pondlens.llm.linking import band_rows, linked_components, shared_members
+from pondlens.llm.linking import PERCENT, band_rows, linked_components, shared_members
 
 SHINGLE = 5
-PERCENT = 75
 ROWS, BANDS = 4, 40
 REGISTERS = ROWS * BANDS
 BASE, RATE, LIMIT = 1.001, 20.0, (1 << 16) - 2    # of the registers: base b, rate a, limit q
@@ -187,7 +186,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     members = shared_members(band_rows(classes, ROWS, BANDS))
     wanted = classes.join(members.select("c").distinct(), "c", "left_semi").select("c", "text_key")
     sets = T.materialize(class_sets(docs, T.materialize(wanted, "wanted"), text_col), "sets")
-    found = T.materialize(linked_components(members, lambda pairs: verified(_likely(pairs, classes), sets)), "components")
+    found = T.materialize(linked_components(members, sets, lambda pairs: verified(_likely(pairs, classes), sets)), "components")
     ids = (classes.select("c", "doc_id", "h1", "h2").join(found, F.col("c") == F.col("node"), "left")
            .withColumn("group", F.coalesce("component", "c")))
     lowest = ids.groupBy("group").agg(F.min("doc_id").alias("component_id"))

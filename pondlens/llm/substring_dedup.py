@@ -151,7 +151,7 @@ def paragraph_clusters(rows: DataFrame) -> DataFrame:
     members = shared_members(band_rows(classes, ROWS, BANDS))
     wanted = T.materialize(classes.join(members.select("c").distinct(), "c", "left_semi").select("c", "k1", "k2"), "wanted")
     sets = T.materialize(_paragraph_sets(rows, wanted), "sets")
-    found = T.materialize(linked_components(members, lambda pairs: verified(pairs, sets)), "components")
+    found = T.materialize(linked_components(members, sets, lambda pairs: verified(pairs, sets)), "components")
     named = (classes.join(found, F.col("c") == F.col("node"), "left")
              .select("k1", "k2", "lo", "hi", "unnamed", F.coalesce("component", "c").alias("cluster")))
     wide = named.groupBy("cluster").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.max("unnamed").alias("unnamed"))

@@ -1,6 +1,7 @@
 import numpy as np
 import pytest
 
+from pondlens.llm import linking
 from pondlens.llm import near_dup as N
 from pondlens.llm.components import components
 from tests.llm.common import docs, lower, ws_words
@@ -70,7 +71,9 @@ def corpus():
     return out
 
 
-def test_matches_brute_force(spark):
+@pytest.mark.parametrize("block", [linking.BLOCK_SHINGLES, 2000])
+def test_matches_brute_force(spark, monkeypatch, block):
+    monkeypatch.setattr(linking, "BLOCK_SHINGLES", block)      # with small blocks a hot group becomes many tasks
     rows = corpus()
     got = N.near_duplicates(docs(spark, rows)).collect()
     got = sorted([(r.doc_id, r.n_shingles, r.component_id, bool(r.kept) if r.doc_id is not None else None == r.component_id) for r in got], key=str)
