@@ -61,16 +61,9 @@ def safe_corr(x, y) -> Column:
     return F.try_divide(sxy, F.nullif(den, F.lit(0.0)))
 
 
-def exact_sum(c, scale: int = 6) -> Column:
-    """Order-independent sum: values as DECIMAL(38, scale), summed exactly,
-    returned as DOUBLE (correctly rounded).
-
-    A double sum's last bits depend on the order rows meet in the aggregate
-    (partitioning, AQE coalescing, retried tasks); the decimal sum does not,
-    so totals are reproducible on any cluster layout. Spark keeps the
-    unscaled value in a long while it fits, so this stays cheap.
-    """
-    return F.sum(col_(c).cast(f"decimal(38,{scale})")).cast("double")
+def total(c) -> Column:
+    """Sum as DOUBLE; small and large values keep their share, NaN and infinities show."""
+    return F.sum(col_(c).cast("double"))
 
 
 def season(month) -> Column:
@@ -99,12 +92,19 @@ def ts_text(c) -> Column:
     return F.date_format(to_ts(c), "yyyy-MM-dd HH:mm:ss")
 
 
-def r6(c) -> Column:
+#: Added before flooring to six decimals: a plain half, and a half with a margin.
+HALF, HALF_WITH_MARGIN = 0.5, 0.50000377
+
+
+def r6(c, half: float = HALF) -> Column:
     """Round half up to 6 decimals with plain IEEE double ops.
 
     ``floor(x * 1e6 + 0.5) / 1e6`` gives bit-identical results in any engine
     for the same input double (``round`` differs between engines: decimal
-    string vs binary product).
+    string vs binary product). Doubles too large to have such decimals stay
+    as they are. The last bits of a sum depend on the order of its rows; with
+    ``HALF_WITH_MARGIN`` a ratio of sums that lies on a half to within such
+    bits is rounded up for any order.
     """
     x = col_(c).cast("double")
-    return F.when(F.abs(x) < F.lit(9e12), F.floor(x * F.lit(1e6) + F.lit(0.5)) / F.lit(1e6)).otherwise(x) + F.lit(0.0)
+    return F.when(F.abs(x) < F.lit(9e12), F.floor(x * F.lit(1e6) + F.lit(half)) / F.lit(1e6)).otherwise(x) + F.lit(0.0)

@@ -127,30 +127,39 @@ def top_factors(main: DataFrame, target: str = "survival_rate", k: int = TOP_FAC
 
 # ---------------------------------------------------------------- A13 -------
 
-def histogram(df: DataFrame, col: str, metric: str, bins: int = HIST_BINS) -> DataFrame:
-    """Equal-width histogram (the top edge falls into the last bin).
+def histograms(df: DataFrame, metrics: dict, bins: int = HIST_BINS) -> DataFrame | None:
+    """Equal-width histograms of several values of one table (the top edge
+    falls into the last bin).
 
-    The value range is one aggregate row joined back (broadcast: one row);
-    every bin appears, empty ones with count 0.
+    ``metrics``: name -> value expression; a NULL or NaN value is left out. One
+    aggregate gives every range, one pass counts all bins; every bin appears,
+    empty ones with count 0, and a metric without values has none.
     """
-    v = df.select(F.col(col).cast("double").alias("v")).where(F.col("v").isNotNull() & ~F.isnan("v"))
-    rng = v.agg(F.min("v").alias("lo"), F.max("v").alias("hi"))
-    rng = rng.select(
-        F.when(F.col("lo") == F.col("hi"), F.col("lo") - 0.5).otherwise(F.col("lo")).alias("lo"),
-        F.when(F.col("lo") == F.col("hi"), F.col("hi") + 0.5).otherwise(F.col("hi")).alias("hi"))
-    width = (F.col("hi") - F.col("lo"))
-    counts = (v.crossJoin(F.broadcast(rng))
-              .select(F.least(F.floor((F.col("v") - F.col("lo")) * F.lit(float(bins)) / width),
-                              F.lit(bins - 1)).cast("int").alias("bin"))
-              .groupBy("bin").agg(F.count(F.lit(1)).cast("bigint").alias("count")))
-    edges = (rng.where(F.col("lo").isNotNull())
-             .select("lo", "hi", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
-             .select("bin",
-                     (F.col("lo") + F.col("bin") * (F.col("hi") - F.col("lo")) / F.lit(float(bins))).alias("bin_lo"),
-                     (F.col("lo") + (F.col("bin") + 1) * (F.col("hi") - F.col("lo")) / F.lit(float(bins))).alias("bin_hi")))
-    return (edges.join(counts, "bin", "left")
-            .select(F.lit(metric).alias("metric"), "bin", "bin_lo", "bin_hi",
-                    F.coalesce(F.col("count"), F.lit(0).cast("bigint")).alias("count")))
+    values = df.select(*[F.nanvl(v.cast("double"), F.lit(None).cast("double")).alias(f"m{i}")
+                         for i, v in enumerate(metrics.values())])
+    row = values.agg(*[f(f"m{i}").alias(f"{n}{i}") for i in range(len(metrics)) for n, f in (("lo", F.min), ("hi", F.max))]).first()
+    edges, slots = [], []
+    for i, name in enumerate(metrics):
+        lo, hi = row[f"lo{i}"], row[f"hi{i}"]
+        if lo is None:
+            continue
+        lo, hi = (lo - 0.5, hi + 0.5) if lo == hi else (lo, hi)
+        edges += [(name, b, lo + b * (hi - lo) / float(bins), lo + (b + 1) * (hi - lo) / float(bins)) for b in range(bins)]
+        slot = F.least(F.floor((F.col(f"m{i}") - F.lit(lo)) * F.lit(float(bins)) / F.lit(hi - lo)), F.lit(bins - 1)).cast("int")
+        slots.append(F.struct(F.lit(name).alias("metric"), F.when(F.col(f"m{i}").isNotNull(), slot).alias("bin")))
+    frame = df.sparkSession.createDataFrame(edges, "metric string, bin int, bin_lo double, bin_hi double")
+    if not slots:
+        return frame.withColumn("count", F.lit(0).cast("bigint"))
+    counts = (values.select(F.explode(F.array(*slots)).alias("s")).select("s.*").where("bin IS NOT NULL")
+              .groupBy("metric", "bin").agg(F.count(F.lit(1)).alias("count")))
+    return (frame.join(counts, ["metric", "bin"], "left")
+            .select("metric", "bin", "bin_lo", "bin_hi", F.coalesce("count", F.lit(0).cast("bigint")).alias("count")))
+
+
+def main_histograms(main: DataFrame) -> DataFrame:
+    """The KPI histograms, each over the rows its filter accepts."""
+    return histograms(main, {"survival_rate": F.when(sr_is_valid(), F.col("survival_rate")),
+                             "fcr": F.when(fcr_is_valid(), F.col("fcr")), "adg": F.when(adg_is_valid(), F.col("adg"))})
 
 
 # ---------------------------------------------------------------- A14 -------

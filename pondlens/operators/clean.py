@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from pondlens.config import IQR_FACTOR, PipelineConfig
 from pondlens.functions.exprs import ts_literal
-from pondlens.operators.quantiles import exact_quantiles, long_size_hint, quantile_table, quantile_values
+from pondlens.operators.quantiles import exact_quantiles, quantile_table, quantile_values
 
 # ---------------------------------------------------------------- T1 --------
 
@@ -162,44 +162,6 @@ def _replace(df: DataFrame, exprs: dict) -> DataFrame:
     return df.select(*[exprs[c].alias(c) if c in exprs else F.col(c) for c in df.columns])
 
 
-def clean_table(name: str, df: DataFrame, cfg: PipelineConfig, report: dict | None = None) -> DataFrame:
-    """C1 -> C2 -> C3 -> C4 -> C5 -> C6 for one table (dates already coerced)."""
-    report = report if report is not None else {}
-    # C1 numeric imputation on the raw column
-    methods = {c: m for c, m in cfg.impute_columns.get(name, {}).items() if c in df.columns}
-    df, report["impute"] = impute_numeric(df, methods)
-    # C2 dates
-    dcols = [c for c in cfg.date_columns.get(name, []) if c in df.columns]
-    if dcols:
-        nulls = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in dcols]).first()
-        for c in dcols:
-            if not nulls[c]:
-                continue
-            if name == "cycles" and c == "started_at":
-                df = impute_date_global(df, c)
-            elif name == "cycles" and c == "finished_at":
-                df = impute_open_end(df, c, cfg.as_of)
-            elif "cycle_id" in df.columns:
-                df = impute_date_by_group(df, c, cfg.as_of)
-            else:
-                df = impute_date_global(df, c)
-                df = impute_open_end(df, c, cfg.as_of)
-    # C3 / C4
-    check = [c for c in cfg.check_columns.get(name, []) if c in df.columns]
-    df = fix_negative(df, check)
-    df, report["min_positive"] = fix_zero(df, [c for c in check if c in cfg.zero_fix_columns])
-    # C5
-    out_cols = [c for c in cfg.outlier_columns.get(name, []) if c in df.columns]
-    if out_cols:
-        bounds = iqr_bounds(df, out_cols)
-        report["iqr_bounds"] = bounds
-        report["iqr_input"] = df
-        df, _ = iqr_cap(df, out_cols, bounds)
-    # Anything still NULL among the imputed numeric columns becomes 0
-    df = _replace(df, {c: F.coalesce(F.col(c), F.lit(0.0)) for c in methods})
-    return df
-
-
 def _collect_stats(parts: list[DataFrame]) -> dict[tuple[str, float], float | None]:
     """Run several small statistics plans as ONE job; rows are (column, prob, value)."""
     parts = [p for p in parts if p is not None]
@@ -224,11 +186,10 @@ def _quantiles(items: list[tuple[str, DataFrame, F.Column]], probs: list[float])
     groups: dict[int, tuple[DataFrame, list[tuple[int, F.Column]]]] = {}
     for i, (_, df, expr) in enumerate(items):
         groups.setdefault(id(df), (df, []))[1].append((i, expr))
-    long, wides = None, []
+    long = None
     for df, slices in groups.values():
         names = [f"__q{i}" for i, _ in slices]
         wide = df.select(*[e.cast("double").alias(n) for n, (_, e) in zip(names, slices)])
-        wides.append(wide)
         if len(names) > 1:
             part = wide.unpivot([], names, "__name", "v").select(
                 F.substring("__name", 4, 8).cast("int").alias("column"), "v")
@@ -236,14 +197,14 @@ def _quantiles(items: list[tuple[str, DataFrame, F.Column]], probs: list[float])
             part = wide.select(F.lit(slices[0][0]).alias("column"), F.col(names[0]).alias("v"))
         part = part.where(F.col("v").isNotNull() & ~F.isnan("v"))
         long = part if long is None else long.unionByName(part)
-    vals = exact_quantiles(long, probs, size_hint=long_size_hint(wides))
+    vals = exact_quantiles(long, probs)
     return {(items[i][0], q): v for (i, q), v in vals.items()}
 
 
 def clean_catalog(catalog: dict, cfg: PipelineConfig | None = None, reports: dict | None = None) -> dict:
     """The whole ``handle_missing_data`` stage over a coerced catalog.
 
-    Same steps and order as ``clean_table``, but the statistics of all tables
+    C1 -> C2 -> C3 -> C4 -> C5 -> C6 for every table; the statistics of all tables
     are batched: one computation for every C1 median, C2 NULL check and C4
     input (smallest positive |v|, NULL count), one for the C2 global date
     medians (only tables with missing dates), one for every C5 quartile.

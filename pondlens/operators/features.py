@@ -49,7 +49,7 @@ def join_snowflake(cycles: DataFrame, ponds_farms: DataFrame) -> DataFrame:
 def harvest_agg(harvests: DataFrame) -> DataFrame:
     """A1: per cycle total weight, mean size, last harvest time."""
     return (harvests.where(F.col("cycle_id").isNotNull()).groupBy("cycle_id").agg(
-        F.coalesce(X.exact_sum("weight"), F.lit(0.0)).alias("weight"),
+        F.coalesce(X.total("weight"), F.lit(0.0)).alias("weight"),
         F.avg("size").alias("size"),
         F.max("harvested_at").alias("harvested_at")))
 
@@ -57,7 +57,7 @@ def harvest_agg(harvests: DataFrame) -> DataFrame:
 def feed_agg(feeds: DataFrame) -> DataFrame:
     """A2 + F10: per cycle ``sum(quantity)`` named ``total_feed``."""
     return (feeds.where(F.col("cycle_id").isNotNull()).groupBy("cycle_id")
-            .agg(F.coalesce(X.exact_sum("quantity"), F.lit(0.0)).alias("total_feed")))
+            .agg(F.coalesce(X.total("quantity"), F.lit(0.0)).alias("total_feed")))
 
 
 def water_quality_agg(measurements: DataFrame, params: list[str]) -> DataFrame:
@@ -97,7 +97,7 @@ def daily_feed(feeds: DataFrame, cycles: DataFrame) -> DataFrame:
     f = fact_with_cycle(feeds, cycles, "logged_at")
     return (f.where(F.col("cycle_id").isNotNull() & F.col("culture_days").isNotNull())
             .groupBy("cycle_id", "culture_days")
-            .agg(F.coalesce(X.exact_sum("quantity"), F.lit(0.0)).alias("quantity")))
+            .agg(F.coalesce(X.total("quantity"), F.lit(0.0)).alias("quantity")))
 
 
 def first_cycles(df: DataFrame, k: int = 5, key: str = "cycle_id") -> DataFrame:
@@ -147,7 +147,8 @@ def add_temp_fluctuation(main: DataFrame) -> DataFrame:
                            F.abs(F.col("morning_temperature_mean") - F.col("evening_temperature_mean")))
 
 
-def _left(main: DataFrame, agg: DataFrame) -> DataFrame:
+def left_by_cycle(main: DataFrame, agg: DataFrame) -> DataFrame:
+    """Cycles LEFT a per-cycle aggregate."""
     j = main.join(agg, main["id"] == agg["cycle_id"], "left")
     return j.drop(agg["cycle_id"])
 
@@ -158,15 +159,15 @@ def build_main(cat: dict, cfg: PipelineConfig | None = None) -> DataFrame:
     cycles = cat["cycles"]
     main = add_cycle_kpis(cycles, cfg.as_of)
     if cat.get("harvests") is not None:
-        main = add_survival(_left(main, harvest_agg(cat["harvests"])))
+        main = add_survival(left_by_cycle(main, harvest_agg(cat["harvests"])))
     if cat.get("sampling") is not None:
-        main = add_growth(_left(main, last_sampling(cat["sampling"], cfg.sampling_order)))
+        main = add_growth(left_by_cycle(main, last_sampling(cat["sampling"], cfg.sampling_order)))
     if cat.get("feeds") is not None:
-        main = _left(main, feed_agg(cat["feeds"]))
+        main = left_by_cycle(main, feed_agg(cat["feeds"]))
         if "weight" in main.columns:
             main = add_fcr(main)
     if cat.get("measurements") is not None:
-        main = add_temp_fluctuation(_left(main, water_quality_agg(cat["measurements"], cfg.water_params)))
+        main = add_temp_fluctuation(left_by_cycle(main, water_quality_agg(cat["measurements"], cfg.water_params)))
     if cat.get("ponds") is not None:
         ponds = pond_geometry(cat["ponds"])
         main = join_snowflake(main, join_pond_farm(ponds, cat.get("farms")))

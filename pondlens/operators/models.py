@@ -15,6 +15,7 @@ import json
 import os
 import random
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
@@ -22,24 +23,26 @@ from pyspark.ml.feature import Imputer, OneHotEncoder, StandardScaler, VectorAss
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pondlens.config import BASE_FEATURES, FCR_VALID, IQR_FACTOR, SEASONAL_FEATURES, WATER_FEATURE_MARKERS
 from pondlens.functions.exprs import clip
 from pondlens.operators.quantiles import quantile_values
+from pondlens.sources.catalog import path_exists
 
 # M2: target name -> column (the FCR model is trained on FCR, not body weight)
 TARGETS = {"sr": "survival_rate", "abw": "average_weight", "fcr": "fcr"}
 TARGET_LABELS = {"sr": "Survival Rate", "abw": "Average Body Weight", "fcr": "FCR"}
 TRAIN_PERCENT = 80
 SEED = 42
+METADATA = "metadata"      # text file written beside the models
 
 # fixed values: the reference's default model settings
 DEFAULT_MODELS = {
     "rf": {"numTrees": 200, "maxDepth": 30, "minInstancesPerNode": 2, "seed": SEED},
     "xgb": {"maxIter": 200, "stepSize": 0.05, "maxDepth": 6, "minInstancesPerNode": 3,
-            "subsamplingRate": 0.8, "featureSubsetStrategy": "0.8", "minInfoGain": 0.1, "seed": SEED},
+            "subsamplingRate": 0.8, "featureSubsetStrategy": "0.8", "seed": SEED},
     "lgb": {"maxIter": 200, "stepSize": 0.05, "maxDepth": 6, "subsamplingRate": 0.8,
             "featureSubsetStrategy": "0.8", "seed": SEED},
 }
@@ -70,6 +73,11 @@ def is_train(col="id") -> F.Column:
     return split_bucket(col) < TRAIN_PERCENT
 
 
+def fold_of(col: str, folds: int) -> F.Column:
+    """Cross-validation fold of a key: a hash, so folds stay the same whatever the partitioning."""
+    return F.pmod(F.xxhash64(F.lit(SEED), F.col(col)), F.lit(max(folds, 1))).cast("int")
+
+
 def model_frame(main: DataFrame, target: str) -> DataFrame:
     """Id, features and ``label`` for rows with a target value."""
     col = TARGETS[target]
@@ -135,14 +143,14 @@ def clip_bounds(frame: DataFrame, target: str) -> tuple[float | None, float | No
 # ---------------------------------------------------------------- M12 ------
 
 def regression_metrics(pred: DataFrame, label="label", prediction="prediction") -> DataFrame:
-    """Rmse, mae, r2 (1 - SSres/SStot) of a scored test set, one aggregate."""
+    """Rmse, mae, r2 (1 - SSres/SStot) of a scored test set, one aggregate.
+
+    SStot is n times the population variance, which Spark merges stably.
+    """
     y, p = F.col(label), F.col(prediction)
-    stats = pred.agg(F.count(F.lit(1)).alias("n_test"), F.avg((p - y) * (p - y)).alias("mse"),
-                     F.avg(F.abs(p - y)).alias("mae"), F.sum((y - p) * (y - p)).alias("ss_res"),
-                     F.avg(y).alias("ym"))
-    sst = pred.crossJoin(F.broadcast(stats.select("ym"))).agg(
-        F.sum((y - F.col("ym")) * (y - F.col("ym"))).alias("ss_tot"))
-    return stats.crossJoin(sst).select(
+    return pred.agg(F.count(F.lit(1)).alias("n_test"), F.avg((p - y) * (p - y)).alias("mse"),
+                    F.avg(F.abs(p - y)).alias("mae"), F.sum((y - p) * (y - p)).alias("ss_res"),
+                    (F.var_pop(y) * F.count(y)).alias("ss_tot")).select(
         "n_test", F.sqrt("mse").alias("rmse"), "mae",
         (F.lit(1.0) - F.try_divide(F.col("ss_res"), F.nullif(F.col("ss_tot"), F.lit(0.0)))).alias("r2"))
 
@@ -154,9 +162,8 @@ def baseline_metrics(main: DataFrame) -> DataFrame:
         frame = model_frame(main, t).select("id", "label")
         lo, hi = clip_bounds(frame, t)
         c = frame.select(is_train().alias("is_train"), clip("label", lo, hi).alias("label"))
-        p0 = c.where("is_train").agg(F.avg("label").alias("p0"))
-        test = (c.where(~F.col("is_train")).crossJoin(F.broadcast(p0))
-                .select("label", clip("p0", lo, hi).alias("prediction")))
+        p0 = c.where("is_train").agg(F.avg("label").alias("p0")).first()["p0"]
+        test = c.where(~F.col("is_train")).select("label", clip(F.lit(p0).cast("double"), lo, hi).alias("prediction"))
         parts.append(regression_metrics(test).select(F.lit(t).alias("target"), "*"))
     out = parts[0]
     for p in parts[1:]:
@@ -230,6 +237,7 @@ class TrainResult:
     cv_mean: float | None
     cv_std: float | None
     features: list = field(default_factory=list)
+    error: str | None = None      # why the algorithm failed (it then has no model)
 
 
 def train_target(main: DataFrame, target: str, algorithms=("rf", "xgb", "lgb"), n_iter: int = 20,
@@ -243,7 +251,7 @@ def train_target(main: DataFrame, target: str, algorithms=("rf", "xgb", "lgb"),
     feats = [c for c in frame.columns if c not in ("id", "label")]
     lo, hi = clip_bounds(frame, target)
     data = frame.select("id", *feats, clip("label", lo, hi).alias("label"),
-                        is_train().alias("__train")).persist(StorageLevel.MEMORY_AND_DISK)
+                        is_train().alias("__train"), fold_of("id", folds).alias("__fold")).persist(StorageLevel.MEMORY_AND_DISK)
     train = data.where("__train").drop("__train")
     test = data.where(~F.col("__train")).drop("__train")
     results = []
@@ -257,7 +265,7 @@ def train_target(main: DataFrame, target: str, algorithms=("rf", "xgb", "lgb"),
                 if folds >= 2:
                     grid = random_param_maps(alg, reg, n_iter) if n_iter > 0 else ParamGridBuilder().build()
                     cv = CrossValidator(estimator=pipe, estimatorParamMaps=grid, evaluator=evaluator,
-                                        numFolds=folds, seed=SEED, parallelism=parallelism)
+                                        numFolds=folds, foldCol="__fold", parallelism=parallelism)
                     cvm = cv.fit(train)
                     best = cvm.bestModel
                     best_i = max(range(len(cvm.avgMetrics)), key=lambda i: cvm.avgMetrics[i])
@@ -269,8 +277,9 @@ def train_target(main: DataFrame, target: str, algorithms=("rf", "xgb", "lgb"),
                 m = regression_metrics(pred).first()
                 results.append(TrainResult(target, alg, best, _f(m["rmse"]), _f(m["mae"]), _f(m["r2"]),
                                            cv_mean, cv_std, feats))
-            except Exception as exc:  # M14: an algorithm that fails is skipped
-                print(f"[pondlens] {target}/{alg} skipped: {exc}")
+            except Exception as exc:  # M14: an algorithm that fails is left out of the choice, and reported
+                results.append(TrainResult(target, alg, None, None, None, None, None, None, feats,
+                                           f"{type(exc).__name__}: {exc}"[:500]))
     finally:
         data.unpersist()
     return results
@@ -281,17 +290,18 @@ def _f(x):
 
 
 def best_result(results: list[TrainResult]) -> TrainResult | None:
-    """Best by cross-validated mean R2."""
-    ok = [r for r in results if r.cv_mean is not None]
-    return max(ok, key=lambda r: r.cv_mean) if ok else (results[0] if results else None)
+    """Best by cross-validated mean R2, of the algorithms that did not fail."""
+    fitted = [r for r in results if r.error is None]
+    ok = [r for r in fitted if r.cv_mean is not None]
+    return max(ok, key=lambda r: r.cv_mean) if ok else (fitted[0] if fitted else None)
 
 
 def summary_frame(spark, results: list[TrainResult]) -> DataFrame:
     """Target x algorithm x metrics."""
     rows = [(TARGET_LABELS[r.target], r.algorithm.upper(), _f(r.r2), _f(r.rmse), _f(r.mae), _f(r.cv_mean),
-             _f(r.cv_std)) for r in results]
+             _f(r.cv_std), r.error) for r in results]
     return spark.createDataFrame(rows, "model_type string, algorithm string, r2 double, rmse double, mae double, "
-                                       "cv_mean double, cv_std double")
+                                       "cv_mean double, cv_std double, error string")
 
 
 def importance_frame(spark, result: TrainResult) -> DataFrame:
@@ -319,7 +329,7 @@ def importance_frame(spark, result: TrainResult) -> DataFrame:
 QUICK = {"algorithms": ("rf", "xgb", "lgb"), "n_iter": 0, "folds": 2,
          "params": {"rf": {"numTrees": 20, "maxDepth": 8, "minInstancesPerNode": 2, "seed": SEED},
                     "xgb": {"maxIter": 10, "stepSize": 0.1, "maxDepth": 4, "subsamplingRate": 0.8,
-                            "featureSubsetStrategy": "0.8", "minInfoGain": 0.1, "seed": SEED},
+                            "featureSubsetStrategy": "0.8", "seed": SEED},
                     "lgb": {"maxIter": 10, "stepSize": 0.1, "maxDepth": 4, "subsamplingRate": 0.8,
                             "featureSubsetStrategy": "0.8", "seed": SEED}}}
 
@@ -336,23 +346,37 @@ def model_summary(main: DataFrame, settings: dict | None = None, workers: int =
     return summary_frame(main.sparkSession, res)
 
 
-def _quick_fit(main: DataFrame, target: str) -> TrainResult:
-    return train_target(main, target, ("rf",), 0, 0, QUICK["params"])[0]
+def _quick_fit(main: DataFrame, target: str, algorithm: str = "rf") -> TrainResult:
+    result = train_target(main, target, (algorithm,), 0, 0, QUICK["params"])[0]
+    if result.error:
+        raise RuntimeError(f"{target}/{algorithm}: {result.error}")
+    return result
 
 
-def prediction_errors(main: DataFrame, target: str) -> DataFrame:
-    """Prediction - actual (unclipped actual) on the test rows."""
-    r = _quick_fit(main, target)
-    frame = model_frame(main, target)
-    lo, hi = clip_bounds(frame, target)
-    test = frame.where(~is_train())
-    pred = r.model.transform(test).withColumn("prediction", clip("prediction", lo, hi))
-    return pred.select("id", F.col("label").alias("actual"), "prediction",
-                       (F.col("prediction") - F.col("label")).alias("error"))
+def _quick_fits(main: DataFrame, algorithms) -> list[TrainResult]:
+    """Every target by every algorithm; Spark runs their jobs side by side."""
+    from concurrent.futures import ThreadPoolExecutor
+    tasks = [(t, a) for t in TARGETS for a in algorithms]
+    with ThreadPoolExecutor(max_workers=len(tasks)) as pool:
+        return [f.result() for f in [pool.submit(_quick_fit, main, t, a) for t, a in tasks]]
+
 
+def prediction_errors(main: DataFrame, result: TrainResult) -> DataFrame:
+    """Prediction - actual (unclipped actual) on the test rows of one fitted model."""
+    frame = model_frame(main, result.target)
+    lo, hi = clip_bounds(frame, result.target)
+    pred = result.model.transform(frame.where(~is_train())).withColumn("prediction", clip("prediction", lo, hi))
+    return pred.select(F.lit(result.target).alias("target"), F.lit(result.algorithm).alias("algorithm"), "id",
+                       F.col("label").alias("actual"), "prediction", (F.col("prediction") - F.col("label")).alias("error"))
 
-def feature_importance(main: DataFrame, target: str) -> DataFrame:
-    return importance_frame(main.sparkSession, _quick_fit(main, target))
+
+def all_prediction_errors(main: DataFrame) -> DataFrame:
+    return reduce(DataFrame.unionByName, [prediction_errors(main, r) for r in _quick_fits(main, QUICK["algorithms"])])
+
+
+def all_feature_importance(main: DataFrame) -> DataFrame:
+    return reduce(DataFrame.unionByName, [
+        importance_frame(main.sparkSession, r).withColumn("target", F.lit(r.target)) for r in _quick_fits(main, ("rf",))])
 
 
 # ---------------------------------------------------------------- S6/S7/M18
@@ -367,20 +391,19 @@ def save_models(results: dict[str, TrainResult], out_dir: str) -> str:
         meta["features"][t] = len(r.features)
         meta.setdefault("feature_names", {})[t] = r.features
         meta.setdefault("algorithm", {})[t] = r.algorithm
-    if "://" not in out_dir:
-        os.makedirs(out_dir, exist_ok=True)
-        with open(os.path.join(out_dir, "metadata.json"), "w") as fh:
-            json.dump(meta, fh, indent=2)
+    spark = SparkSession.getActiveSession()
+    spark.createDataFrame([(json.dumps(meta),)], "value string").coalesce(1).write.mode("overwrite").text(
+        os.path.join(out_dir, METADATA))
     return out_dir
 
 
+def load_metadata(spark: SparkSession, model_dir: str) -> dict:
+    """What ``save_models`` recorded, from any file system Spark reaches."""
+    return json.loads(spark.read.text(os.path.join(model_dir, METADATA)).first()["value"])
+
+
 def load_models(model_dir: str) -> dict[str, PipelineModel]:
-    """Load whatever target models exist; a missing one is skipped."""
-    out = {}
-    for t in TARGETS:
-        path = os.path.join(model_dir, f"{t}_model")
-        try:
-            out[t] = PipelineModel.load(path)
-        except Exception:
-            continue
-    return out
+    """Load whatever target models exist; only a missing folder is skipped."""
+    spark = SparkSession.getActiveSession()
+    paths = {t: os.path.join(model_dir, f"{t}_model") for t in TARGETS}
+    return {t: PipelineModel.load(p) for t, p in paths.items() if path_exists(spark, p)}

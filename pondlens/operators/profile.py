@@ -101,20 +101,25 @@ def value_checks(catalog: dict, cfg: PipelineConfig | None = None, issue: str =
 
 
 def fk_violations(catalog: dict, cfg: PipelineConfig | None = None) -> DataFrame | None:
-    """Distinct non-NULL child keys absent from the parent key set."""
+    """Distinct non-NULL child keys absent from the parent key set.
+
+    All children of a parent share one anti join: their distinct (relation,
+    key) pairs are united first.
+    """
     cfg = cfg or PipelineConfig()
-    parts = []
+    children: dict[tuple[str, str], list[DataFrame]] = {}
     for child, ck, parent, pk, label in cfg.foreign_keys:
         c, p = catalog.get(child), catalog.get(parent)
         if c is None or p is None or ck not in c.columns or pk not in p.columns:
             continue
-        keys = c.select(F.col(ck).alias("k")).where(F.col("k").isNotNull()).distinct()
-        parent_keys = p.select(F.col(pk).cast(c.schema[ck].dataType).alias("k")).distinct()
-        orphans = keys.join(parent_keys, "k", "left_anti")
-        parts.append(orphans.agg(F.count(F.lit(1)).cast("bigint").alias("count"))
-                     .select(F.lit(label).alias("relation"), "count"))
+        keys = c.select(F.lit(label).alias("relation"), F.col(ck).cast(p.schema[pk].dataType).alias("k"))
+        children.setdefault((parent, pk), []).append(keys.where(F.col("k").isNotNull()))
+    parts = []
+    for (parent, pk), keys in children.items():
+        pairs = _union(keys).distinct()
+        parts.append(pairs.join(catalog[parent].select(F.col(pk).alias("k")), "k", "left_anti"))
     out = _union(parts)
-    return None if out is None else out.where(F.col("count") > 0)
+    return None if out is None else out.groupBy("relation").agg(F.count(F.lit(1)).alias("count"))
 
 
 def dq_issues(catalog: dict, cfg: PipelineConfig | None = None) -> DataFrame:
@@ -139,16 +144,20 @@ def dq_issues(catalog: dict, cfg: PipelineConfig | None = None) -> DataFrame:
 
 
 def null_totals(catalog: dict) -> DataFrame | None:
-    """Remaining NULLs per column and per table (``column`` NULL = table total)."""
+    """Remaining NULLs per column and per table (``column`` NULL = table total).
+
+    One aggregate per table; its one row is unfolded into columns and total.
+    """
     parts = []
     for name, df in catalog.items():
         if df is None:
             continue
-        counts = _check_counts(name, df, [("missing", c, F.col(c).isNull()) for c in df.columns])
-        per_col = counts.select("dataset", "column", F.col("count").alias("missing"))
-        total = counts.groupBy("dataset").agg(F.sum("count").cast("bigint").alias("missing")) \
-            .select("dataset", F.lit(None).cast("string").alias("column"), "missing")
-        parts.append(per_col.unionByName(total))
+        wide = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in df.columns])
+        total = reduce(lambda a, b: a + b, [F.col(c) for c in df.columns])
+        entries = [F.struct(F.lit(c).alias("column"), F.col(c).alias("missing")) for c in df.columns]
+        entries.append(F.struct(F.lit(None).cast("string").alias("column"), total.alias("missing")))
+        parts.append(wide.select(F.explode(F.array(*entries)).alias("e"))
+                     .select(F.lit(name).alias("dataset"), "e.column", F.col("e.missing").cast("bigint").alias("missing")))
     return _union(parts)
 
 
@@ -161,8 +170,8 @@ def describe_catalog(catalog: dict, columns: dict | None = None) -> DataFrame |
     """P2 for many tables in one quantile computation: the first pass of the
     exact quantiles also yields count/mean/std/min/max of every column, so
     each table is scanned once for all of its statistics."""
-    from pondlens.operators.quantiles import exact_quantiles, long_size_hint
-    longs, spark, all_keys, wides = [], None, [], []
+    from pondlens.operators.quantiles import exact_quantiles
+    longs, spark, all_keys = [], None, []
     for name, df in catalog.items():
         if df is None:
             continue
@@ -173,7 +182,6 @@ def describe_catalog(catalog: dict, columns: dict | None = None) -> DataFrame |
         keys = [f"{name}|{c}" for c in cols]
         all_keys += keys
         d = df.select(*[F.col(c).cast("double").alias(k) for c, k in zip(cols, keys)])
-        wides.append(d)
         long = (d.unpivot([], [F.col(f"`{k}`") for k in keys], "column", "v") if len(keys) > 1
                 else d.select(F.lit(keys[0]).alias("column"), F.col(f"`{keys[0]}`").alias("v")))
         longs.append(long.where(F.col("v").isNotNull() & ~F.isnan("v")))
@@ -183,7 +191,7 @@ def describe_catalog(catalog: dict, columns: dict | None = None) -> DataFrame |
     for lq in longs[1:]:
         allq = allq.unionByName(lq)
     mom: dict = {}
-    q = exact_quantiles(allq, [0.25, 0.5, 0.75], moments=mom, size_hint=long_size_hint(wides))
+    q = exact_quantiles(allq, [0.25, 0.5, 0.75], moments=mom)
     rows = []
     for key in all_keys:                  # an all-NULL column reports count 0
         m = mom.get(key, {"n": 0, "mean": None, "std": None, "lo": None, "hi": None})
@@ -199,11 +207,6 @@ def preview(df: DataFrame, n: int = 5, order_by: list[str] | None = None) -> Dat
     return (df.orderBy(*order_by) if order_by else df).limit(n)
 
 
-def column_types(df: DataFrame, name: str) -> list[tuple[str, str, str]]:
-    """(dataset, column, type) from the schema (no data read)."""
-    return [(name, f.name, f.dataType.simpleString()) for f in df.schema.fields]
-
-
 def schema_summary(df: DataFrame) -> DataFrame:
     """Rows, columns and column counts by type class of a (main) table."""
     numeric = len(numeric_columns(df))

@@ -14,14 +14,15 @@ last small range is ranked with a running sum.
 * ``exact_quantiles`` / ``quantile_values`` - eager, adaptive number of passes,
   only ``ranges x buckets`` numbers reach the driver (used for the cleaning
   statistics that are inlined as literals);
-* ``quantile_table`` - lazy and grouped, a fixed number of unrolled passes for
-  groups above ``small_group`` rows (used for per-group statistics).
+* ``quantile_table`` - grouped, with a fixed number of unrolled passes for
+  groups above ``small_group`` rows (used for per-group statistics); one count
+  at build time tells whether there are such groups.
 """
 
 from __future__ import annotations
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SMALL_GROUP = 100_000
@@ -47,7 +48,7 @@ def quantile_table(df: DataFrame, columns: list[str], probs: list[float],
     """Exact quantiles of ``columns`` at ``probs``, optionally per ``by`` group.
 
     Returns ``by..., column, prob, n, value``; NULL values are ignored and an
-    all-NULL group yields no row. Fully lazy (no driver round trip).
+    all-NULL group yields no row.
     """
     by = list(by or [])
     return quantile_table_long(_long(df, columns, by), probs, by, small_group, buckets, passes)
@@ -151,81 +152,53 @@ def quantile_values(df: DataFrame, columns: list[str], probs: list[float]) -> di
     return out
 
 
-def medians(df: DataFrame, columns: list[str]) -> dict[str, float | None]:
-    vals = quantile_values(df, columns, [0.5])
-    return {c: vals[(c, 0.5)] for c in columns}
-
-
 # ---------------------------------------------------------------------------
 # Eager exact quantiles by range refinement (plain codegen aggregates)
 # ---------------------------------------------------------------------------
 
 REFINE_BUCKETS = 1024
-REFINE_SLICE = 200_000
-REFINE_MAX_ITER = 64
-# the long (column, v) frame is cached for the passes only when it is proven
-# small (optimizer estimate, else exact row count after the first pass);
-# larger inputs are re-scanned per pass (column-pruned), never cached whole
-CACHE_MAX_BYTES = 1 << 30
-LONG_ROW_BYTES = 24
-
+_INFINITE = 4000     # exponent slot of an infinite value
 
-def long_size_hint(wide_frames: list[DataFrame]) -> int:
-    """Bytes of the long form of some wide double projections: the optimizer's
-    (file-based) estimate of each projection, x3 for one key per value."""
-    return sum(_estimated_bytes(w) for w in wide_frames) * 3
 
-
-def _estimated_bytes(df: DataFrame) -> int:
-    try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # no estimate: treat as large
-        return 1 << 62
+def _exponent(v) -> Column:
+    """Monotone slot of a value: its sign and power of two, 0 for zero."""
+    size = F.abs(v)
+    slot = F.when(size == float("inf"), F.lit(_INFINITE)).otherwise(F.floor(F.log2(size)).cast("int") + 2000)
+    return F.when(v == 0, F.lit(0)).when(v > 0, slot).otherwise(-slot)
 
 
 def exact_quantiles(long: DataFrame, probs: list[float], buckets: int = REFINE_BUCKETS,
-                    max_slice: int = REFINE_SLICE, moments: dict | None = None,
-                    size_hint: int | None = None) -> dict[tuple[str, float], float | None]:
+                    moments: dict | None = None) -> dict[tuple[str, float], float | None]:
     """Exact ``quantile_cont`` values of every ``column`` of a long ``(column, v)`` frame.
 
-    1. one aggregate: ``n``, ``min``, ``max`` per column;
-    2. while a target rank's candidate range holds more than ``max_slice``
-       rows: one aggregate counts the range's rows in ``buckets`` equal-width
-       buckets (with each bucket's exact min/max) for all open ranges at
-       once; the bucket holding the rank becomes the new range ``[min, max]``
-       (buckets are monotone in ``v``, so that range holds exactly that
-       bucket's rows). Each pass shrinks a range at least ``buckets``-fold;
-    3. one windowed pass ranks the distinct values of every remaining slice
-       (at most ``max_slice`` rows each, each slice ranked once however many
-       target ranks it holds) and picks the order statistics.
-
-    Every pass is a distributed aggregate; only ``ranges x buckets`` numbers
-    reach the driver. The input is cached for the passes only when its size
-    is proven small (``CACHE_MAX_BYTES``); otherwise each pass re-scans it. ``moments`` (a dict), when given, receives each
-    column's n/min/max/mean/std from the first pass. The long frame is persisted (memory and disk) for the
-    refinement passes. NULL/NaN values must already be removed.
+    1. One aggregate counts every column's values by sign and power of two,
+       with each slot's exact min and max; infinities have slots of their own.
+       A slot spans a factor of two at most.
+    2. While a target rank's slot holds more than one distinct value, one
+       aggregate counts the rows of all open ranges in ``buckets`` equal-width
+       buckets, again with exact min and max; the bucket that holds the rank
+       becomes the next range.
+
+    Buckets are monotone in the value, so counts are exact. A range within a
+    factor of two holds at most 2^52 different doubles and each pass divides
+    it by ``buckets``, so with 1,024 buckets six passes end on any input,
+    whatever its spread, size or hot values; no rows are ever ranked in one
+    task. Every pass is a distributed aggregate, and only ``ranges x buckets``
+    numbers reach the driver. The narrow input is persisted (memory and disk)
+    for the passes. ``moments`` (a dict), when given, receives each column's
+    n/min/max/mean/std. NULL/NaN values must already be removed.
     """
-    spark = long.sparkSession
-    long = long.select("column", F.col("v").cast("double").alias("v"))
-    cached = (size_hint if size_hint is not None else _estimated_bytes(long)) <= CACHE_MAX_BYTES
-    if cached:
-        long = long.persist(StorageLevel.MEMORY_AND_DISK)
+    long = long.select("column", F.col("v").cast("double").alias("v")).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        extra = [F.avg("v").alias("mean"), F.stddev_samp("v").alias("std")] if moments is not None else []
-        stats = long.groupBy("column").agg(F.count("v").alias("n"), F.min("v").alias("lo"),
-                                           F.max("v").alias("hi"), *extra).collect()
-        if moments is not None:   # describe-style moments from the same pass
-            moments.update({r["column"]: r.asDict() for r in stats})
-        if not cached and sum(r["n"] for r in stats) * LONG_ROW_BYTES <= CACHE_MAX_BYTES:
-            long, cached = long.persist(StorageLevel.MEMORY_AND_DISK), True
-        return _exact_quantiles(spark, long, probs, buckets, max_slice, stats)
+        if moments is not None:
+            moments.update({r["column"]: r.asDict() for r in long.groupBy("column").agg(
+                F.count("v").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"), F.avg("v").alias("mean"),
+                F.stddev_samp("v").alias("std")).collect()})
+        slots = (long.groupBy("column", _exponent(F.col("v")).alias("b"))
+                 .agg(F.count(F.lit(1)).alias("c"), F.min("v").alias("lo"), F.max("v").alias("hi")).collect())
+        return _refined(long, probs, buckets, slots)
     finally:
-        if cached:
-            long.unpersist()
-
-
-def _key_type(long: DataFrame) -> str:
-    return long.schema["column"].dataType.simpleString()
+        long.unpersist()
 
 
 def _ranges_join(long: DataFrame, rng: DataFrame) -> DataFrame:
@@ -233,74 +206,53 @@ def _ranges_join(long: DataFrame, rng: DataFrame) -> DataFrame:
                      & (long["v"] <= rng["hi"]))
 
 
-def _exact_quantiles(spark, long, probs, buckets, max_slice, stats):
-    # state per (column, rank): candidate range [lo, hi], rows below lo, rows inside
-    tg: dict[tuple[str, int], dict] = {}
-    plan: dict[tuple[str, float], tuple] = {}
-    for r in stats:
-        n = r["n"]
-        if not n:
-            continue
+def _hit(counts: list[tuple], rank: int) -> tuple:
+    """(lo, hi, rows before) of the (c, lo, hi) entry that holds the rank."""
+    below = 0
+    for c, lo, hi in counts:
+        if rank < below + c:
+            return lo, hi, below
+        below += c
+    raise ValueError(f"rank {rank} of {below} rows")
+
+
+def _refined(long, probs, buckets, slots):
+    per: dict[str, list] = {}
+    for r in sorted(slots, key=lambda r: r["b"]):
+        per.setdefault(r["column"], []).append((r["c"], r["lo"], r["hi"]))
+    plan, state = {}, {}      # (column, q) -> ranks; (column, rank) -> lo, hi, rows below lo
+    for column, counts in per.items():
+        n = sum(c for c, _, _ in counts)
         for q in probs:
             h = (n - 1) * float(q)
-            lo_r, hi_r = int(h // 1), int(-(-h // 1))
-            plan[(r["column"], float(q))] = (lo_r, hi_r, h - lo_r)
-            for rank in (lo_r, hi_r):
-                tg.setdefault((r["column"], rank), {"lo": r["lo"], "hi": r["hi"], "below": 0, "inside": n})
-
-    def slices(pred):
-        out: dict[tuple, list] = {}
-        for k, t in tg.items():
-            if pred(t):
-                out.setdefault((k[0], t["lo"], t["hi"], t["below"]), []).append(k)
-        return out
-
-    for _ in range(REFINE_MAX_ITER):
-        open_ = slices(lambda t: t["inside"] > max_slice and (float(t["hi"]) - float(t["lo"])) / buckets > 0)
-        if not open_:
-            break
-        keys = list(open_)
-        rng = spark.createDataFrame(
-            [(i, c, float(lo), float(hi), (float(hi) - float(lo)) / buckets) for i, (c, lo, hi, _) in enumerate(keys)],
-            f"sid int, rcol {_key_type(long)}, lo double, hi double, width double")
-        b = F.least(F.floor((F.col("v") - F.col("lo")) / F.col("width")), F.lit(buckets - 1)).alias("b")
+            ranks = int(h // 1), int(-(-h // 1))
+            plan[(column, float(q))] = (*ranks, h - ranks[0])
+            for rank in ranks:
+                state[(column, rank)] = _hit(counts, rank)
+    kind = long.schema["column"].dataType.simpleString()
+    while open_ := sorted({(c, *s) for (c, _), s in state.items() if s[0] != s[1]}):
+        rng = long.sparkSession.createDataFrame(
+            [(i, c, float(lo), float(hi), float(hi) / buckets - float(lo) / buckets) for i, (c, lo, hi, _) in enumerate(open_)],
+            f"sid int, rcol {kind}, lo double, hi double, width double")
+        # a width of 0 (neighbouring tiny doubles) leaves the two ends as buckets of their own
+        b = F.when(F.col("width") > 0, F.least(F.floor((F.col("v") - F.col("lo")) / F.nullif("width", F.lit(0.0))),
+                                               F.lit(buckets - 1)))
+        b = F.when(F.col("v") == F.col("hi"), F.lit(buckets)).otherwise(F.coalesce(b, F.lit(0))).alias("b")
         rows = (_ranges_join(long, rng).select("sid", "v", b).groupBy("sid", "b")
-                .agg(F.count(F.lit(1)).alias("c"), F.min("v").alias("bmin"), F.max("v").alias("bmax"))
-                .collect())
-        per: dict[int, list] = {}
-        for r in rows:
-            per.setdefault(r["sid"], []).append((r["b"], r["c"], r["bmin"], r["bmax"]))
-        for i, key in enumerate(keys):
-            bl = sorted(per.get(i, []))
-            for k in open_[key]:
-                t = tg[k]
-                local, cum = k[1] - t["below"], 0
-                for _bi, c, bmin, bmax in bl:
-                    if cum <= local < cum + c:
-                        t.update(lo=bmin, hi=bmax, below=t["below"] + cum, inside=c)
-                        break
-                    cum += c
-    values: dict[tuple[str, int], float] = {}
-    for k, t in tg.items():
-        if t["lo"] == t["hi"]:
-            values[k] = float(t["lo"])
-    rest = slices(lambda t: t["lo"] != t["hi"])
-    if rest:
-        keys = list(rest)
-        rng = spark.createDataFrame(
-            [(i, c, float(lo), float(hi), int(below), [int(k[1]) for k in rest[(c, lo, hi, below)]])
-             for i, (c, lo, hi, below) in enumerate(keys)],
-            f"sid int, rcol {_key_type(long)}, lo double, hi double, below bigint, ranks array<bigint>")
-        vc = _ranges_join(long, rng).groupBy("sid", "below", "ranks", "v").agg(F.count(F.lit(1)).alias("cnt"))
-        w = Window.partitionBy("sid").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        ranked = vc.withColumn("end", F.col("below") + F.sum("cnt").over(w))
-        hit = (ranked.select("sid", "v", "end", (F.col("end") - F.col("cnt")).alias("start"),
-                             F.explode("ranks").alias("rank"))
-               .where((F.col("start") <= F.col("rank")) & (F.col("rank") < F.col("end"))))
-        for r in hit.select("sid", "rank", "v").collect():
-            values[(keys[r["sid"]][0], r["rank"])] = r["v"]
-    out: dict[tuple[str, float], float | None] = {}
-    for (c, q), (lo_r, hi_r, frac) in plan.items():
-        x_lo, x_hi = values.get((c, lo_r)), values.get((c, hi_r))
-        out[(c, q)] = None if x_lo is None or x_hi is None else x_lo + frac * (x_hi - x_lo)
+                .agg(F.count(F.lit(1)).alias("c"), F.min("v").alias("lo"), F.max("v").alias("hi")).collect())
+        found: dict[int, list] = {}
+        for r in sorted(rows, key=lambda r: r["b"]):
+            found.setdefault(r["sid"], []).append((r["c"], r["lo"], r["hi"]))
+        sid = {key: i for i, key in enumerate(open_)}
+        for (c, rank), s in list(state.items()):
+            if s[0] != s[1]:
+                lo, hi, before = _hit(found[sid[(c, *s)]], rank - s[2])
+                state[(c, rank)] = (lo, hi, s[2] + before)
+    out = {}
+    for (c, q), (a, b, frac) in plan.items():
+        lo, hi = float(state[(c, a)][0]), float(state[(c, b)][0])
+        if lo == hi or lo == float("-inf"):
+            out[(c, q)] = lo
+        else:
+            out[(c, q)] = hi if hi == float("inf") else lo + frac * (hi - lo)
     return out

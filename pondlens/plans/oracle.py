@@ -10,6 +10,7 @@ column configuration the Spark operators receive.
 from __future__ import annotations
 
 from pondlens.config import IQR_FACTOR, PipelineConfig
+from pondlens.functions.exprs import HALF, HALF_WITH_MARGIN
 from pondlens.sources.driver_views import RAW_VIEWS
 
 AS_OF = "TIMESTAMP '2026-01-01 00:00:00'"
@@ -27,12 +28,16 @@ RAW_COLUMNS = {
                      "morning_do", "evening_do", "morning_salinity", "evening_salinity",
                      "morning_pH", "evening_pH"],
     "mortalities": ["cycle_id", "quantity", "average_weight", "recorded_at"],
+    "fasting": ["cycle_id", "fasted_at"],
+    "feed_tray": ["cycle_id", "logged_at", "feed_logged_at"],
 }
+NAN_COLUMNS = {"feeds": ["quantity"]}
+UNCHECKED_DATES = {"fasting": ["fasted_at"]}
 TEXT_COLUMNS = {"farms": ["name"], "cycles": ["started_at", "finished_at"]}
 
 
 def numeric_raw(tbl: str) -> list[str]:
-    dates = PipelineConfig().date_columns.get(tbl, [])
+    dates = PipelineConfig().date_columns.get(tbl, []) + UNCHECKED_DATES.get(tbl, [])
     return [c for c in RAW_COLUMNS[tbl] if c not in dates and c not in TEXT_COLUMNS.get(tbl, [])]
 
 
@@ -121,7 +126,9 @@ def coerce_ctes(cfg: PipelineConfig) -> list[tuple[str, str]]:
     out = []
     for tbl, cols in RAW_COLUMNS.items():
         dates = set(cfg.date_columns.get(tbl, []))
-        sel = ", ".join(f"TRY_CAST({c} AS TIMESTAMP) AS {c}" if c in dates else c for c in cols)
+        nans = NAN_COLUMNS.get(tbl, [])
+        sel = ", ".join(f"TRY_CAST({c} AS TIMESTAMP) AS {c}" if c in dates
+                        else f"CASE WHEN isnan({c}) THEN NULL ELSE {c} END AS {c}" if c in nans else c for c in cols)
         out.append((f"t_{tbl}", f"SELECT {sel} FROM raw_{tbl}"))
     return out
 
@@ -132,12 +139,12 @@ def main_ctes(cfg: PipelineConfig, src: str = "k") -> list[tuple[str, str]]:
                   f"stddev_samp({p}) AS {p}_std" for p in params)
     wcols = ", ".join(f"w.{p}_{s}" for p in params for s in ("mean", "min", "max", "std"))
     return [
-        ("h_agg", f"SELECT cycle_id, coalesce(CAST(sum(CAST(weight AS DECIMAL(38,6))) AS DOUBLE), 0.0) AS weight, avg(size) AS size, "
+        ("h_agg", f"SELECT cycle_id, coalesce(sum(CAST(weight AS DOUBLE)), 0.0) AS weight, avg(size) AS size, "
                   f"max(harvested_at) AS harvested_at FROM {src}_harvests WHERE cycle_id IS NOT NULL GROUP BY cycle_id"),
         ("s_agg", "SELECT cycle_id, arg_max(average_weight, (sampled_at, l_linenumber, l_partkey, l_suppkey)) "
                   "FILTER (WHERE average_weight IS NOT NULL) AS average_weight, max(sampled_at) AS last_sampled_at "
                   f"FROM {src}_sampling WHERE cycle_id IS NOT NULL GROUP BY cycle_id"),
-        ("f_agg", f"SELECT cycle_id, coalesce(CAST(sum(CAST(quantity AS DECIMAL(38,6))) AS DOUBLE), 0.0) AS total_feed FROM {src}_feeds "
+        ("f_agg", f"SELECT cycle_id, coalesce(sum(CAST(quantity AS DOUBLE)), 0.0) AS total_feed FROM {src}_feeds "
                   "WHERE cycle_id IS NOT NULL GROUP BY cycle_id"),
         ("w_agg", f"SELECT cycle_id, {w} FROM {src}_measurements WHERE cycle_id IS NOT NULL GROUP BY cycle_id"),
         ("pf", "SELECT p.id AS id_pond, p.farm_id, p.length, p.width, p.deep, "
@@ -187,9 +194,9 @@ def wrap(spec: list[tuple[str, str]], inner: str) -> str:
     """Final projection matching ``finalize`` on the Spark side."""
     sel = []
     for c, kind in spec:
-        if kind == "d":
-            x = f'CAST("{c}" AS DOUBLE)'
-            sel.append(f'CASE WHEN abs({x}) < 9e12 THEN floor({x} * 1e6 + 0.5) / 1e6 ELSE {x} END + 0.0 AS "{c}"')
+        if kind in ("d", "r"):
+            x, half = f'CAST("{c}" AS DOUBLE)', HALF if kind == "d" else HALF_WITH_MARGIN
+            sel.append(f'CASE WHEN abs({x}) < 9e12 THEN floor({x} * 1e6 + {half}) / 1e6 ELSE {x} END + 0.0 AS "{c}"')
         elif kind == "i":
             sel.append(f'CAST("{c}" AS BIGINT) AS "{c}"')
         elif kind == "t":

@@ -12,9 +12,14 @@ from __future__ import annotations
 import argparse
 import os
 from dataclasses import replace
+from functools import reduce
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from pondlens.config import KPI_COLUMNS, PipelineConfig
 from pondlens.operators import analysis as AN
+from pondlens.operators import clean as C
 from pondlens.operators import features as FE
 from pondlens.operators import profile as P
 from pondlens.plans.stages import Stages
@@ -49,6 +54,18 @@ def run(spark, data_dir: str, out_dir: str, fmt: str = "csv", as_of: str | None
     w("box_stats", AN.box_stats(main.where(AN.sr_in_range()), "season", ["survival_rate", "adg"]))
     w("cycles_by_month", AN.cycles_by_month(cleaned["cycles"]))
     w("cycles_by_season", AN.cycles_by_season(main))
+    w("schema_summary", P.schema_summary(main))
+    w("histograms", AN.main_histograms(main))
+    w("corr_filtered", AN.corr_pairs(main.where(AN.sr_density_valid()), [("stocking_density", "survival_rate")], "density_sr")
+      .unionByName(AN.corr_pairs(main.where(AN.all_valid()), [("fcr", "survival_rate"), ("fcr", "adg")], "fcr")))
+    w("trend_lines", AN.trend_lines(main.where(AN.sr_density_valid()), [("stocking_density", "survival_rate")], "density_sr")
+      .unionByName(AN.trend_lines(main.where(AN.all_valid()), [("fcr", "survival_rate"), ("fcr", "adg")], "fcr")))
+    outliers = [C.iqr_outliers(r["iqr_input"], n, r["iqr_bounds"]) for n, r in st.clean_reports.items() if r.get("iqr_bounds")]
+    if outliers:
+        w("iqr_outliers", reduce(DataFrame.unionByName, outliers))
+    if cleaned.get("measurements") is not None:
+        w("histograms_water", AN.histograms(cleaned["measurements"], {
+            p: F.col(p) for p in cfg.water_params if p in cleaned["measurements"].columns}))
     if cleaned.get("feeds") is not None:
         w("daily_feed", FE.daily_feed(cleaned["feeds"], cleaned["cycles"]))
     return outputs

@@ -1,7 +1,7 @@
 """Query registry: one entry per SURVEY section 2 operator key.
 
 Each entry has a Spark builder over the pipeline ``Stages``, an output spec
-(column -> kind: d double, i bigint, t timestamp-as-text, s string, b bool)
+(column -> kind: d double, r ratio of sums, i bigint, t timestamp-as-text, s string, b bool)
 that fixes names, types and rounding on both sides, and - where the operator
 is SQL-expressible - an independent DuckDB statement over the same raw views.
 """
@@ -43,6 +43,8 @@ def finalize(df: DataFrame, spec: list) -> DataFrame:
     for c, kind in spec:
         if kind == "d":
             out.append(X.r6(c).alias(c))
+        elif kind == "r":
+            out.append(X.r6(c, X.HALF_WITH_MARGIN).alias(c))
         elif kind == "i":
             out.append(F.col(c).cast("bigint").alias(c))
         elif kind == "t":
@@ -165,6 +167,21 @@ def _metrics_sql() -> str:
     return _union_sql(parts)
 
 
+# ---------------------------------------------------------------- parts of the main table
+
+
+def _with_kpis(st: Stages) -> DataFrame:
+    return FE.add_cycle_kpis(st.cleaned["cycles"], st.cfg.as_of)
+
+
+def _with_sampling(st: Stages) -> DataFrame:
+    return FE.left_by_cycle(st.cleaned["cycles"], FE.last_sampling(st.cleaned["sampling"], st.cfg.sampling_order))
+
+
+def _with_water(st: Stages) -> DataFrame:
+    return FE.left_by_cycle(st.cleaned["cycles"], FE.water_quality_agg(st.cleaned["measurements"], st.cfg.water_params))
+
+
 # ---------------------------------------------------------------- the registry
 
 
@@ -193,7 +210,7 @@ def _registry() -> dict[str, Query]:
                     f"stddev_samp({c}) AS std, CAST(min({c}) AS DOUBLE) AS min, quantile_cont({c}, 0.25) AS q25, "
                     f"quantile_cont({c}, 0.5) AS q50, quantile_cont({c}, 0.75) AS q75, "
                     f"CAST(max({c}) AS DOUBLE) AS max FROM {src}"
-                    for t, src, cols in [(t, f"raw_{t}", O.numeric_raw(t)) for t in RAW_TABLES]
+                    for t, src, cols in [(t, f"t_{t}", O.numeric_raw(t)) for t in RAW_TABLES]
                     + [("main", "main", ["culture_duration", "stocking_density", "survival_rate", "adg", "fcr"])]
                     for c in cols]))
     R["missing_profile"] = Query(
@@ -238,11 +255,16 @@ def _registry() -> dict[str, Query]:
         [("id", "i"), ("total_seed", "d"), ("area", "d")],
         "SELECT id, total_seed, area FROM b_cycles", O.clean_ctes("cycles", mean_cfg, "b", "c1"))
     R["impute_fallback"] = Query(
-        lambda st: C.impute_numeric(st.coerced["sampling"].where(F.col("average_weight").isNull()),
-                                    {"average_weight": "median"})[0],
-        [("cycle_id", "i"), ("l_linenumber", "i"), ("average_weight", "d")],
-        "SELECT cycle_id, l_linenumber, coalesce(average_weight, (SELECT quantile_cont(average_weight, 0.5) "
-        "FROM t_sampling WHERE average_weight IS NULL), 0.0) AS average_weight FROM t_sampling WHERE average_weight IS NULL")
+        # a column without any value beside one with some: the fallback applies to the first alone
+        lambda st: C.impute_numeric(st.coerced["sampling"].withColumn("blank", F.lit(None).cast("double")),
+                                    {"average_weight": "median", "blank": "median"})[0],
+        [("cycle_id", "i"), ("l_linenumber", "i"), ("l_partkey", "i"), ("average_weight", "d"), ("blank", "d")],
+        "SELECT cycle_id, l_linenumber, l_partkey, coalesce(average_weight, (SELECT quantile_cont(average_weight, 0.5) "
+        "FROM t_sampling), 0.0) AS average_weight, 0.0 AS blank FROM t_sampling")
+    R["preview"] = Query(
+        lambda st: P.preview(st.coerced["cycles"], 5, ["id"]),
+        [("id", "i"), ("pond_id", "i"), ("total_seed", "d"), ("started_at", "t")],
+        "SELECT id, pond_id, total_seed, started_at FROM t_cycles ORDER BY id LIMIT 5")
     R["impute_date_global"] = Query(
         lambda st: C.impute_date_global(st.coerced["cycles"], "started_at"),
         [("id", "i"), ("started_at", "t")],
@@ -294,14 +316,14 @@ def _registry() -> dict[str, Query]:
                           f"SELECT id, survival_rate FROM main WHERE survival_rate <= {SR_VALID[1]} AND survival_rate > {SR_VALID[0]}")
     R["valid_adg"] = Query(lambda st: st.main.where(AN.adg_is_valid()), [("id", "i"), ("adg", "d")],
                            "SELECT id, adg FROM main WHERE adg > 0")
-    R["valid_fcr"] = Query(lambda st: st.main.where(AN.fcr_is_valid()), [("id", "i"), ("fcr", "d")],
+    R["valid_fcr"] = Query(lambda st: st.main.where(AN.fcr_is_valid()), [("id", "i"), ("fcr", "r")],
                            f"SELECT id, fcr FROM main WHERE fcr > {FCR_VALID[0]} AND fcr < {FCR_VALID[1]}")
     R["sr_between"] = Query(lambda st: st.main.where(AN.sr_in_range()), [("id", "i"), ("survival_rate", "d")],
                             f"SELECT id, survival_rate FROM main WHERE survival_rate BETWEEN {SR_RANGE[0]} AND {SR_RANGE[1]}")
     valid_all_sql = (f"fcr > {FCR_VALID[0]} AND fcr < {FCR_VALID[1]} AND survival_rate BETWEEN {SR_RANGE[0]} AND "
                      f"{SR_RANGE[1]} AND adg > 0")
     R["valid_all"] = Query(lambda st: st.main.where(AN.all_valid()),
-                           [("id", "i")] + _d("fcr", "survival_rate", "adg"),
+                           [("id", "i"), ("fcr", "r")] + _d("survival_rate", "adg"),
                            f"SELECT id, fcr, survival_rate, adg FROM main WHERE {valid_all_sql}")
     dens_sql = f"survival_rate BETWEEN {SR_RANGE[0]} AND {SR_RANGE[1]} AND stocking_density > 0"
     R["sr_density_filter"] = Query(lambda st: st.main.where(AN.sr_density_valid()),
@@ -320,12 +342,15 @@ def _registry() -> dict[str, Query]:
         [("id", "i"), ("pond_id", "i"), ("id_pond", "i"), ("farm_id", "i"), ("id_farm", "i"), ("name", "s")],
         "SELECT c.id, c.pond_id, pf.id_pond, pf.farm_id, pf.id_farm, pf.name FROM k_cycles c "
         "LEFT JOIN pf ON c.pond_id = pf.id_pond")
-    R["join_harvest"] = Query(lambda st: st.main, [("id", "i"), ("weight", "d"), ("size", "d"), ("harvested_at", "t")],
+    R["join_harvest"] = Query(lambda st: FE.left_by_cycle(st.cleaned["cycles"], FE.harvest_agg(st.cleaned["harvests"])),
+                              [("id", "i"), ("weight", "d"), ("size", "d"), ("harvested_at", "t")],
                               "SELECT id, weight, size, harvested_at FROM main")
-    R["join_last_sampling"] = Query(lambda st: st.main, [("id", "i"), ("average_weight", "d"), ("days_from_start", "i")],
+    R["join_last_sampling"] = Query(lambda st: FE.add_growth(_with_sampling(st)),
+                                    [("id", "i"), ("average_weight", "d"), ("days_from_start", "i")],
                                     "SELECT id, average_weight, days_from_start FROM main")
-    R["join_feed"] = Query(lambda st: st.main, [("id", "i"), ("total_feed", "d")], "SELECT id, total_feed FROM main")
-    R["join_water"] = Query(lambda st: st.main, [("id", "i")] + _d(*WATER_AGG_COLS),
+    R["join_feed"] = Query(lambda st: FE.left_by_cycle(st.cleaned["cycles"], FE.feed_agg(st.cleaned["feeds"])),
+                           [("id", "i"), ("total_feed", "d")], "SELECT id, total_feed FROM main")
+    R["join_water"] = Query(_with_water, [("id", "i")] + _d(*WATER_AGG_COLS),
                             f"SELECT id, {', '.join(WATER_AGG_COLS)} FROM main")
     fwc_sql = ("SELECT s.cycle_id, s.l_linenumber, s.l_partkey, s.sampled_at, s.average_weight, "
                f"CAST(floor((epoch_us(s.sampled_at) - epoch_us(c.started_at)) / {O.DAY_US}) AS BIGINT) AS culture_days "
@@ -346,7 +371,7 @@ def _registry() -> dict[str, Query]:
         [("cycle_id", "i"), ("culture_days", "i"), ("quantity", "d")], None, [])
     daily_sql = ("SELECT f.cycle_id, CAST(floor((epoch_us(f.logged_at) - epoch_us(c.started_at)) / "
                  f"{O.DAY_US}) AS BIGINT) AS culture_days, f.quantity FROM k_feeds f LEFT JOIN k_cycles c ON f.cycle_id = c.id")
-    R["daily_feed"].sql = (f"SELECT cycle_id, culture_days, coalesce(CAST(sum(CAST(quantity AS DECIMAL(38,6))) AS DOUBLE), 0.0) AS quantity FROM ({daily_sql}) d "
+    R["daily_feed"].sql = (f"SELECT cycle_id, culture_days, coalesce(sum(CAST(quantity AS DOUBLE)), 0.0) AS quantity FROM ({daily_sql}) d "
                            "WHERE cycle_id IS NOT NULL AND culture_days IS NOT NULL GROUP BY cycle_id, culture_days")
     R["daily_feed_first5"] = Query(
         lambda st: FE.first_cycles(FE.daily_feed(st.cleaned["feeds"], st.cleaned["cycles"]), 5),
@@ -406,17 +431,21 @@ def _registry() -> dict[str, Query]:
 
     R["top_factors"] = Query(lambda st: AN.top_factors(st.main), [("factor", "s"), ("corr", "d")], None)
     R["histogram"] = Query(
-        lambda st: _u([AN.histogram(st.main.where(AN.sr_is_valid()), "survival_rate", "survival_rate"),
-                       AN.histogram(st.main.where(AN.fcr_is_valid()), "fcr", "fcr"),
-                       AN.histogram(st.cleaned["harvests"], "size", "harvest_size"),
-                       AN.histogram(st.main.where(AN.adg_is_valid()), "adg", "adg")]),
+        lambda st: _u([AN.main_histograms(st.main),
+                       AN.histograms(st.cleaned["harvests"], {"harvest_size": F.col("size")}),
+                       AN.histograms(st.cleaned["measurements"], {p: F.col(p) for p in WATER_PARAMS}),
+                       AN.histograms(FE.fact_with_cycle(st.cleaned["sampling"], st.cleaned["cycles"], "sampled_at"),
+                                     {"daily_growth": X.safe_div("average_weight", "culture_days")})]),
         [("metric", "s"), ("bin", "i")] + _d("bin_lo", "bin_hi") + [("count", "i")], None)
     hist_parts = []
     for metric, col, src, where in [
             ("survival_rate", "survival_rate", "main", f"survival_rate <= {SR_VALID[1]} AND survival_rate > {SR_VALID[0]}"),
             ("fcr", "fcr", "main", f"fcr > {FCR_VALID[0]} AND fcr < {FCR_VALID[1]}"),
-            ("harvest_size", "size", "k_harvests", "TRUE"), ("adg", "adg", "main", "adg > 0")]:
-        v = f"(SELECT CAST({col} AS DOUBLE) AS v FROM {src} WHERE ({where}) AND {col} IS NOT NULL AND NOT isnan({col}))"
+            ("harvest_size", "size", "k_harvests", "TRUE"), ("adg", "adg", "main", "adg > 0"),
+            *[(p, p, "k_measurements", "TRUE") for p in WATER_PARAMS],
+            ("daily_growth", "average_weight / nullif(CAST(culture_days AS DOUBLE), 0)", f"({fwc_sql})", "TRUE")]:
+        v = (f"(SELECT CAST({col} AS DOUBLE) AS v FROM {src} WHERE ({where}) AND {col} IS NOT NULL "
+             f"AND NOT isnan(CAST({col} AS DOUBLE)))")
         rng = (f"(SELECT CASE WHEN min(v) = max(v) THEN min(v) - 0.5 ELSE min(v) END AS lo, "
                f"CASE WHEN min(v) = max(v) THEN max(v) + 0.5 ELSE max(v) END AS hi FROM {v} a)")
         cnt = (f"(SELECT CAST(least(floor((v - r.lo) * 20.0 / (r.hi - r.lo)), 19) AS BIGINT) AS bin, count(*) AS n "
@@ -469,17 +498,18 @@ def _registry() -> dict[str, Query]:
         _union_sql(box_parts))
 
     # ---- K: KPIs
-    R["culture_duration"] = Query(lambda st: st.main, [("id", "i"), ("started_at", "t"), ("finished_at", "t"),
+    R["culture_duration"] = Query(_with_kpis, [("id", "i"), ("started_at", "t"), ("finished_at", "t"),
                                                        ("culture_duration", "i")],
                                   "SELECT id, started_at, finished_at, culture_duration FROM main")
-    R["stocking_density"] = Query(lambda st: st.main, [("id", "i"), ("stocking_density", "d")],
+    R["stocking_density"] = Query(_with_kpis, [("id", "i"), ("stocking_density", "d")],
                                   "SELECT id, stocking_density FROM main")
-    R["season_features"] = Query(lambda st: st.main, [("id", "i"), ("start_month", "i"), ("start_quarter", "i"),
+    R["season_features"] = Query(_with_kpis, [("id", "i"), ("start_month", "i"), ("start_quarter", "i"),
                                                       ("season", "s")],
                                  "SELECT id, start_month, start_quarter, season FROM main")
-    R["survival_rate"] = Query(lambda st: st.main, [("id", "i")] + _d("abw_harvest", "harvested_count", "survival_rate"),
+    R["survival_rate"] = Query(lambda st: FE.add_survival(FE.left_by_cycle(
+        st.cleaned["cycles"], FE.harvest_agg(st.cleaned["harvests"]))), [("id", "i")] + _d("abw_harvest", "harvested_count", "survival_rate"),
                                "SELECT id, abw_harvest, harvested_count, survival_rate FROM main")
-    R["adg"] = Query(lambda st: st.main, [("id", "i"), ("average_weight", "d"), ("days_from_start", "i"), ("adg", "d")],
+    R["adg"] = Query(lambda st: FE.add_growth(_with_sampling(st)), [("id", "i"), ("average_weight", "d"), ("days_from_start", "i"), ("adg", "d")],
                      "SELECT id, average_weight, days_from_start, adg FROM main")
     R["growth_by_age"] = Query(
         lambda st: FE.fact_with_cycle(st.cleaned["sampling"], st.cleaned["cycles"], "sampled_at")
@@ -495,9 +525,10 @@ def _registry() -> dict[str, Query]:
         f"CAST(floor((epoch_us(e.sampled_at) - epoch_us(c.started_at)) / {O.DAY_US}) AS BIGINT) AS culture_days, "
         f"e.average_weight / nullif(CAST(CAST(floor((epoch_us(e.sampled_at) - epoch_us(c.started_at)) / {O.DAY_US}) "
         "AS BIGINT) AS DOUBLE), 0) AS adg FROM raw_events e LEFT JOIN k_cycles c ON e.cycle_id = c.id")
-    R["fcr"] = Query(lambda st: st.main, [("id", "i")] + _d("total_feed", "weight", "fcr"),
+    R["fcr"] = Query(lambda st: FE.add_fcr(FE.left_by_cycle(FE.left_by_cycle(
+        st.cleaned["cycles"], FE.harvest_agg(st.cleaned["harvests"])), FE.feed_agg(st.cleaned["feeds"]))), [("id", "i")] + _d("total_feed", "weight") + [("fcr", "r")],
                      "SELECT id, total_feed, weight, fcr FROM main")
-    R["temp_fluctuation"] = Query(lambda st: st.main, [("id", "i"), ("temp_daily_fluctuation", "d")],
+    R["temp_fluctuation"] = Query(lambda st: FE.add_temp_fluctuation(_with_water(st)), [("id", "i"), ("temp_daily_fluctuation", "d")],
                                   "SELECT id, temp_daily_fluctuation FROM main")
     R["pond_geometry"] = Query(
         lambda st: FE.pond_geometry(st.cleaned["ponds"]),
@@ -514,20 +545,20 @@ def _registry() -> dict[str, Query]:
                  ("culture_duration", "i")] + _d("stocking_density") + [("start_month", "i"), ("start_quarter", "i"),
                  ("season", "s")] + _d("weight", "size") + [("harvested_at", "t")]
                  + _d("abw_harvest", "harvested_count", "survival_rate", "average_weight")
-                 + [("last_sampled_at", "t"), ("days_from_start", "i")] + _d("adg", "total_feed", "fcr")
+                 + [("last_sampled_at", "t"), ("days_from_start", "i")] + _d("adg", "total_feed") + [("fcr", "r")]
                  + _d(*WATER_AGG_COLS) + _d("temp_daily_fluctuation")
                  + [("id_pond", "i"), ("farm_id", "i")] + _d("length", "width", "deep", "pond_volume",
                                                              "surface_to_volume_ratio")
                  + [("id_farm", "i"), ("name", "s")])
     R["main_table"] = Query(lambda st: st.main, main_spec,
                             f"SELECT {', '.join(c for c, _ in main_spec)} FROM main")
-    n_num = sum(1 for _, k in main_spec if k in ("d", "i"))
+    n_num = sum(1 for _, k in main_spec if k in ("d", "r", "i"))
     n_date = sum(1 for _, k in main_spec if k == "t")
     R["schema_summary"].sql = (f"SELECT count(*) AS n_rows, {len(main_spec)} AS n_columns, {n_num} AS n_numeric, "
                                f"{len(main_spec) - n_num - n_date} AS n_categorical, {n_date} AS n_date FROM main")
 
     # top factors: numeric main columns minus ids and target, fixed by the main spec
-    factor_cols = [c for c, k in main_spec if k in ("d", "i") and c not in ID_COLUMNS and c != "survival_rate"]
+    factor_cols = [c for c, k in main_spec if k in ("d", "r", "i") and c not in ID_COLUMNS and c != "survival_rate"]
     tf_rows = _union_sql([
         f"SELECT '{c}' AS factor, count({c}) AS n, "
         f"regr_sxy(survival_rate, {c}) / nullif(sqrt(regr_sxx(survival_rate, {c}) * regr_syy(survival_rate, {c})), 0) AS corr "
@@ -564,10 +595,11 @@ def _registry() -> dict[str, Query]:
         lambda st: M.baseline_metrics(st.main),
         [("target", "s"), ("n_test", "i")] + _d("rmse", "mae", "r2"), _metrics_sql(), _metrics_ctes())
     R["prediction_errors"] = Query(
-        lambda st: M.prediction_errors(st.main, "sr"),
-        [("id", "i")] + _d("actual", "prediction", "error"), None)
+        lambda st: M.all_prediction_errors(st.main),
+        [("target", "s"), ("algorithm", "s"), ("id", "i")] + _d("actual", "prediction", "error"), None)
     R["feature_importance"] = Query(
-        lambda st: M.feature_importance(st.main, "sr"), [("feature", "s"), ("importance", "d")], None)
+        lambda st: M.all_feature_importance(st.main),
+        [("target", "s"), ("feature", "s"), ("importance", "d")], None)
     R["model_summary"] = Query(
         lambda st: M.model_summary(st.main),
         [("model_type", "s"), ("algorithm", "s")] + _d("r2", "rmse", "mae", "cv_mean", "cv_std"), None)
@@ -582,7 +614,8 @@ def _registry() -> dict[str, Query]:
         lambda st: SC.score_batch_from_main(st.main),
         [("id", "i")] + _d("survival_rate", "average_weight", "fcr"), None)
     R["model_info"] = Query(lambda st: SC.model_info_from_main(st.main),
-                            [("target", "s"), ("model_type", "s"), ("n_features", "i"), ("status", "s")], None)
+                            [("target", "s"), ("model_type", "s"), ("n_features", "i"), ("feature_names", "s"), ("status", "s")],
+                            None)
     return R
 
 

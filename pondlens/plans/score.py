@@ -11,8 +11,6 @@ use ``pondlens.streaming.scoring_stream``.
 from __future__ import annotations
 
 import argparse
-import json
-import os
 
 from pondlens.operators import models as M
 from pondlens.operators import scoring as SC
@@ -21,14 +19,9 @@ from pondlens.sources.sinks import write_table
 from pondlens.streaming.scoring_stream import REQUEST_SCHEMA
 
 
-def load_features(model_dir: str) -> dict[str, list[str]]:
-    with open(os.path.join(model_dir, "metadata.json")) as fh:
-        return json.load(fh).get("feature_names", {})
-
-
 def run(spark, model_dir: str, input_path: str, out_path: str, input_format: str = "json") -> str:
     models = M.load_models(model_dir)
-    feats = load_features(model_dir)
+    feats = M.load_metadata(spark, model_dir).get("feature_names", {})
     reader = spark.read.schema(REQUEST_SCHEMA)
     if input_format == "csv":
         reader = reader.option("header", True)

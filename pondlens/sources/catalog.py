@@ -18,9 +18,8 @@ from pondlens.config import CSV_FILES, CSV_SCHEMAS, TABLE_NAMES
 Catalog = dict  # name -> DataFrame | None
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    if "://" not in path:
-        return os.path.exists(path)
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether the path exists on its file system (the default one if it names none)."""
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
@@ -43,7 +42,7 @@ def load_csv(spark: SparkSession, path: str, schema: T.StructType | None = None)
 
     Columns not in the schema are read as strings and pass through.
     """
-    if not _exists(spark, path):
+    if not path_exists(spark, path):
         return None
     if schema is None:
         return spark.read.option("header", True).csv(path)
@@ -66,7 +65,7 @@ def load_parquet_catalog(spark: SparkSession, data_dir: str, names=TABLE_NAMES)
     out = {}
     for name in names:
         path = os.path.join(data_dir, f"{name}.parquet")
-        out[name] = spark.read.parquet(path) if _exists(spark, path) else None
+        out[name] = nan_to_null(spark.read.parquet(path)) if path_exists(spark, path) else None
     return out
 
 
@@ -107,12 +106,20 @@ def parse_dates_fallback(df: DataFrame, columns: list[str],
     return df.select(*out)
 
 
-def load_processed(spark: SparkSession, path: str, date_columns=("started_at", "finished_at", "harvested_at"),
-                   fmt: str = "parquet") -> DataFrame | None:
-    """S3: reload the processed main table (Parquet keeps types; CSV is re-parsed)."""
-    if not _exists(spark, path):
+# Column types of the main table written as CSV; every other column is a double.
+MAIN_DATES = ("started_at", "finished_at", "harvested_at", "last_sampled_at")
+MAIN_TEXT = ("season", "name")
+MAIN_INTEGERS = ("id", "pond_id", "id_pond", "farm_id", "id_farm", "culture_duration", "days_from_start", "start_month",
+                 "start_quarter")
+
+
+def load_processed(spark: SparkSession, path: str, date_columns=MAIN_DATES, fmt: str = "parquet") -> DataFrame | None:
+    """S3: reload the processed main table (Parquet keeps types; CSV text is typed again)."""
+    if not path_exists(spark, path):
         return None
-    if fmt == "csv":
-        df = spark.read.option("header", True).option("inferSchema", False).csv(path)
-        return parse_dates_fallback(df, list(date_columns))
-    return spark.read.parquet(path)
+    if fmt != "csv":
+        return nan_to_null(spark.read.parquet(path))
+    df = parse_dates_fallback(spark.read.option("header", True).csv(path), list(date_columns))
+    text = [c for c in df.columns if c in date_columns or c in MAIN_TEXT]
+    return nan_to_null(df.select(*[F.col(c) if c in text else F.expr(
+        f"try_cast(`{c}` AS {'bigint' if c in MAIN_INTEGERS else 'double'})").alias(c) for c in df.columns]))

@@ -1,7 +1,7 @@
 """Bind the driver's TPC-H-style test tables to the pond schema.
 
 The driver tables carry no NULLs or orphans, so dirt (orphans, NULLs,
-negatives, zeros, outliers, unparseable dates, open cycles) is injected by
+NaN, negatives, zeros, outliers, unparseable dates, open cycles) is injected by
 key arithmetic over every row. The SQL below runs unchanged in Spark and in
 DuckDB: Spark runs it with the driver tables bound as DataFrame parameters
 (no temp views touch the caller's catalog), the DuckDB oracle uses the same
@@ -15,6 +15,8 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pondlens.sources.catalog import nan_to_null
+
 DRIVER_TABLES = ["region", "nation", "customer", "supplier", "part", "orders",
                  "lineitem", "events", "documents", "embeddings", "pages",
                  "benchmark", "labels", "conversations"]
@@ -52,10 +54,11 @@ SELECT l_orderkey AS cycle_id,
             ELSE CAST(20 + l_linenumber * 10 AS DOUBLE) END AS size,
        CASE WHEN l_partkey % 31 = 0 THEN CAST(0 AS DOUBLE) ELSE l_quantity * 100 END AS weight,
        l_shipdate AS harvested_at
-FROM lineitem WHERE l_linenumber <= 2""",
+FROM lineitem""",
     "raw_feeds": """
 SELECT CASE WHEN l_orderkey % 89 = 0 THEN l_orderkey + 10000000 ELSE l_orderkey END AS cycle_id,
-       CASE WHEN l_partkey % 37 = 0 THEN NULL ELSE l_extendedprice / 20 END AS quantity,
+       CASE WHEN l_partkey % 37 = 0 THEN NULL
+            WHEN l_partkey % 83 = 0 THEN CAST('NaN' AS DOUBLE) ELSE l_extendedprice / 20 END AS quantity,
        CASE WHEN l_partkey % 41 = 0 THEN NULL ELSE l_shipdate END AS logged_at
 FROM lineitem""",
     "raw_sampling": """
@@ -78,7 +81,15 @@ FROM lineitem""",
 SELECT l_orderkey AS cycle_id,
        CAST((l_partkey % 7) - 1 AS DOUBLE) AS quantity,
        l_quantity / 2 AS average_weight, l_shipdate AS recorded_at
-FROM lineitem WHERE l_linenumber >= 5""",
+FROM lineitem""",
+    "raw_fasting": """
+SELECT CASE WHEN l_orderkey % 79 = 0 THEN l_orderkey + 10000000 ELSE l_orderkey END AS cycle_id, l_shipdate AS fasted_at
+FROM lineitem""",
+    "raw_feed_tray": """
+SELECT CASE WHEN l_orderkey % 73 = 0 THEN l_orderkey + 10000000 ELSE l_orderkey END AS cycle_id,
+       CASE WHEN l_partkey % 17 = 0 THEN NULL ELSE l_shipdate END AS logged_at,
+       CASE WHEN l_partkey % 19 = 0 THEN NULL ELSE l_shipdate + INTERVAL 1 DAY END AS feed_logged_at
+FROM lineitem""",
     "raw_events": """
 SELECT user_id AS cycle_id, value AS average_weight, ts AS sampled_at, event_id FROM events""",
 }
@@ -88,6 +99,7 @@ VIEW_FOR_TABLE = {
     "farms": "raw_farms", "ponds": "raw_ponds", "cycles": "raw_cycles",
     "feeds": "raw_feeds", "harvests": "raw_harvests", "sampling": "raw_sampling",
     "measurements": "raw_measurements", "mortalities": "raw_mortalities",
+    "fasting": "raw_fasting", "feed_tray": "raw_feed_tray",
 }
 
 
@@ -109,9 +121,6 @@ def view_df(spark: SparkSession, view: str, tables: dict[str, DataFrame]) -> Dat
 
 
 def raw_catalog(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame | None]:
-    """The pond catalog over the driver tables (fasting and feed_tray absent)."""
+    """The pond catalog over the driver tables; NaN counts as missing, as in every source."""
     tables = driver_tables(spark, sf_dir)
-    out: dict[str, DataFrame | None] = {"fasting": None, "feed_tray": None}
-    for table, view in VIEW_FOR_TABLE.items():
-        out[table] = view_df(spark, view, tables)
-    return out
+    return {table: nan_to_null(view_df(spark, view, tables)) for table, view in VIEW_FOR_TABLE.items()}

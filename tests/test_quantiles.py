@@ -16,7 +16,7 @@ def test_exact_quantiles_refinement_matches_numpy(spark):
     rows = [("a", float(v)) for v in a] + [("b", float(v)) for v in b]
     long = spark.createDataFrame(rows, "column string, v double")
     probs = [0.01, 0.25, 0.5, 0.75, 0.99]
-    got = Q.exact_quantiles(long, probs, buckets=16, max_slice=500)   # forces several refinement passes
+    got = Q.exact_quantiles(long, probs, buckets=16)   # forces several refinement passes
     for col, vals in (("a", a), ("b", b)):
         for q in probs:
             assert got[(col, q)] == _np(vals, q), (col, q)
@@ -45,7 +45,7 @@ def test_all_null_column_gives_none(spark):
        st.sampled_from([0.0, 0.1, 0.5, 0.75, 1.0]))
 def test_property_matches_numpy(spark, vals, q):
     long = spark.createDataFrame([("c", float(v)) for v in vals], "column string, v double")
-    got = Q.exact_quantiles(long, [q], buckets=4, max_slice=5)
+    got = Q.exact_quantiles(long, [q], buckets=4)
     assert abs(got[("c", q)] - _np(vals, q)) <= 1e-9 * max(1.0, abs(_np(vals, q)))
 
 
@@ -59,3 +59,30 @@ def test_grouped_hot_group_with_hot_value(spark):
     assert len(out) == 6
     for r in out:
         assert r["value"] == _np(vals[r["g"]], r["prob"]), (r["g"], r["prob"])
+
+
+def test_any_spread_ends_in_few_passes(spark):
+    rng = np.random.default_rng(5)
+    spread = np.concatenate([10.0 ** rng.uniform(-300, 300, 400), -(10.0 ** rng.uniform(-300, 300, 400)), np.zeros(50),
+                             [np.inf] * 3, [-np.inf] * 2, np.full(300, 7.25), [5e-324, 1e-323, 1.7e308, -1.7e308]])
+    one = np.concatenate([rng.normal(size=500), [np.inf]])
+    rows = [("s", float(v)) for v in spread] + [("o", float(v)) for v in one]
+    long = spark.createDataFrame(rows, "column string, v double")
+    probs = [0.001, 0.01, 0.3, 0.45, 0.5, 0.9, 0.999]
+    seen = []
+    join = Q._ranges_join
+    Q._ranges_join = lambda *a: (seen.append(1), join(*a))[1]
+    try:
+        got = Q.exact_quantiles(long, probs)
+    finally:
+        Q._ranges_join = join
+    assert len(seen) <= 6
+    for c, vals in (("s", np.sort(spread)), ("o", np.sort(one))):
+        for q in probs:
+            h = (len(vals) - 1) * q
+            a, b = vals[int(np.floor(h))], vals[int(np.ceil(h))]
+            if a == b or a == -np.inf:
+                want = a
+            else:
+                want = b if b == np.inf else a + (h - np.floor(h)) * (b - a)
+            assert got[(c, q)] == want or abs(got[(c, q)] - want) <= 1e-12 * abs(want), (c, q)
