@@ -4,9 +4,8 @@
 are candidates. They are tested in three rounds:
 
 1. each class with the one bucket minimum it shares most buckets with;
-2. in buckets that still hold several components: each class with the bucket's
-   minimum and with its best linked member;
-3. classes in buckets that then still do form groups (buckets that share a
+2. each class with the best linked class it shares a bucket with;
+3. classes in buckets that then still hold several components form groups (buckets that share a
    class belong together). What lies outside a group's largest component - the
    strays - is compared with the group's members of other components, a block
    of strays against a block of members at a time, by the exact counts of
@@ -60,29 +59,25 @@ def linked_components(members: DataFrame, sets: DataFrame, verified: Callable[[D
     """
     best = (members.where("c > lo").groupBy("c", "lo").agg(F.count("*").alias("n"))
             .groupBy("c").agg(F.max_by("lo", F.struct(F.col("n"), -F.col("lo"))).alias("lo")))
-    first = T.materialize(best.select(F.col("lo").alias("a"), F.col("c").alias("b")), "pairs")
-    links = T.materialize(verified(first), "links")
-    open_ = _mixed(members, links)
-    # the minimum and the best linked member of each bucket that holds several components
-    degree = (links.select(F.col("a").alias("c")).unionAll(links.select(F.col("b").alias("c")))
-              .groupBy("c").agg(F.count("*").alias("degree")))
-    hub = F.struct(F.coalesce("degree", F.lit(0)).alias("degree"), (-F.col("c")).alias("c"), "component")
-    hubs = (open_.join(degree, "c", "left").groupBy("bucket").agg(F.max(hub).alias("hub"))
-            .select("bucket", (-F.col("hub.c")).alias("hub"), F.col("hub.component").alias("at")))
-    star = open_.join(hubs, "bucket").where("component != at").select(F.col("c").alias("a"), F.col("hub").alias("b"))
-    star = star.unionByName(open_.where("c != lo").select(F.col("c").alias("a"), F.col("lo").alias("b")))
-    star = star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    second = T.materialize(star.join(first, ["a", "b"], "left_anti"), "pairs")
-    links = links.unionByName(T.materialize(verified(second), "links"))
-    open_ = _mixed(members, links)
-    links = links.unionByName(T.materialize(stray_links(open_, sets), "links"))
-    return components(links)
-
-
-def _mixed(members: DataFrame, links: DataFrame) -> DataFrame:
+    first = T.materialize(verified(best.select(F.col("lo").alias("a"), F.col("c").alias("b"))), "links")
+    degree = (first.select(F.col("a").alias("c")).unionAll(first.select(F.col("b").alias("c")))
+              .groupBy("c").agg(F.count("*").alias("degree"), (-F.first("c")).alias("order")))
+    hub = F.struct("degree", "order")
+    hubs = members.join(degree, "c").groupBy("bucket").agg(F.max(hub).alias("hub"))
+    nearest = members.join(hubs, "bucket").groupBy("c").agg((-F.max("hub")["order"]).alias("hub"))
+    second = nearest.where("c != hub").select(F.least("c", "hub").alias("a"), F.greatest("c", "hub").alias("b")).distinct()
+    links = first.unionByName(T.materialize(verified(second), "links"))
+    whole = T.materialize(components(links), "components")
+    open_ = _mixed(members, whole)
+    strays = T.materialize(stray_links(open_, sets), "links")
+    stars = whole.where("node != component").select(F.col("node").alias("a"), F.col("component").alias("b"))
+    return components(stars.unionByName(strays))
+
+
+def _mixed(members: DataFrame, whole: DataFrame) -> DataFrame:
     """(bucket, c, lo, component) of the buckets that hold several components."""
-    whole = components(links).select(F.col("node").alias("c"), "component")
-    labelled = members.join(whole, "c", "left").withColumn("component", F.coalesce("component", "c"))
+    labelled = members.join(whole.withColumnRenamed("node", "c"), "c", "left")
+    labelled = labelled.withColumn("component", F.coalesce("component", "c"))
     mixed = (labelled.groupBy("bucket").agg(F.min("component").alias("l"), F.max("component").alias("h"))
              .where("l < h").select("bucket"))
     return T.materialize(labelled.join(mixed, "bucket", "left_semi"), "open")

@@ -30,6 +30,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -131,7 +132,7 @@ def sketches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
 
 def class_sets(docs: DataFrame, wanted: DataFrame, text_col: str = "text") -> DataFrame:
-    """(c, items): the full sets of the classes in ``wanted`` (c, text_key).
+    """(c, registers, items): the full sets of the classes in ``wanted`` (c, text_key, registers).
 
     Texts that no class needs are skipped before the shuffle, and equal texts
     are merged in the map tasks.
@@ -139,40 +140,44 @@ def class_sets(docs: DataFrame, wanted: DataFrame, text_col: str = "text") -> Da
     text = F.coalesce(F.col(text_col), F.lit(""))
     texts = docs.select(F.xxhash64(text).alias("k"), text.alias("text"))
     texts = bloom.reduced(texts, "k", wanted, "text_key").groupBy("k").agg(F.first("text").alias("text"))
-    rows = texts.join(wanted, F.col("k") == F.col("text_key")).select("c", "text")
+    rows = texts.join(wanted, F.col("k") == F.col("text_key")).select("c", "registers", "text")
 
     def run(batches):
         for b in batches:
             sets = [s.view(np.int64) for x in T.blocks(b["text"]) for s in T.shingle_sets(x, SHINGLE)]
-            yield pa.RecordBatch.from_arrays([b["c"], T.list_array(sets, pa.int64())], names=["c", "items"])
+            yield pa.RecordBatch.from_arrays([b["c"], b["registers"], T.list_array(sets, pa.int64())],
+                                             names=["c", "registers", "items"])
 
-    return rows.mapInArrow(run, "c bigint, items array<bigint>")
+    return rows.mapInArrow(run, "c bigint, registers binary, items array<bigint>")
 
 
-def _likely(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose estimated similarity is not clearly too low."""
-    a = classes.select(F.col("c").alias("a"), F.col("n").alias("n_a"), F.col("registers").alias("r_a"))
-    b = classes.select(F.col("c").alias("b"), F.col("n").alias("n_b"), F.col("registers").alias("r_b"))
-    both = pairs.join(b, "b").join(a, "a").where(f"100 * least(n_a, n_b) >= {PERCENT} * greatest(n_a, n_b)")
+def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (a, b) that are links; ``sets``: (c, registers, items).
+
+    Sizes and the estimate from the registers come first; what they leave is
+    verified on the full sets.
+    """
+    both = (pairs.join(sets.select(F.col("c").alias("b"), F.col("registers").alias("r_b"), F.col("items").alias("y")), "b")
+            .join(sets.select(F.col("c").alias("a"), F.col("registers").alias("r_a"), F.col("items").alias("x")), "a"))
+    both = both.where(f"100 * least(size(x), size(y)) >= {PERCENT} * greatest(size(x), size(y))")
 
     def run(batches):
-        for x in batches:
-            if x.num_rows == 0:
+        for t in batches:
+            if t.num_rows == 0:
                 continue
-            a, b = (np.frombuffer(b"".join(x[c].to_pylist()), np.uint16).reshape(-1, REGISTERS) for c in ("r_a", "r_b"))
-            n_a, n_b = (x[c].to_numpy().astype(np.float64) for c in ("n_a", "n_b"))
-            keep = pa.array(estimate(a, b, n_a, n_b) >= PERCENT / 100 - MARGIN)
-            yield pa.RecordBatch.from_arrays([x["a"].filter(keep), x["b"].filter(keep)], names=["a", "b"])
+            a, b = (np.frombuffer(b"".join(t[c].to_pylist()), np.uint16).reshape(-1, REGISTERS) for c in ("r_a", "r_b"))
+            n_a, n_b = (pc.list_value_length(t[c]).to_numpy().astype(np.float64) for c in ("x", "y"))
+            likely = np.flatnonzero(estimate(a, b, n_a, n_b) >= PERCENT / 100 - MARGIN)
+            keep = []
+            for i in likely.tolist():
+                x, y = t["x"][i].values.to_numpy(), t["y"][i].values.to_numpy()
+                shared = len(np.intersect1d(x, y, assume_unique=True))
+                if 100 * shared >= PERCENT * (len(x) + len(y) - shared):
+                    keep.append(i)
+            keep = pa.array(keep, type=pa.int64())
+            yield pa.RecordBatch.from_arrays([t["a"].take(keep), t["b"].take(keep)], names=["a", "b"])
 
-    return both.select("a", "b", "n_a", "n_b", "r_a", "r_b").mapInArrow(run, "a bigint, b bigint")
-
-
-def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs whose full sets reach the threshold."""
-    both = (pairs.join(sets.select(F.col("c").alias("b"), F.col("items").alias("y")), "b")
-            .join(sets.select(F.col("c").alias("a"), F.col("items").alias("x")), "a"))
-    both = both.withColumn("shared", F.size(F.array_intersect("x", "y")))
-    return both.where(f"100 * shared >= {PERCENT} * (size(x) + size(y) - shared)").select("a", "b")
+    return both.select("a", "b", "r_a", "r_b", "x", "y").mapInArrow(run, "a bigint, b bigint")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -184,9 +189,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # written once: the numbers stay
     classes = T.materialize(classes, "classes")
     members = shared_members(band_rows(classes, ROWS, BANDS))
-    wanted = classes.join(members.select("c").distinct(), "c", "left_semi").select("c", "text_key")
+    wanted = classes.join(members.select("c").distinct(), "c", "left_semi").select("c", "text_key", "registers")
     sets = T.materialize(class_sets(docs, T.materialize(wanted, "wanted"), text_col), "sets")
-    found = T.materialize(linked_components(members, sets, lambda pairs: verified(_likely(pairs, classes), sets)), "components")
+    found = T.materialize(linked_components(members, sets.select("c", "items"), lambda pairs: verified(pairs, sets)), "components")
     ids = (classes.select("c", "doc_id", "h1", "h2").join(found, F.col("c") == F.col("node"), "left")
            .withColumn("group", F.coalesce("component", "c")))
     lowest = ids.groupBy("group").agg(F.min("doc_id").alias("component_id"))

@@ -32,8 +32,8 @@ from pyspark.sql import functions as F
 
 from pondlens.llm import bloom
 from pondlens.llm import textops as T
-from pondlens.llm.linking import band_rows, linked_components, shared_members
-from pondlens.llm.near_dup import registers, verified
+from pondlens.llm.linking import PERCENT, band_rows, linked_components, shared_members
+from pondlens.llm.near_dup import registers
 
 SHINGLE = 5
 MIN_WORDS = 25
@@ -183,6 +183,14 @@ def _paragraph_sets(rows: DataFrame, wanted: DataFrame) -> DataFrame:
     return sets.groupBy("k1", "k2").agg(F.first("items").alias("items")).join(wanted, ["k1", "k2"]).select("c", "items")
 
 
+def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose exact Jaccard similarity reaches the threshold; ``sets``: (c, items)."""
+    both = (pairs.join(sets.select(F.col("c").alias("b"), F.col("items").alias("y")), "b")
+            .join(sets.select(F.col("c").alias("a"), F.col("items").alias("x")), "a"))
+    both = both.withColumn("shared", F.size(F.array_intersect("x", "y")))
+    return both.where(f"100 * shared >= {PERCENT} * (size(x) + size(y) - shared)").select("a", "b")
+
+
 def repeated_passages(rows: DataFrame) -> DataFrame:
     """(k1) of the passages that several documents hold."""
     kind = rows.schema["doc_id"].dataType.simpleString()
