@@ -236,7 +236,8 @@ def mix(docs: DataFrame, n_shards: int = N_SHARDS, id_col: str = "doc_id", text_
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), F.col(text_col).alias("text"),
                        F.col(source_col).alias("source"), pos.alias("pos"), size.cast("long").alias("size"))
     rows = rows.where("size > 0").join(rules, here).withColumn("taken", _taken(F.col("size"))).where("taken > 0")
-    rows = rows.select("doc", "text", "size", "taken", "pos", F.posexplode(_own_shards(F.col("size"), F.col("taken"))).alias("nth", "shard"))
+    copies = F.posexplode(_own_shards(F.col("size"), F.col("taken"))).alias("nth", "shard")
+    rows = rows.select("doc", "text", "size", "taken", "pos", copies)
     rows = rows.withColumn("words", F.least("size", F.col("taken") - F.col("nth") * F.col("size")))
     part = F.array_join(F.slice(F.split(F.btrim("text", F.lit(" \t\n\x0b\f\r")), r"[\x20\x09-\x0D]+"),
                                 F.lit(1), F.col("words").cast("int")), " ")

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-from pondlens.llm import contamination, host_quality, html_text, licenses, mixing, near_dup, secrets, sql, substring_dedup, toxicity, url_filter
+from pondlens.llm import (contamination, host_quality, html_text, licenses, mixing, near_dup, secrets, sql, substring_dedup,
+                          toxicity, url_filter)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -2,7 +2,7 @@ import re
 
 import corpus_pipeline as P
 import pytest
-from pondlens.llm import contamination, mixing, secrets, toxicity
+from pondlens.llm import mixing, secrets, toxicity
 from tests.llm.test_near_dup import brute as near_groups
 from tests.llm.test_contamination import brute as leaks
 
