@@ -350,7 +350,8 @@ def _registry() -> dict[str, Query]:
                                     "SELECT id, average_weight, days_from_start FROM main")
     R["join_feed"] = Query(lambda st: FE.left_by_cycle(st.cleaned["cycles"], FE.feed_agg(st.cleaned["feeds"])),
                            [("id", "i"), ("total_feed", "d")], "SELECT id, total_feed FROM main")
-    R["join_water"] = Query(_with_water, [("id", "i")] + _d(*WATER_AGG_COLS),
+    R["join_water"] = Query(_with_water,
+                                  [("id", "i")] + _d(*WATER_AGG_COLS),
                             f"SELECT id, {', '.join(WATER_AGG_COLS)} FROM main")
     fwc_sql = ("SELECT s.cycle_id, s.l_linenumber, s.l_partkey, s.sampled_at, s.average_weight, "
                f"CAST(floor((epoch_us(s.sampled_at) - epoch_us(c.started_at)) / {O.DAY_US}) AS BIGINT) AS culture_days "
@@ -498,12 +499,15 @@ def _registry() -> dict[str, Query]:
         _union_sql(box_parts))
 
     # ---- K: KPIs
-    R["culture_duration"] = Query(_with_kpis, [("id", "i"), ("started_at", "t"), ("finished_at", "t"),
+    R["culture_duration"] = Query(_with_kpis,
+                                  [("id", "i"), ("started_at", "t"), ("finished_at", "t"),
                                                        ("culture_duration", "i")],
                                   "SELECT id, started_at, finished_at, culture_duration FROM main")
-    R["stocking_density"] = Query(_with_kpis, [("id", "i"), ("stocking_density", "d")],
+    R["stocking_density"] = Query(_with_kpis,
+                                  [("id", "i"), ("stocking_density", "d")],
                                   "SELECT id, stocking_density FROM main")
-    R["season_features"] = Query(_with_kpis, [("id", "i"), ("start_month", "i"), ("start_quarter", "i"),
+    R["season_features"] = Query(_with_kpis,
+                                  [("id", "i"), ("start_month", "i"), ("start_quarter", "i"),
                                                       ("season", "s")],
                                  "SELECT id, start_month, start_quarter, season FROM main")
     R["survival_rate"] = Query(lambda st: FE.add_survival(FE.left_by_cycle(
