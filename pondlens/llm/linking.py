@@ -36,9 +36,8 @@ from pondlens.llm.components import components
 PERCENT = 75
 BLOCK_SHINGLES = 1_000_000
 
-def band_rows(classes: DataFrame, rows: int, bands: int) -> DataFrame:
-    """(bucket, c) of classes with ``registers`` (binary, two bytes each) in bands of ``rows``."""
-    width = 2 * rows
+def band_rows(classes: DataFrame, width: int, bands: int) -> DataFrame:
+    """(bucket, c) of classes with ``registers`` (binary) in bands of ``width`` bytes."""
     keys = F.transform(F.sequence(F.lit(0), F.lit(bands - 1)),
                        lambda i: F.xxhash64(i, F.substring(F.col("registers"), i * width + 1, F.lit(width))))
     return classes.select(F.explode(keys).alias("bucket"), "c")

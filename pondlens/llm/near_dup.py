@@ -50,8 +50,8 @@ _B = _RNG.integers(0, 1 << 32, REGISTERS, dtype=np.uint64).astype(np.uint32)
 _CHUNK = 1 << 15
 
 
-def registers(hashes: np.ndarray, limits: np.ndarray, count: int = REGISTERS) -> np.ndarray:
-    """``count`` SetSketch registers of each range of ``hashes`` (rows without hashes: zeros)."""
+def minima(hashes: np.ndarray, limits: np.ndarray, count: int = REGISTERS) -> np.ndarray:
+    """The least of ``count`` 32-bit hash functions over each range of ``hashes`` (no hashes: the largest value)."""
     rows = len(limits) - 1
     low = np.full((count, rows), 0xFFFFFFFF, dtype=np.uint32)
     h = (T.mix64(hashes) >> np.uint64(32)).astype(np.uint32)
@@ -74,7 +74,12 @@ def registers(hashes: np.ndarray, limits: np.ndarray, count: int = REGISTERS) ->
             np.multiply(xv, np.uint32(0x2C1B3C6D), out=xv)
             np.minimum(low[i, here], np.minimum.reduceat(xv, begin), out=yv[:len(here)])
             low[i, here] = yv[:len(here)]
-    u = (low.T.astype(np.float64) + 0.5) / 2.0 ** 32
+    return low.T
+
+
+def registers(hashes: np.ndarray, limits: np.ndarray) -> np.ndarray:
+    """SetSketch registers of each range of ``hashes`` (no hashes: zeros)."""
+    u = (minima(hashes, limits).astype(np.float64) + 0.5) / 2.0 ** 32
     value = np.floor(1.0 - np.log(-np.log1p(-u) / RATE) / np.log(BASE))
     out = np.clip(value, 0, LIMIT + 1).astype(np.uint16)
     out[np.diff(limits) == 0] = 0
@@ -188,7 +193,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     F.first("registers").alias("registers")).withColumn("c", F.monotonically_increasing_id()))
     # written once: the numbers stay
     classes = T.materialize(classes, "classes")
-    members = shared_members(band_rows(classes, ROWS, BANDS))
+    members = shared_members(band_rows(classes, 2 * ROWS, BANDS))
     wanted = classes.join(members.select("c").distinct(), "c", "left_semi").select("c", "text_key", "registers")
     sets = T.materialize(class_sets(docs, T.materialize(wanted, "wanted"), text_col), "sets")
     found = T.materialize(linked_components(members, sets.select("c", "items"), lambda pairs: verified(pairs, sets)), "components")

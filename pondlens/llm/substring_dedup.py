@@ -1,7 +1,7 @@
 """Substring dedup: paragraph MinHash banding.
 
 Paragraphs are lines of ``MIN_WORDS`` words or more. Paragraphs of the same
-word sequence form a class; classes are banded by MinHash (``ROWS`` registers
+word sequence form a class; classes are banded by MinHash (``ROWS`` 32-bit minima
 a band, ``BANDS`` bands: a pair at the threshold shares a band with
 probability 1 - (1 - 0.75^2)^8 = 0.9987, at a similarity of 0.9 with
 0.999998), colliding classes are verified by the exact Jaccard similarity of
@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pondlens.llm import bloom
 from pondlens.llm import textops as T
 from pondlens.llm.linking import PERCENT, band_rows, linked_components, shared_members
-from pondlens.llm.near_dup import registers
+from pondlens.llm.near_dup import minima
 
 SHINGLE = 5
 MIN_WORDS = 25
@@ -113,9 +113,9 @@ def _paragraph_sketches(batches):
             long = np.diff(x.limits) >= MIN_WORDS
             lo, hi = out[:-1][long], out[1:][long]
             picked = np.concatenate([h[p:q] for p, q in zip(lo, hi)]) if len(lo) else np.zeros(0, np.uint64)
-            r = registers(picked, np.concatenate([[0], np.cumsum(hi - lo)]).astype(np.int64), count)
+            r = minima(picked, np.concatenate([[0], np.cumsum(hi - lo)]).astype(np.int64), count)
             k1, k2 = x.keys(begin, end)
-            fixed = pa.Array.from_buffers(pa.binary(2 * count), len(begin), [None, pa.py_buffer(np.ascontiguousarray(r).tobytes())])
+            fixed = pa.Array.from_buffers(pa.binary(4 * count), len(begin), [None, pa.py_buffer(np.ascontiguousarray(r).tobytes())])
             ids = b["doc_id"].take(pa.array(x.owner(begin) + block.first))
             yield pa.RecordBatch.from_arrays([ids, pa.array(k1), pa.array(k2), fixed.cast(pa.binary())],
                                              names=["doc_id", "k1", "k2", "registers"])
@@ -148,7 +148,7 @@ def paragraph_clusters(rows: DataFrame) -> DataFrame:
     classes = (seen.groupBy("k1", "k2").agg(*_spread(), F.first("registers").alias("registers"))
                .withColumn("c", F.monotonically_increasing_id()))
     classes = T.materialize(classes, "paragraphs")       # written once: the numbers stay
-    members = shared_members(band_rows(classes, ROWS, BANDS))
+    members = shared_members(band_rows(classes, 4 * ROWS, BANDS))
     wanted = T.materialize(classes.join(members.select("c").distinct(), "c", "left_semi").select("c", "k1", "k2"), "wanted")
     sets = T.materialize(_paragraph_sets(rows, wanted), "sets")
     found = T.materialize(linked_components(members, sets, lambda pairs: verified(pairs, sets)), "components")
