@@ -110,6 +110,12 @@ def stray_links(open_: DataFrame, sets: DataFrame) -> DataFrame:
     return both.groupBy("g", "i", "j").applyInPandas(_compare, "a bigint, b bigint")
 
 
+def _spread(lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+    """All positions of the ranges [lo, hi)."""
+    n = hi - lo
+    return np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(n.sum())
+
+
 def _compare(frame: pd.DataFrame) -> pd.DataFrame:
     """One link for each stray and other component among the block's members."""
     stray, other = frame[frame["stray"]], frame[~frame["stray"]]
@@ -122,10 +128,16 @@ def _compare(frame: pd.DataFrame) -> pd.DataFrame:
         flat, own = flat[order], own[order]
         for x, xc, items in zip(stray["c"], stray["component"], stray["items"]):
             lo, hi = np.searchsorted(flat, items, side="left"), np.searchsorted(flat, items, side="right")
-            n = hi - lo
-            at = np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(n.sum())
-            shared = np.bincount(own[at], minlength=len(c))
-            linked = np.flatnonzero((100 * shared >= PERCENT * (size + len(items) - shared)) & (comp != xc))
+            need = -(-PERCENT * len(items) // 100)
+            # a linked member lacks at most len - need of the shingles, so it holds one of the rarest len - need + 1
+            rare = np.argsort(hi - lo, kind="stable")[:len(items) - need + 1]
+            near = own[_spread(lo[rare], hi[rare])]
+            if not (comp[near] != xc).any():
+                continue
+            shared = np.bincount(own[_spread(lo, hi)], minlength=len(c))
+            near = np.flatnonzero(shared >= need)
+            n = shared[near]
+            linked = near[(100 * n >= PERCENT * (size[near] + len(items) - n)) & (comp[near] != xc)]
             _, first = np.unique(comp[linked], return_index=True)
             a += [int(x)] * len(first)
             b += c[linked[first]].tolist()
