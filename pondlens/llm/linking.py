@@ -126,18 +126,23 @@ def _compare(frame: pd.DataFrame) -> pd.DataFrame:
         flat, own = np.concatenate(other["items"].to_list()), np.repeat(np.arange(len(c)), size)
         order = np.argsort(flat, kind="stable")
         flat, own = flat[order], own[order]
-        for x, xc, items in zip(stray["c"], stray["component"], stray["items"]):
-            lo, hi = np.searchsorted(flat, items, side="left"), np.searchsorted(flat, items, side="right")
-            need = -(-PERCENT * len(items) // 100)
+        # where each stray's shingles lie among the members'
+        sizes = [len(x) for x in stray["items"]]
+        known, at = np.unique(np.concatenate(stray["items"].to_list()), return_inverse=True)
+        lows, highs = (np.searchsorted(flat, known, side=side)[at] for side in ("left", "right"))
+        cuts = np.concatenate([[0], np.cumsum(sizes)])
+        for k, (x, xc) in enumerate(zip(stray["c"], stray["component"])):
+            lo, hi = lows[cuts[k]:cuts[k + 1]], highs[cuts[k]:cuts[k + 1]]
+            need = -(-PERCENT * sizes[k] // 100)
             # a linked member lacks at most len - need of the shingles, so it holds one of the rarest len - need + 1
-            rare = np.argsort(hi - lo, kind="stable")[:len(items) - need + 1]
+            rare = np.argsort(hi - lo, kind="stable")[:sizes[k] - need + 1]
             near = own[_spread(lo[rare], hi[rare])]
             if not (comp[near] != xc).any():
                 continue
             shared = np.bincount(own[_spread(lo, hi)], minlength=len(c))
             near = np.flatnonzero(shared >= need)
             n = shared[near]
-            linked = near[(100 * n >= PERCENT * (size[near] + len(items) - n)) & (comp[near] != xc)]
+            linked = near[(100 * n >= PERCENT * (size[near] + sizes[k] - n)) & (comp[near] != xc)]
             _, first = np.unique(comp[linked], return_index=True)
             a += [int(x)] * len(first)
             b += c[linked[first]].tolist()
