@@ -128,10 +128,10 @@ def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
     schema = f"doc_id {kind}, item_id {item_kind}, n_item bigint, n_shared bigint"
     found = spark.createDataFrame([], schema)
     for part in index_parts(items, item_id_col, item_text_col, threshold):
-        shared = spark.sparkContext.broadcast(part)
+        box = T.share(spark, part)
 
-        def run(batches, shared=shared):
-            index = shared.value
+        def run(batches, box=box):
+            index = T.shared(box)
             for b in batches:
                 hits = index.search(b["text"])
                 yield pa.RecordBatch.from_arrays(
@@ -153,15 +153,16 @@ def decontaminate(docs: DataFrame, items: DataFrame, text_col: str = "text", ite
     spark = docs.sparkSession
     T.bound_batches(spark)
     for part in index_parts(items, item_id_col, item_text_col, threshold):
-        shared = spark.sparkContext.broadcast(part)
+        box = T.share(spark, part)
         flag = "leaks"
         while flag in docs.columns:
             flag += "_"
 
-        def run(batches, shared=shared, flag=flag):
+        def run(batches, box=box, flag=flag):
+            index = T.shared(box)
             for b in batches:
                 bad = np.zeros(b.num_rows, dtype=bool)
-                bad[[r for r, _, _ in shared.value.search(b[text_col])]] = True
+                bad[[r for r, _, _ in index.search(b[text_col])]] = True
                 yield pa.RecordBatch.from_arrays([*b.columns, pa.array(bad)], names=[*b.schema.names, flag])
 
         schema = StructType([*docs.schema.fields, StructField(flag, BooleanType())])

@@ -8,16 +8,16 @@ size; a longer text forms a block of its own. Null texts count as empty.
 from __future__ import annotations
 
 import os
+import pickle
 import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
-from pondlens.session import checkpoint_dir
-
 BLOCK_BYTES = 1 << 20
 ARROW_BATCH_BYTES = 8 << 20
 ARROW_BATCH_ROWS = 2000
@@ -45,8 +45,19 @@ def bound_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BATCH_BYTES))
 
 
+def share(spark: SparkSession, value):
+    """Broadcast an object with its class, for executors that lack this package; ``shared`` gives it back."""
+    return spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+
+def shared(box):
+    return pickle.loads(box.value)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new folder under the shared checkpoint folder."""
+    # imported here: this module is shipped to executors by value, and they may lack the rest of the package
+    from pondlens.session import checkpoint_dir
     return os.path.join(checkpoint_dir(spark), "pondlens-llm", uuid.uuid4().hex, name)
 
 

@@ -183,11 +183,12 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", name: str = "sc
     """``docs`` with the column ``name``."""
     spark = docs.sparkSession
     T.bound_batches(spark)
-    shared = spark.sparkContext.broadcast(model)
+    box = T.share(spark, model)
 
     def run(batches):
+        fitted = T.shared(box)
         for b in batches:
-            s = pa.array(score_texts(shared.value, b[text_col]))
+            s = pa.array(score_texts(fitted, b[text_col]))
             yield pa.RecordBatch.from_arrays([*b.columns, s], names=[*b.schema.names, name])
 
     return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(name, DoubleType())]))
