@@ -100,23 +100,27 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ledger
             .withColumn("findings", F.coalesce("findings", F.array().cast(f"array<{FINDING}>"))))
 
 
+def _redacted(text: str, spans: list[dict]) -> str:
+    parts, at = [], 0
+    for s in spans:
+        if s["end"] <= at:
+            continue
+        if s["start"] >= at:
+            parts += [text[at:s["start"]], "[", KINDS[s["kind"]].upper(), "]"]
+        at = s["end"]
+    return "".join([*parts, text[at:]])
+
+
 def _redact(batches):
     for b in batches:
-        out = []
-        for t, spans in zip(b["text"], b["findings"]):
-            text, spans = t.as_py(), spans.as_py()
-            if text and spans:
-                parts, at = [], 0
-                for s in spans:
-                    if s["end"] <= at:
-                        continue
-                    if s["start"] >= at:
-                        parts += [text[at:s["start"]], "[", KINDS[s["kind"]].upper(), "]"]
-                    at = s["end"]
-                text = "".join([*parts, text[at:]])
-            out.append(text)
-        cols = [b[n] if n != "text" else pa.array(out, type=pa.string()) for n in b.schema.names]
-        yield pa.RecordBatch.from_arrays(cols, names=b.schema.names)
+        texts, spans = b["text"], b["findings"]
+        hit = [i for i, ok in enumerate(spans.is_valid().to_pylist()) if ok]
+        if hit:
+            out = texts.to_pylist()
+            for i in hit:
+                out[i] = _redacted(out[i], spans[i].as_py())
+            texts = pa.array(out, type=pa.string())
+        yield pa.RecordBatch.from_arrays([b["doc"], texts, spans], names=["doc", "text", "findings"])
 
 
 def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length_col: str | None = None,
@@ -124,7 +128,7 @@ def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", leng
     """``docs`` with every finding replaced by its kind in brackets; no row goes.
 
     The findings of a text depend on the text alone, so they are joined by
-    blob, and only texts with findings pass through Python.
+    blob; texts are shuffled once for that join.
     """
     hits = (scan(docs, id_col, text_col, ledger).where(F.size("findings") > 0)
             .groupBy(F.col("blob").alias("hit")).agg(F.first("findings").alias("findings")))
@@ -132,13 +136,19 @@ def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", leng
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), F.col(text_col).alias("text"),
                        blob_id(F.col(text_col)).alias("blob"))
     found = rows.join(hits, F.col("blob") == F.col("hit"), "left").select("doc", "text", "findings")
-    clean = found.where("findings IS NULL").select(*[F.col(f"doc.`{c}`") for c in docs.columns])
     kind = found.schema["doc"].dataType.simpleString()
-    done = found.where("findings IS NOT NULL").mapInArrow(_redact, f"doc {kind}, text string, findings array<{FINDING}>")
-    done = done.select(*[F.col("text").alias(c) if c == text_col else F.col(f"doc.`{c}`").alias(c) for c in docs.columns])
-    if length_col in docs.columns:
-        done = done.withColumn(length_col, F.char_length(text_col).cast(docs.schema[length_col].dataType))
-    return clean.select(*docs.columns).unionByName(done.select(*docs.columns))
+    done = found.mapInArrow(_redact, f"doc {kind}, text string, findings array<{FINDING}>")
+
+    def column(c):
+        old = F.col(f"doc.`{c}`")
+        if c == text_col:
+            return F.col("text").alias(c)
+        if c == length_col:
+            new = F.char_length("text").cast(docs.schema[c].dataType)
+            return F.when(F.col("findings").isNotNull(), new).otherwise(old).alias(c)
+        return old.alias(c)
+
+    return done.select(*[column(c) for c in docs.columns])
 
 
 def digest(found: DataFrame) -> DataFrame:
