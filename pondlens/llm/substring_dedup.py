@@ -8,10 +8,16 @@ probability 1 - (1 - 0.75^2)^8 = 0.9987, at a similarity of 0.9 with
 their 5-word shingles, and components of verified pairs are the clusters.
 
 A passage that was pasted into the middle of a paragraph is no paragraph of
-its own, so passages are found too: from each sentence start the shortest run
-of whole sentences with ``MIN_PASSAGE`` words or more. Equal runs form a
-cluster; runs inside a clustered paragraph are left out, and overlapping runs
-of one text are merged into one span.
+its own, so passages are found too, in two ways. From each sentence start, the
+shortest run of whole sentences of one line with ``MIN_PASSAGE`` words or more.
+And every run of ``MIN_RUN`` words or more, wherever it begins and ends, over
+line breaks: each window of ``MIN_RUN`` words is led by its smallest
+``GRAM``-word hash (winnowing), so equal windows have equal leaders. Windows
+in a row with one leader form a piece. A leader that several documents hold is
+looked at further: by its pieces if all of them are equal, else by each
+of its windows. Equal runs, pieces or windows form a cluster; those inside a
+clustered paragraph are left out, and overlapping ones of one text are merged
+into one span.
 
 A cluster counts if it spans ``MIN_DOCS`` documents. Its first occurrence, by
 document id (null last) and position, is kept, the others are removed.
@@ -38,6 +44,7 @@ from pondlens.llm.near_dup import minima
 SHINGLE = 5
 MIN_WORDS = 25
 MIN_PASSAGE = 20
+MIN_RUN, GRAM = 50, 25
 MIN_DOCS = 2
 ROWS, BANDS = 2, 8
 
@@ -87,7 +94,7 @@ class Lines:
         return begin[keep], end[keep]
 
     def passages(self) -> tuple[np.ndarray, np.ndarray]:
-        """Runs of whole sentences; a run that is a whole paragraph is none."""
+        """Runs of whole sentences."""
         if len(self.starts) == 0:
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
         begin = self.sentences[:-1]
@@ -95,9 +102,23 @@ class Lines:
         at = np.searchsorted(self.sentences, begin + MIN_PASSAGE)
         end = self.sentences[np.minimum(at, len(self.sentences) - 1)]
         keep = (begin + MIN_PASSAGE <= self.limits[line + 1]) & (end <= self.limits[line + 1])
-        keep &= ~((begin == self.limits[line]) & (end == self.limits[line + 1]) & (end - begin >= MIN_WORDS))
         return begin[keep], end[keep]
 
+    def pieces(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Leader, first and last window (of ``MIN_RUN`` words inside one text) of each piece."""
+        n = len(self.starts) - MIN_RUN + 1
+        if n <= 0:
+            return (np.zeros(0, np.int64),) * 3
+        at = np.arange(len(self.starts) - GRAM + 1)
+        grams = self.keys(at, at + GRAM)[0]
+        lead = at[:n] + np.lib.stride_tricks.sliding_window_view(grams, MIN_RUN - GRAM + 1).argmin(axis=1)
+        windows = np.flatnonzero(at[:n] + MIN_RUN <= np.repeat(self.rows[1:], np.diff(self.rows))[:n])
+        lead = lead[windows]
+        new = np.ones(len(windows), dtype=bool)
+        new[1:] = lead[1:] != lead[:-1]
+        head = np.flatnonzero(new)
+        return grams[lead[head]], windows[head], windows[np.append(head[1:], len(windows))[:len(head)] - 1]
+
     def owner(self, word: np.ndarray) -> np.ndarray:
         """The row of the block in which a word lies."""
         return np.searchsorted(self.rows, word, side="right") - 1
@@ -130,6 +151,16 @@ def _passage_keys(batches):
             yield pa.RecordBatch.from_arrays([ids, pa.array(x.keys(begin, end)[0])], names=["doc_id", "k1"])
 
 
+def _piece_keys(batches):
+    for b in batches:
+        for block in T.blocks(b["text"]):
+            x = Lines(block)
+            leader, first, last = x.pieces()
+            ids = b["doc_id"].take(pa.array(x.owner(first) + block.first))
+            yield pa.RecordBatch.from_arrays([ids, pa.array(leader), pa.array(x.keys(first, last + MIN_RUN)[0])],
+                                             names=["doc_id", "k1", "piece"])
+
+
 def _spread() -> list[Column]:
     """Aggregates that tell whether several documents hold something."""
     return [F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"), F.max(F.col("doc_id").isNull()).alias("unnamed")]
@@ -198,33 +229,50 @@ def repeated_passages(rows: DataFrame) -> DataFrame:
     return keys.groupBy("k1").agg(*_spread()).where(SEVERAL).select("k1")
 
 
-def occurrences(rows: DataFrame, clusters: DataFrame, passages: DataFrame) -> DataFrame:
+def repeated_leaders(rows: DataFrame) -> DataFrame:
+    """(k1, uniform) of the leaders that several documents hold; uniform: with equal pieces everywhere."""
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    keys = rows.mapInArrow(_piece_keys, f"doc_id {kind}, k1 bigint, piece bigint")
+    held = keys.groupBy("k1").agg(*_spread(), F.min("piece").alias("least"), F.max("piece").alias("most"))
+    return held.where(SEVERAL).select("k1", (F.col("least") == F.col("most")).alias("uniform"))
+
+
+def occurrences(rows: DataFrame, clusters: DataFrame, passages: DataFrame, leaders: DataFrame) -> DataFrame:
     """doc_id, text_key, passage (else a paragraph), start, end (code points), k1, k2 of the units that may be clustered.
 
     One scan; bitmaps let it leave out most units, an exact join follows.
     """
     context = rows.sparkSession.sparkContext
-    lines = context.broadcast(np.packbits(bloom.bitmap(clusters, "k1")))
-    runs = context.broadcast(np.packbits(bloom.bitmap(passages, "k1")))
+    maps = [context.broadcast(np.packbits(bloom.bitmap(keys, "k1")))
+            for keys in (clusters, passages, leaders.where("uniform"), leaders.where("NOT uniform"))]
     kind = rows.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
-        known = [np.unpackbits(x.value).astype(bool) for x in (lines, runs)]
+        *known, uniform, mixed = [np.unpackbits(m.value).astype(bool) for m in maps]
         for b in batches:
             for block in T.blocks(b["text"]):
                 x = Lines(block)
                 points = np.concatenate([[0], np.cumsum((block.data & 0xC0) != 0x80)])
-                for passage, (begin, end) in enumerate((x.paragraphs(), x.passages())):
+                units = []
+                for found, (begin, end) in zip(known, (x.paragraphs(), x.passages())):
+                    hit = bloom.maybe(found, x.keys(begin, end)[0])
+                    units.append((begin[hit], end[hit]))
+                leader, first, last = x.pieces()
+                each = bloom.maybe(mixed, leader)
+                whole = bloom.maybe(uniform, leader) & ~each
+                units.append((first[whole], last[whole] + MIN_RUN))
+                size = (last - first + 1)[each]
+                begin = np.repeat(first[each] - np.cumsum(size) + size, size) + np.arange(size.sum())
+                units.append((begin, begin + MIN_RUN))
+                for passage, (begin, end) in zip((False, True, True, True), units):
                     k1, k2 = x.keys(begin, end)
-                    hit = np.flatnonzero(bloom.maybe(known[passage], k1))
-                    begin, end = begin[hit], end[hit]
                     own = x.owner(begin)
                     zero = points[block.offsets[own]]
                     pick = pa.array(own + block.first)
                     yield pa.RecordBatch.from_arrays(
-                        [b["doc_id"].take(pick), b["text_key"].take(pick), pa.array(np.full(len(hit), bool(passage))),
+                        [b["doc_id"].take(pick), b["text_key"].take(pick), pa.array(np.full(len(begin), passage)),
                          pa.array(points[x.starts[begin]] - zero), pa.array(points[x.ends[end - 1]] - zero),
-                         pa.array(k1[hit]), pa.array(k2[hit])],
+                         pa.array(k1), pa.array(k2)],
                         names=["doc_id", "text_key", "passage", "start", "end", "k1", "k2"])
 
     return rows.select("doc_id", F.xxhash64("text").alias("text_key"), "text").mapInArrow(
@@ -239,16 +287,18 @@ def _merged(batches):
         rows = []
         for units in b["units"].to_pylist():
             lines = sorted((u for u in units if not u["passage"]), key=lambda u: u["start"])
-            spans, k = [], 0
+            spans, last, k = [], {}, 0
             for u in sorted((u for u in units if u["passage"]), key=lambda u: (u["start"], u["end"])):
                 while k < len(lines) and lines[k]["end"] <= u["start"]:
                     k += 1
                 if k < len(lines) and lines[k]["start"] <= u["start"] and u["end"] <= lines[k]["end"]:
                     continue
-                if spans and u["start"] < spans[-1]["end"] and u["kept"] == spans[-1]["kept"]:
-                    spans[-1]["end"] = max(spans[-1]["end"], u["end"])
+                span = last.get(u["kept"])
+                if span and u["start"] < span["end"]:
+                    span["end"] = max(span["end"], u["end"])
                 else:
-                    spans.append(dict(u))
+                    last[u["kept"]] = dict(u)
+                    spans.append(last[u["kept"]])
             rows.append(sorted(lines + spans, key=lambda u: (u["start"], u["end"])))
         names = [n for n in b.schema.names if n != "units"]
         yield pa.RecordBatch.from_arrays([*[b[n] for n in names], pa.array(rows, type=out)], names=[*names, "units"])
@@ -261,7 +311,9 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     clusters = T.materialize(paragraph_clusters(rows), "clusters")
     passages = T.materialize(repeated_passages(rows), "passages")
-    units = T.materialize(occurrences(rows, clusters, passages).distinct(), "units")
+    leaders = T.materialize(repeated_leaders(rows), "leaders")
+    # units of repeated rows stay: minima, maxima and sets do not count them
+    units = T.materialize(occurrences(rows, clusters, passages, leaders), "units")
     own = units.where("NOT passage").join(clusters, ["k1", "k2"])
     # the second hash tells passages apart whose first hashes agree by chance
     runs = units.where("passage").withColumn("cluster", F.xxhash64("k1", "k2"))

@@ -121,3 +121,43 @@ def test_removed_keeps_one_copy(spark):
 def test_empty(spark):
     assert S.repeated_spans(docs(spark, [])).count() == 0
     assert S.removed(docs(spark, [(1, None, None)])).count() == 1
+
+
+def test_runs_are_found_wherever_they_begin_and_break(spark):
+    rng = np.random.default_rng(5)
+
+    def w(n):
+        return [f"u{x}" for x in rng.integers(0, 10 ** 9, n)]
+
+    def wrapped(words, n):
+        return "\n".join(" ".join(words[i:i + n]) for i in range(0, len(words), n))
+
+    plain, hard, one, near = w(60), w(70), w(30), w(49)
+    texts = {
+        1: " ".join(w(33) + plain + w(21)), 2: " ".join(w(8) + plain + w(90)),          # no sentence ends
+        3: wrapped(w(5) + hard + w(9), 7), 4: wrapped(w(30) + hard + w(2), 11),         # short lines, broken elsewhere
+        5: " ".join(w(7) + hard + w(40)).upper(),
+        6: " ".join(w(40)) + "\n" + " ".join(one) + ".", 7: " ".join(w(30)) + ". " + " ".join(one) + ". " + " ".join(w(30)),
+        8: " ".join(w(30) + near + w(30)), 9: " ".join(w(20) + near + w(30)),           # one word short
+        10: " ".join(w(10) + plain[:30] + w(1) + plain[31:] + w(10)),
+        11: " ".join(w(10) + plain[3:] + w(12)), 12: " ".join((w(3) + ["x", "y"] * 40)), 13: "x y " * 60}
+    got = S.repeated_spans(docs(spark, [(i, t, "s") for i, t in texts.items()])).where("passage").collect()
+    windows = {}
+    for i, t in texts.items():
+        m = list(re.finditer(r"\S+", t))
+        for j in range(len(m) - S.MIN_RUN + 1):
+            key = tuple(x[0].lower() for x in m[j:j + S.MIN_RUN])
+            windows.setdefault(key, []).append((i, m[j].start(), m[j + S.MIN_RUN - 1].end()))
+    want, have = {}, {}
+    for at in windows.values():
+        if len({i for i, _, _ in at}) > 1:
+            for i, a, b in at:
+                want.setdefault(i, set()).update(range(a, b))
+    for r in got:
+        have.setdefault(r.doc_id, set()).update(range(r.start, r.end))
+    assert {i: have.pop(i) for i in (6, 7)} == {6: set(range(texts[6].index(one[0]), len(texts[6]))),
+                                               7: set(range(texts[7].index(one[0]), texts[7].index(one[-1]) + len(one[-1]) + 1))}
+    assert set(want) == {1, 2, 3, 4, 5, 11, 12, 13} and have == want
+    out = {r.doc_id: r.text for r in S.removed(docs(spark, [(i, t, "s") for i, t in texts.items()])).collect()}
+    assert " ".join(plain) in out[1] and not any(x in out[2].split() for x in plain)
+    assert out[10] == texts[10] and out[8] == texts[8] and out[9] == texts[9]
