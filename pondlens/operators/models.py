@@ -325,20 +325,15 @@ def importance_frame(spark, result: TrainResult) -> DataFrame:
                                  "feature string, importance double")
 
 
-# a light setting for registered smoke queries (full search via train_models)
-QUICK = {"algorithms": ("rf", "xgb", "lgb"), "n_iter": 0, "folds": 2,
-         "params": {"rf": {"numTrees": 20, "maxDepth": 8, "minInstancesPerNode": 2, "seed": SEED},
-                    "xgb": {"maxIter": 10, "stepSize": 0.1, "maxDepth": 4, "subsamplingRate": 0.8,
-                            "featureSubsetStrategy": "0.8", "seed": SEED},
-                    "lgb": {"maxIter": 10, "stepSize": 0.1, "maxDepth": 4, "subsamplingRate": 0.8,
-                            "featureSubsetStrategy": "0.8", "seed": SEED}}}
+# fixed values: the reference's search, which the registered queries run
+REFERENCE = {"algorithms": ("rf", "xgb", "lgb"), "n_iter": 20, "folds": 5, "params": None}
 
 
 def model_summary(main: DataFrame, settings: dict | None = None, workers: int = 9) -> DataFrame:
     """M16 over every target x algorithm; the independent trainings are
     submitted concurrently (Spark runs their jobs side by side)."""
     from concurrent.futures import ThreadPoolExecutor
-    s = settings or QUICK
+    s = settings or REFERENCE
     tasks = [(t, a) for t in TARGETS for a in s["algorithms"]]
     with ThreadPoolExecutor(max_workers=max(1, min(workers, len(tasks)))) as pool:
         futs = [pool.submit(train_target, main, t, (a,), s["n_iter"], s["folds"], s["params"]) for t, a in tasks]
@@ -346,19 +341,23 @@ def model_summary(main: DataFrame, settings: dict | None = None, workers: int =
     return summary_frame(main.sparkSession, res)
 
 
-def _quick_fit(main: DataFrame, target: str, algorithm: str = "rf") -> TrainResult:
-    result = train_target(main, target, (algorithm,), 0, 0, QUICK["params"])[0]
-    if result.error:
-        raise RuntimeError(f"{target}/{algorithm}: {result.error}")
-    return result
-
-
-def _quick_fits(main: DataFrame, algorithms) -> list[TrainResult]:
-    """Every target by every algorithm; Spark runs their jobs side by side."""
+def trained(main: DataFrame) -> dict[str, list[TrainResult]]:
+    """Every target by every algorithm at the reference's settings; Spark runs their jobs side by side."""
     from concurrent.futures import ThreadPoolExecutor
-    tasks = [(t, a) for t in TARGETS for a in algorithms]
+    s = REFERENCE
+    tasks = [(t, a) for t in TARGETS for a in s["algorithms"]]
     with ThreadPoolExecutor(max_workers=len(tasks)) as pool:
-        return [f.result() for f in [pool.submit(_quick_fit, main, t, a) for t, a in tasks]]
+        futs = [pool.submit(train_target, main, t, (a,), s["n_iter"], s["folds"], s["params"]) for t, a in tasks]
+        res = [r for f in futs for r in f.result()]
+    for r in res:
+        if r.error:
+            raise RuntimeError(f"{r.target}/{r.algorithm}: {r.error}")
+    return {t: [r for r in res if r.target == t] for t in TARGETS}
+
+
+def best_models(main: DataFrame) -> dict[str, TrainResult]:
+    """The best algorithm of each target by cross-validation."""
+    return {t: best_result(rs) for t, rs in trained(main).items()}
 
 
 def prediction_errors(main: DataFrame, result: TrainResult) -> DataFrame:
@@ -371,12 +370,12 @@ def prediction_errors(main: DataFrame, result: TrainResult) -> DataFrame:
 
 
 def all_prediction_errors(main: DataFrame) -> DataFrame:
-    return reduce(DataFrame.unionByName, [prediction_errors(main, r) for r in _quick_fits(main, QUICK["algorithms"])])
+    return reduce(DataFrame.unionByName, [prediction_errors(main, r) for rs in trained(main).values() for r in rs])
 
 
 def all_feature_importance(main: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, [
-        importance_frame(main.sparkSession, r).withColumn("target", F.lit(r.target)) for r in _quick_fits(main, ("rf",))])
+        importance_frame(main.sparkSession, r).withColumn("target", F.lit(r.target)) for r in best_models(main).values()])
 
 
 # ---------------------------------------------------------------- S6/S7/M18

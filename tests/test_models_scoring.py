@@ -77,3 +77,22 @@ def test_scoring_clips_and_validates(spark, tmp_path):
     q.stop()
     got = spark.sql("SELECT * FROM scored_stream").collect()
     assert len(got) == 20 and {r.id for r in got} == {x["id"] for x in sample}
+
+
+def test_registered_model_queries_run_the_reference_search(spark, monkeypatch):
+    main, seen, fit = _main(spark, 120), [], M.train_target
+    light = {"rf": {"numTrees": 2, "maxDepth": 2, "seed": 42}, **{a: {"maxIter": 1, "maxDepth": 2, "seed": 42} for a in ("xgb", "lgb")}}
+
+    def recorded(main, target, algorithms, n_iter, folds, params=None):
+        seen.append((target, *algorithms, n_iter, folds, params))
+        r = fit(main, target, algorithms, 0, 0, light)
+        r[0].cv_mean = {"rf": 0.1, "xgb": 0.5, "lgb": 0.2}[algorithms[0]]
+        return r
+
+    monkeypatch.setattr(M, "train_target", recorded)
+    want = sorted((t, a, 20, 5) for t in M.TARGETS for a in ("rf", "xgb", "lgb"))
+    for query in (M.model_summary, M.all_prediction_errors, M.all_feature_importance, SC.score_batch_from_main, SC.model_info_from_main):
+        seen.clear()
+        out = query(main)
+        assert sorted(x[:4] for x in seen) == want and all(x[4] is None for x in seen)
+    assert {r.model_type for r in out.collect()} == {"GBTRegressionModel"}
