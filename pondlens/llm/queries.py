@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-from pondlens.llm import (contamination, host_quality, html_text, licenses, mixing, near_dup, secrets, sql, substring_dedup,
-                          toxicity, url_filter)
+from pondlens.llm import (contamination, host_quality, html_text, importance, licenses, mixing, near_dup, packing, secrets, sql,
+                          substring_dedup, token_alignment, toxicity, url_filter)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -72,6 +72,27 @@ def op10_host_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.withColumn("host_rate", F.round("host_rate", 9))
 
 
+def vocabulary(name: str) -> str:
+    """Where the public vocabulary files are installed."""
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
+def op11_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = packing.pack(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
+    return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+def op12_importance_draw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranked = importance.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return ranked.select("doc_id", "n_words", "n_features", "weight", "score", "rank")
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.digest(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"),
+                                  vocabulary("piece_bpe_32k.model"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_repeated_passages": op1_repeated_passages,
     "op2_url_filter": op2_url_filter,
@@ -83,10 +104,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_source_mix": op9_source_mix,
     "op10_host_quality": op10_host_quality,
+    "op11_best_fit_packing": op11_best_fit_packing,
+    "op12_importance_draw": op12_importance_draw,
+    "op13_token_alignment": op13_token_alignment,
 }
 
 ORACLES: dict[str, str] = {
     "op6_near_duplicates": sql.NEAR_DUPLICATES,
     "op7_benchmark_leaks": sql.CONTAMINATION,
     "op10_host_quality": sql.HOST_QUALITY,
+    "op12_importance_draw": sql.IMPORTANCE,
 }

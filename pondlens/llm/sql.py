@@ -89,3 +89,52 @@ SELECT doc_id, coalesce(n, 0) AS n_shingles, coalesce(component_id, doc_id) AS c
        coalesce(component_id, doc_id) = doc_id AS kept
 FROM documents LEFT JOIN sizes USING (doc_id) LEFT JOIN lowest USING (doc_id)
 """
+
+IMPORTANCE = r"""
+WITH nibbles AS (
+  SELECT list_transform(generate_series(0, 15), lambda i: list_reduce(generate_series(1, 4),
+           lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i)) AS t),
+words AS (
+  SELECT 'd' AS part, row_number() OVER () AS rid, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+  UNION ALL
+  SELECT 'b', row_number() OVER (), NULL,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') FROM benchmark),
+spots AS (SELECT part, rid, unnest(generate_series(1, len(w))) AS p, w FROM words),
+runs AS (
+  SELECT part, rid, w[p] AS f FROM spots
+  UNION ALL SELECT part, rid, w[p] || ' ' || w[p + 1] FROM spots WHERE p < len(w)
+  UNION ALL SELECT part, rid, w[p] || ' ' || w[p + 1] || ' ' || w[p + 2] FROM spots WHERE p + 1 < len(w)),
+each AS (SELECT part, rid, f, count(*) AS n FROM runs GROUP BY ALL),
+names AS (SELECT f, lower(hex(encode(f))) AS x FROM (SELECT DISTINCT f FROM each)),
+coded AS (
+  SELECT f, xor(list_reduce(list_transform(generate_series(1, length(x)),
+                  lambda k: ascii(x[k + CASE WHEN k % 2 = 1 THEN 1 ELSE -1 END])),
+                lambda c, h: xor(c >> 4, t[(xor(c % 16, CASE WHEN h > 57 THEN h - 87 ELSE h - 48 END) + 1)::BIGINT]),
+                4294967295), 4294967295) % 10000 AS bucket
+  FROM names, nibbles),
+counted AS (
+  SELECT bucket, sum(n) FILTER (WHERE part = 'd') AS s, sum(n) FILTER (WHERE part = 'b') AS t
+  FROM each JOIN coded USING (f) GROUP BY bucket),
+totals AS (SELECT coalesce(sum(s), 0)::DOUBLE AS s_all, coalesce(sum(t), 0)::DOUBLE AS t_all FROM counted),
+gained AS (
+  SELECT bucket, floor(1000 * ln((coalesce(t, 0)::DOUBLE + 1) * (s_all + 10000)
+                                 / ((coalesce(s, 0)::DOUBLE + 1) * (t_all + 10000))))::BIGINT AS gain
+  FROM counted, totals),
+weights AS (
+  SELECT rid, sum(n)::BIGINT AS n_features, sum(n * gain)::BIGINT AS weight
+  FROM each JOIN coded USING (f) JOIN gained USING (bucket) WHERE part = 'd' GROUP BY rid),
+scored AS (
+  SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+         coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('42:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT
+           + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score
+  FROM words LEFT JOIN weights USING (rid) WHERE part = 'd'),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY n_words >= 20 ORDER BY score DESC, doc_id NULLS LAST) AS place,
+         count(*) FILTER (WHERE n_words >= 20) OVER () AS ready
+  FROM scored)
+SELECT doc_id, n_words, n_features, weight, score, CASE WHEN n_words >= 20 AND place <= 5 * ready // 100 THEN place END AS rank
+FROM placed
+"""
