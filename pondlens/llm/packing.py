@@ -2,9 +2,9 @@
 
 1. Documents are encoded, ended by one id, and cut into pieces of at most
    ``size`` ids (only longer ones are cut). White space ends every token of the
-   tokenizer, so each distinct stretch between white space is encoded once a
-   task and its ids are taken again. A piece carries its task and its number
-   among the task's pieces of its length.
+   tokenizer, so each distinct stretch between white space is encoded once, until
+   the stretches that a task remembers reach a bound and are forgotten. A piece
+   carries its task and its number among the task's pieces of its length.
 2. The plan needs only how many pieces there are of each length: at most
    ``size`` numbers reach the driver. Best fit decreasing runs over counts:
    equal pieces that meet equally full sequences are placed as one step, so the
@@ -24,6 +24,8 @@ from __future__ import annotations
 
 import os
 import zlib
+from itertools import chain, repeat
+from unicodedata import normalize
 
 import numpy as np
 import pyarrow as pa
@@ -32,11 +34,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pondlens.llm import textops as T
+from pondlens.llm.token_alignment import byte_alphabet
 
 SIZE = 2048
 END_ID = 0
 #: Distinct stretches of text whose ids a task remembers.
-MAX_STRETCHES = 200_000
+MAX_STRETCHES = 500_000
+#: Stretches that are encoded as one text.
+JOINED = 1000
 
 
 class Encoder:
@@ -46,30 +51,65 @@ class Encoder:
         from tokenizers import Tokenizer
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer, self.limit = Tokenizer.from_str(model), limit
+        byte = byte_alphabet()
+        special = {i: t.content.encode() for i, t in self.tokenizer.get_added_tokens_decoder().items()}
+        names = [self.tokenizer.id_to_token(i).removesuffix("</w>") for i in range(self.tokenizer.get_vocab_size())]
+        #: What an id stands for (a byte-level vocabulary, whose last piece of a word carries a mark).
+        self.bytes = [special[i] if i in special else bytes(byte[c] for c in n) for i, n in enumerate(names)]
+        self.size = np.array([len(b) for b in self.bytes], np.int64)
         self.clear()
 
     def clear(self):
         self.place: dict[str, int] = {}
         self.ids, self.ends = np.zeros(0, np.uint32), np.zeros(1, np.int64)
 
-    def _learn(self, stretches: list[str]) -> None:
-        got = [e.ids for e in self.tokenizer.encode_batch(stretches, add_special_tokens=False)]
-        self.place.update(zip(stretches, range(len(self.place), len(self.place) + len(stretches))))
-        self.ids = np.concatenate([self.ids, np.array([i for g in got for i in g], np.uint32)])
-        self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum([len(g) for g in got], dtype=np.int64)])
+    def _units(self, stretches: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """Stretches (in a new order), their ids, and where each one's ids end.
+
+        Joined stretches are told apart by the bytes that their normalised form
+        should have; where the tokens are others, each stretch is encoded alone.
+        """
+        units = [stretches[k:k + JOINED] for k in range(0, len(stretches), JOINED)]
+        joined = [" ".join(u) for u in units]
+        first, alone, ids, ends, n = [], [], [], [], 0
+        for unit, text, e in zip(units, joined, self.tokenizer.encode_batch_fast(joined, add_special_tokens=False)):
+            plain = normalize("NFC", text).lower()
+            size = list(map(len, unit if plain.isascii() else (w.encode() for w in plain.split(" "))))
+            own = e.ids
+            if b"".join(map(self.bytes.__getitem__, own)) == plain.replace(" ", "").encode() and len(size) == len(unit):
+                ends.append(np.searchsorted(np.cumsum(self.size[own]), np.cumsum(size)) + 1 + n)
+                ids.append(own)
+                n += len(own)
+                first += unit
+            else:
+                alone += unit
+        more = [e.ids for e in self.tokenizer.encode_batch_fast(alone, add_special_tokens=False)]
+        ends.append(n + np.cumsum([len(g) for g in more], dtype=np.int64))
+        return first + alone, np.fromiter(chain.from_iterable(ids + more), np.uint32), np.concatenate(ends)
+
+    def _learn(self, new: list[str]) -> None:
+        for group in ([s for s in new if s.isascii()], [s for s in new if not s.isascii()]):
+            group, ids, ends = self._units(group)
+            self.place.update(zip(group, range(len(self.place), len(self.place) + len(group))))
+            self.ids = np.concatenate([self.ids, ids])
+            self.ends = np.append(self.ends, self.ends[-1] + ends)
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids in order, and each text's range of ids (n + 1)."""
         if len(self.place) > self.limit:
             self.clear()
         parts = pc.ascii_split_whitespace(pc.fill_null(texts.cast(pa.large_string()), ""))
-        flat, row = pc.list_flatten(parts), pc.list_parent_indices(parts).to_numpy(zero_copy_only=False)
+        flat, row = pc.list_flatten(parts), pc.list_parent_indices(parts)
+        real = pc.not_equal(flat, "")
+        flat, row = flat.filter(real), row.filter(real).to_numpy(zero_copy_only=False)
         enc = pc.dictionary_encode(flat)
         names = enc.dictionary.to_pylist()
-        new = [s for s in names if s not in self.place]
+        known = np.fromiter(map(self.place.get, names, repeat(-1)), np.int64, len(names))
+        new = np.flatnonzero(known < 0).tolist()
         if new:
-            self._learn(new)
-        known = np.fromiter(map(self.place.__getitem__, names), np.int64, len(names))
+            names = [names[k] for k in new]
+            self._learn(names)
+            known[new] = list(map(self.place.__getitem__, names))
         at = known[enc.indices.to_numpy(zero_copy_only=False)] if len(names) else np.zeros(0, np.int64)
         n = self.ends[at + 1] - self.ends[at]
         stops = np.cumsum(n)

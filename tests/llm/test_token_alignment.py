@@ -80,7 +80,10 @@ def test_against_brute_force_by_broadcast_and_by_join(spark, max_pairs):
 def test_forgetting_changes_nothing(spark, monkeypatch):
     rows = corpus()
     monkeypatch.setattr(A, "MAX_STRETCHES", 10)
-    monkeypatch.setattr(A, "MAX_TOKENS", 50)
+    monkeypatch.setattr(A, "MAX_LINKS", 50)
+    monkeypatch.setattr(A, "MAX_COUNTED", 50)
+    monkeypatch.setattr(A, "LARGE_GROUP", 2)
+    monkeypatch.setattr(A, "JOINED", 3)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "20")
     df = docs(spark, [(i, t, "s") for i, t in rows]).coalesce(1)
     assert sorted(repr(tuple(r)) for r in A.digest(df, *PATHS).collect()) == brute(rows)
@@ -95,14 +98,22 @@ def test_groups_of_random_ends(seed):
     a, b = ({*cuts[rng.random(len(cuts)) < keep].tolist(), size} for keep in (rng.uniform(.5, 1), rng.uniform(.5, 1)))
     a, b = sorted(a), sorted(b)
     both = sorted(set(a) & set(b))
-    assert A.align_ends(a, b) == [(a.index(e) + 1, b.index(e) + 1) for e in both]
-    assert A.align_ends([], []) == []
+    i, j = A.group_ends(a, b)
+    assert list(zip(i.tolist(), j.tolist())) == [(a.index(e) + 1, b.index(e) + 1) for e in both]
+    assert A.align_ends([], []).shape == (0, 3)
+
+
+def test_one_to_one_stretches_are_jumped():
+    ends = list(range(1, 100_001))
+    assert A.align_ends(ends, ends).tolist() == [[1, 1, 100_000]]
+    shifted = [e for e in ends if e != 50_000]
+    assert A.align_ends(ends, shifted).tolist() == [[1, 1, 49_999], [50_001, 50_000, 1], [50_002, 50_001, 49_999]]
 
 
 def test_written_groups(spark):
     rows = [(i, t) for i, t in enumerate(TEXTS)]
     a, b = models()
-    got = {r.doc_id: r for r in A.align(docs(spark, [(i, t, "s") for i, t in rows]), *PATHS).collect()}
+    got = {r.doc_id: r for r in A.aligned(docs(spark, [(i, t, "s") for i, t in rows]), *PATHS, written=True).collect()}
     for i, t in rows:
         g = groups_of(a, b, t) if t else []
         assert got[i].groups == ";".join(f"{','.join(map(str, p))}|{','.join(map(str, q))}" for p, q in g), t
@@ -115,7 +126,6 @@ def test_no_piece_reaches_over_a_blank():
 
 def test_empty_table(spark):
     assert A.digest(docs(spark, []), *PATHS).count() == 0
-    assert A.pair_counts(docs(spark, []), *PATHS).count() == 0
 
 
 def test_registered_query(spark):
