@@ -39,7 +39,7 @@ from pondlens.llm.token_alignment import byte_alphabet
 SIZE = 2048
 END_ID = 0
 #: Distinct stretches of text whose ids a task remembers.
-MAX_STRETCHES = 500_000
+MAX_STRETCHES = 1_000_000
 #: Stretches that are encoded as one text.
 JOINED = 1000
 
@@ -103,7 +103,7 @@ class Encoder:
         real = pc.not_equal(flat, "")
         flat, row = flat.filter(real), row.filter(real).to_numpy(zero_copy_only=False)
         enc = pc.dictionary_encode(flat)
-        names = enc.dictionary.to_pylist()
+        names = enc.dictionary.to_numpy(zero_copy_only=False).tolist()
         known = np.fromiter(map(self.place.get, names, repeat(-1)), np.int64, len(names))
         new = np.flatnonzero(known < 0).tolist()
         if new:

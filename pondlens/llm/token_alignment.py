@@ -44,14 +44,15 @@ from pyspark.sql import functions as F
 from pondlens.llm import textops as T
 
 #: Distinct stretches, and links of theirs, that a task remembers.
-MAX_STRETCHES = 400_000
+MAX_STRETCHES = 250_000
 MAX_LINKS = 4_000_000
 #: Distinct pairs that a task counts before it sends them.
 MAX_COUNTED = 4_000_000
 #: Pairs of ids that are broadcast (17 bytes each); more are joined.
 MAX_PAIRS = 4_000_000
-#: Stretches that are encoded as one text.
+#: Stretches that are encoded as one text, and that are learnt in one step.
 JOINED = 500
+STEP = 40_000
 #: Groups of more links than this are multiplied out by distinct ids.
 LARGE_GROUP = 4096
 BLANK = re.compile(r"(?<=\S) (?=\S)")
@@ -241,8 +242,8 @@ class Pair:
         """Each text's stretches, by their numbers; none if a text has no tokens."""
         cut = [[" " + s for s in BLANK.split(t)] if t else [] for t in texts]
         new = [s for s in dict.fromkeys(chain.from_iterable(cut)) if s not in self.place]
-        if new:
-            self._learn(new)
+        for k in range(0, len(new), STEP):
+            self._learn(new[k:k + STEP])
         out = [np.fromiter(map(self.place.__getitem__, parts), np.int64, len(parts)) for parts in cut]
         return [n if self.sums[n, 4].all() else n[:0] for n in out]
 
