@@ -52,7 +52,7 @@ MAX_COUNTED = 4_000_000
 MAX_PAIRS = 4_000_000
 #: Stretches that are encoded as one text, and that are learnt in one step.
 JOINED = 500
-STEP = 40_000
+STEP = 20_000
 #: Groups of more links than this are multiplied out by distinct ids.
 LARGE_GROUP = 4096
 BLANK = re.compile(r"(?<=\S) (?=\S)")
