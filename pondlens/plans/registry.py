@@ -15,11 +15,12 @@ from typing import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pondlens.config import (BASE_FEATURES, FCR_VALID, ID_COLUMNS, IQR_FACTOR, MIN_FACTOR_ROWS, SR_RANGE,
-                             SR_VALID, TOP_FACTORS, WATER_FEATURE_MARKERS, WATER_PARAMS)
+from pondlens.config import (BASE_FEATURES, FCR_VALID, ID_COLUMNS, IQR_FACTOR, MIN_FACTOR_ROWS, SEASONAL_FEATURES,
+                             SR_RANGE, SR_VALID, TOP_FACTORS, WATER_FEATURE_MARKERS, WATER_PARAMS)
 from pondlens.functions import exprs as X
 from pondlens.operators import analysis as AN
 from pondlens.operators import clean as C
+from pondlens.operators import ensembles as E
 from pondlens.operators import features as FE
 from pondlens.operators import models as M
 from pondlens.operators import profile as P
@@ -599,14 +600,28 @@ def _registry() -> dict[str, Query]:
         lambda st: M.baseline_metrics(st.main),
         [("target", "s"), ("n_test", "i")] + _d("rmse", "mae", "r2"), _metrics_sql(), _metrics_ctes())
     R["prediction_errors"] = Query(
-        lambda st: M.all_prediction_errors(st.main),
+        lambda st: E.prediction_errors(st.export, st.main),
         [("target", "s"), ("algorithm", "s"), ("id", "i")] + _d("actual", "prediction", "error"), None)
     R["feature_importance"] = Query(
-        lambda st: M.all_feature_importance(st.main),
+        lambda st: E.feature_importance(st.export),
         [("target", "s"), ("feature", "s"), ("importance", "d")], None)
     R["model_summary"] = Query(
-        lambda st: M.model_summary(st.main),
+        lambda st: E.summary(st.export),
         [("model_type", "s"), ("algorithm", "s")] + _d("r2", "rmse", "mae", "cv_mean", "cv_std"), None)
+    R["model_search"] = Query(
+        lambda st: E.summary(st.searched),
+        [("model_type", "s"), ("algorithm", "s"), ("settings", "s")] + _d("r2", "rmse", "mae", "cv_mean", "cv_std"), None)
+    R["export_metadata"] = Query(
+        lambda st: E.export_metadata(st.export),
+        [("target", "s"), ("algorithm", "s"), ("n_features", "i"), ("feature_names", "s")] + _d("lower", "upper"), None)
+    R["standardise"] = Query(
+        lambda st: E.scaled_ranges(st.main),
+        [("feature", "s"), ("n", "i")] + _d("mean", "std", "lowest", "highest"),
+        _union_sql([f"SELECT '{f}' AS feature, count(*) AS n, any_value(m) AS mean, any_value(s) AS std, "
+                    f"min((coalesce({f}, m) - m) / CASE WHEN s > 0 THEN s ELSE 1 END) AS lowest, "
+                    f"max((coalesce({f}, m) - m) / CASE WHEN s > 0 THEN s ELSE 1 END) AS highest FROM main, "
+                    f"(SELECT avg({f}) AS m, stddev_pop({f}) AS s FROM main WHERE {_bucket_sql()} < 80) x"
+                    for f in feats if f not in SEASONAL_FEATURES]))
 
     # ---- B: batch scoring
     R["validate_scoring_input"] = Query(
@@ -615,9 +630,9 @@ def _registry() -> dict[str, Query]:
         "SELECT id, coalesce(stocking_density BETWEEN 0 AND 1000, FALSE) AS sr_ok, "
         "coalesce(culture_duration > 0, FALSE) AS abw_ok, coalesce(culture_duration > 0, FALSE) AS fcr_ok FROM main")
     R["score_batch"] = Query(
-        lambda st: SC.score_batch_from_main(st.main),
+        lambda st: E.score(st.export, SC.records_from_main(st.main)).select("id", *M.TARGETS.values()),
         [("id", "i")] + _d("survival_rate", "average_weight", "fcr"), None)
-    R["model_info"] = Query(lambda st: SC.model_info_from_main(st.main),
+    R["model_info"] = Query(lambda st: E.model_info(st.export),
                             [("target", "s"), ("model_type", "s"), ("n_features", "i"), ("feature_names", "s"), ("status", "s")],
                             None)
     return R

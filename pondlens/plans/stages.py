@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pondlens.config import PipelineConfig
 from pondlens.operators import clean as C
+from pondlens.operators import ensembles as E
 from pondlens.operators import features as FE
 from pondlens.session import apply_session_conf, checkpoint_dir
 from pondlens.sources.sinks import write_table
@@ -63,6 +64,16 @@ class Stages:
         write_table(self.main_plan, path)
         return self.spark.read.parquet(path)
 
+    @cached_property
+    def export(self) -> E.Export:
+        """Every target by every algorithm at the reference's own settings, trained once and exported; the model queries read it."""
+        return E.Export(self.spark, E.train(self.main, os.path.join(checkpoint_dir(self.spark), "pondlens", self.run_id, "models")))
+
+    @cached_property
+    def searched(self) -> E.Export:
+        """The same after the reference's random search: 20 draws by 5 folds for each target and algorithm."""
+        return E.Export(self.spark, E.train(self.main, os.path.join(checkpoint_dir(self.spark), "pondlens", self.run_id, "search"), n_iter=20))
+
 
 _MEMO: dict = {}
 
