@@ -5,27 +5,25 @@ merges all partial maps of a group in one task, so a global median over a
 huge, high-cardinality column (or a hot group holding a third of the rows)
 puts every distinct value into one task's memory. The operators here compute
 the same exact value (``quantile_cont`` / pandas ``quantile``: position
-``h = (n-1)q``, ``x[floor h] + (h - floor h)(x[ceil h] - x[floor h])``) by
-range refinement: count a candidate range's rows in equal-width buckets
-(exact counts, exact bucket min/max), keep the bucket holding the wanted rank,
-repeat; each pass shrinks the range at least ``buckets``-fold, and only the
-last small range is ranked with a running sum.
+``h = (n-1)q``, ``x[floor h] + (h - floor h)(x[ceil h] - x[floor h])``):
 
-* ``exact_quantiles`` / ``quantile_values`` - eager, adaptive number of passes,
+* ``exact_quantiles`` / ``quantile_values`` - eager, by range refinement,
   only ``ranges x buckets`` numbers reach the driver (used for the cleaning
   statistics that are inlined as literals);
-* ``quantile_table`` - grouped, with a fixed number of unrolled passes for
-  groups above ``small_group`` rows (used for per-group statistics); one count
-  at build time tells whether there are such groups.
+* ``quantile_table`` - grouped (used for per-group statistics): ranks by one
+  distributed sort of the value counts and the row counts of its partitions.
 """
 
 from __future__ import annotations
 
+import os
+import uuid
+
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SMALL_GROUP = 100_000
+from pondlens.session import checkpoint_dir
 
 
 def _long(df: DataFrame, columns: list[str], by: list[str]) -> DataFrame:
@@ -38,105 +36,67 @@ def _long(df: DataFrame, columns: list[str], by: list[str]) -> DataFrame:
     return long.where(F.col("v").isNotNull() & ~F.isnan("v"))
 
 
-LAZY_PASSES = 3
-MAX_BROADCAST_KEYS = 100_000   # big-group keys are broadcast only up to this count
-
-
 def quantile_table(df: DataFrame, columns: list[str], probs: list[float],
-                   by: list[str] | None = None, small_group: int = SMALL_GROUP,
-                   buckets: int = 1024, passes: int = LAZY_PASSES) -> DataFrame:
+                   by: list[str] | None = None, **earlier) -> DataFrame:
     """Exact quantiles of ``columns`` at ``probs``, optionally per ``by`` group.
 
     Returns ``by..., column, prob, n, value``; NULL values are ignored and an
     all-NULL group yields no row.
     """
     by = list(by or [])
-    return quantile_table_long(_long(df, columns, by), probs, by, small_group, buckets, passes)
+    return quantile_table_long(_long(df, columns, by), probs, by, **earlier)
 
 
 def quantile_table_long(long: DataFrame, probs: list[float], by: list[str] | None = None,
-                        small_group: int = SMALL_GROUP, buckets: int = 1024,
-                        passes: int = LAZY_PASSES) -> DataFrame:
+                        small_group: int | None = None, buckets: int | None = None,
+                        passes: int | None = None) -> DataFrame:
     """``quantile_table`` over long input ``by..., column, v`` (``v`` double,
     NULL/NaN removed).
 
-    Each target rank starts with its group's ``[min, max]`` range. Groups with
-    more than ``small_group`` values go through ``passes`` unrolled
-    refinement passes: the range's rows are counted in ``buckets`` equal-width
-    buckets (with exact bucket min/max), a running sum over the <= ``buckets``
-    bucket rows of a range finds the bucket holding the rank, and that
-    bucket's ``[min, max]`` becomes the next range (>= ``buckets``-fold smaller
-    per pass, exact counts throughout). Finally each range's distinct values
-    are ranked with a running sum and the order statistics interpolated. A hot
-    group is never gathered in one task: only its final range is.
+    1. Equal values of a group are counted (partial sums in the map tasks).
+    2. The counts are sorted by (group, value) over range partitions, which cut
+       a hot group wherever its values lie - by rows, not by width, so neither
+       its size nor its spread nor an infinity matters - and written once with
+       the number of their partition.
+    3. A group's partitions, one row each, say in which of them a wanted rank
+       lies; only there a running sum picks the value.
+
+    There is one way for groups of every size; no task holds more of a group
+    than one range partition. ``small_group``, ``buckets`` and ``passes`` are
+    accepted from earlier callers and have no effect.
     """
     by = list(by or [])
     keys = by + ["column"]
-    rk = keys + ["lo", "hi", "below"]
-    basic = long.groupBy(*keys).agg(F.count("v").alias("n"), F.min("v").alias("vmin"), F.max("v").alias("vmax"))
-    tcols = []
-    for q in probs:
-        h = (F.col("n") - 1).cast("double") * F.lit(float(q))
-        tcols.append(F.struct(F.lit(float(q)).alias("prob"), F.floor(h).cast("bigint").alias("r_lo"),
-                              F.ceil(h).cast("bigint").alias("r_hi"), (h - F.floor(h)).alias("frac")))
-    plan = basic.select(*keys, "n", "vmin", "vmax", F.explode(F.array(*tcols)).alias("t")) \
-        .select(*keys, "n", "vmin", "vmax", "t.prob", "t.r_lo", "t.r_hi", "t.frac")
-    ranks = (plan.select(*keys, "n", "vmin", "vmax", F.explode(F.array("r_lo", "r_hi")).alias("rank"))
-             .distinct()
-             .select(*keys, "n", "rank", F.col("vmin").alias("lo"), F.col("vmax").alias("hi"),
-                     F.lit(0).cast("bigint").alias("below")))
-    small = ranks.where(F.col("n") <= F.lit(small_group)).drop("n")
-    big = ranks.where(F.col("n") > F.lit(small_group)).drop("n")
-    # one cheap aggregate decides whether refinement passes are needed at all
-    # (and whether the big-group key list is small enough to broadcast)
-    n_big = basic.where(F.col("n") > F.lit(small_group)).count()
-    if n_big == 0:
-        passes, big = 0, None
-    for _ in range(passes):
-        rng = big.select(*rk).distinct()
-        width = F.try_divide(F.col("hi") - F.col("lo"), F.lit(float(buckets)))
-        b = F.coalesce(F.least(F.floor(F.try_divide(F.col("v") - F.col("lo"), width)), F.lit(buckets - 1)),
-                       F.lit(0)).alias("b")
-        cnt = (long.join(rng, keys).where((F.col("v") >= F.col("lo")) & (F.col("v") <= F.col("hi")))
-               .select(*rk, "v", b).groupBy(*rk, "b")
-               .agg(F.count(F.lit(1)).alias("c"), F.min("v").alias("bmin"), F.max("v").alias("bmax")))
-        w = Window.partitionBy(*rk).orderBy("b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        cum = cnt.withColumn("end", F.col("below") + F.sum("c").over(w)).withColumn("start", F.col("end") - F.col("c"))
-        big = (big.join(cum, rk).where((F.col("start") <= F.col("rank")) & (F.col("rank") < F.col("end")))
-               .select(*keys, "rank", F.col("bmin").alias("lo"), F.col("bmax").alias("hi"),
-                       F.col("start").alias("below")))
-    # small groups: every value of the group is in range, so the rows are
-    # hash-partitioned by group once and the value counts and the running sum
-    # reuse that partitioning (one shuffle of the rows). Big groups (their
-    # counted key list is broadcast only when short) rank only the final range
-    # left by the refinement passes.
-    wk = Window.partitionBy(*keys).orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    small_rows = long
-    if big is not None:
-        big_keys = basic.where(F.col("n") > F.lit(small_group)).select(*keys)
-        if n_big <= MAX_BROADCAST_KEYS:
-            big_keys = F.broadcast(big_keys)
-        small_rows = long.join(big_keys, keys, "left_anti")
-    svc = small_rows.repartition(*keys).groupBy(*keys, "v").agg(F.count(F.lit(1)).alias("cnt"))
-    sranked = svc.withColumn("end", F.sum("cnt").over(wk)).withColumn("start", F.col("end") - F.col("cnt"))
-    picked = (small.select(*keys, "rank").join(sranked, keys)
-              .where((F.col("start") <= F.col("rank")) & (F.col("rank") < F.col("end")))
-              .select(*keys, "rank", "v"))
-    if big is not None:
-        frng = big.select(*rk).distinct()
-        vc = (long.join(frng, keys).where((F.col("v") >= F.col("lo")) & (F.col("v") <= F.col("hi")))
-              .groupBy(*rk, "v").agg(F.count(F.lit(1)).alias("cnt")))
-        w = Window.partitionBy(*rk).orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        ranked = vc.withColumn("end", F.col("below") + F.sum("cnt").over(w)) \
-            .withColumn("start", F.col("end") - F.col("cnt"))
-        picked = picked.unionByName(
-            big.join(ranked, rk).where((F.col("start") <= F.col("rank")) & (F.col("rank") < F.col("end")))
-            .select(*keys, "rank", "v"))
-    lo_v = picked.select(*keys, F.col("rank").alias("r_lo"), F.col("v").alias("x_lo"))
-    hi_v = picked.select(*keys, F.col("rank").alias("r_hi"), F.col("v").alias("x_hi"))
-    res = plan.join(lo_v, keys + ["r_lo"], "left").join(hi_v, keys + ["r_hi"], "left")
-    value = F.col("x_lo") + F.col("frac") * (F.col("x_hi") - F.col("x_lo"))
-    return res.select(*keys, "prob", "n", value.alias("value"))
+    spark = long.sparkSession
+    values = long.groupBy(*keys, "v").agg(F.count(F.lit(1)).alias("cnt"))
+    path = os.path.join(checkpoint_dir(spark), "pondlens", uuid.uuid4().hex, "ranked")
+    values.orderBy(*keys, "v").withColumn("__part", F.spark_partition_id()).write.parquet(path)
+    placed = spark.read.parquet(path)
+    group = Window.partitionBy(*keys)
+    parts = (placed.groupBy(*keys, "__part").agg(F.sum("cnt").alias("rows"))
+             .withColumn("n", F.sum("rows").over(group))
+             .withColumn("start", F.sum("rows").over(group.orderBy("__part")) - F.col("rows")))
+    h = (F.col("n") - 1).cast("double")
+    wanted = F.array(*[F.struct(F.lit(float(q)).alias("prob"), (h * F.lit(float(q)) - F.floor(h * F.lit(float(q)))).alias("frac"),
+                                F.lit(side).alias("side"), f(h * F.lit(float(q))).cast("bigint").alias("rank"))
+                       for q in probs for side, f in (("lo", F.floor), ("hi", F.ceil))])
+    wanted = parts.select(*keys, "__part", "n", "start", "rows", F.explode(wanted).alias("t")).select(
+        *[F.col(k).alias(f"__{i}") for i, k in enumerate(keys)], F.col("__part").alias("__at"), "n", "start", "rows", "t.*")
+    wanted = wanted.where((F.col("start") <= F.col("rank")) & (F.col("rank") < F.col("start") + F.col("rows"))).drop("rows")
+    here = F.col("__part") == F.col("__at")
+    for i, k in enumerate(keys):
+        here = here & F.col(k).eqNullSafe(F.col(f"__{i}"))
+    some = wanted.select("__at", *[f"__{i}" for i in range(len(keys))]).distinct()
+    running = Window.partitionBy(*keys, "__part").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = placed.join(some, here, "left_semi").withColumn("upto", F.sum("cnt").over(running))
+    local = F.col("rank") - F.col("start")
+    hit = rows.join(wanted, here).where((F.col("upto") - F.col("cnt") <= local) & (local < F.col("upto")))
+    out = hit.groupBy(*keys, "prob", "n", "frac").agg(F.max(F.when(F.col("side") == "lo", F.col("v"))).alias("lo"),
+                                                      F.max(F.when(F.col("side") == "hi", F.col("v"))).alias("hi"))
+    lo, hi = F.col("lo"), F.col("hi")
+    value = (F.when((lo == hi) | (lo == float("-inf")), lo).when(hi == float("inf"), hi)
+             .otherwise(lo + F.col("frac") * (hi - lo)))
+    return out.select(*keys, "prob", "n", value.alias("value"))
 
 
 def quantile_values(df: DataFrame, columns: list[str], probs: list[float]) -> dict[tuple[str, float], float | None]:

@@ -86,3 +86,25 @@ def test_any_spread_ends_in_few_passes(spark):
             else:
                 want = b if b == np.inf else a + (h - np.floor(h)) * (b - a)
             assert got[(c, q)] == want or abs(got[(c, q)] - want) <= 1e-12 * abs(want), (c, q)
+
+
+def test_grouped_million_log_spread_rows_and_an_infinity(spark):
+    """A hot group of a million rows over 600 decades, an infinity, ties, a NULL group and small groups."""
+    from pyspark.sql import functions as F
+    n = 1_000_000
+    u = F.pmod(F.xxhash64("id"), F.lit(1 << 40)) / F.lit(float(1 << 40))
+    hot = spark.range(0, n, 1, 8).select(F.lit("hot").alias("g"), F.pow(F.lit(10.0), u * 600 - 300).alias("v"))
+    more = [("hot", float("inf")), ("hot", -float("inf"))] + [("tie", 3.5)] * 500 + [("tie", 4.5)] * 500 + [(None, 1.0), (None, 2.0), ("one", 7.0)]
+    more += [("nan", float("nan")), ("nan", None)]
+    df = hot.unionByName(spark.createDataFrame(more, "g string, v double"))
+    probs = [0.0, 1e-6, 0.25, 0.5, 0.999999, 1.0]
+    got = {(r["g"], r["prob"]): (r["n"], r["value"]) for r in Q.quantile_table(df, ["v"], probs, by=["g"]).collect()}
+    values = {"hot": np.sort(df.where("g = 'hot'").select("v").toPandas()["v"].to_numpy()), None: np.array([1.0, 2.0]),
+              "one": np.array([7.0]), "tie": np.array([3.5] * 500 + [4.5] * 500)}
+    assert len(got) == len(values) * len(probs)
+    for (g, q), (rows, value) in got.items():
+        vals = values[g]
+        h = (len(vals) - 1) * q
+        a, b = vals[int(np.floor(h))], vals[int(np.ceil(h))]
+        want = a if a == b or a == -np.inf else b if b == np.inf else a + (h - np.floor(h)) * (b - a)
+        assert rows == len(vals) and value == want, (g, q)
