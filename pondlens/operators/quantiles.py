@@ -19,7 +19,6 @@ from __future__ import annotations
 import os
 import uuid
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -127,38 +126,85 @@ def _exponent(v) -> Column:
     return F.when(v == 0, F.lit(0)).when(v > 0, slot).otherwise(-slot)
 
 
+SKETCH_K = 800          # rank error of the sketch: about 0.5 %
+SKETCH_ERROR = 0.012    # half width of a bracket, as a share of the rows
+
+
 def exact_quantiles(long: DataFrame, probs: list[float], buckets: int = REFINE_BUCKETS,
                     moments: dict | None = None) -> dict[tuple[str, float], float | None]:
-    """Exact ``quantile_cont`` values of every ``column`` of a long ``(column, v)`` frame.
-
-    1. One aggregate counts every column's values by sign and power of two,
-       with each slot's exact min and max; infinities have slots of their own.
-       A slot spans a factor of two at most.
-    2. While a target rank's slot holds more than one distinct value, one
-       aggregate counts the rows of all open ranges in ``buckets`` equal-width
-       buckets, again with exact min and max; the bucket that holds the rank
-       becomes the next range.
-
-    Buckets are monotone in the value, so counts are exact. A range within a
-    factor of two holds at most 2^52 different doubles and each pass divides
-    it by ``buckets``, so with 1,024 buckets six passes end on any input,
-    whatever its spread, size or hot values; no rows are ever ranked in one
-    task. Every pass is a distributed aggregate, and only ``ranges x buckets``
-    numbers reach the driver. The narrow input is persisted (memory and disk)
-    for the passes. ``moments`` (a dict), when given, receives each column's
-    n/min/max/mean/std. NULL/NaN values must already be removed.
+    """Exact ``quantile_cont`` values of every ``column`` of a long ``(column, v)`` frame, in two scans.
+
+    1. One aggregate builds a mergeable quantile sketch of each column; it
+       brackets every wanted rank between two values.
+    2. One aggregate counts the rows below, between and inside the brackets;
+       only values inside a bracket (a few per cent of the rows) keep their
+       identity. These value counts are written to the shared checkpoint folder.
+    3. The value counts are narrowed to the wanted ranks: first by sign and
+       power of two, then in ``buckets`` equal-width buckets with exact counts,
+       minimum and maximum, until the bucket that holds a rank has one value.
+
+    Slots and buckets are monotone in the value, so counts are exact whatever
+    the sketch says; a rank that the sketch misses is looked up in the whole
+    frame in the same way. A range within a factor of two holds at most 2^52
+    different doubles and each pass divides it by ``buckets``, so with 1,024
+    buckets six passes end on any input; no rows are ever ranked in one task,
+    and only ``ranges x buckets`` numbers reach the driver. ``moments`` (a
+    dict), when given, receives each column's n/min/max/mean/std. NULL/NaN
+    values must already be removed.
     """
-    long = long.select("column", F.col("v").cast("double").alias("v")).persist(StorageLevel.MEMORY_AND_DISK)
+    long = long.select("column", F.col("v").cast("double").alias("v"))
+    at = sorted({min(max(float(q) + d, 0.0), 1.0) for q in probs for d in (-SKETCH_ERROR, SKETCH_ERROR)})
+    more = [] if moments is None else [F.avg("v").alias("mean"), F.stddev_samp("v").alias("std")]
+    finite = F.when(F.abs("v") != float("inf"), F.col("v"))
+    sketched = long.groupBy("column").agg(F.count("v").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"),
+                                          F.kll_sketch_agg_double(finite, F.lit(SKETCH_K)).alias("sketch"), F.count(finite).alias("some"), *more)
+    edges = F.when(F.col("some") > 0, F.kll_sketch_get_quantile_double("sketch", F.array(*[F.lit(x) for x in at])))
+    found = sketched.select(*[c for c in sketched.columns if c != "sketch"], edges.alias("edges")).collect()
+    if moments is not None:
+        moments.update({r["column"]: {k: r[k] for k in ("column", "n", "lo", "hi", "mean", "std")} for r in found})
+    if not found:
+        return {}
+    # a bracket reaches from one edge to the next; infinities and what the sketch cannot hold lie outside
+    ranges = {r["column"]: sorted({*([] if r["edges"] is None else r["edges"]), r["lo"], r["hi"]}) for r in found}
+    inner = {r["column"]: _brackets(probs, at, r["edges"]) for r in found}
+    width = max(len(e) for e in ranges.values())
+    spark, kind = long.sparkSession, long.schema["column"].dataType.simpleString()
+    nan = float("nan")
+    table = spark.createDataFrame(
+        [(c, *(e + [nan] * (width - len(e))), *[any(lo <= x and y <= hi for lo, hi in inner[c]) for x, y in zip(e, e[1:])],
+          *[False] * (width - len(e))) for c, e in ranges.items()],
+        f"rcol {kind}, " + ", ".join([f"e{i} double" for i in range(width)] + [f"i{i} boolean" for i in range(width - 1)]))
+    v = F.col("v")
+    # 2 i + 1 on edge i, 2 i + 2 between it and the next
+    slot = sum(((v >= F.col(f"e{i}")).cast("int") + (v > F.col(f"e{i}")).cast("int") for i in range(width)), F.lit(0))
+    inside = F.lit(False)
+    for i in range(width - 1):
+        inside = F.when(F.col("slot") == 2 * i + 2, F.col(f"i{i}")).otherwise(inside)
+    rows = long.join(F.broadcast(table), F.col("column") == F.col("rcol")).withColumn("slot", slot)
+    rows = rows.select("column", "slot", "v", F.when(inside, v).alias("kept"))
+    path = os.path.join(checkpoint_dir(spark), "pondlens", uuid.uuid4().hex, "brackets")
+    rows.groupBy("column", "slot", "kept").agg(F.count(F.lit(1)).alias("c"), F.min("v").alias("lo"), F.max("v").alias("hi")).write.parquet(path)
+    small = spark.read.parquet(path)
+    slots = (small.groupBy("column", "slot", F.when(F.col("kept").isNotNull(), _exponent(F.col("lo"))).otherwise(0).alias("x"))
+             .agg(F.sum("c").alias("c"), F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.count_if(F.col("kept").isNull()).alias("out")).collect())
+    counts = [{"column": r["column"], "b": (r["slot"], r["x"]), "c": r["c"], "lo": r["lo"], "hi": r["hi"], "out": r["out"]} for r in slots]
     try:
-        if moments is not None:
-            moments.update({r["column"]: r.asDict() for r in long.groupBy("column").agg(
-                F.count("v").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"), F.avg("v").alias("mean"),
-                F.stddev_samp("v").alias("std")).collect()})
-        slots = (long.groupBy("column", _exponent(F.col("v")).alias("b"))
-                 .agg(F.count(F.lit(1)).alias("c"), F.min("v").alias("lo"), F.max("v").alias("hi")).collect())
-        return _refined(long, probs, buckets, slots)
-    finally:
-        long.unpersist()
+        return _refined(small.where("kept IS NOT NULL").select("column", F.col("kept").alias("v"), "c"), probs, buckets, counts, True)
+    except _Outside:
+        per_slot = (long.groupBy("column", _exponent(F.col("v")).alias("b"))
+                    .agg(F.count(F.lit(1)).alias("c"), F.min("v").alias("lo"), F.max("v").alias("hi")).collect())
+        return _refined(long.withColumn("c", F.lit(1)), probs, buckets, per_slot)
+
+
+class _Outside(Exception):
+    """A wanted rank lies outside the sketch's brackets."""
+
+
+def _brackets(probs, at, edges) -> list[tuple[float, float]]:
+    if edges is None:
+        return []
+    where = dict(zip(at, edges))
+    return [tuple(where[min(max(float(q) + d, 0.0), 1.0)] for d in (-SKETCH_ERROR, SKETCH_ERROR)) for q in probs]
 
 
 def _ranges_join(long: DataFrame, rng: DataFrame) -> DataFrame:
@@ -176,7 +222,8 @@ def _hit(counts: list[tuple], rank: int) -> tuple:
     raise ValueError(f"rank {rank} of {below} rows")
 
 
-def _refined(long, probs, buckets, slots):
+def _refined(long, probs, buckets, slots, bracketed=False):
+    """The quantiles from weighted values (column, v, c) and their counts by monotone slots."""
     per: dict[str, list] = {}
     for r in sorted(slots, key=lambda r: r["b"]):
         per.setdefault(r["column"], []).append((r["c"], r["lo"], r["hi"]))
@@ -189,6 +236,10 @@ def _refined(long, probs, buckets, slots):
             plan[(column, float(q))] = (*ranks, h - ranks[0])
             for rank in ranks:
                 state[(column, rank)] = _hit(counts, rank)
+    if bracketed:
+        loose = {(r["column"], r["lo"], r["hi"]) for r in slots if r["out"] and r["lo"] != r["hi"]}
+        if any((c, lo, hi) in loose for (c, _), (lo, hi, _) in state.items()):
+            raise _Outside
     kind = long.schema["column"].dataType.simpleString()
     while open_ := sorted({(c, *s) for (c, _), s in state.items() if s[0] != s[1]}):
         rng = long.sparkSession.createDataFrame(
@@ -198,8 +249,8 @@ def _refined(long, probs, buckets, slots):
         b = F.when(F.col("width") > 0, F.least(F.floor((F.col("v") - F.col("lo")) / F.nullif("width", F.lit(0.0))),
                                                F.lit(buckets - 1)))
         b = F.when(F.col("v") == F.col("hi"), F.lit(buckets)).otherwise(F.coalesce(b, F.lit(0))).alias("b")
-        rows = (_ranges_join(long, rng).select("sid", "v", b).groupBy("sid", "b")
-                .agg(F.count(F.lit(1)).alias("c"), F.min("v").alias("lo"), F.max("v").alias("hi")).collect())
+        rows = (_ranges_join(long, rng).select("sid", "v", "c", b).groupBy("sid", "b")
+                .agg(F.sum("c").alias("c"), F.min("v").alias("lo"), F.max("v").alias("hi")).collect())
         found: dict[int, list] = {}
         for r in sorted(rows, key=lambda r: r["b"]):
             found.setdefault(r["sid"], []).append((r["c"], r["lo"], r["hi"]))
