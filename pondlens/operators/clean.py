@@ -11,6 +11,8 @@ Python loop over cycles.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -261,8 +263,9 @@ def clean_catalog(catalog: dict, cfg: PipelineConfig | None = None, reports: dic
     # C2 changes only date columns and C3-C5 only numeric ones, so the numeric
     # statistics below are taken on ``numeric`` (no date fill in their plans).
     numeric = dict(tabs)
-    pending = []
-    for n, df in list(tabs.items()):
+    def fill_dates(n: str) -> tuple[DataFrame, list[tuple[str, str]]]:
+        """A table with its dates filled, and the columns whose rest takes a global median."""
+        df, rest = tabs[n], []
         for c in dcols[n]:
             if not stats.get((f"{n}|{c}", -1.0)):
                 continue
@@ -272,12 +275,16 @@ def clean_catalog(catalog: dict, cfg: PipelineConfig | None = None, reports: dic
                     df = _replace(df, {c: F.coalesce(F.col(c), _micros_to_ts(F.lit(med)))})
             elif n == "cycles" and c == "finished_at":
                 df = impute_open_end(df, c, cfg.as_of)
-            elif "cycle_id" in df.columns:
-                df = _group_date_fill(df, c)
-                pending.append((n, c))
             else:
-                pending.append((n, c))
-        tabs[n] = df
+                df = _group_date_fill(df, c) if "cycle_id" in df.columns else df
+                rest.append((n, c))
+        return df, rest
+
+    # the tables' group medians are independent jobs
+    with ThreadPoolExecutor(4) as pool:
+        filled = dict(zip(tabs, pool.map(fill_dates, tabs)))
+    pending = [x for _, rest in filled.values() for x in rest]
+    tabs = {n: df for n, (df, _) in filled.items()}
 
     # C3 and job 2: global date medians of pending columns + C4 minimum positive values
     check = {n: [c for c in cfg.check_columns.get(n, []) if c in df.columns] for n, df in tabs.items()}

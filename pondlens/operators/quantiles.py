@@ -95,7 +95,11 @@ def quantile_table_long(long: DataFrame, probs: list[float], by: list[str] | Non
     lo, hi = F.col("lo"), F.col("hi")
     value = (F.when((lo == hi) | (lo == float("-inf")), lo).when(hi == float("inf"), hi)
              .otherwise(lo + F.col("frac") * (hi - lo)))
-    return out.select(*keys, "prob", "n", value.alias("value"))
+    # one row a group and quantile, read by every later use
+    path = os.path.join(checkpoint_dir(spark), "pondlens", uuid.uuid4().hex, "quantiles")
+    out = out.select(*keys, "prob", "n", value.alias("value"))
+    out.write.parquet(path)
+    return spark.read.schema(out.schema).parquet(path)
 
 
 def quantile_values(df: DataFrame, columns: list[str], probs: list[float]) -> dict[tuple[str, float], float | None]:
@@ -176,12 +180,13 @@ def exact_quantiles(long: DataFrame, probs: list[float], buckets: int = REFINE_B
         f"rcol {kind}, " + ", ".join([f"e{i} double" for i in range(width)] + [f"i{i} boolean" for i in range(width - 1)]))
     v = F.col("v")
     # 2 i + 1 on edge i, 2 i + 2 between it and the next
-    slot = sum(((v >= F.col(f"e{i}")).cast("int") + (v > F.col(f"e{i}")).cast("int") for i in range(width)), F.lit(0))
-    inside = F.lit(False)
+    slot, inside = F.lit(0), F.lit(False)
+    for i in range(width):
+        slot = slot + (v >= F.col(f"e{i}")).cast("int") + (v > F.col(f"e{i}")).cast("int")
     for i in range(width - 1):
-        inside = F.when(F.col("slot") == 2 * i + 2, F.col(f"i{i}")).otherwise(inside)
-    rows = long.join(F.broadcast(table), F.col("column") == F.col("rcol")).withColumn("slot", slot)
-    rows = rows.select("column", "slot", "v", F.when(inside, v).alias("kept"))
+        inside = inside | (F.col(f"i{i}") & (v > F.col(f"e{i}")) & (v < F.col(f"e{i + 1}")))
+    rows = long.join(F.broadcast(table), F.col("column") == F.col("rcol"))
+    rows = rows.select("column", slot.alias("slot"), "v", F.when(inside, v).alias("kept"))
     path = os.path.join(checkpoint_dir(spark), "pondlens", uuid.uuid4().hex, "brackets")
     rows.groupBy("column", "slot", "kept").agg(F.count(F.lit(1)).alias("c"), F.min("v").alias("lo"), F.max("v").alias("hi")).write.parquet(path)
     small = spark.read.parquet(path)
