@@ -108,6 +108,11 @@ ID_COLUMNS = ["id", "id_pond", "id_farm", "farm_id", "pond_id", "cycle_id"]
 TOP_FACTORS = 10
 MIN_FACTOR_ROWS = 10          # a factor needs more than this many values
 HIST_BINS = 20
+DENSITY_POINTS = 200          # of a density curve
+
+# grid of the density curves: cells a bandwidth, and bandwidths up to which a kernel counts
+CELLS_PER_BANDWIDTH = 8
+KERNEL_REACH = 8.0
 
 # model features (M1): base features, water substrings, seasonal
 BASE_FEATURES = ["stocking_density", "pond_volume", "surface_to_volume_ratio",

@@ -7,14 +7,16 @@ unpivoted, instead of one job per statistic.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pondlens.config import (FCR_VALID, HIST_BINS, ID_COLUMNS, IQR_FACTOR, MIN_FACTOR_ROWS, SR_RANGE,
-                             SR_VALID, TOP_FACTORS)
+from pondlens.config import (CELLS_PER_BANDWIDTH, DENSITY_POINTS, FCR_VALID, HIST_BINS, ID_COLUMNS, IQR_FACTOR,
+                             KERNEL_REACH, MIN_FACTOR_ROWS, SR_RANGE, SR_VALID, TOP_FACTORS)
 from pondlens.functions.exprs import safe_corr
 from pondlens.operators.profile import numeric_columns
-from pondlens.operators.quantiles import quantile_table
+from pondlens.operators.quantiles import quantile_table, quantile_values
 
 # ---------------------------------------------------------------- filters ---
 
@@ -127,27 +129,65 @@ def top_factors(main: DataFrame, target: str = "survival_rate", k: int = TOP_FAC
 
 # ---------------------------------------------------------------- A13 -------
 
-def histograms(df: DataFrame, metrics: dict, bins: int = HIST_BINS) -> DataFrame | None:
+def _metric_values(df: DataFrame, metrics: dict) -> DataFrame:
+    """The metrics as double columns ``m0``, ``m1``, ...; NaN becomes NULL."""
+    return df.select(*[F.nanvl(v.cast("double"), F.lit(None).cast("double")).alias(f"m{i}")
+                       for i, v in enumerate(metrics.values())])
+
+
+def _metric_stats(values: DataFrame, k: int) -> list[dict]:
+    """n, lo, hi, std of each of ``k`` metric columns, in one aggregate."""
+    row = values.agg(*[f(f"m{i}").alias(f"{n}{i}") for i in range(k)
+                       for n, f in (("n", F.count), ("lo", F.min), ("hi", F.max), ("std", F.stddev_samp))]).first()
+    return [{n: row[f"{n}{i}"] for n in ("n", "lo", "hi", "std")} for i in range(k)]
+
+
+def auto_bin_count(n: int, lo: float, hi: float, q1: float, q3: float) -> int:
+    """Number of equal-width bins for n values: the narrower of Sturges' and
+    Freedman-Diaconis' widths, the latter not under half the square-root
+    rule's; Sturges' alone if the quartiles are equal."""
+    if hi == lo:
+        return 1
+    sturges = (hi - lo) / (math.log2(n) + 1.0)
+    freedman = 2.0 * (q3 - q1) / math.pow(n, 1.0 / 3.0)
+    width = min(max(freedman, (hi - lo) / math.sqrt(n) / 2.0), sturges) if freedman > 0 else sturges
+    return max(1, math.ceil((hi - lo) / width))
+
+
+def auto_bins(df: DataFrame, metrics: dict) -> dict[str, int]:
+    """The automatic bin count of every metric that has values (exact quartiles)."""
+    values = _metric_values(df, metrics)
+    stats = _metric_stats(values, len(metrics))
+    q = quantile_values(values, values.columns, [0.25, 0.75])
+    return {name: auto_bin_count(s["n"], s["lo"], s["hi"], q[(f"m{i}", 0.25)], q[(f"m{i}", 0.75)])
+            for i, (name, s) in enumerate(zip(metrics, stats)) if s["n"]}
+
+
+def histograms(df: DataFrame, metrics: dict, bins: int | dict[str, int] = HIST_BINS) -> DataFrame | None:
     """Equal-width histograms of several values of one table (the top edge
     falls into the last bin).
 
-    ``metrics``: name -> value expression; a NULL or NaN value is left out. One
+    ``metrics``: name -> value expression; a NULL or NaN value is left out.
+    ``bins``: their number, the same for all or one for each metric. One
     aggregate gives every range, one pass counts all bins; every bin appears,
     empty ones with count 0, and a metric without values has none.
     """
-    values = df.select(*[F.nanvl(v.cast("double"), F.lit(None).cast("double")).alias(f"m{i}")
-                         for i, v in enumerate(metrics.values())])
-    row = values.agg(*[f(f"m{i}").alias(f"{n}{i}") for i in range(len(metrics)) for n, f in (("lo", F.min), ("hi", F.max))]).first()
-    edges, slots = [], []
-    for i, name in enumerate(metrics):
-        lo, hi = row[f"lo{i}"], row[f"hi{i}"]
+    values = _metric_values(df, metrics)
+    ranges, slots = [], []
+    for i, (name, s) in enumerate(zip(metrics, _metric_stats(values, len(metrics)))):
+        lo, hi = s["lo"], s["hi"]
         if lo is None:
             continue
+        k = bins[name] if isinstance(bins, dict) else bins
         lo, hi = (lo - 0.5, hi + 0.5) if lo == hi else (lo, hi)
-        edges += [(name, b, lo + b * (hi - lo) / float(bins), lo + (b + 1) * (hi - lo) / float(bins)) for b in range(bins)]
-        slot = F.least(F.floor((F.col(f"m{i}") - F.lit(lo)) * F.lit(float(bins)) / F.lit(hi - lo)), F.lit(bins - 1)).cast("int")
+        ranges.append((name, lo, hi, k))
+        slot = F.least(F.floor((F.col(f"m{i}") - F.lit(lo)) * F.lit(float(k)) / F.lit(hi - lo)), F.lit(k - 1)).cast("int")
         slots.append(F.struct(F.lit(name).alias("metric"), F.when(F.col(f"m{i}").isNotNull(), slot).alias("bin")))
-    frame = df.sparkSession.createDataFrame(edges, "metric string, bin int, bin_lo double, bin_hi double")
+    edge = F.col("lo") + F.col("bin") * (F.col("hi") - F.col("lo")) / F.col("k").cast("double")
+    next_edge = F.col("lo") + (F.col("bin") + 1) * (F.col("hi") - F.col("lo")) / F.col("k").cast("double")
+    frame = (df.sparkSession.createDataFrame(ranges, "metric string, lo double, hi double, k int")
+             .select("*", F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("bin"))
+             .select("metric", "bin", edge.alias("bin_lo"), next_edge.alias("bin_hi")))
     if not slots:
         return frame.withColumn("count", F.lit(0).cast("bigint"))
     counts = (values.select(F.explode(F.array(*slots)).alias("s")).select("s.*").where("bin IS NOT NULL")
@@ -156,10 +196,74 @@ def histograms(df: DataFrame, metrics: dict, bins: int = HIST_BINS) -> DataFrame
             .select("metric", "bin", "bin_lo", "bin_hi", F.coalesce("count", F.lit(0).cast("bigint")).alias("count")))
 
 
+def densities(df: DataFrame, metrics: dict, points: int = DENSITY_POINTS) -> DataFrame:
+    """Gaussian density curves of several values of one table, at ``points``
+    equally spaced values from the smallest to the largest.
+
+    The bandwidth is the standard deviation times n^(-1/5). Values are binned
+    linearly (each splits its weight between the two ends of its cell) on a
+    grid whose step is at most an eighth of the bandwidth, in one pass with
+    map-side sums; only occupied cells exist as rows. Each cell then adds its
+    kernel to the points within ``KERNEL_REACH`` bandwidths, beyond which it
+    is under 1e-14 of its peak. NULL and NaN are left out; a metric with fewer
+    than two different values has no curve.
+    """
+    values = _metric_values(df, metrics)
+    curves, slots = [], []
+    for i, (name, s) in enumerate(zip(metrics, _metric_stats(values, len(metrics)))):
+        if s["n"] < 2 or s["lo"] == s["hi"]:
+            continue
+        width = s["std"] * math.pow(s["n"], -0.2)
+        gap = (s["hi"] - s["lo"]) / (points - 1)
+        step = gap / math.ceil(CELLS_PER_BANDWIDTH * gap / width)
+        curves.append((name, s["n"], s["lo"], gap, step, width))
+        at = (F.col(f"m{i}") - F.lit(s["lo"])) / F.lit(step)
+        slots.append(F.struct(F.lit(name).alias("metric"), F.floor(at).alias("cell"), (at - F.floor(at)).alias("part")))
+    schema = "metric string, n bigint, lo double, gap double, step double, width double"
+    curve = df.sparkSession.createDataFrame(curves, schema)
+    frame = curve.select("metric", "n", "width", F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("point"),
+                         (F.col("lo") + F.col("point") * F.col("gap")).alias("x"))
+    if not slots:
+        return frame.select("metric", "point", "x", F.lit(0.0).alias("density"))
+    cells = (values.select(F.explode(F.array(*slots)).alias("s")).select("s.*").where("cell IS NOT NULL")
+             .groupBy("metric", "cell").agg(F.count(F.lit(1)).alias("c"), F.sum("part").alias("p")))
+    ends = cells.select("metric", F.explode(F.array(
+        F.struct(F.col("cell"), (F.col("c") - F.col("p")).alias("w")),
+        F.struct((F.col("cell") + 1).alias("cell"), F.col("p").alias("w")))).alias("e")).select("metric", "e.*")
+    # one row per metric, so a broadcast of a fixed size
+    placed = ends.join(F.broadcast(curve), "metric").withColumn("offset", F.col("cell") * F.col("step"))
+    reach = F.lit(KERNEL_REACH) * F.col("width")
+    first = F.greatest(F.lit(0), F.ceil((F.col("offset") - reach) / F.col("gap"))).cast("int")
+    last = F.least(F.lit(points - 1), F.floor((F.col("offset") + reach) / F.col("gap"))).cast("int")
+    z = (F.col("point") * F.col("gap") - F.col("offset")) / F.col("width")
+    near = (placed.withColumn("first", first).withColumn("last", last).where("first <= last")
+            .select("metric", "w", "offset", "gap", "width", F.explode(F.sequence("first", "last")).alias("point"))
+            .groupBy("metric", "point").agg(F.sum(F.col("w") * F.exp(-0.5 * z * z)).alias("mass")))
+    height = F.col("mass") / (F.col("n") * F.col("width") * F.lit(math.sqrt(2 * math.pi)))
+    return (frame.join(near, ["metric", "point"], "left")
+            .select("metric", "point", "x", F.coalesce(height, F.lit(0.0)).alias("density")))
+
+
+def main_metrics() -> dict:
+    """The KPIs drawn as histograms, each over the rows its filter accepts."""
+    return {"survival_rate": F.when(sr_is_valid(), F.col("survival_rate")),
+            "fcr": F.when(fcr_is_valid(), F.col("fcr")), "adg": F.when(adg_is_valid(), F.col("adg"))}
+
+
 def main_histograms(main: DataFrame) -> DataFrame:
-    """The KPI histograms, each over the rows its filter accepts."""
-    return histograms(main, {"survival_rate": F.when(sr_is_valid(), F.col("survival_rate")),
-                             "fcr": F.when(fcr_is_valid(), F.col("fcr")), "adg": F.when(adg_is_valid(), F.col("adg"))})
+    """The KPI histograms."""
+    return histograms(main, main_metrics())
+
+
+def auto_histograms(df: DataFrame, metrics: dict) -> DataFrame:
+    """Histograms with an automatic number of bins for each metric."""
+    return histograms(df, metrics, auto_bins(df, metrics))
+
+
+def error_metrics(errors: DataFrame) -> dict:
+    """The error of each model as a metric of its own: ``target_algorithm``."""
+    models = errors.select("target", "algorithm").distinct().orderBy("target", "algorithm").collect()
+    return {f"{t}_{a}": F.when((F.col("target") == t) & (F.col("algorithm") == a), F.col("error")) for t, a in models}
 
 
 # ---------------------------------------------------------------- A14 -------

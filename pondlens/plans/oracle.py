@@ -26,12 +26,13 @@ RAW_COLUMNS = {
     "sampling": ["cycle_id", "average_weight", "sampled_at", "l_linenumber", "l_partkey", "l_suppkey"],
     "measurements": ["cycle_id", "measured_at", "morning_temperature", "evening_temperature",
                      "morning_do", "evening_do", "morning_salinity", "evening_salinity",
-                     "morning_pH", "evening_pH"],
+                     "morning_pH", "evening_pH", "transparency", "ammonia", "nitrate", "nitrite", "alkalinity",
+                     "hardness", "calcium", "magnesium", "carbonate", "bicarbonate", "tom", "total_plankton"],
     "mortalities": ["cycle_id", "quantity", "average_weight", "recorded_at"],
     "fasting": ["cycle_id", "fasted_at"],
     "feed_tray": ["cycle_id", "logged_at", "feed_logged_at"],
 }
-NAN_COLUMNS = {"feeds": ["quantity"]}
+NAN_COLUMNS = {"feeds": ["quantity"], "measurements": ["hardness"]}
 UNCHECKED_DATES = {"fasting": ["fasted_at"]}
 TEXT_COLUMNS = {"farms": ["name"], "cycles": ["started_at", "finished_at"]}
 

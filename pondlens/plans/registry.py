@@ -15,8 +15,9 @@ from typing import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pondlens.config import (BASE_FEATURES, FCR_VALID, ID_COLUMNS, IQR_FACTOR, MIN_FACTOR_ROWS, SEASONAL_FEATURES,
-                             SR_RANGE, SR_VALID, TOP_FACTORS, WATER_FEATURE_MARKERS, WATER_PARAMS)
+from pondlens.config import (BASE_FEATURES, CELLS_PER_BANDWIDTH, DENSITY_POINTS, FCR_VALID, ID_COLUMNS, IQR_FACTOR,
+                             MIN_FACTOR_ROWS, SEASONAL_FEATURES, SR_RANGE, SR_VALID, TOP_FACTORS, WATER_FEATURE_MARKERS,
+                             WATER_PARAMS, WATER_PARAMS_ALL)
 from pondlens.functions import exprs as X
 from pondlens.operators import analysis as AN
 from pondlens.operators import clean as C
@@ -290,6 +291,11 @@ def _registry() -> dict[str, Query]:
             st.cfg.check_columns["cycles"]), st.cfg.check_columns["cycles"])[0],
         [("id", "i"), ("total_seed", "d"), ("area", "d")],
         "SELECT id, total_seed, area FROM z_cycles", O.clean_ctes("cycles", cfg, "z", "c4"))
+    R["impute_water"] = Query(
+        lambda st: C.impute_numeric(st.coerced["measurements"], st.cfg.impute_columns["measurements"])[0],
+        [("cycle_id", "i"), ("measured_at", "t")] + _d(*WATER_PARAMS_ALL),
+        f"SELECT cycle_id, measured_at, {', '.join(WATER_PARAMS_ALL)} FROM w_measurements",
+        O.clean_ctes("measurements", cfg, "w", "c1"))
     R["iqr_cap"] = Query(
         lambda st: st.cleaned["measurements"],
         [("cycle_id", "i"), ("measured_at", "t")] + _d(*WATER_PARAMS),
@@ -440,12 +446,13 @@ def _registry() -> dict[str, Query]:
                                      {"daily_growth": X.safe_div("average_weight", "culture_days")})]),
         [("metric", "s"), ("bin", "i")] + _d("bin_lo", "bin_hi") + [("count", "i")], None)
     hist_parts = []
-    for metric, col, src, where in [
-            ("survival_rate", "survival_rate", "main", f"survival_rate <= {SR_VALID[1]} AND survival_rate > {SR_VALID[0]}"),
-            ("fcr", "fcr", "main", f"fcr > {FCR_VALID[0]} AND fcr < {FCR_VALID[1]}"),
-            ("harvest_size", "size", "k_harvests", "TRUE"), ("adg", "adg", "main", "adg > 0"),
-            *[(p, p, "k_measurements", "TRUE") for p in WATER_PARAMS],
-            ("daily_growth", "average_weight / nullif(CAST(culture_days AS DOUBLE), 0)", f"({fwc_sql})", "TRUE")]:
+    auto_metrics = [*[(p, p, "k_measurements", "TRUE") for p in WATER_PARAMS],
+                    ("daily_growth", "average_weight / nullif(CAST(culture_days AS DOUBLE), 0)", f"({fwc_sql})", "TRUE")]
+    kpi_metrics = [
+        ("survival_rate", "survival_rate", "main", f"survival_rate <= {SR_VALID[1]} AND survival_rate > {SR_VALID[0]}"),
+        ("fcr", "fcr", "main", f"fcr > {FCR_VALID[0]} AND fcr < {FCR_VALID[1]}"),
+        ("harvest_size", "size", "k_harvests", "TRUE"), ("adg", "adg", "main", "adg > 0")]
+    for metric, col, src, where in kpi_metrics + auto_metrics:
         v = (f"(SELECT CAST({col} AS DOUBLE) AS v FROM {src} WHERE ({where}) AND {col} IS NOT NULL "
              f"AND NOT isnan(CAST({col} AS DOUBLE)))")
         rng = (f"(SELECT CASE WHEN min(v) = max(v) THEN min(v) - 0.5 ELSE min(v) END AS lo, "
@@ -457,6 +464,46 @@ def _registry() -> dict[str, Query]:
             f"r.lo + (e.bin + 1) * (r.hi - r.lo) / 20.0 AS bin_hi, coalesce(c.n, 0) AS count "
             f"FROM {rng} r, range(0, 20) e(bin) LEFT JOIN {cnt} c ON e.bin = c.bin WHERE r.lo IS NOT NULL")
     R["histogram"].sql = _union_sql(hist_parts)
+
+    def drawn_values(metrics):
+        return _union_sql([f"SELECT '{m}' AS metric, CAST({col} AS DOUBLE) AS v FROM {src} WHERE ({where}) AND {col} IS NOT NULL "
+                           f"AND NOT isnan(CAST({col} AS DOUBLE))" for m, col, src, where in metrics])
+
+    growth = {"daily_growth": X.safe_div("average_weight", "culture_days")}
+    water = {p: F.col(p) for p in WATER_PARAMS}
+    R["histogram_auto"] = Query(
+        lambda st: _u([AN.auto_histograms(st.cleaned["measurements"], water),
+                       AN.auto_histograms(FE.fact_with_cycle(st.cleaned["sampling"], st.cleaned["cycles"], "sampled_at"), growth)]),
+        R["histogram"].spec,
+        "SELECT b.metric, b.bin, lo + b.bin * (hi - lo) / k AS bin_lo, lo + (b.bin + 1) * (hi - lo) / k AS bin_hi, "
+        "coalesce(c.n, 0) AS count FROM (SELECT *, unnest(range(CAST(k AS BIGINT))) AS bin FROM a_bins) b LEFT JOIN "
+        "(SELECT metric, CAST(least(floor((v - lo) * k / (hi - lo)), k - 1) AS BIGINT) AS bin, count(*) AS n "
+        "FROM a_vals JOIN a_bins USING (metric) GROUP BY ALL) c ON b.metric = c.metric AND b.bin = c.bin",
+        [("a_vals", drawn_values(auto_metrics)),
+         ("a_stats", "SELECT metric, count(*) AS n, min(v) AS lo, max(v) AS hi, quantile_cont(v, 0.25) AS q1, "
+                     "quantile_cont(v, 0.75) AS q3 FROM a_vals GROUP BY metric"),
+         ("a_widths", "SELECT *, (hi - lo) / (log2(n) + 1) AS sturges, CASE WHEN q3 > q1 THEN "
+                      "greatest(2 * (q3 - q1) / pow(n, 1.0::DOUBLE / 3), (hi - lo) / sqrt(n) / 2) END AS freedman FROM a_stats"),
+         ("a_bins", "SELECT metric, CASE WHEN hi = lo THEN lo - 0.5 ELSE lo END AS lo, CASE WHEN hi = lo THEN hi + 0.5 ELSE hi END "
+                    "AS hi, CASE WHEN hi = lo THEN 1.0::DOUBLE ELSE greatest(1, ceil((hi - lo) / least(sturges, "
+                    "coalesce(freedman, sturges)))) END AS k FROM a_widths")])
+    R["density"] = Query(
+        lambda st: _u([AN.densities(st.main, AN.main_metrics()),
+                       AN.densities(st.cleaned["harvests"], {"harvest_size": F.col("size")}),
+                       AN.densities(st.cleaned["measurements"], water),
+                       AN.densities(FE.fact_with_cycle(st.cleaned["sampling"], st.cleaned["cycles"], "sampled_at"), growth)]),
+        [("metric", "s"), ("point", "i"), ("x", "d"), ("density", "r")],
+        f"SELECT s.metric, p.point, s.lo + p.point * s.gap AS x, "
+        f"sum(e.w * exp(-0.5 * pow((p.point * s.gap - e.cell * s.step) / s.width, 2))) / (any_value(s.n) * any_value(s.width) "
+        f"* sqrt(2 * pi())) AS density FROM e_curves s JOIN e_ends e USING (metric), range(0, {DENSITY_POINTS}) p(point) "
+        f"GROUP BY s.metric, p.point, s.lo, s.gap",
+        [("e_vals", drawn_values(kpi_metrics + auto_metrics)),
+         ("e_stats", "SELECT metric, count(*) AS n, min(v) AS lo, max(v) AS hi, stddev_samp(v) * pow(count(*), -0.2::DOUBLE) AS width, "
+                     f"(max(v) - min(v)) / {DENSITY_POINTS - 1} AS gap FROM e_vals GROUP BY metric HAVING count(*) > 1 AND max(v) > min(v)"),
+         ("e_curves", f"SELECT *, gap / ceil({CELLS_PER_BANDWIDTH} * gap / width) AS step FROM e_stats"),
+         ("e_cells", "SELECT metric, floor((v - lo) / step) AS cell, count(*) AS c, "
+                     "sum((v - lo) / step - floor((v - lo) / step)) AS p FROM e_vals JOIN e_curves USING (metric) GROUP BY ALL"),
+         ("e_ends", "SELECT metric, cell, c - p AS w FROM e_cells UNION ALL SELECT metric, cell + 1, p FROM e_cells")])
     R["top_factors"].sql = None  # filled below (needs the main column list)
 
     trend_spec = [("scope", "s"), ("x", "s"), ("y", "s"), ("n", "i")] + _d("slope", "intercept", "r2")
@@ -557,6 +604,7 @@ def _registry() -> dict[str, Query]:
                  + [("id_farm", "i"), ("name", "s")])
     R["main_table"] = Query(lambda st: st.main, main_spec,
                             f"SELECT {', '.join(c for c, _ in main_spec)} FROM main")
+    R["reload_processed"] = Query(lambda st: st.reloaded, main_spec, R["main_table"].sql)
     n_num = sum(1 for _, k in main_spec if k in ("d", "r", "i"))
     n_date = sum(1 for _, k in main_spec if k == "t")
     R["schema_summary"].sql = (f"SELECT count(*) AS n_rows, {len(main_spec)} AS n_columns, {n_num} AS n_numeric, "
@@ -602,6 +650,12 @@ def _registry() -> dict[str, Query]:
     R["prediction_errors"] = Query(
         lambda st: E.prediction_errors(st.export, st.main),
         [("target", "s"), ("algorithm", "s"), ("id", "i")] + _d("actual", "prediction", "error"), None)
+    R["error_histogram"] = Query(
+        lambda st: (lambda e: AN.auto_histograms(e, AN.error_metrics(e)))(E.prediction_errors(st.export, st.main)),
+        R["histogram"].spec, None)
+    R["error_density"] = Query(
+        lambda st: (lambda e: AN.densities(e, AN.error_metrics(e)))(E.prediction_errors(st.export, st.main)),
+        R["density"].spec, None)
     R["feature_importance"] = Query(
         lambda st: E.feature_importance(st.export),
         [("target", "s"), ("feature", "s"), ("importance", "d")], None)

@@ -19,7 +19,8 @@ from pondlens.operators import clean as C
 from pondlens.operators import ensembles as E
 from pondlens.operators import features as FE
 from pondlens.session import apply_session_conf, checkpoint_dir
-from pondlens.sources.sinks import write_table
+from pondlens.sources.catalog import load_processed
+from pondlens.sources.sinks import save_processed, write_table
 from pondlens.sources.driver_views import driver_tables, raw_catalog, view_df
 
 # the driver tables give sampling rows these extra tie-break columns
@@ -64,6 +65,13 @@ class Stages:
         write_table(self.main_plan, path)
         return self.spark.read.parquet(path)
 
+    @cached_property
+    def reloaded(self) -> DataFrame:
+        """S3 + S4: the main and the cleaned tables written as CSV text, and the main table typed again from it."""
+        out = os.path.join(checkpoint_dir(self.spark), "pondlens", self.run_id, "processed")
+        saved = save_processed(self.main, self.cleaned, out, "csv")
+        return load_processed(self.spark, saved["main_dataset"], fmt="csv")
+
     @cached_property
     def export(self) -> E.Export:
         """Every target by every algorithm at the reference's own settings, trained once and exported; the model queries read it."""

@@ -106,6 +106,43 @@ def parse_dates_fallback(df: DataFrame, columns: list[str],
     return df.select(*out)
 
 
+ISO_LAYOUTS = ("yyyy-MM-dd'T'HH:mm:ss[.SSSSSS][XXX]", "yyyy-MM-dd'T'HH:mm:ss[.SSS][XXX]", "yyyy-MM-dd HH:mm:ss[.SSSSSS]",
+               "yyyy-MM-dd")
+# Layouts of a whole column in order of preference; each is a tuple of patterns.
+COLUMN_LAYOUTS = (ISO_LAYOUTS, ("yyyy-MM-dd",), ("MM/dd/yyyy[ HH:mm:ss]",), ("dd/MM/yyyy[ HH:mm:ss]",), ("dd-MM-yyyy[ HH:mm:ss]",),
+                  ("yyyy/MM/dd[ HH:mm:ss]",))
+
+
+def _parsed(column: str, layout: tuple[str, ...]) -> F.Column:
+    return F.coalesce(*[F.try_to_timestamp(F.col(column), F.lit(p)) for p in layout])
+
+
+def choose_layouts(df: DataFrame, columns: list[str], layouts=COLUMN_LAYOUTS) -> dict[str, list[int]]:
+    """For each column the order in which to try ``layouts``: first the one that fails for the fewest of its texts
+    (the earlier one of equals), then the others as given. One aggregate counts all failures."""
+    failed = [F.count_if(F.col(c).isNotNull() & _parsed(c, p).isNull()).alias(f"{k}_{i}")
+              for k, c in enumerate(columns) for i, p in enumerate(layouts)]
+    row = df.agg(*failed).first() if failed else None
+    order = {}
+    for k, c in enumerate(columns):
+        best = min(range(len(layouts)), key=lambda i: (row[f"{k}_{i}"], i))
+        order[c] = [best, *[i for i in range(len(layouts)) if i != best]]
+    return order
+
+
+def parse_dates_by_column(df: DataFrame, columns: list[str], layouts=COLUMN_LAYOUTS) -> DataFrame:
+    """S3: re-parse date text with one layout for the whole column, so that ``03/04/2024`` means the same in every row of it.
+
+    The rows that do not fit the column's layout fall through to the others
+    and then to Spark's own parser; what fits none becomes NULL.
+    """
+    text = [f.name for f in df.schema.fields if f.name in columns and isinstance(f.dataType, T.StringType)]
+    order = choose_layouts(df, text, layouts)
+    return df.select(*[
+        F.coalesce(*[_parsed(c, layouts[i]) for i in order[c]], F.try_to_timestamp(F.col(c))).cast("timestamp").alias(c)
+        if c in order else F.col(c) for c in df.columns])
+
+
 # Column types of the main table written as CSV; every other column is a double.
 MAIN_DATES = ("started_at", "finished_at", "harvested_at", "last_sampled_at")
 MAIN_TEXT = ("season", "name")
@@ -119,7 +156,7 @@ def load_processed(spark: SparkSession, path: str, date_columns=MAIN_DATES, fmt:
         return None
     if fmt != "csv":
         return nan_to_null(spark.read.parquet(path))
-    df = parse_dates_fallback(spark.read.option("header", True).csv(path), list(date_columns))
+    df = parse_dates_by_column(spark.read.option("header", True).csv(path), list(date_columns))
     text = [c for c in df.columns if c in date_columns or c in MAIN_TEXT]
     return nan_to_null(df.select(*[F.col(c) if c in text else F.expr(
         f"try_cast(`{c}` AS {'bigint' if c in MAIN_INTEGERS else 'double'})").alias(c) for c in df.columns]))

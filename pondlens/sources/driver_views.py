@@ -75,7 +75,19 @@ SELECT l_orderkey AS cycle_id, l_shipdate AS measured_at,
        CASE WHEN l_partkey % 47 = 0 THEN CAST(400 AS DOUBLE) ELSE 10 + l_quantity / 5 END AS morning_salinity,
        11 + l_quantity / 5 AS evening_salinity,
        7 + l_tax * 10 AS morning_pH,
-       CAST(8 AS DOUBLE) AS evening_pH
+       CAST(8 AS DOUBLE) AS evening_pH,
+       CASE WHEN l_partkey % 53 = 0 THEN NULL ELSE 20 + l_quantity END AS transparency,
+       CASE WHEN l_partkey % 59 = 0 THEN NULL ELSE l_discount * 5 END AS ammonia,
+       CASE WHEN l_suppkey % 11 = 0 THEN NULL ELSE l_tax * 50 END AS nitrate,
+       l_discount * l_tax * 20 AS nitrite,
+       CASE WHEN l_partkey % 61 = 0 THEN NULL ELSE 80 + l_extendedprice / 1000 END AS alkalinity,
+       CASE WHEN l_partkey % 67 = 0 THEN CAST('NaN' AS DOUBLE) ELSE 2000 + l_extendedprice / 25 END AS hardness,
+       CAST(200 + l_partkey % 300 AS DOUBLE) AS calcium,
+       CASE WHEN l_partkey % 71 = 0 THEN NULL ELSE CAST(500 + l_suppkey % 700 AS DOUBLE) END AS magnesium,
+       CAST(l_linenumber * 4 AS DOUBLE) AS carbonate,
+       CASE WHEN l_linenumber = 7 THEN NULL ELSE 90 + l_quantity END AS bicarbonate,
+       40 + l_quantity * (1 + l_tax) AS tom,
+       CASE WHEN l_partkey % 7 = 0 THEN NULL ELSE l_extendedprice * 10 END AS total_plankton
 FROM lineitem""",
     "raw_mortalities": """
 SELECT l_orderkey AS cycle_id,

@@ -10,13 +10,16 @@ import os
 
 from pyspark.sql import DataFrame
 
+# CSV text keeps the microseconds that timestamps have
+CSV_TIMESTAMP = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
+
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: list[str] | None = None) -> str:
     w = df.write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)
     if fmt == "csv":
-        w.option("header", True).csv(path)
+        w.option("header", True).option("timestampFormat", CSV_TIMESTAMP).csv(path)
     else:
         w.format(fmt).save(path)
     return path

@@ -55,3 +55,27 @@ def test_folds_do_not_depend_on_partitions(spark):
     ids = spark.range(500).withColumn("f", M.fold_of("id", 5))
     assert sorted(map(tuple, ids.collect())) == sorted(map(tuple, spark.range(500).repartition(7).withColumn("f", M.fold_of("id", 5)).collect()))
     assert ids.select("f").distinct().count() == 5
+
+
+def test_dates_take_one_layout_for_the_whole_column(spark):
+    rows = [("03/04/2024", "13/04/2024", "2024-04-03", "2024-04-03T01:02:03.000004Z", None),
+            ("12/31/2024", "03/04/2024", "2024-04-04", "2024-04-03 01:02:03", None),
+            ("2024-05-06", "junk", None, "2024-04-03", None)]
+    df = spark.createDataFrame(rows, "month_first string, day_first string, day string, iso string, none string")
+    got = S.parse_dates_by_column(df, df.columns).collect()
+    text = [[None if v is None else v.strftime("%Y-%m-%d") for v in r] for r in got]
+    assert [r[0] for r in text] == ["2024-03-04", "2024-12-31", "2024-05-06"]      # the last falls through
+    assert [r[1] for r in text] == ["2024-04-13", "2024-04-03", None]              # day first, as the first row shows
+    assert [r[2] for r in text] == ["2024-04-03", "2024-04-04", None] and [r[4] for r in text] == [None] * 3
+    assert got[0].iso.microsecond == 4 and got[1].iso.hour == 1 and text[2][3] == "2024-04-03"
+    assert S.parse_dates_by_column(df.limit(0), df.columns).count() == 0
+
+
+def test_processed_tables_as_text_keep_values(spark, tmp_path):
+    from pondlens.sources.sinks import save_processed
+    df = spark.sql("SELECT 7L AS id, 0.1D + 0.2D AS weight, CAST(NULL AS DOUBLE) AS fcr, 'a, \"b\"' AS name, "
+                   "TIMESTAMP'2024-01-02 03:04:05.678901' AS started_at")
+    saved = save_processed(df, {"cycles": df, "feeds": None}, str(tmp_path / "out"), "csv")
+    assert set(saved) == {"main_dataset", "cycles"}
+    for path in saved.values():
+        assert S.load_processed(spark, path, fmt="csv").collect() == df.collect()
