@@ -7,8 +7,11 @@ or with more than half of its words in repeated windows; the method's rules
 add a share of symbols and a share of repeated lines.
 
 Per host (the source): the rate of documents that fail any rule, shrunk
-towards the corpus by a beta prior that is fitted to all hosts by the method
-of moments. A host whose shrunk rate exceeds ``MAX_HOST_RATE`` is rejected,
+towards the hosts' mean by a beta prior that is fitted by the method of
+moments, each host with two documents or more being one observation, whatever
+its size: so the prior does not harden as hosts grow. It counts for
+``MAX_STRENGTH`` documents at most, so that enough documents of its own decide
+about a host. A host whose shrunk rate exceeds ``MAX_HOST_RATE`` is rejected,
 and its verdict is joined back to its documents. Hosts are counted with
 partial aggregates, so one that holds a third of all rows is no hot spot; the
 join back is on two narrow tables, whose skewed partitions Spark splits.
@@ -34,6 +37,7 @@ WINDOW = 3
 MAX_SYMBOLS_PER_WORD = 1.0
 MAX_DUP_LINE_SHARE = 0.7
 MAX_HOST_RATE = 0.8
+MAX_STRENGTH = 20.0      # documents that the prior counts for, at most
 
 WS = r"[\x20\x09-\x0D]"
 
@@ -81,22 +85,21 @@ def rules(m: DataFrame) -> DataFrame:
 def host_rates(ruled: DataFrame) -> DataFrame:
     """Per host: docs, fails, rate (shrunk), rejected.
 
-    The prior is fitted in one aggregate over the hosts, whose four sums go to
-    the driver. With rates that vary no more than chance, the prior is as
-    strong as ``docs`` of all hosts together, and every rate is the mean.
+    The prior is fitted in one aggregate over the hosts, whose few sums go to
+    the driver. If rates vary no more than chance, or fewer than two hosts
+    have two documents, the prior has its full strength; if no host has two,
+    its mean is that of all hosts.
     """
     hosts = ruled.groupBy("host").agg(F.count("*").alias("docs"), F.sum(F.col("failed").cast("long")).alias("fails"))
-    rate = F.col("fails") / F.col("docs")
-    s = hosts.agg(F.sum("docs").alias("docs"), F.sum("fails").alias("fails"), F.count("*").alias("k"),
-                  F.sum(F.col("docs") * rate * rate).alias("square"),
-                  F.sum(F.col("docs").cast("double") * F.col("docs")).alias("docs2")).first()
-    n, k = float(s["docs"] or 0), int(s["k"])
-    mean = (s["fails"] or 0) / n if n else 0.0
-    # between-host variance: the weighted spread of rates less what chance explains
-    spread = (s["square"] or 0.0) - n * mean * mean
-    size = (n - (s["docs2"] or 0) / n) if n else 0.0
-    between = (spread - (k - 1) * mean * (1 - mean)) / size if size > 0 else 0.0
-    strength = n if between <= 0 or not 0 < mean < 1 else min(n, max(1.0, mean * (1 - mean) / between - 1))
+    rate, two = F.col("fails") / F.col("docs"), F.col("docs") > 1
+    s = hosts.agg(F.avg(rate).alias("all"), F.count_if(two).alias("k"), F.sum(F.when(two, rate)).alias("sum"),
+                  F.sum(F.when(two, rate * rate)).alias("square"),
+                  F.sum(F.when(two, rate * (1 - rate) / (F.col("docs") - 1))).alias("chance")).first()
+    k = int(s["k"])
+    mean = s["sum"] / k if k else s["all"] or 0.0
+    # between-host variance: the spread of rates less what chance explains
+    between = (s["square"] - s["sum"] * s["sum"] / k) / (k - 1) - s["chance"] / k if k > 1 else 0.0
+    strength = MAX_STRENGTH if between <= 0 else min(MAX_STRENGTH, max(1.0, mean * (1 - mean) / between - 1))
     shrunk = (F.col("fails") + F.lit(mean * strength)) / (F.col("docs") + F.lit(strength))
     return hosts.withColumn("rate", shrunk).withColumn("rejected", F.col("rate") > MAX_HOST_RATE)
 

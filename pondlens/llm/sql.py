@@ -29,16 +29,14 @@ hosts AS (
   SELECT source AS h, count(*)::DOUBLE AS docs, count(*) FILTER (WHERE failed)::DOUBLE AS fails
   FROM ruled GROUP BY source),
 sums AS (
-  SELECT sum(docs) AS n, sum(fails) / sum(docs) AS mean, count(*) AS k,
-         sum(fails * fails / docs) AS square, sum(docs * docs) AS docs2 FROM hosts),
-spread AS (
-  SELECT n, mean, CASE WHEN n - docs2 / n > 0
-         THEN (square - n * mean * mean - (k - 1) * mean * (1 - mean)) / (n - docs2 / n) ELSE 0 END AS between_hosts
-  FROM sums),
+  SELECT avg(fails / docs) AS mean_all, count(*) FILTER (WHERE docs > 1) AS k,
+         avg(fails / docs) FILTER (WHERE docs > 1) AS mean_two, var_samp(fails / docs) FILTER (WHERE docs > 1) AS spread,
+         avg(CASE WHEN docs > 1 THEN fails / docs * (1 - fails / docs) / (docs - 1) END) AS chance FROM hosts),
 prior AS (
-  SELECT mean, CASE WHEN between_hosts <= 0 OR mean <= 0 OR mean >= 1 THEN n
-         ELSE least(n, greatest(1.0, mean * (1 - mean) / between_hosts - 1)) END AS strength
-  FROM spread),
+  SELECT coalesce(mean_two, mean_all) AS mean,
+         CASE WHEN k > 1 AND spread > chance
+              THEN least(20.0, greatest(1.0, mean_two * (1 - mean_two) / (spread - chance) - 1)) ELSE 20.0 END::DOUBLE AS strength
+  FROM sums),
 rated AS (SELECT h, (fails + mean * strength) / (docs + strength) AS rate FROM hosts, prior)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT (base_failed OR rate > 0.8) AS kept, round(rate, 9) AS host_rate

@@ -1,5 +1,6 @@
 import math
 import re
+import statistics
 from collections import Counter, defaultdict
 
 import pytest
@@ -33,11 +34,11 @@ def verdicts(rows):
         host[s][0] += 1
         host[s][1] += base or sym > n or dup > 0.7 * lines
         out.append((i, n, chars, sym, dup, rep, base, s))
-    n, f = (sum(v[k] for v in host.values()) for k in (0, 1))
-    mean = f / n
-    size = n - sum(d * d for d, _ in host.values()) / n
-    spread = sum(x * x / d for d, x in host.values()) - n * mean * mean - (len(host) - 1) * mean * (1 - mean)
-    strength = n if size <= 0 or spread <= 0 else min(n, max(1, mean * (1 - mean) / (spread / size) - 1))
+    rates = [x / d for d, x in host.values() if d > 1]
+    mean, strength = (statistics.fmean(rates), H.MAX_STRENGTH) if rates else (statistics.fmean(x / d for d, x in host.values()), H.MAX_STRENGTH)
+    if len(rates) > 1:
+        between = statistics.variance(rates) - statistics.fmean(x / d * (1 - x / d) / (d - 1) for d, x in host.values() if d > 1)
+        strength = min(strength, max(1, mean * (1 - mean) / between - 1)) if between > 0 else strength
     rate = {s: (x + mean * strength) / (d + strength) for s, (d, x) in host.items()}
     return sorted([(*r[:7], not (r[6] or rate[r[7]] > H.MAX_HOST_RATE)) for r in out], key=str), rate
 
@@ -60,3 +61,12 @@ def test_no_python_on_the_main_path(spark):
 @pytest.mark.parametrize("rows", [[], [(1, None, None)]])
 def test_empty_and_single(spark, rows):
     assert H.judge(docs(spark, rows)).count() == len(rows)
+
+
+@pytest.mark.parametrize("hosts,each", [(20, 500), (20, 50000), (2000, 500), (2000, 5), (3, 300000)])
+def test_a_bad_host_keeps_its_verdict_as_the_others_grow(spark, hosts, each):
+    others = spark.range(hosts * each).selectExpr(f"concat('h', id % {hosts}) AS host", "pmod(xxhash64(id), 100) < 15 AS failed")
+    bad = spark.range(100).selectExpr("'bad' AS host", "true AS failed")
+    few = spark.range(4).selectExpr("'few' AS host", "id < 3 AS failed")
+    rates = H.host_rates(others.union(bad).union(few))
+    assert [r.host for r in rates.where("rejected").collect()] == ["bad"]
