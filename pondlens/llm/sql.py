@@ -51,9 +51,11 @@ words AS (
   SELECT DISTINCT side, id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
                                                '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
   FROM lowered),
+kinds AS (SELECT DISTINCT least(5, len(w)) AS k FROM words WHERE side = 'i' AND len(w) > 0),
 shingles AS (
-  SELECT DISTINCT side, id, array_to_string(w[p:p + 4], ' ') AS s
-  FROM (SELECT side, id, w, unnest(generate_series(1, greatest(1, len(w) - 4))) AS p FROM words WHERE len(w) > 0)),
+  SELECT DISTINCT side, id, array_to_string(w[p:p + k - 1], ' ') AS s
+  FROM (SELECT side, id, w, k, unnest(generate_series(1, len(w) - k + 1)) AS p
+        FROM words JOIN kinds ON len(w) >= k AND (side = 'd' OR k = least(5, len(w))))),
 sizes AS (SELECT id, count(*) AS n_item FROM shingles WHERE side = 'i' GROUP BY id),
 shared AS (
   SELECT d.id AS doc_id, i.id AS item_id, count(*) AS n_shared

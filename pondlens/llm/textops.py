@@ -45,6 +45,14 @@ def bound_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BATCH_BYTES))
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with as many underscores as make it no column of ``df``."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def share(spark: SparkSession, value):
     """Broadcast an object with its class, for executors that lack this package; ``shared`` gives it back."""
     return spark.sparkContext.broadcast(cloudpickle.dumps(value))

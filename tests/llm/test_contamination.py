@@ -1,6 +1,7 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from pondlens.llm import contamination as C
 from tests.llm.common import docs, lower
@@ -24,17 +25,20 @@ DOCS = [(1, f"{FILL} {ITEM.upper()}, {FILL}", "a"), (2, near(5), "a"), (3, near(
         (12, " ".join(f"b{i}" for i in range(60)) + " " + ITEM, "a")] + [(100 + i, ITEM + f" {i}", "hot") for i in range(20)]
 
 
-def shingles(text):
-    w = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lower(text))
-    return {tuple(w[i:i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
+def words(text):
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lower(text))
+
+
+def shingles(w, k):
+    return {tuple(w[i:i + k]) for i in range(len(w) - k + 1)} if k else set()
 
 
 def brute(rows, items):
     out = set()
     for d, t, _ in rows:
-        s = shingles(t)
         for i, x in items:
-            y = shingles(x)
+            k = min(5, len(words(x)))
+            s, y = shingles(words(t), k), shingles(words(x), k)
             if y and len(s & y) >= 0.75 * len(y):
                 out.add((d, i, len(y), len(s & y), len(s & y) / len(y)))
     return sorted(out, key=str)
@@ -49,7 +53,8 @@ def test_pairs_match_brute_force(spark, monkeypatch, part):
     monkeypatch.setattr(C, "PART_SHINGLES", part)      # with a small bound the index comes in several parts
     got = C.leaks(docs(spark, DOCS), items(spark)).collect()
     assert sorted(map(tuple, got), key=str) == brute(DOCS, ITEMS)
-    assert {r.doc_id for r in got} >= {1, 2, 6, 9, 10, 11, 12} and not {r.doc_id for r in got} & {3, 7, 8}
+    # 7 holds the three-word item among other words
+    assert {r.doc_id for r in got} >= {1, 2, 6, 7, 9, 10, 11, 12} and not {r.doc_id for r in got} & {3, 8}
 
 
 def test_decontaminate_keeps_clean_rows_whole(spark):
@@ -66,3 +71,44 @@ def test_empty_sides(spark):
     assert C.leaks(df, items(spark, [])).count() == 0 and C.leaks(docs(spark, []), items(spark)).count() == 0
     assert C.decontaminate(df, items(spark, [])).count() == len(DOCS)
     assert C.leaks(df, items(spark, [(1, None), (2, " ")])).count() == 0
+
+
+@pytest.mark.parametrize("kind,name", [("int", int), ("string", str), ("decimal(10,0)", int)])
+def test_ids_of_any_type(spark, kind, name):
+    some = items(spark).withColumn("item_id", F.col("item_id").cast(kind))
+    df = docs(spark, DOCS).withColumn("doc_id", F.col("doc_id").cast(kind))
+    got = C.leaks(df, some)
+    assert dict(got.dtypes)["item_id"] == kind == dict(got.dtypes)["doc_id"]
+    plain = [tuple(None if v is None else int(v) for v in r[:2]) for r in got.collect()]
+    assert sorted(plain, key=str) == sorted([r[:2] for r in brute(DOCS, ITEMS)], key=str)
+
+
+def test_short_items_stand_anywhere_and_one_part_is_held_at_a_time(spark, monkeypatch):
+    monkeypatch.setattr(C, "PART_SHINGLES", 20)
+    alive, most, share = [0], [0], C.T.share
+
+    class Box:
+        def __init__(self, box):
+            self.box, self.value = box, None
+
+        def __reduce__(self):
+            return self.box.__reduce__()
+
+        def destroy(self):
+            alive[0] -= 1
+            self.box.destroy()
+
+    def counted(session, value):
+        alive[0] += 1
+        most[0] = max(most[0], alive[0])
+        return Box(share(session, value))
+
+    monkeypatch.setattr(C.T, "share", counted)
+    short = [(1, "the quick brown"), (2, "zebra"), (3, "a b c d"), (4, ITEM), (5, " ".join(f"b{i}" for i in range(60)))]
+    rows = [(1, f"{FILL} The QUICK, brown {FILL}", "a"), (2, "quick brown the", "a"), (3, "x a b c d", "a"), (4, "a b c x d", "a"),
+            (5, "zebra", "a"), (6, "zebras", "a"), (7, f"one zebra {ITEM}", "a")]
+    got = C.leaks(docs(spark, rows), items(spark, short))
+    assert sorted(map(tuple, got.collect()), key=str) == brute(rows, short)
+    assert {tuple(r)[:2] for r in got.collect()} == {(1, 1), (3, 3), (5, 2), (7, 2), (7, 4)}
+    assert most[0] == 1
+    assert {r.doc_id for r in C.decontaminate(docs(spark, rows), items(spark, short)).collect()} == {2, 4, 6}
