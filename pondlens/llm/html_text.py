@@ -10,6 +10,15 @@ the nearest decided neighbour in its own region (the one before it wins a
 tie); in a region without decided blocks it is text inside an article,
 boilerplate elsewhere.
 
+Names are read class by class: a class that states something about the page
+(``has-sidebar``, ``comments-open``) names no boilerplate, and ``html``,
+``body`` and ``main`` are never dropped by name, an ``article`` only as a
+reader comment after another article. Blocks that read as prose survive a
+container named after sharing. ``main`` ends whatever boilerplate is open, an
+``article`` an unclosed menu or page header. On a page whose blocks hold next
+to no stop words (another language) long blocks with few links are text,
+measured in characters, since a script may write no blanks.
+
 Null and empty pages, and pages without main text, give an empty text with 0
 characters. Broken markup (missing end tags, stray brackets, open comments)
 never raises. Repeated rows each get their text; an empty table gives an empty
@@ -32,6 +41,9 @@ SHORT_WORDS = 8          # shorter blocks are open
 MAX_LINK_SHARE = 0.5     # of a block's characters
 MIN_STOP_SHARE = 0.12    # of a block's words
 LONG_WORDS = 25          # such blocks are text even if stop words are few, inside an article
+PROSE_WORDS = 16         # such blocks survive a container named after sharing
+UNKNOWN_STOP_SHARE = 0.03    # no block of a page in another language has so many
+LONG_CHARS = 80          # such blocks are text on a page in another language
 
 # Frequent function words of the languages read.
 STOP_WORDS = frozenset("""
@@ -49,12 +61,17 @@ CONTAINERS = frozenset("html body head div section article main nav aside header
                        "details fieldset noscript template select button object dialog menu center".split())
 BLOCKS = CONTAINERS | frozenset("p h1 h2 h3 h4 h5 h6 li dt dd tr td th thead tbody tfoot caption pre blockquote "
                                 "figcaption address hr summary legend title option".split())
-#: Tokens of class, id or role that mark boilerplate.
+#: Classes, ids and roles that mark boilerplate, alone or as part of a compound name.
 NAMED = re.compile(
-    r"(?:^|[\s_-])(?:ads?|adverts?|advertisements?|advertising|adsense|banners?|promos?|promotions?|sponsor(?:ed|s)?|"
+    r"(?:^|[_-])(?:ads?|adverts?|advertisements?|advertising|adsense|banners?|promos?|promotions?|sponsor(?:ed|s)?|"
     r"sidebars?|side-?bar|menus?|navbar|navigation|nav|breadcrumbs?|comments?|disqus|replies|cookies?|consent|notices?|"
-    r"gdpr|popups?|modals?|newsletters?|subscribe|signup|footers?|masthead|social|share|sharing|related|recommended|"
-    r"complementary|contentinfo|alerts?|toolbar|pagination|pager|search(?:box)?|login)(?:$|[\s_-])", re.I)
+    r"gdpr|popups?|modals?|newsletters?|subscribe|signup|footers?|masthead|related|recommended|"
+    r"complementary|contentinfo|alerts?|toolbar|pagination|pager|search(?:box)?|login)(?:$|[_-])", re.I)
+SHARING = re.compile(r"(?:^|[_-])(?:social|share|sharing)(?:$|[_-])", re.I)
+#: Names that state something about the page instead.
+STATE = re.compile(r"(?:^|[_-])(?:has|have|with|without|no|not|is)[_-]|[_-](?:open|opened|closed|enabled|disabled|on|off|layout)$", re.I)
+COMMENT = re.compile(r"comments?|reply|replies", re.I)
+STRUCTURAL = frozenset(("html", "body", "main"))
 
 TAG = re.compile(r"""<!--|<!\[CDATA\[|<[!?][^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>""")
 NAMES = re.compile(r"""(?:^|[\s"'/])(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
@@ -68,19 +85,32 @@ class Block:
     link_chars: int
     region: int       # number of the article it lies in, 0 outside
     dropped: bool     # by structure
+    sharing: bool = False    # in a container named after sharing
     label: bool | None = None
 
 
 def split_blocks(page: str) -> list[Block]:
     """Cut a page into blocks, in page order; blocks without text are left out."""
     out: list[Block] = []
-    stack: list[tuple[str, bool, bool]] = []     # open containers: tag, dropped, opens an article
+    stack: list[tuple[str, int, bool]] = []     # open containers: tag, kept (0), sharing (1) or dropped (2), opens an article
     parts: list[str] = []
     links: list[str] = []
-    own_drop, in_link, region, articles, at = False, 0, 0, 0, 0
+    own_drop, in_link, region, articles, at = 0, 0, 0, 0, 0
+    ahead: dict[str, re.Match | None] = {}
+
+    def unclosed(tag: str) -> bool:
+        """Whether the next tag of this kind opens another one, or there is none."""
+        if tag not in ahead or ahead[tag] is not None and ahead[tag].start() < at:
+            ahead[tag] = re.compile(rf"<(/?){tag}\b", re.I).search(page, at)
+        return ahead[tag] is None or not ahead[tag][1]
 
-    def dropped() -> bool:
-        return own_drop or bool(stack) and stack[-1][1]
+    def closes(tag: str) -> bool:
+        """Whether an article or main ends the boilerplate it stands in."""
+        first = next(i for i, (_, bad, _) in enumerate(stack) if bad == 2)
+        if tag == "main" or stack[first][0] in ("nav", "header", "menu") and unclosed(stack[first][0]):
+            del stack[first:]
+            return True
+        return False
 
     def text(piece: str) -> None:
         if piece:
@@ -94,10 +124,11 @@ def split_blocks(page: str) -> list[Block]:
         whole = " ".join("".join(parts).split())
         if whole:
             linked = len(" ".join("".join(links).split()))
-            out.append(Block(whole, linked, region, dropped()))
+            level = max(own_drop, stack[-1][1] if stack else 0)
+            out.append(Block(whole, linked, region, level == 2, level == 1))
         parts.clear()
         links.clear()
-        own_drop = False
+        own_drop = 0
 
     n = len(page)
     while at < n:
@@ -132,7 +163,7 @@ def split_blocks(page: str) -> list[Block]:
         elif tag in BLOCKS:
             flush()
             if tag not in CONTAINERS:
-                own_drop = not closing and (_named(m[3]) or tag in DROP)
+                own_drop = 0 if closing else 2 if tag in DROP else _named(m[3])
                 continue
             if closing:
                 if any(t == tag for t, _, _ in stack):
@@ -143,35 +174,64 @@ def split_blocks(page: str) -> list[Block]:
                             break
             elif not m[3].endswith("/"):
                 in_link = 0
-                bad = stack[-1][1] if stack else False
-                article = tag in ("article", "main") and not region and not bad
-                bad = bad or tag in DROP or (tag == "header" and not region) or (tag not in ("html", "body") and _named(m[3]))
-                if article and not bad:
+                bad = stack[-1][1] if stack else 0
+                if tag in ("article", "main"):
+                    if bad == 2 and closes(tag):
+                        bad = stack[-1][1] if stack else 0
+                    bad = 0 if bad == 1 else bad
+                    if tag == "article" and articles and _comment(m[3]):
+                        bad = 2
+                elif tag in DROP or tag == "header" and not region:
+                    bad = 2
+                elif tag not in STRUCTURAL:
+                    bad = max(bad, _named(m[3]))
+                if HIDDEN.search(m[3]):
+                    bad = 2
+                article = tag in ("article", "main") and not region and bad != 2
+                if article:
                     articles += 1
                     region = articles
-                stack.append((tag, bad, article and not bad))
+                stack.append((tag, bad, article))
     flush()
     return out
 
 
-def _named(attributes: str) -> bool:
+def _names(attributes: str) -> list[str]:
+    """The single classes, ids and roles."""
+    return [t for a, b, c in NAMES.findall(attributes) for t in (a or b or c).split()]
+
+
+def _named(attributes: str) -> int:
+    """2 if hidden or named after boilerplate, 1 if named after sharing, else 0."""
     if not attributes:
-        return False
-    return bool(HIDDEN.search(attributes)) or any(NAMED.search(a or b or c) for a, b, c in NAMES.findall(attributes))
+        return 0
+    if HIDDEN.search(attributes):
+        return 2
+    names = [t for t in _names(attributes) if not STATE.search(t)]
+    return 2 if any(NAMED.search(t) for t in names) else 1 if any(SHARING.search(t) for t in names) else 0
+
+
+def _comment(attributes: str) -> bool:
+    return any(COMMENT.fullmatch(t) for t in _names(attributes))
 
 
 def decide(blocks: list[Block]) -> None:
     """Both passes over one page's blocks."""
     marked = any(b.region and not b.dropped for b in blocks)
+    measured = []
     for b in blocks:
         words = WORD.findall(b.text.lower())
-        n = len(b.text.split())
-        link = b.link_chars / len(b.text)
-        stop = sum(w in STOP_WORDS for w in words) / max(1, len(words))
+        measured.append((len(b.text.split()), b.link_chars / len(b.text), sum(w in STOP_WORDS for w in words) / max(1, len(words))))
+    foreign = not any(n >= SHORT_WORDS and stop >= UNKNOWN_STOP_SHARE for b, (n, _, stop) in zip(blocks, measured) if not b.dropped)
+    for b, (n, link, stop) in zip(blocks, measured):
         if b.dropped or marked and not b.region:
             b.label = False
+        elif b.sharing:
+            b.label = n >= PROSE_WORDS and link <= MAX_LINK_SHARE / 2 and (stop >= MIN_STOP_SHARE or foreign)
         elif link > MAX_LINK_SHARE and n < LONG_WORDS:
             b.label = False
+        elif foreign and not b.region and len(b.text) >= LONG_CHARS and link <= MAX_LINK_SHARE / 2:
+            b.label = True
         elif n < SHORT_WORDS:
             b.label = None
         elif stop >= MIN_STOP_SHARE or b.region and n >= LONG_WORDS:

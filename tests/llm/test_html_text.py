@@ -1,3 +1,6 @@
+import re
+from html.parser import HTMLParser
+
 import pytest
 
 from pondlens.llm import html_text as H
@@ -43,3 +46,81 @@ def test_extract(spark):
     want = [(1, "u", TEXT, len(TEXT)), (None, None, "", 0), (2, "u", "", 0), (3, "u", TEXT, len(TEXT)), (3, "u", TEXT, len(TEXT))]
     assert got == sorted(want, key=str)
     assert H.extract(spark.createDataFrame([], df.schema)).count() == 0
+
+
+@pytest.mark.parametrize("names", ["has-sidebar", "content with-sidebar", "post comments-open", "col social", "no-ads"])
+@pytest.mark.parametrize("tag", ["article", "main", "div"])
+def test_names_that_only_state_something(tag, names):
+    assert H.main_text(f"<body class='{names} nav-open'><nav>{LONG}</nav><{tag} class='{names}'><p>{LONG}</p></{tag}></body>") == LONG
+
+
+@pytest.mark.parametrize("names", ["sidebar", "widget sidebar-left", "cookie-notice", "comments", "ad_slot", "page-footer"])
+def test_names_of_boilerplate(names):
+    assert H.main_text(f"<main><p>{LONG}</p><div class='{names}'><p>{LONG}</p></div></main>") == LONG
+
+
+def test_sharing_bars_go():
+    bar = "<p>Share this with friends</p><a href=x>Mail</a>"
+    assert H.main_text(f"<article><p>{LONG}</p><div class='social'>{bar}</div></article>") == LONG
+
+
+def test_reader_comments_as_articles_go():
+    comment = f"<article class='comment byuser'><p>{LONG}</p></article>"
+    assert H.main_text(f"<article class='post'><p>Own. {LONG}</p></article>{comment}{comment}") == f"Own. {LONG}"
+    assert H.main_text(f"<article>{LONG}<section>{comment}</section></article>") == LONG
+
+
+RUSSIAN = "Вчера вечером жители небольшого города собрались около старой мельницы и долго спорили о том, кому теперь достанется сад."
+JAPANESE = "昨日の夕方、小さな町の住民たちは古い水車小屋のそばに集まり、庭がこれから誰のものになるのかについて長い間話し合った。" * 2
+
+
+@pytest.mark.parametrize("text", [RUSSIAN, JAPANESE])
+def test_other_languages_without_an_article(text):
+    menu = "<div><a href=a>Главная страница и новости города</a> <a href=b>Контакты и адреса всех наших отделений</a></div>" * 3
+    assert H.main_text(f"<body><nav>{text}</nav>{menu}<p>{text}</p><p>{text}</p><footer>{text}</footer></body>") == f"{text}\n\n{text}"
+
+
+def test_unclosed_menus_end_at_the_article():
+    assert H.main_text(f"<nav><ul><li><a href=x>Home</a><article><p>{LONG}</p></article><nav>{LONG}</nav>") == LONG
+    assert H.main_text(f"<aside><p>{LONG}<main><p>Own. {LONG}</p></main>") == f"Own. {LONG}"
+    # an article inside a closed menu, and one inside a sidebar, are none
+    assert H.main_text(f"<nav><article>{LONG}</article></nav><article>a</article>") == "a"
+    assert H.main_text(f"<aside><article>{LONG}</article></aside><article>a</article>") == "a"
+
+
+class Plain(HTMLParser):
+    """A second extractor for pages that mark their article and nest nothing else in it."""
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.inside, self.blocks = 0, [""]
+
+    def handle_starttag(self, tag, attrs):
+        self.inside += tag == "article"
+        if tag == "br":
+            self.blocks[-1] += " "
+        elif tag not in ("a", "b", "i", "em", "span", "strong"):
+            self.blocks.append("")
+
+    def handle_endtag(self, tag):
+        self.inside -= tag == "article"
+        if tag not in ("a", "b", "i", "em", "span", "strong"):
+            self.blocks.append("")
+
+    def handle_data(self, data):
+        if self.inside:
+            self.blocks[-1] += data
+
+    @classmethod
+    def of(cls, page):
+        parser = cls()
+        parser.feed(page)
+        parser.close()
+        return "\n\n".join(" ".join(b.split()) for b in parser.blocks if b.strip())
+
+
+def test_whole_pages_match_a_second_extractor(spark):
+    got = H.extract(spark.read.parquet("/root/testdata/sf0.01/pages.parquet")).collect()
+    pages = {r.page_id: r.html for r in spark.read.parquet("/root/testdata/sf0.01/pages.parquet").collect()}
+    assert len(got) == len(pages) > 0 and all(re.search("<article", p) for p in pages.values())
+    assert [r.page_id for r in got if r.text != Plain.of(pages[r.page_id]) or r.n_chars != len(r.text)] == []
