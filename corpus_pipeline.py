@@ -3,6 +3,13 @@
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is
 written as Parquet and read again as the next one's docs. All but the last
 return the columns of documents. A stage sees only what the one before kept.
+
+Null and empty texts score like any text without words, are near-duplicates
+and leaks of nothing, hold no secrets, and have no words that the mix could
+take. Repeated rows are near-duplicates of each other, so one stays. Null ids
+and sources are values like others. An empty table gives an empty result, an
+empty ``labels`` a filter that keeps everything, an empty ``benchmark`` no
+leaks. Further columns travel along, whatever their names.
 """
 
 from __future__ import annotations
@@ -14,8 +21,9 @@ from pondlens.llm import contamination, mixing, near_dup, queries, secrets, text
 
 def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents scored at or above the threshold go."""
-    scored = toxicity.score(docs, queries.toxicity_model(spark, docs, sf_dir), name="toxicity_score")
-    return scored.where(scored["toxicity_score"] < toxicity.THRESHOLD).drop("toxicity_score")
+    name = textops.free_name(docs, "toxicity_score")
+    scored = toxicity.score(docs, queries.toxicity_model(spark, docs, sf_dir), name=name)
+    return scored.where(scored[name] < toxicity.THRESHOLD).drop(name)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

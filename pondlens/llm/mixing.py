@@ -216,7 +216,8 @@ def mix_table(docs: DataFrame, n_shards: int = N_SHARDS, id_col: str = "doc_id",
 
 def mix(docs: DataFrame, n_shards: int = N_SHARDS, id_col: str = "doc_id", text_col: str = "text",
         source_col: str = "source") -> DataFrame:
-    """The mixed corpus: the columns of ``docs``, and mix_copy, mix_words, mix_shard.
+    """The mixed corpus: the columns of ``docs``, and mix_copy, mix_words, mix_shard
+    (with underscores added where ``docs`` has columns of these names).
 
     A document appears once for each copy; the copy on the cut is shortened to
     its part. Texts are shuffled once, by output shard, and each shard is
@@ -244,4 +245,5 @@ def mix(docs: DataFrame, n_shards: int = N_SHARDS, id_col: str = "doc_id", text_
     text = F.when(F.col("words") < F.col("size"), part).otherwise(F.col("text"))
     keep = [text.alias(c) if c == text_col else F.col(f"doc.`{c}`").alias(c) for c in docs.columns]
     return (rows.repartition(n_shards, "shard").sortWithinPartitions("shard", F.xxhash64(F.lit(SEED), "pos", "nth"))
-            .select(*keep, (F.col("nth") + 1).alias("mix_copy"), F.col("words").alias("mix_words"), F.col("shard").alias("mix_shard")))
+            .select(*keep, (F.col("nth") + 1).alias(T.free_name(docs, "mix_copy")),
+                    F.col("words").alias(T.free_name(docs, "mix_words")), F.col("shard").alias(T.free_name(docs, "mix_shard"))))

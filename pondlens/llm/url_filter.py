@@ -7,7 +7,8 @@ most ``MAX_TRAIN_URLS`` of them (in expectation, chosen by a hash of the url)
 and decide all urls no rule fits, from lexical features: lengths, depth, digit
 ratio, entropy, parameter counts, and suffix statistics - smoothed block rates
 of the host's last label, of its last two labels, and of the path's first
-segment among all labelled urls. The bound is below the size from which Spark
+segment among all labelled urls, for a url to train on those of the other
+``FOLDS`` parts, so that no label stands in its own features. The bound is below the size from which Spark
 samples for split points, so a rerun finds the same splits.
 
 Null urls and those without ``://`` have an empty host and path, which no rule
@@ -34,6 +35,7 @@ RULES = {"com/": "allow", "example.com/en/": "block", "www.example.com/en/": "al
 
 MAX_TRAIN_URLS = 10_000
 TREES, DEPTH, STEP = 20, 4, 0.2
+FOLDS = 10      # a training row's suffix statistics come from the other folds
 PRIOR = 2.0     # labelled urls the overall rate counts as, in a suffix statistic
 LEXICAL = ["n_url", "n_host", "n_path", "n_query", "labels", "segments", "digit_ratio", "host_digits", "entropy",
            "params", "hyphens", "longest_segment", "has_fragment", "secure", "dotted_end"]
@@ -90,21 +92,38 @@ def lexical(parsed: DataFrame) -> DataFrame:
                             "first_segment": F.coalesce(F.get(segments, 0), F.lit(""))})
 
 
+def _fold() -> Column:
+    """Copies of a url share a fold."""
+    return F.pmod(F.xxhash64(F.lit(3), "url"), F.lit(FOLDS)).cast("int")
+
+
 def suffix_statistics(labelled: DataFrame) -> tuple[dict[str, DataFrame], float]:
-    """Per kind of suffix the smoothed block rate of each value, and the overall rate."""
+    """Per kind of suffix and value k: blocked and all labelled urls, in total and by fold; and the overall block rate."""
     n, blocked = labelled.agg(F.count("*"), F.sum("label")).first()
     mean = (blocked or 0.0) / n if n else 0.0
     out = {}
     for name, key in STATISTICS.items():
-        rate = (F.sum("label") + PRIOR * mean) / (F.count("*") + PRIOR)
-        out[name] = labelled.groupBy(F.col(key).alias("k")).agg(rate.alias(name))
+        folds = (labelled.groupBy(F.col(key).alias("k"), _fold().alias("fold"))
+                 .agg(F.sum("label").alias("blocked"), F.count("*").alias("urls")))
+        # FOLDS entries at most
+        entries = F.collect_list(F.struct("fold", F.struct("blocked", "urls").alias("own")))
+        out[name] = folds.groupBy("k").agg(F.sum("blocked").alias("blocked"), F.sum("urls").alias("urls"),
+                                           F.map_from_entries(entries).alias("folds"))
     return out, mean
 
 
-def with_statistics(rows: DataFrame, statistics: dict[str, DataFrame], mean: float) -> DataFrame:
+def with_statistics(rows: DataFrame, statistics: dict[str, DataFrame], mean: float, training: bool = False) -> DataFrame:
+    """The smoothed block rate of each suffix. A row to train on gets that of the other folds' urls: its own label (and
+    those of its copies) would stand in its features otherwise."""
     for name, key in STATISTICS.items():
-        rows = rows.join(statistics[name], F.col(key) == F.col("k"), "left").drop("k")
-    return rows.withColumns({name: F.coalesce(name, F.lit(mean)) for name in STATISTICS})
+        rows = rows.join(statistics[name], F.col(key) == F.col("k"), "left")
+        blocked, urls = F.col("blocked"), F.col("urls")
+        if training:
+            own = F.element_at("folds", _fold())
+            blocked, urls = blocked - F.coalesce(own["blocked"], F.lit(0.0)), urls - F.coalesce(own["urls"], F.lit(0))
+        rate = (F.coalesce(blocked, F.lit(0.0)) + PRIOR * mean) / (F.coalesce(urls, F.lit(0)) + PRIOR)
+        rows = rows.withColumn(name, rate).drop("k", "blocked", "urls", "folds")
+    return rows
 
 
 def fit(labelled: DataFrame, seed: int = 5) -> GBTClassificationModel:
@@ -135,7 +154,7 @@ def judge(pages: DataFrame, rules: dict[str, str] | None = None, id_col: str = "
         space = 1 << 40
         limit = space if n <= max_train else space * max_train // n
         chosen = F.pmod(F.xxhash64(F.lit(2), "url", "page_id"), F.lit(space)) < limit
-        model = fit(T.materialize(with_statistics(labelled.where(chosen), statistics, mean), "labelled"))
+        model = fit(T.materialize(with_statistics(labelled.where(chosen), statistics, mean, training=True), "labelled"))
         vector = VectorAssembler(inputCols=[*LEXICAL, *STATISTICS], outputCol="features")
         scored = model.transform(vector.transform(with_statistics(rows, statistics, mean)))
         judged = scored.withColumn("block_score", F.when(F.col("rule").isNull(), F.get(vector_to_array("probability"), 1)))

@@ -49,3 +49,45 @@ def test_decisions_take_effect(spark, kept):
     plan = mixing.mix_plan(kept[4][1]).collect()
     assert sum(r.mix_words for r in rows["source_mix"]) == sum(r.taken for r in plan)
     assert all(len(re.findall(r"[^\x20\x09-\x0D]+", r.text)) == r.mix_words for r in rows["source_mix"])
+
+
+NAMES = ["toxicity_score", "mix_copy", "mix_words", "leaks", "Score", "group", "kept", "taken", "findings"]
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"{n} string" for n in NAMES)
+LONG = " ".join(f"w{i % 4000}" for i in range(60000))
+ITEM = " ".join(f"item{i}" for i in range(30))
+
+
+def folder(spark, tmp_path, rows, items=(), labels=()):
+    out = str(tmp_path / "tables")
+    spark.createDataFrame(rows, SCHEMA).write.parquet(f"{out}/documents.parquet")
+    spark.createDataFrame(list(items), "item_id long, text string").write.parquet(f"{out}/benchmark.parquet")
+    spark.createDataFrame(list(labels), "doc_id long, quality int, toxic int").write.parquet(f"{out}/labels.parquet")
+    return out
+
+
+def test_empty_tables(spark, tmp_path):
+    got = P.run(spark, folder(spark, tmp_path, []))
+    assert got.count() == 0 and got.columns[:5] == ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+def test_nulls_repeats_long_texts_and_clashing_names(spark, tmp_path):
+    more = tuple(f"own {n}" for n in NAMES)
+    texts = [(1, None, None), (2, "", "a"), (3, "  \n ", "a"), (4, LONG, "a"), (4, LONG, "a"), (5, f"start {ITEM} end", "b"),
+             (None, "a text without any id but with words of its own", None), (6, "one two three four five six seven eight", "b"),
+             (7, "short", "b"), (8, "short", "c"), (9, "token = abcdef123456 stands here", "c")]
+    rows = [(i, t, None, s, None if t is None else len(t), *more) for i, t, s in texts]
+    sf = folder(spark, tmp_path, rows, [(1, ITEM), (2, None), (None, "")])
+    docs, seen = spark.read.parquet(f"{sf}/documents.parquet"), {}
+    for name, stage in P.STAGES:
+        docs = P.textops.materialize(stage(spark, docs, sf), name)
+        seen[name] = docs.collect()
+        if name != "source_mix":
+            assert docs.columns == spark.read.parquet(f"{sf}/documents.parquet").columns
+        assert all(r[n] == f"own {n}" for r in seen[name] for n in NAMES)
+    ids = {n: sorted([r.doc_id for r in v], key=str) for n, v in seen.items()}
+    assert len(ids["toxicity"]) == len(texts)                                  # no labels: everything stays
+    assert ids["near_dedup"] == sorted([1, 2, 3, 4, 5, None, 6, 7, 9], key=str)    # 4 once, 8 is a copy of 7
+    assert ids["decontaminate"] == ids["secret_scan"] == sorted([1, 2, 3, 4, None, 6, 7, 9], key=str)
+    assert "abcdef123456" not in {r.doc_id: r for r in seen["secret_scan"]}[9].text
+    assert docs.columns[-3:] == ["mix_copy_", "mix_words_", "mix_shard"]
+    assert all(r.text.strip() for r in seen["source_mix"])

@@ -78,3 +78,18 @@ def test_one_class_none_and_empty(spark):
     assert [r.verdict for r in U.judge(pages(spark, [(2, "http://b.org/")])).collect()] == ["allow"]
     assert [r.verdict for r in U.judge(pages(spark, [(1, "http://b.net/es/"), (2, "x")])).collect()] == ["block", "block"]
     assert U.judge(pages(spark, [])).count() == 0
+
+
+def test_a_training_row_sees_no_label_of_its_own(spark):
+    rows = [(u, float(y)) for u, y in [("http://a.xx/1", 1), ("http://a.xx/1", 1), ("http://b.yy/1", 0), ("http://b.yy/2", 1),
+                                       ("http://b.yy/3", 0), ("http://c.zz/1", 0)]]
+    df = spark.createDataFrame([(u, y, u[9:11], u[7:11], "s") for u, y in rows],
+                               "url string, label double, last_label string, last_two string, first_segment string")
+    statistics, mean = U.suffix_statistics(df)
+    folds = {r.url: r.f for r in df.select("url", U._fold().alias("f")).collect()}
+    for training in (True, False):
+        for r in U.with_statistics(df, statistics, mean, training).collect():
+            others = [y for u, y in rows if u[9:11] == r.url[9:11] and not (training and folds[u] == folds[r.url])]
+            assert abs(r.rate_last - (sum(others) + U.PRIOR * mean) / (len(others) + U.PRIOR)) < 1e-12
+    first = U.with_statistics(df, statistics, mean, True).where("url = 'http://a.xx/1'").collect()
+    assert {r.rate_last for r in first} == {mean}       # both copies carry the only labels of their suffix
