@@ -469,11 +469,15 @@ def _registry() -> dict[str, Query]:
         return _union_sql([f"SELECT '{m}' AS metric, CAST({col} AS DOUBLE) AS v FROM {src} WHERE ({where}) AND {col} IS NOT NULL "
                            f"AND NOT isnan(CAST({col} AS DOUBLE))" for m, col, src, where in metrics])
 
-    growth = {"daily_growth": X.safe_div("average_weight", "culture_days")}
-    water = {p: F.col(p) for p in WATER_PARAMS}
+    def growth():
+        return {"daily_growth": X.safe_div("average_weight", "culture_days")}
+
+    def water():
+        return {p: F.col(p) for p in WATER_PARAMS}
+
     R["histogram_auto"] = Query(
-        lambda st: _u([AN.auto_histograms(st.cleaned["measurements"], water),
-                       AN.auto_histograms(FE.fact_with_cycle(st.cleaned["sampling"], st.cleaned["cycles"], "sampled_at"), growth)]),
+        lambda st: _u([AN.auto_histograms(st.cleaned["measurements"], water()),
+                       AN.auto_histograms(FE.fact_with_cycle(st.cleaned["sampling"], st.cleaned["cycles"], "sampled_at"), growth())]),
         R["histogram"].spec,
         "SELECT b.metric, b.bin, lo + b.bin * (hi - lo) / k AS bin_lo, lo + (b.bin + 1) * (hi - lo) / k AS bin_hi, "
         "coalesce(c.n, 0) AS count FROM (SELECT *, unnest(range(CAST(k AS BIGINT))) AS bin FROM a_bins) b LEFT JOIN "
@@ -490,8 +494,8 @@ def _registry() -> dict[str, Query]:
     R["density"] = Query(
         lambda st: _u([AN.densities(st.main, AN.main_metrics()),
                        AN.densities(st.cleaned["harvests"], {"harvest_size": F.col("size")}),
-                       AN.densities(st.cleaned["measurements"], water),
-                       AN.densities(FE.fact_with_cycle(st.cleaned["sampling"], st.cleaned["cycles"], "sampled_at"), growth)]),
+                       AN.densities(st.cleaned["measurements"], water()),
+                       AN.densities(FE.fact_with_cycle(st.cleaned["sampling"], st.cleaned["cycles"], "sampled_at"), growth())]),
         [("metric", "s"), ("point", "i"), ("x", "d"), ("density", "r")],
         f"SELECT s.metric, p.point, s.lo + p.point * s.gap AS x, "
         f"sum(e.w * exp(-0.5 * pow((p.point * s.gap - e.cell * s.step) / s.width, 2))) / (any_value(s.n) * any_value(s.width) "
