@@ -3,8 +3,8 @@
 Paragraphs are lines of ``MIN_WORDS`` words or more. Paragraphs of the same
 word sequence form a class; classes are banded by MinHash (``ROWS`` 32-bit minima
 a band, ``BANDS`` bands: a pair at the threshold shares a band with
-probability 1 - (1 - 0.75^2)^8 = 0.9987, at a similarity of 0.9 with
-0.999998), colliding classes are verified by the exact Jaccard similarity of
+probability 1 - (1 - 0.75^3)^12 = 0.9986, at a similarity of 0.9 with
+0.9999998), colliding classes are verified by the exact Jaccard similarity of
 their 5-word shingles, and components of verified pairs are the clusters.
 
 A passage that was pasted into the middle of a paragraph is no paragraph of
@@ -46,7 +46,7 @@ MIN_WORDS = 25
 MIN_PASSAGE = 20
 MIN_RUN, GRAM = 50, 25
 MIN_DOCS = 2
-ROWS, BANDS = 2, 8
+ROWS, BANDS = 3, 12
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _BACK = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
