@@ -16,16 +16,22 @@ line breaks: each window of ``MIN_RUN`` words is led by its smallest
 in a row with one leader form a piece. A leader that several documents hold is
 looked at further: by its pieces if all of them are equal, else by each
 of its windows. Equal runs, pieces or windows form a cluster; those inside a
-clustered paragraph are left out, and overlapping ones of one text are merged
-into one span.
+clustered paragraph are not reported.
 
 A cluster counts if it spans ``MIN_DOCS`` documents. Its first occurrence, by
-document id (null last) and position, is kept, the others are removed.
-
-Paragraph and passage texts are never shuffled but for the classes that share
-a band, and bitmaps of keys keep single ones out of the joins. Null and empty
-texts have no paragraphs. Repeated rows are one document. Rows with a null id
-are one document, whatever their texts. An empty table gives an empty result.
+document id (null last), text and position, is kept, the others are removed.
+Paragraphs are decided first: an occurrence that overlaps a removed paragraph
+keeps nothing. If all occurrences of a passage do, none of them is removed, and
+an occurrence that overlaps the kept one stays with it. So each word of a
+removed passage leads to the same word of an occurrence further ahead, and in
+the end to one that stays. Overlapping passages of a text with one keeper are
+merged into a span; ``cluster`` is that of its first passage.
+
+A text's units travel in one row, and bitmaps of keys keep single ones out of
+the joins; paragraph and passage texts are never shuffled but for the classes
+that share a band. Null and empty texts have no paragraphs. Repeated rows are
+one document. Rows with a null id are one document, whatever their texts. An
+empty table gives an empty result.
 Only the named columns are read; ``removed`` passes all others through.
 """
 
@@ -33,6 +39,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -142,23 +149,18 @@ def _paragraph_sketches(batches):
                                              names=["doc_id", "k1", "k2", "registers"])
 
 
-def _passage_keys(batches):
+def _unit_keys(batches):
+    """Keys of the sentence runs (no piece) and leaders of the pieces."""
     for b in batches:
         for block in T.blocks(b["text"]):
             x = Lines(block)
             begin, end = x.passages()
-            ids = b["doc_id"].take(pa.array(x.owner(begin) + block.first))
-            yield pa.RecordBatch.from_arrays([ids, pa.array(x.keys(begin, end)[0])], names=["doc_id", "k1"])
-
-
-def _piece_keys(batches):
-    for b in batches:
-        for block in T.blocks(b["text"]):
-            x = Lines(block)
             leader, first, last = x.pieces()
-            ids = b["doc_id"].take(pa.array(x.owner(first) + block.first))
-            yield pa.RecordBatch.from_arrays([ids, pa.array(leader), pa.array(x.keys(first, last + MIN_RUN)[0])],
-                                             names=["doc_id", "k1", "piece"])
+            ids = b["doc_id"].take(pa.array(x.owner(np.concatenate([begin, first])) + block.first))
+            none = pa.nulls(len(begin), pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [ids, pa.array(np.concatenate([x.keys(begin, end)[0], leader])),
+                 pa.concat_arrays([none, pa.array(x.keys(first, last + MIN_RUN)[0])])], names=["doc_id", "k1", "piece"])
 
 
 def _spread() -> list[Column]:
@@ -222,86 +224,182 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.where(f"100 * shared >= {PERCENT} * (size(x) + size(y) - shared)").select("a", "b")
 
 
-def repeated_passages(rows: DataFrame) -> DataFrame:
-    """(k1) of the passages that several documents hold."""
-    kind = rows.schema["doc_id"].dataType.simpleString()
-    keys = rows.mapInArrow(_passage_keys, f"doc_id {kind}, k1 bigint")
-    return keys.groupBy("k1").agg(*_spread()).where(SEVERAL).select("k1")
-
-
-def repeated_leaders(rows: DataFrame) -> DataFrame:
-    """(k1, uniform) of the leaders that several documents hold; uniform: with equal pieces everywhere."""
+def repeated_keys(rows: DataFrame) -> DataFrame:
+    """(k1, run, uniform) of the sentence runs (run) and leaders that several documents hold; uniform: with equal pieces everywhere."""
     kind = rows.schema["doc_id"].dataType.simpleString()
-    keys = rows.mapInArrow(_piece_keys, f"doc_id {kind}, k1 bigint, piece bigint")
-    held = keys.groupBy("k1").agg(*_spread(), F.min("piece").alias("least"), F.max("piece").alias("most"))
-    return held.where(SEVERAL).select("k1", (F.col("least") == F.col("most")).alias("uniform"))
+    keys = rows.mapInArrow(_unit_keys, f"doc_id {kind}, k1 bigint, piece bigint")
+    held = (keys.groupBy("k1", F.col("piece").isNull().alias("run"))
+            .agg(*_spread(), F.min("piece").alias("least"), F.max("piece").alias("most")))
+    return held.where(SEVERAL).select("k1", "run", (F.col("run") | (F.col("least") == F.col("most"))).alias("uniform"))
 
 
-def occurrences(rows: DataFrame, clusters: DataFrame, passages: DataFrame, leaders: DataFrame) -> DataFrame:
-    """doc_id, text_key, passage (else a paragraph), start, end (code points), k1, k2 of the units that may be clustered.
+def text_units(rows: DataFrame, clusters: DataFrame, repeated: DataFrame) -> DataFrame:
+    """Per text: doc_id, text_key, and the units that may be clustered as arrays: lines (start, end, k1, k2) and
+    passages (start, end, key); starts and ends in code points.
 
-    One scan; bitmaps let it leave out most units, an exact join follows.
+    One scan; bitmaps let it leave out most units, exact joins follow.
     """
     context = rows.sparkSession.sparkContext
     maps = [context.broadcast(np.packbits(bloom.bitmap(keys, "k1")))
-            for keys in (clusters, passages, leaders.where("uniform"), leaders.where("NOT uniform"))]
+            for keys in (clusters, repeated.where("run"), repeated.where("NOT run AND uniform"), repeated.where("NOT uniform"))]
     kind = rows.schema["doc_id"].dataType.simpleString()
+    names = ["line_start", "line_end", "line_k1", "line_k2", "unit_start", "unit_end", "unit_key"]
+    kinds = dict(zip(names, ["int", "int", "bigint", "bigint", "int", "int", "bigint"]))
 
     def run(batches):
-        *known, uniform, mixed = [np.unpackbits(m.value).astype(bool) for m in maps]
+        clustered, known, uniform, mixed = [np.unpackbits(m.value).astype(bool) for m in maps]
         for b in batches:
             for block in T.blocks(b["text"]):
                 x = Lines(block)
                 points = np.concatenate([[0], np.cumsum((block.data & 0xC0) != 0x80)])
-                units = []
-                for found, (begin, end) in zip(known, (x.paragraphs(), x.passages())):
-                    hit = bloom.maybe(found, x.keys(begin, end)[0])
-                    units.append((begin[hit], end[hit]))
+
+                def place(begin, end):
+                    zero = points[block.offsets[x.owner(begin)]]
+                    return [(points[x.starts[begin]] - zero).astype(np.int32), (points[x.ends[end - 1]] - zero).astype(np.int32)]
+
+                begin, end = x.paragraphs()
+                hit = bloom.maybe(clustered, x.keys(begin, end)[0])
+                begin, end = begin[hit], end[hit]
+                own = x.owner(begin)
+                columns = [*place(begin, end), *x.keys(begin, end)]
+                limits = [np.searchsorted(own, np.arange(len(block) + 1))] * 4
+                begin, end = x.passages()
+                hit = bloom.maybe(known, x.keys(begin, end)[0])
                 leader, first, last = x.pieces()
                 each = bloom.maybe(mixed, leader)
                 whole = bloom.maybe(uniform, leader) & ~each
-                units.append((first[whole], last[whole] + MIN_RUN))
                 size = (last - first + 1)[each]
-                begin = np.repeat(first[each] - np.cumsum(size) + size, size) + np.arange(size.sum())
-                units.append((begin, begin + MIN_RUN))
-                for passage, (begin, end) in zip((False, True, True, True), units):
-                    k1, k2 = x.keys(begin, end)
-                    own = x.owner(begin)
-                    zero = points[block.offsets[own]]
-                    pick = pa.array(own + block.first)
-                    yield pa.RecordBatch.from_arrays(
-                        [b["doc_id"].take(pick), b["text_key"].take(pick), pa.array(np.full(len(begin), passage)),
-                         pa.array(points[x.starts[begin]] - zero), pa.array(points[x.ends[end - 1]] - zero),
-                         pa.array(k1), pa.array(k2)],
-                        names=["doc_id", "text_key", "passage", "start", "end", "k1", "k2"])
-
+                window = np.repeat(first[each] - np.cumsum(size) + size, size) + np.arange(size.sum())
+                begin = np.concatenate([begin[hit], first[whole], window])
+                end = np.concatenate([end[hit], last[whole] + MIN_RUN, window + MIN_RUN])
+                order = np.argsort(begin, kind="stable")
+                begin, end = begin[order], end[order]
+                own = x.owner(begin)
+                k1, k2 = x.keys(begin, end)
+                # both hashes tell units apart
+                key = T.mix64(k1.view(np.uint64) * _STEP + k2.view(np.uint64)).view(np.int64)
+                columns += [*place(begin, end), key]
+                limits += [np.searchsorted(own, np.arange(len(block) + 1))] * 3
+                some = pa.array(np.diff(limits[0]) + np.diff(limits[-1]) > 0)
+                lists = [pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(c)) for c, at in zip(columns, limits)]
+                rows_ = slice(block.first, block.first + len(block))
+                yield pa.RecordBatch.from_arrays([b["doc_id"][rows_], b["text_key"][rows_], *lists],
+                                                 names=["doc_id", "text_key", *names]).filter(some)
+
+    lists = ", ".join(f"{n} array<{k}>" for n, k in kinds.items())
     return rows.select("doc_id", F.xxhash64("text").alias("text_key"), "text").mapInArrow(
-        run, f"doc_id {kind}, text_key bigint, passage boolean, start bigint, end bigint, k1 bigint, k2 bigint")
+        run, f"doc_id {kind}, text_key bigint, {lists}")
+
+
+def line_spans(units: DataFrame, clusters: DataFrame) -> DataFrame:
+    """doc_id, text_key, line (start, end, cluster, keeper, kept) of the clustered paragraphs."""
+    each = units.select("doc_id", "text_key", F.inline(F.arrays_zip(
+        F.col("line_start").alias("start"), F.col("line_end").alias("end"), F.col("line_k1").alias("k1"), F.col("line_k2").alias("k2"))))
+    own = T.materialize(each.join(clusters, ["k1", "k2"]).select("doc_id", "text_key", "start", "end", "cluster"), "lines")
+    first = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "start", "text_key")
+    best = own.groupBy("cluster").agg(F.min(first).alias("first"), *_spread()).where(SEVERAL)
+    # written, so that the join's sides are plain exchanges and a hot cluster can be split
+    best = T.materialize(best.select(F.col("cluster").alias("c"), "first"), "first")
+    line = F.struct("start", "end", "cluster", F.col("first.doc_id").alias("keeper"), (first == F.col("first")).alias("kept"))
+    return own.join(best, F.col("cluster") == F.col("c")).select("doc_id", "text_key", line.alias("line"))
+
+
+def _flat(column: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    """The row of each item of a list column, and the items."""
+    n = column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+    return np.repeat(np.arange(len(column)), n), column.flatten()
+
+
+def _place(batches):
+    """Which units lie free: ``ok`` if clear of removed paragraphs, ``open`` if inside no clustered paragraph."""
+    for b in batches:
+        row, lines = _flat(b["lines"])
+        start, end, kept = (lines.field(n).to_numpy(zero_copy_only=False) for n in ("start", "end", "kept"))
+        at, first = _flat(b["unit_start"])
+        first, last = first.to_numpy(zero_copy_only=False).astype(np.int64), b["unit_end"].flatten().to_numpy(zero_copy_only=False)
+        # lines of a text do not overlap: the last one that begins before a unit ends decides
+        order = np.lexsort((start, row))
+        row, start, end, gone = row[order], start[order], end[order], ~kept.astype(bool)[order]
+        wide = np.int64(1) << 32
+        key = row.astype(np.int64) * wide + start
+        ok, open_ = np.ones(len(at), bool), np.ones(len(at), bool)
+        if len(key):
+            tail = row.astype(np.int64) * wide + end
+            lo = np.searchsorted(tail, at * wide + first, side="right")     # the first line that ends behind the unit's start
+            hi = np.searchsorted(key, at * wide + last, side="left")        # lines that begin before its end
+            removed_before = np.concatenate([[0], np.cumsum(gone)])
+            ok = (hi <= lo) | (removed_before[np.maximum(hi, lo)] == removed_before[lo])
+            near = np.minimum(lo, len(key) - 1)
+            open_ = ~((lo < hi) & (start[near] <= first) & (last <= end[near]))
+        limits = pa.array(np.searchsorted(at, np.arange(b.num_rows + 1)).astype(np.int32))
+        flags = [pa.ListArray.from_arrays(limits, pa.array(f)) for f in (ok, open_)]
+        yield pa.RecordBatch.from_arrays([*b.columns, *flags], names=[*b.schema.names, "unit_ok", "unit_open"])
+
+
+def placed_units(units: DataFrame, lines: DataFrame) -> DataFrame:
+    """One row per text: ``no`` (its place in the order of documents), its clustered lines and units."""
+    own = ["doc_id", "text_key"]
+    order = units.select(*own).distinct().orderBy(F.col("doc_id").asc_nulls_last(), "text_key")
+    order = T.materialize(order.withColumn("no", F.monotonically_increasing_id()), "order")
+    lists = ["unit_start", "unit_end", "unit_key"]
+    parts = (units.select(*own, *lists).unionByName(lines, allowMissingColumns=True).unionByName(order, allowMissingColumns=True))
+    texts = parts.groupBy(*own).agg(*[F.first(c, ignorenulls=True).alias(c) for c in lists], F.max("no").alias("no"),
+                                    F.collect_set("line").alias("lines"))
+    return texts.mapInArrow(_place, ", ".join([f"{f.name} {f.dataType.simpleString()}" for f in texts.schema]
+                                              + ["unit_ok array<boolean>", "unit_open array<boolean>"]))
 
 
 def _merged(batches):
-    """Spans of each text: its clustered paragraphs, and runs of passages outside these, merged where they overlap."""
-    out = pa.list_(pa.struct([("passage", pa.bool_()), ("start", pa.int64()), ("end", pa.int64()), ("kept", pa.bool_()),
-                              ("cluster", pa.int64()), ("keeper", pa.int64())]))
+    """Spans of each text: passages with one keeper, merged where they overlap."""
+    names = ["doc_id", "text_key", "start", "end", "cluster", "keeper", "kept"]
     for b in batches:
-        rows = []
-        for units in b["units"].to_pylist():
-            lines = sorted((u for u in units if not u["passage"]), key=lambda u: u["start"])
-            spans, last, k = [], {}, 0
-            for u in sorted((u for u in units if u["passage"]), key=lambda u: (u["start"], u["end"])):
-                while k < len(lines) and lines[k]["end"] <= u["start"]:
-                    k += 1
-                if k < len(lines) and lines[k]["start"] <= u["start"] and u["end"] <= lines[k]["end"]:
-                    continue
-                span = last.get(u["kept"])
-                if span and u["start"] < span["end"]:
-                    span["end"] = max(span["end"], u["end"])
-                else:
-                    last[u["kept"]] = dict(u)
-                    spans.append(last[u["kept"]])
-            rows.append(sorted(lines + spans, key=lambda u: (u["start"], u["end"])))
-        names = [n for n in b.schema.names if n != "units"]
-        yield pa.RecordBatch.from_arrays([*[b[n] for n in names], pa.array(rows, type=out)], names=[*names, "units"])
+        row, units = _flat(b["units"])
+        if len(row) == 0:
+            continue
+        start, end, key, first, ok = (units.field(n).to_numpy(zero_copy_only=False) for n in ("start", "end", "key", "first", "ok"))
+        start, end = start.astype(np.int64), end.astype(np.int64)
+        no = b["no"].to_numpy(zero_copy_only=False)[row]
+        # in the keeper: the first occurrence that may keep the passage, and those that overlap it
+        order = np.lexsort((start, ~ok.astype(bool), key, row))
+        r, k = row[order], key[order]
+        head = np.concatenate([[True], (r[1:] != r[:-1]) | (k[1:] != k[:-1])])
+        lead = np.empty(len(order), np.int64)
+        lead[order] = order[np.flatnonzero(head)][np.cumsum(head) - 1]
+        kept = (first < 0) | ((first == no) & (start >= start[lead]) & (start < end[lead]))
+        group = np.where(kept, -1, first)
+        order = np.lexsort((end, start, group, row))
+        r, g, s, e = row[order], group[order], start[order], end[order]
+        head = np.concatenate([[True], (r[1:] != r[:-1]) | (g[1:] != g[:-1])])
+        base = np.cumsum(head) << 32
+        reach = np.maximum.accumulate(base + e)
+        new = head.copy()
+        new[1:] |= base[1:] + s[1:] >= reach[:-1]
+        at = np.flatnonzero(new)
+        last = np.append(at[1:], len(order)) - 1
+        pick = order[at]
+        ids = b["doc_id"].take(pa.array(row[pick]))
+        keeper = pc.if_else(pa.array(kept[pick]), ids, units.field("keeper").take(pa.array(pick)))
+        yield pa.RecordBatch.from_arrays(
+            [ids, b["text_key"].take(pa.array(row[pick])), pa.array(s[at]), pa.array((reach - base)[last]), pa.array(key[pick]),
+             keeper, pa.array(kept[pick])], names=names)
+
+
+def passage_spans(placed: DataFrame) -> DataFrame:
+    """doc_id, text_key, start, end, cluster, keeper, kept of the repeated passages outside clustered paragraphs."""
+    fields = ("start", "end", "key", "ok", "open")
+    unit = F.inline(F.arrays_zip(*[F.col(f"unit_{n}").alias(n) for n in fields]))
+    mine = F.when(F.col("ok"), F.col("doc_id"))
+    best = (placed.select("doc_id", "no", unit).groupBy("key")
+            .agg(*_spread(), F.min(F.when(F.col("ok"), F.col("no"))).alias("first"), F.min(mine).alias("keeper"))
+            .where(SEVERAL).select(F.col("key").alias("b"), F.coalesce("first", F.lit(-1)).alias("first"), "keeper"))
+    best = T.materialize(best, "passages")
+    wanted = bloom.reduced(placed.select("no", unit).where("open").drop("open"), "key", best, "b")
+    held = wanted.join(best, F.col("key") == F.col("b"))
+    per = held.groupBy("no").agg(F.collect_list(F.struct("start", "end", "key", "ok", "first", "keeper")).alias("units"))
+    per = per.join(placed.select(F.col("no").alias("n"), "doc_id", "text_key"), F.col("no") == F.col("n")).drop("n")
+    kind = placed.schema["doc_id"].dataType.simpleString()
+    return per.mapInArrow(_merged, f"doc_id {kind}, text_key bigint, start bigint, end bigint, cluster bigint, "
+                                   f"keeper {kind}, kept boolean")
 
 
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -310,25 +408,13 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     T.bound_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     clusters = T.materialize(paragraph_clusters(rows), "clusters")
-    passages = T.materialize(repeated_passages(rows), "passages")
-    leaders = T.materialize(repeated_leaders(rows), "leaders")
-    # units of repeated rows stay: minima, maxima and sets do not count them
-    units = T.materialize(occurrences(rows, clusters, passages, leaders), "units")
-    own = units.where("NOT passage").join(clusters, ["k1", "k2"])
-    # the second hash tells passages apart whose first hashes agree by chance
-    runs = units.where("passage").withColumn("cluster", F.xxhash64("k1", "k2"))
-    both = own.select("doc_id", "text_key", "passage", "start", "end", "cluster").unionByName(
-        runs.select("doc_id", "text_key", "passage", "start", "end", "cluster"))
-    first = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "start", "text_key")
-    best = both.groupBy("passage", "cluster").agg(F.min(first).alias("first"), *_spread()).where(SEVERAL)
-    best = best.select(F.col("passage").alias("p"), F.col("cluster").alias("cl"), "first")
-    held = both.join(best, (F.col("passage") == F.col("p")) & (F.col("cluster") == F.col("cl")))
-    unit = F.struct("passage", "start", "end", (first == F.col("first")).alias("kept"), "cluster",
-                    F.col("first.doc_id").alias("keeper"))
-    per = held.groupBy("doc_id", "text_key").agg(F.collect_set(unit).alias("units"))
-    spans = per.mapInArrow(_merged, per.schema)
-    return (spans.select("doc_id", "text_key", F.explode("units").alias("u"))
-            .select("doc_id", "text_key", "u.passage", "u.start", "u.end", "u.cluster", "u.keeper", "u.kept"))
+    repeated = T.materialize(repeated_keys(rows), "repeated")
+    units = T.materialize(text_units(rows, clusters, repeated), "units")
+    placed = T.materialize(placed_units(units, line_spans(units, clusters)), "placed")
+    lines = placed.select("doc_id", "text_key", F.lit(False).alias("passage"), F.inline("lines"))
+    lines = lines.withColumns({c: F.col(c).cast("bigint") for c in ("start", "end")})
+    runs = passage_spans(placed).withColumn("passage", F.lit(True))
+    return lines.unionByName(runs)
 
 
 def _cut(batches):
