@@ -188,7 +188,10 @@ def paragraph_clusters(rows: DataFrame) -> DataFrame:
     named = (classes.join(found, F.col("c") == F.col("node"), "left")
              .select("k1", "k2", "lo", "hi", "unnamed", F.coalesce("component", "c").alias("cluster")))
     wide = named.groupBy("cluster").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.max("unnamed").alias("unnamed"))
-    return named.join(wide.where(SEVERAL).select("cluster"), "cluster", "left_semi").select("k1", "k2", "cluster")
+    clusters = named.join(wide.where(SEVERAL).select("cluster"), "cluster", "left_semi").select("k1", "k2", "cluster")
+    clusters = T.materialize(clusters, "clusters")
+    T.release(classes, members, wanted, sets, found)
+    return clusters
 
 
 def _paragraph_sets(rows: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -407,10 +410,11 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     of a text that also stands in another document."""
     T.bound_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    clusters = T.materialize(paragraph_clusters(rows), "clusters")
+    clusters = paragraph_clusters(rows)
     repeated = T.materialize(repeated_keys(rows), "repeated")
     units = T.materialize(text_units(rows, clusters, repeated), "units")
     placed = T.materialize(placed_units(units, line_spans(units, clusters)), "placed")
+    T.release(units, clusters, repeated)
     lines = placed.select("doc_id", "text_key", F.lit(False).alias("passage"), F.inline("lines"))
     lines = lines.withColumns({c: F.col(c).cast("bigint") for c in ("start", "end")})
     runs = passage_spans(placed).withColumn("passage", F.lit(True))

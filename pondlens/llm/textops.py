@@ -78,7 +78,17 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.scratch = path
+    return out
+
+
+def release(*frames: DataFrame) -> None:
+    """Delete the folders of materialized frames; call it once what was made of them is written."""
+    for df in frames:
+        context = df.sparkSession.sparkContext
+        path = context._jvm.org.apache.hadoop.fs.Path(df.scratch)
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
 class Block:
