@@ -4,8 +4,9 @@ Texts are content-addressed: a blob is a distinct text, its id the SHA-256 of
 the UTF-8 bytes. The ledger holds the findings of every (blob, rule version)
 pair scanned so far; a run scans only the pairs the ledger lacks - a blob
 with a thousand copies or versions once - appends them, and joins the findings
-back to all documents (paths). Appending is one Parquet write of a new folder,
-so a failed run leaves the ledger as it was and a rerun scans again.
+back to all documents (paths). Appending is one Parquet write; pairs that two
+runs scanned at the same time, or that a failed run left behind, stand in the
+ledger more than once and are read as one.
 
 Rules: ``assign``, ``access`` and ``hex`` are the base kinds; ``pem``,
 ``jwt`` and ``hub`` (private-key blocks, signed web tokens and prefixed
@@ -95,7 +96,8 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ledger
     found = unseen.mapInArrow(_scan, f"blob binary, findings array<{FINDING}>")
     found.withColumn("rule_version", F.lit(rule_version)).write.mode("append").parquet(ledger)
     known = spark.read.schema(schema).parquet(ledger).where(F.col("rule_version") == rule_version)
-    hits = known.where(F.size("findings") > 0).select("blob", "findings")
+    # two runs that met the same new blob, or a run that was repeated, leave equal rows
+    hits = known.where(F.size("findings") > 0).groupBy("blob").agg(F.first("findings").alias("findings"))
     return (paths.join(hits, "blob", "left")
             .withColumn("findings", F.coalesce("findings", F.array().cast(f"array<{FINDING}>"))))
 

@@ -67,6 +67,14 @@ def test_ledger_scans_only_unseen_pairs(spark, tmp_path):
     assert spark.read.parquet(path).where("rule_version = '2'").count() == 4
 
 
+def test_a_ledger_with_repeated_rows_gives_one_row_per_document(spark, tmp_path):
+    path = f"file://{tmp_path}/ledger"
+    want = rows(S.digest(S.scan(docs(spark, TEXTS), ledger=path)))
+    # another run that met the same blobs at the same time
+    spark.createDataFrame(spark.read.parquet(path).collect(), spark.read.parquet(path).schema).write.mode("append").parquet(path)
+    assert rows(S.digest(S.scan(docs(spark, TEXTS), ledger=path))) == want
+
+
 def test_redaction_keeps_rows_and_columns(spark):
     df = docs(spark, TEXTS)
     out = S.redact(df, length_col="n_chars")
