@@ -21,8 +21,8 @@ clustered paragraph are not reported.
 A cluster counts if it spans ``MIN_DOCS`` documents. Its first occurrence, by
 document id (null last), text and position, is kept, the others are removed.
 Paragraphs are decided first: an occurrence that overlaps a removed paragraph
-keeps nothing. If all occurrences of a passage do, none of them is removed, and
-an occurrence that overlaps the kept one stays with it. So each word of a
+keeps nothing, but stays itself if it lies before the keeper, as do all if
+none may keep, and those that overlap the kept one. So each word of a
 removed passage leads to the same word of an occurrence further ahead, and in
 the end to one that stays. Overlapping passages of a text with one keeper are
 merged into a span; ``cluster`` is that of its first passage.
@@ -362,13 +362,13 @@ def _merged(batches):
         start, end, key, first, ok = (units.field(n).to_numpy(zero_copy_only=False) for n in ("start", "end", "key", "first", "ok"))
         start, end = start.astype(np.int64), end.astype(np.int64)
         no = b["no"].to_numpy(zero_copy_only=False)[row]
-        # in the keeper: the first occurrence that may keep the passage, and those that overlap it
+        # removed ones always lead to an occurrence further ahead: what lies before the keeper stays, and what overlaps it
         order = np.lexsort((start, ~ok.astype(bool), key, row))
         r, k = row[order], key[order]
         head = np.concatenate([[True], (r[1:] != r[:-1]) | (k[1:] != k[:-1])])
         lead = np.empty(len(order), np.int64)
         lead[order] = order[np.flatnonzero(head)][np.cumsum(head) - 1]
-        kept = (first < 0) | ((first == no) & (start >= start[lead]) & (start < end[lead]))
+        kept = (first < 0) | (no < first) | ((first == no) & (start < end[lead]))
         group = np.where(kept, -1, first)
         order = np.lexsort((end, start, group, row))
         r, g, s, e = row[order], group[order], start[order], end[order]
