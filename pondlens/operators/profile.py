@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pondlens.config import PipelineConfig, ZERO_REPORT_EXEMPT
+from pondlens.operators.quantiles import column_quantiles
 
 _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 
@@ -170,8 +171,7 @@ def describe_catalog(catalog: dict, columns: dict | None = None) -> DataFrame |
     """P2 for many tables in one quantile computation: the first pass of the
     exact quantiles also yields count/mean/std/min/max of every column, so
     each table is scanned once for all of its statistics."""
-    from pondlens.operators.quantiles import exact_quantiles
-    longs, spark, all_keys = [], None, []
+    tables, spark, all_keys = [], None, []
     for name, df in catalog.items():
         if df is None:
             continue
@@ -179,19 +179,12 @@ def describe_catalog(catalog: dict, columns: dict | None = None) -> DataFrame |
         if not cols:
             continue
         spark = df.sparkSession
-        keys = [f"{name}|{c}" for c in cols]
-        all_keys += keys
-        d = df.select(*[F.col(c).cast("double").alias(k) for c, k in zip(cols, keys)])
-        long = (d.unpivot([], [F.col(f"`{k}`") for k in keys], "column", "v") if len(keys) > 1
-                else d.select(F.lit(keys[0]).alias("column"), F.col(f"`{keys[0]}`").alias("v")))
-        longs.append(long.where(F.col("v").isNotNull() & ~F.isnan("v")))
-    if not longs:
+        all_keys += [f"{name}|{c}" for c in cols]
+        tables.append((df, {f"{name}|{c}": F.col(f"`{c}`") for c in cols}))
+    if not tables:
         return None
-    allq = longs[0]
-    for lq in longs[1:]:
-        allq = allq.unionByName(lq)
     mom: dict = {}
-    q = exact_quantiles(allq, [0.25, 0.5, 0.75], moments=mom)
+    q = column_quantiles(tables, [0.25, 0.5, 0.75], moments=mom)
     rows = []
     for key in all_keys:                  # an all-NULL column reports count 0
         m = mom.get(key, {"n": 0, "mean": None, "std": None, "lo": None, "hi": None})

@@ -108,3 +108,36 @@ def test_grouped_million_log_spread_rows_and_an_infinity(spark):
         a, b = vals[int(np.floor(h))], vals[int(np.ceil(h))]
         want = a if a == b or a == -np.inf else b if b == np.inf else a + (h - np.floor(h)) * (b - a)
         assert rows == len(vals) and value == want, (g, q)
+
+
+def test_column_quantiles_keep_rows_whole_and_find_what_the_sketch_misses(spark, monkeypatch):
+    """Wide columns: hot values, infinities, NULL, NaN and an empty column; with a sketch that points elsewhere too."""
+    from pyspark.sql import functions as F
+    rng = np.random.default_rng(17)
+    n = 6000
+    a = rng.lognormal(0, 3, n)
+    b = rng.integers(0, 9, n).astype(float)
+    c = np.where(rng.random(n) < 0.4, 7.5, rng.normal(size=n))
+    c[:5], c[5:9] = np.inf, -np.inf
+    rows = [(float(x), float(y), float(z), None if i % 3 else float(x), float("nan") if i % 2 else float(y), None)
+            for i, (x, y, z) in enumerate(zip(a, b, c))]
+    df = spark.createDataFrame(rows, "a double, b double, c double, d double, e double, f double")
+    want = {"a": a, "b": b, "c": c, "d": a[::3], "e": b[::2]}
+    probs = [0.0, 0.01, 0.25, 0.5, 0.75, 0.99, 1.0]
+    joins = []
+    join = Q._ranges_join
+    monkeypatch.setattr(Q, "_ranges_join", lambda *x: (joins.append(1), join(*x))[1])
+    # rows of all columns are never unfolded: the long form is for what the sketch misses
+    monkeypatch.setattr(Q, "exact_quantiles", lambda *x: (_ for _ in ()).throw(AssertionError("long form")))
+    stats = {}
+    got = Q.column_quantiles([(df, {k: F.col(k) for k in "abcdef"})], probs, moments=stats)
+    assert {k for k, _ in got} == set(want) == set(stats) and stats["d"]["n"] == len(want["d"])
+    for k, vals in want.items():
+        vals = np.sort(vals)
+        for q in probs:
+            h = (len(vals) - 1) * q
+            lo, hi = vals[int(np.floor(h))], vals[int(np.ceil(h))]
+            assert got[(k, q)] == (lo if lo == hi or lo == -np.inf else hi if hi == np.inf else lo + (h - np.floor(h)) * (hi - lo)), (k, q)
+    monkeypatch.undo()
+    monkeypatch.setattr(Q, "SKETCH_ERROR", -0.002)     # brackets that hold no wanted rank
+    assert Q.column_quantiles([(df, {k: F.col(k) for k in "abd"})], [0.3])[("a", 0.3)] == _np(a, 0.3)
