@@ -44,7 +44,7 @@ def main() -> None:
     timings = {}
     stages._MEMO.clear()
     t0 = time.perf_counter()
-    stages.driver_stages(spark, sf_dir).cleaned  # noqa: B018 - runs the statistics jobs
+    stages.driver_stages(spark, sf_dir).cleaned.load()  # runs the statistics jobs
     timings["clean_stats"] = round(time.perf_counter() - t0, 3)
     for name in names:
         t0 = time.perf_counter()
