@@ -79,3 +79,25 @@ def test_processed_tables_as_text_keep_values(spark, tmp_path):
     assert set(saved) == {"main_dataset", "cycles"}
     for path in saved.values():
         assert S.load_processed(spark, path, fmt="csv").collect() == df.collect()
+
+
+def test_layouts_are_tried_on_texts_of_their_shape_only(spark):
+    """Same results as trying every layout on every text; none of the other layouts' shapes takes an ISO text."""
+    import re
+
+    from pyspark.sql import functions as F
+
+    from pondlens.sources import catalog as K
+    texts = ["2024-03-04T05:06:07.123456Z", "2024-03-04t05:06:07+07:00", "2024-03-04T05:06:07.123", "2024-03-04 05:06:07", "2024-03-04 05:06:07.5",
+             "2024-03-04", "03/04/2024", "13/04/2024", "03/13/2024 05:06:07", "04-03-2024", "31-12-2024 23:59:59", "2024/03/04", "2024/03/04 01:02:03",
+             "+12024-03-04", "12024/03/04", "3/4/2024", "2024-3-4", " 2024-03-04", "2024-03-04 ", "bad-date", "", "2024-02-30", "99/99/2024", None,
+             "03/04/12024", "2024-03-04\n", "24-03-04", "2024-03-04T05:06", "03-04-24"]
+    df = spark.createDataFrame([(t,) for t in texts], "c string")
+    pats = sorted({p for layout in K.COLUMN_LAYOUTS for p in layout})
+    plain = [F.try_to_timestamp(F.col("c"), F.lit(p)).cast("string") for p in pats]
+    guarded = [K._try_layout("c", p).cast("string") for p in pats]
+    for row in df.select("c", F.array(*plain).alias("a"), F.array(*guarded).alias("b")).collect():
+        assert row["a"] == row["b"], row["c"]
+    iso = "2024-03-04T05:06:07.123456Z"
+    assert [p for p in pats if re.match(K.layout_shape(p), iso)] == [p for p in pats if "'T'" in p]
+    assert K.layout_shape("EEE yyyy") is None
