@@ -196,10 +196,10 @@ def paragraph_clusters(rows: DataFrame) -> DataFrame:
 
 def _paragraph_sets(rows: DataFrame, wanted: DataFrame) -> DataFrame:
     """(c, items) of the wanted classes (c, k1, k2)."""
-    shared = rows.sparkSession.sparkContext.broadcast(np.packbits(bloom.bitmap(wanted, "k1")))
+    shared = rows.sparkSession.sparkContext.broadcast(bloom.bitmap(wanted, "k1"))
 
     def run(batches):
-        found = np.unpackbits(shared.value).astype(bool)
+        found = shared.value
         for b in batches:
             for block in T.blocks(b["text"]):
                 x = Lines(block)
@@ -243,14 +243,14 @@ def text_units(rows: DataFrame, clusters: DataFrame, repeated: DataFrame) -> Dat
     One scan; bitmaps let it leave out most units, exact joins follow.
     """
     context = rows.sparkSession.sparkContext
-    maps = [context.broadcast(np.packbits(bloom.bitmap(keys, "k1")))
+    maps = [context.broadcast(bloom.bitmap(keys, "k1"))
             for keys in (clusters, repeated.where("run"), repeated.where("NOT run AND uniform"), repeated.where("NOT uniform"))]
     kind = rows.schema["doc_id"].dataType.simpleString()
     names = ["line_start", "line_end", "line_k1", "line_k2", "unit_start", "unit_end", "unit_key"]
     kinds = dict(zip(names, ["int", "int", "bigint", "bigint", "int", "int", "bigint"]))
 
     def run(batches):
-        clustered, known, uniform, mixed = [np.unpackbits(m.value).astype(bool) for m in maps]
+        clustered, known, uniform, mixed = [m.value for m in maps]
         for b in batches:
             for block in T.blocks(b["text"]):
                 x = Lines(block)
