@@ -169,8 +169,8 @@ def describe_numeric(df: DataFrame, name: str, columns: list[str] | None = None)
 
 def describe_catalog(catalog: dict, columns: dict | None = None) -> DataFrame | None:
     """P2 for many tables in one quantile computation: the first pass of the
-    exact quantiles also yields count/mean/std/min/max of every column, so
-    each table is scanned once for all of its statistics."""
+    exact quantiles also yields count/min/max of every column, a plain
+    aggregate of the whole columns their mean and std."""
     tables, spark, all_keys = [], None, []
     for name, df in catalog.items():
         if df is None:
