@@ -22,10 +22,10 @@ their number of shingles, so a hot group becomes many tasks.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,12 +35,14 @@ from pondlens.llm.components import components
 
 PERCENT = 75
 BLOCK_SHINGLES = 1_000_000
+#: Counters and counted shingles that are held in one step of a comparison, beside those of one stray.
+WORK = 500_000
 
 def band_rows(classes: DataFrame, width: int, bands: int) -> DataFrame:
     """(bucket, c) of classes with ``registers`` (binary) in bands of ``width`` bytes."""
-    keys = F.transform(F.sequence(F.lit(0), F.lit(bands - 1)),
-                       lambda i: F.xxhash64(i, F.substring(F.col("registers"), i * width + 1, F.lit(width))))
-    return classes.select(F.explode(keys).alias("bucket"), "c")
+    # written out: Spark compiles no lambda
+    keys = [F.xxhash64(F.lit(i), F.substring("registers", i * width + 1, width)) for i in range(bands)]
+    return classes.select(F.explode(F.array(*keys)).alias("bucket"), "c")
 
 
 def shared_members(bands: DataFrame) -> DataFrame:
@@ -107,7 +109,9 @@ def stray_links(open_: DataFrame, sets: DataFrame) -> DataFrame:
         "g", "c", "component", F.lit(False).alias("stray"), F.explode(F.sequence(F.lit(0), F.col("stray_blocks") - 1)).alias("i"),
         F.pmod(block, F.col("member_blocks")).cast("int").alias("j"))
     both = strays.unionByName(whole.select(*strays.columns)).join(sets, "c")
-    return both.groupBy("g", "i", "j").applyInPandas(_compare, "a bigint, b bigint")
+    # most groups are small: a task takes its blocks in order and compares many at a time
+    dealt = both.repartition("g", "i", "j").sortWithinPartitions("g", "i", "j")
+    return dealt.select("g", "i", "j", "c", "component", "stray", "items").mapInArrow(_compared, "a bigint, b bigint")
 
 
 def _spread(lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
@@ -116,34 +120,88 @@ def _spread(lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
     return np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(n.sum())
 
 
-def _compare(frame: pd.DataFrame) -> pd.DataFrame:
-    """One link for each stray and other component among the block's members."""
-    stray, other = frame[frame["stray"]], frame[~frame["stray"]]
+def _heads(*columns: np.ndarray) -> np.ndarray:
+    """Where a row differs from the one before; the first does."""
+    new = np.ones(len(columns[0]), dtype=bool)
+    if len(new):
+        new[1:] = np.any([c[1:] != c[:-1] for c in columns], axis=0)
+    return new
+
+
+def whole_blocks(batches) -> Iterator[pa.Table]:
+    """Tables of whole blocks (g, i, j), whose rows follow each other; only the last block, which may go on, is held back."""
+    keys, held = ["g", "i", "j"], []
+    for b in batches:
+        if b.num_rows == 0:
+            continue
+        at = [b[n].to_numpy() for n in keys]
+        last = int(np.flatnonzero(_heads(*at))[-1])
+        if last or (held and any(held[-1][n][-1].as_py() != k[0] for n, k in zip(keys, at))):
+            yield pa.Table.from_batches([*held, b.slice(0, last)])
+            held = []
+        held.append(b.slice(last))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _compared(batches):
+    """Links of the blocks (g, i, j), whose rows follow each other."""
+    for rows in whole_blocks(batches):
+        yield _links(rows)
+
+
+def _links(rows: pa.Table) -> pa.RecordBatch:
+    """One link (a, b) for each stray and other component among the members of its block; ``rows`` are whole blocks."""
+    c, comp, stray = (rows[n].to_numpy() for n in ("c", "component", "stray"))
+    block = np.cumsum(_heads(*(rows[n].to_numpy() for n in ("g", "i", "j")))) - 1
+    items = rows["items"].combine_chunks()
+    size, flat = items.value_lengths().to_numpy().astype(np.int64), items.flatten().to_numpy()
+    own = np.repeat(np.arange(len(c)), size)
+    # a shingle of a block as one number
+    known, number = np.unique(flat, return_inverse=True)
+    number = block[own] * len(known) + number
+    member = ~stray[own]
+    order = np.argsort(number[member], kind="stable")
+    held, holder = number[member][order], own[member][order]
+    # members of a block stand in a row of counters for each of its strays
+    place = np.cumsum(~stray) - 1
+    n_members = np.bincount(block, ~stray).astype(np.int64)
+    place -= (np.cumsum(n_members) - n_members)[block]
+    members = np.flatnonzero(~stray)
+    first_member = np.cumsum(n_members) - n_members
+    strays = np.flatnonzero(stray)
+    need = -(-PERCENT * size // 100)
+    asked, asker = number[~member], own[~member]
+    lo, hi = (np.searchsorted(held, asked, side=side) for side in ("left", "right"))
+    limits = np.concatenate([[0], np.cumsum(size[strays])])
+    work = np.bincount(asker, hi - lo, len(c))[strays].astype(np.int64) + n_members[block[strays]]
+    part = np.cumsum(work) // WORK
+    cuts = np.append(np.flatnonzero(_heads(part)), len(strays))
     a, b = [], []
-    if len(stray) and len(other):
-        c, comp = other["c"].to_numpy(), other["component"].to_numpy()
-        size = np.array([len(x) for x in other["items"]], dtype=np.int64)
-        flat, own = np.concatenate(other["items"].to_list()), np.repeat(np.arange(len(c)), size)
-        order = np.argsort(flat, kind="stable")
-        flat, own = flat[order], own[order]
-        # where each stray's shingles lie among the members'
-        sizes = [len(x) for x in stray["items"]]
-        known, at = np.unique(np.concatenate(stray["items"].to_list()), return_inverse=True)
-        lows, highs = (np.searchsorted(flat, known, side=side)[at] for side in ("left", "right"))
-        cuts = np.concatenate([[0], np.cumsum(sizes)])
-        for k, (x, xc) in enumerate(zip(stray["c"], stray["component"])):
-            lo, hi = lows[cuts[k]:cuts[k + 1]], highs[cuts[k]:cuts[k + 1]]
-            need = -(-PERCENT * sizes[k] // 100)
-            # a linked member lacks at most len - need of the shingles, so it holds one of the rarest len - need + 1
-            rare = np.argsort(hi - lo, kind="stable")[:sizes[k] - need + 1]
-            near = own[_spread(lo[rare], hi[rare])]
-            if not (comp[near] != xc).any():
-                continue
-            shared = np.bincount(own[_spread(lo, hi)], minlength=len(c))
-            near = np.flatnonzero(shared >= need)
-            n = shared[near]
-            linked = near[(100 * n >= PERCENT * (size[near] + sizes[k] - n)) & (comp[near] != xc)]
-            _, first = np.unique(comp[linked], return_index=True)
-            a += [int(x)] * len(first)
-            b += c[linked[first]].tolist()
-    return pd.DataFrame({"a": pd.Series(a, dtype="int64"), "b": pd.Series(b, dtype="int64")})
+    for p, q in zip(cuts[:-1], cuts[1:]):
+        at = np.arange(limits[p], limits[q])
+        # a linked member lacks at most len - need of the shingles, so it holds one of the rarest len - need + 1
+        rare = at[np.lexsort((hi[at] - lo[at], asker[at]))]
+        rare = rare[at - np.repeat(limits[p:q], size[strays[p:q]]) <= (size - need)[asker[at]]]
+        near, of = holder[_spread(lo[rare], hi[rare])], np.repeat(asker[rare], hi[rare] - lo[rare])
+        some = np.zeros(len(c), dtype=bool)
+        some[of[comp[near] != comp[of]]] = True
+        at = at[some[asker[at]]]
+        tested = strays[p:q][some[strays[p:q]]]
+        if len(tested) == 0:
+            continue
+        width = n_members[block[tested]]
+        start = np.zeros(len(c), np.int64)
+        start[tested] = np.cumsum(width) - width
+        near, of = holder[_spread(lo[at], hi[at])], np.repeat(asker[at], hi[at] - lo[at])
+        shared = np.bincount(start[of] + place[near], minlength=width.sum())
+        x, y = np.repeat(tested, width), members[_spread(first_member[block[tested]], first_member[block[tested]] + width)]
+        linked = np.flatnonzero((shared > 0) & (100 * shared >= PERCENT * (size[x] + size[y] - shared)) & (comp[x] != comp[y]))
+        x, y = x[linked], y[linked]
+        order = np.lexsort((comp[y], x))
+        x, y = x[order], y[order]
+        one = _heads(x, comp[y])
+        a.append(c[x[one]])
+        b.append(c[y[one]])
+    none = [np.zeros(0, np.int64)]
+    return pa.RecordBatch.from_arrays([pa.array(np.concatenate(a or none)), pa.array(np.concatenate(b or none))], names=["a", "b"])

@@ -118,7 +118,7 @@ class Lines:
             return (np.zeros(0, np.int64),) * 3
         at = np.arange(len(self.starts) - GRAM + 1)
         grams = self.keys(at, at + GRAM)[0]
-        lead = at[:n] + np.lib.stride_tricks.sliding_window_view(grams, MIN_RUN - GRAM + 1).argmin(axis=1)
+        lead = T.window_argmin(grams, MIN_RUN - GRAM + 1)
         windows = np.flatnonzero(at[:n] + MIN_RUN <= np.repeat(self.rows[1:], np.diff(self.rows))[:n])
         lead = lead[windows]
         new = np.ones(len(windows), dtype=bool)
@@ -387,20 +387,46 @@ def _merged(batches):
              keeper, pa.array(kept[pick])], names=names)
 
 
+def _occurrences(batches):
+    """A row for each unit; arrays unfold here at a fraction of what Spark's generators take."""
+    for b in batches:
+        row, key = _flat(b["unit_key"])
+        at = pa.array(row)
+        yield pa.RecordBatch.from_arrays([b["doc_id"].take(at), b["no"].take(at), key, b["unit_ok"].flatten()],
+                                         names=["doc_id", "no", "key", "ok"])
+
+
+def _open_units(placed: DataFrame, best: DataFrame) -> DataFrame:
+    """(no, start, end, key, ok) of the units inside no clustered paragraph, with few whose key is not among ``best`` (b)."""
+    shared = placed.sparkSession.sparkContext.broadcast(bloom.bitmap(best, "b"))
+
+    def run(batches):
+        found = shared.value
+        for b in batches:
+            row, key = _flat(b["unit_key"])
+            open_ = b["unit_open"].flatten().to_numpy(zero_copy_only=False).astype(bool)
+            at = np.flatnonzero(open_ & bloom.maybe(found, key.to_numpy()))
+            pick = pa.array(at)
+            units = [b[f"unit_{n}"].flatten().take(pick) for n in ("start", "end", "key", "ok")]
+            yield pa.RecordBatch.from_arrays([b["no"].take(pa.array(row[at])), *units], names=["no", "start", "end", "key", "ok"])
+
+    return placed.select("no", *[f"unit_{n}" for n in ("start", "end", "key", "ok", "open")]).mapInArrow(
+        run, "no bigint, start int, end int, key bigint, ok boolean")
+
+
 def passage_spans(placed: DataFrame) -> DataFrame:
     """doc_id, text_key, start, end, cluster, keeper, kept of the repeated passages outside clustered paragraphs."""
-    fields = ("start", "end", "key", "ok", "open")
-    unit = F.inline(F.arrays_zip(*[F.col(f"unit_{n}").alias(n) for n in fields]))
+    kind = placed.schema["doc_id"].dataType.simpleString()
     mine = F.when(F.col("ok"), F.col("doc_id"))
-    best = (placed.select("doc_id", "no", unit).groupBy("key")
+    units = placed.select("doc_id", "no", "unit_key", "unit_ok").mapInArrow(
+        _occurrences, f"doc_id {kind}, no bigint, key bigint, ok boolean")
+    best = (units.groupBy("key")
             .agg(*_spread(), F.min(F.when(F.col("ok"), F.col("no"))).alias("first"), F.min(mine).alias("keeper"))
             .where(SEVERAL).select(F.col("key").alias("b"), F.coalesce("first", F.lit(-1)).alias("first"), "keeper"))
     best = T.materialize(best, "passages")
-    wanted = bloom.reduced(placed.select("no", unit).where("open").drop("open"), "key", best, "b")
-    held = wanted.join(best, F.col("key") == F.col("b"))
+    held = _open_units(placed, best).join(best, F.col("key") == F.col("b"))
     per = held.groupBy("no").agg(F.collect_list(F.struct("start", "end", "key", "ok", "first", "keeper")).alias("units"))
     per = per.join(placed.select(F.col("no").alias("n"), "doc_id", "text_key"), F.col("no") == F.col("n")).drop("n")
-    kind = placed.schema["doc_id"].dataType.simpleString()
     return per.mapInArrow(_merged, f"doc_id {kind}, text_key bigint, start bigint, end bigint, cluster bigint, "
                                    f"keeper {kind}, kept boolean")
 

@@ -212,6 +212,19 @@ def windows(hashes: np.ndarray, ranges: np.ndarray, k: int) -> tuple[np.ndarray,
     return res, out
 
 
+def window_argmin(values: np.ndarray, k: int) -> np.ndarray:
+    """Where the first smallest value of each window of ``k`` values stands."""
+    low, at, width = values, np.arange(len(values)), 1
+    while width < k:
+        # two windows of ``width`` values make one that is up to twice as wide
+        step = min(width, k - width)
+        right = low[step:] < low[:-step]
+        at = np.where(right, at[step:], at[:-step])
+        low = np.minimum(low[step:], low[:-step])
+        width += step
+    return at
+
+
 def shingle_sets(block: Block, k: int = 5, table: np.ndarray = WS_WORD) -> list[np.ndarray]:
     """Each row's sorted distinct k-word shingles (of the lower-cased text) as 64-bit hashes."""
     low = lowered(block)

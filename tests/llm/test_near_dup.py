@@ -1,4 +1,5 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from pondlens.llm import linking
@@ -129,3 +130,38 @@ def test_components_of_chains_stars_and_loops(spark):
 def test_empty(spark):
     assert N.near_duplicates(docs(spark, [])).count() == 0
     assert [r.kept for r in N.near_duplicates(docs(spark, [(1, None, None)])).collect()] == [True]
+
+
+@pytest.mark.parametrize("rows, work", [(3, 5), (50, 500_000)])
+def test_many_blocks_are_compared_at_once(monkeypatch, rows, work):
+    """One call takes the blocks of many groups, wherever batches cut them; links never cross blocks."""
+    rng = np.random.default_rng(3)
+    monkeypatch.setattr(linking, "WORK", work)
+    names, records, want = ["g", "i", "j", "c", "component", "stray", "items"], [], set()
+    for g in range(12):
+        bases = [rng.choice(60, 12, replace=False) for _ in range(3)]
+        members = []
+        for k in range(10):
+            items = set(bases[k % 3].tolist())
+            items ^= set(rng.choice(60, int(rng.integers(0, 4)), replace=False).tolist())
+            members.append((100 * g + k, int(rng.integers(0, 4)), sorted(items)))
+        strays = [m for m in members if m[1]]
+        records += [(g, 0, g % 2, *m[:2], True, m[2]) for m in strays] + [(g, 0, g % 2, *m[:2], False, m[2]) for m in members]
+        for a, x, s in strays:
+            for _, y, t in members:
+                both = len(set(s) & set(t))
+                if x != y and 100 * both >= 75 * (len(s) + len(t) - both):
+                    want.add((a, g, y))
+    table = pa.table({n: pa.array([r[k] for r in records]) for k, n in enumerate(names)})
+    component = {r[3]: r[4] for r in records}
+    got = [p for b in linking._compared(iter(table.to_batches(max_chunksize=rows))) for p in zip(*b.to_pydict().values())]
+    assert want and sorted((a, b // 100, component[b]) for a, b in got) == sorted(want)
+
+
+def test_blocks_are_not_compared_one_call_each(spark):
+    open_ = spark.createDataFrame([(1, 1, 1, 1), (1, 2, 1, 2)], "bucket long, c long, lo long, component long")
+    sets = spark.createDataFrame([(1, [1, 2, 3]), (2, [1, 2, 3])], "c long, items array<bigint>")
+    links = linking.stray_links(open_, sets)
+    plan = links._jdf.queryExecution().executedPlan().toString()
+    assert "FlatMapGroups" not in plan and "MapInArrow" in plan
+    assert [sorted((r["a"], r["b"])) for r in links.collect()] == [[1, 2]]

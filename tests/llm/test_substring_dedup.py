@@ -3,6 +3,7 @@ import re
 import numpy as np
 
 from pondlens.llm import substring_dedup as S
+from pondlens.llm import textops as T
 from tests.llm.common import docs, lower, ws_words
 
 
@@ -205,3 +206,11 @@ def test_every_word_still_stands_somewhere(spark):
     assert sum(r.passage and not r.kept for r in found) > 40 and words - left <= lines
     exact = [r for r in S.repeated_spans(df.where("doc_id IN (90, 91)")).collect()]
     assert {(r.doc_id, r.keeper) for r in exact} == {(90, 90), (91, 90)}
+
+
+def test_leader_of_a_window_is_its_first_smallest_value():
+    rng = np.random.default_rng(5)
+    for top in (3, 1 << 60):
+        values = rng.integers(-top, top, 300)
+        for k in (1, 2, 7, 26):
+            assert T.window_argmin(values, k).tolist() == [i + int(values[i:i + k].argmin()) for i in range(len(values) - k + 1)]
