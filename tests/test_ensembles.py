@@ -102,7 +102,8 @@ def test_a_failed_algorithm_gives_no_partial_results(spark, trained, monkeypatch
 
     monkeypatch.setattr(T, "fit_nodes", broken)
     e = E.Export(spark, E.train(main, str(tmp_path), folds=2, settings={k: LIGHT[k] for k in ("rf", "xgb")}))
-    for ask in (lambda: E.export_metadata(e), lambda: E.feature_importance(e), lambda: E.prediction_errors(e, main)):
+    for ask in (lambda: E.export_metadata(e), lambda: E.feature_importance(e), lambda: E.prediction_errors(e, main),
+                lambda: E.score(e, SC.records_from_main(main))):
         with pytest.raises(RuntimeError, match="1 of 6 models failed; fcr by rf: ValueError: no forest"):
             ask()
     # what reports on the models still does
